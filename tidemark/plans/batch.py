@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators import daily
+from tidemark.functions.text import composite_key, text_hash
+from tidemark.functions.time import register_utc2local
+from tidemark.operators import daily, hot_items, joins, keyed, rolling, windows, words
 from tidemark.plans.registry import register
-from tidemark.sources.tables import read_clickstream
+from tidemark.sinks import snapshot
+from tidemark.sources.tables import read_clickstream, read_table
 
 # Event types of the driver table that stand in for the reference's events.
 PV_EVENT = "view"     # the reference's "$AppStart"
@@ -45,3 +49,238 @@ union all select day, 'live_users', cast(u as varchar) from a where event_type =
 def q_daily_metrics(spark: SparkSession, sf_dir: str):
     return daily.daily_metrics(read_clickstream(spark, sf_dir), pv_event=PV_EVENT,
                                live_event=LIVE_EVENT)
+
+
+# --- hot items (W2 W7 A4 T1 T2) -------------------------------------------
+
+HOT_ITEMS_SQL = """
+with e as (
+  select cast(json_extract_string(props, '$.k') as bigint) as item_id,
+         ((epoch_us(ts) // 300000000) + 1 + i) * 300000 as window_end
+  from events, range(12) t(i) where event_type = 'view'),
+c as (select item_id, window_end, count(*) as view_count from e group by all),
+r as (select *, row_number() over (partition by window_end order by view_count desc, item_id) as rank
+      from c)
+"""
+
+
+@register("hot_items", covers="W2 W7 A4 T1", oracle=HOT_ITEMS_SQL + """
+select item_id, window_end, view_count, cast(rank as integer) as rank from r where rank <= 3
+""")
+def q_hot_items(spark: SparkSession, sf_dir: str):
+    return hot_items.hot_items(read_clickstream(spark, sf_dir), behavior=PV_EVENT)
+
+
+@register("hot_items_report", covers="T1 T2", oracle=HOT_ITEMS_SQL + """
+select window_end,
+  repeat('=', 36) || chr(10) || '时间: ' ||
+  strftime(make_timestamp(window_end * 1000) + interval 8 hour, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10) ||
+  string_agg('No' || (rank - 1) || ':' || '  商品ID=' || item_id || '  浏览量=' || view_count || chr(10),
+             '' order by rank) ||
+  repeat('=', 36) || chr(10) || chr(10) as report
+from r where rank <= 3 group by window_end
+""")
+def q_hot_items_report(spark: SparkSession, sf_dir: str):
+    top = hot_items.hot_items(read_clickstream(spark, sf_dir), behavior=PV_EVENT)
+    return hot_items.report(top)
+
+
+# --- rolling distinct counts (W4 W5 W6 A5 K3) --------------------------------
+
+ROOM_PANES_SQL = """
+with e as (select json_extract_string(props, '$.k') as message_id, user_id as u,
+                  epoch_us(ts) // 10000000 as p from events)
+"""
+
+
+@register("rolling_uv", covers="W4 W6 A5", oracle="""
+select event_type as event, s * 3600 as win_start, s * 3600 + 86400 as win_end,
+       count(distinct user_id) as uv
+from (select event_type, user_id, (epoch_us(ts) // 3600000000) - i as s
+      from events, range(24) t(i)) group by all
+""")
+def q_rolling_uv(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    seg = rolling.rolling_distinct_segments(ev, ["event"], "user_id", "time_us", 86400, 3600)
+    return rolling.expand_segments(seg, ["event"], 86400, 3600)
+
+
+@register("rolling_uv_segments", covers="W5 W6 A5 P7", oracle=ROOM_PANES_SQL + """,
+c as (select distinct message_id, p - 8639 as q from e
+      union select distinct message_id, p + 1 from e),
+v as (select c.message_id, c.q, count(distinct e.u) as uv
+      from c left join e on e.message_id = c.message_id and e.p between c.q and c.q + 8639
+      group by all),
+ch as (select *, lag(uv) over (partition by message_id order by q) as prev from v),
+s as (select message_id, q, uv, lead(q) over (partition by message_id order by q) as nq
+      from ch where prev is null or prev <> uv)
+select message_id, 'room-' || message_id as title, q * 10 as seg_start, nq * 10 as seg_stop, uv
+from s where uv > 0
+""")
+def q_rolling_uv_segments(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).where(F.col("message_id").isNotNull())
+    return rolling.rolling_distinct_segments(ev, ["message_id", "title"], "user_id", "time_us",
+                                             86400, 10)
+
+
+@register("peak_uv", covers="W5 A5 P14 K3", oracle=ROOM_PANES_SQL + """,
+c as (select distinct message_id, p - 8639 as q from e),
+v as (select c.message_id, c.q, count(distinct e.u) as uv
+      from c join e on e.message_id = c.message_id and e.p between c.q and c.q + 8639
+      group by all)
+select 'room-' || message_id || '+' || message_id as row_key, max(uv) as uv, '0' as max_online
+from v group by message_id
+""")
+def q_peak_uv(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).where(F.col("message_id").isNotNull())
+    seg = rolling.rolling_distinct_segments(ev, ["message_id", "title"], "user_id", "time_us",
+                                            86400, 10)
+    return snapshot.keep_max_rows(rolling.peak_distinct(seg, ["message_id", "title"]),
+                                  composite_key("title", "message_id"), "uv")
+
+
+# --- keyed windows, words, functions -------------------------------------------
+
+@register("event_5s_count", covers="A9 W3 W8", oracle="""
+select event_type as event, (epoch_us(ts) // 5000000 + 1) * 5000 as window_end, count(*) as n
+from events group by all
+""")
+def q_event_5s_count(spark: SparkSession, sf_dir: str):
+    return windows.keyed_window_count(read_clickstream(spark, sf_dir), ["event"], "5 seconds")
+
+
+@register("word_count", covers="S9 P11 U3 A1", oracle="""
+with l as (select unnest(string_split(text, chr(10))) as line from documents),
+t as (select case when line = '' then ['']
+                  when rtrim(line, ' ') = '' then []::varchar[]
+                  else string_split(rtrim(line, ' '), ' ') end as ws from l)
+select w as word, count(*) as n from (select unnest(ws) as w from t) group by w
+""")
+def q_word_count(spark: SparkSession, sf_dir: str):
+    return words.word_count(read_table(spark, sf_dir, "documents"))
+
+
+@register("utc2local", covers="F1 F2 U1", oracle="""
+select event_id, epoch_us(ts) // 1000 + 28800000 as local_ms,
+       strftime(ts + interval 8 hour, '%Y-%m-%d %H:%M:%S') as local_time,
+       strftime(ts + interval 8 hour, '%Y-%m-%d') as local_date
+from events
+""")
+def q_utc2local(spark: SparkSession, sf_dir: str):
+    register_utc2local(spark)
+    read_clickstream(spark, sf_dir).select("event_id", "ts", "time_ms") \
+        .createOrReplaceTempView("tm_clicks")
+    return spark.sql("""
+        select event_id, time_ms + 28800000 as local_ms,
+               date_format(utc2local(ts), 'yyyy-MM-dd HH:mm:ss') as local_time,
+               date_format(utc2local(ts), 'yyyy-MM-dd') as local_date
+        from tm_clicks""")
+
+
+TEXT_HASH_SQL = ("list_reduce(list_transform(list_filter(string_split({c}, ''), lambda x: x <> ''), "
+                 "lambda x: unicode(x)), lambda h, x: ((h * 32) + (x - 96)) % 11113, 0)")
+
+
+@register("text_hash", covers="F4", oracle=f"""
+select doc_id, {TEXT_HASH_SQL.format(c='text')} as bucket from documents
+""")
+def q_text_hash(spark: SparkSession, sf_dir: str):
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", text_hash("text").alias("bucket"))
+
+
+@register("bucket_distribution", covers="F4", oracle=f"""
+select bucket, count(*) as n from (
+  select {TEXT_HASH_SQL.format(c='p_name')} as bucket from part
+  union all select {TEXT_HASH_SQL.format(c='n_name')} from nation
+  union all select {TEXT_HASH_SQL.format(c='c_name')} from customer) group by bucket
+""")
+def q_bucket_distribution(spark: SparkSession, sf_dir: str):
+    names = (read_table(spark, sf_dir, "part").select(F.col("p_name").alias("s"))
+             .unionByName(read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("s")))
+             .unionByName(read_table(spark, sf_dir, "customer").select(F.col("c_name").alias("s"))))
+    return names.groupBy(text_hash("s").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("lookup_enrich", covers="J1 P12", oracle="""
+select e.event_id, cast(e.user_id as varchar) as id, e.event_type as username,
+       case when c.c_custkey is not null then c.c_name else '0000' end as phone
+from events e left join customer c on c.c_custkey = e.user_id
+""")
+def q_lookup_enrich(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).select(
+        "event_id", F.col("distinct_id").alias("id"), F.col("event").alias("username"))
+    cust = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("phone"), "c_custkey")
+    dim = joins.dedup_dimension(cust, "id", "phone", "c_custkey")
+    return joins.enrich_lookup(ev, dim, "id", "phone")
+
+
+# --- keyed stateful functions, batch form (A2 A3 X9 X10 X12) -------------------
+
+CENTS_SQL = "cast(round(value * 100) as bigint)"
+
+
+def _cents(spark: SparkSession, sf_dir: str):
+    return read_clickstream(spark, sf_dir).select(
+        "event_id", "user_id", "event", "time_us",
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"), "value")
+
+
+@register("running_sum", covers="A2 A3", oracle=f"""
+select event_id, user_id, row_number() over w as seq,
+       cast(sum({CENTS_SQL}) over w as bigint) as running_cents
+from events
+window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row)
+""")
+def q_running_sum(spark: SparkSession, sf_dir: str):
+    r = keyed.running_totals(_cents(spark, sf_dir).select("event_id", "user_id", "time_us", "cents"),
+                             ["user_id"], ["time_us", "event_id"], "cents")
+    return r.select("event_id", "user_id", "seq", "running_cents")
+
+
+@register("pair_average", covers="X9", oracle=f"""
+with s as (select user_id, {CENTS_SQL} as c,
+                  row_number() over (partition by user_id order by ts, event_id) as n from events),
+g as (select user_id, (n - 1) // 2 as group_no, count(*) as k, sum(c) as sc from s group by all)
+select user_id, group_no, cast(sc // 2 as bigint) as avg_value from g where k = 2
+""")
+def q_pair_average(spark: SparkSession, sf_dir: str):
+    return keyed.pair_average(_cents(spark, sf_dir), ["user_id"], ["time_us", "event_id"], "cents")
+
+
+@register("changelog_count", covers="X12", oracle="""
+with s as (select event_type as event,
+                  row_number() over (partition by event_type order by ts, event_id) as n from events)
+select event, 2 * n - 1 as change_seq, true as is_add, n as cnt from s
+union all select event, 2 * n - 2, false, n - 1 from s where n > 1
+""")
+def q_changelog_count(spark: SparkSession, sf_dir: str):
+    return keyed.retract_changelog(_cents(spark, sf_dir), ["event"], ["time_us", "event_id"])
+
+
+ALERT_TIMER_S = 3600  # the driver's events are minutes apart; 10 s would never fire
+
+
+@register("rising_alert", covers="X10 U4", oracle=f"""
+with recursive s as (
+  select user_id as k, epoch_us(ts) // 1000000 as t, value as v,
+         row_number() over (partition by user_id order by ts, event_id) as n from events),
+f(k, n, last, due, fired) as (
+  select distinct k, cast(0 as bigint), cast(0.0 as double), cast(0 as bigint), cast(null as bigint) from s
+  union all
+  select s.k, s.n, s.v,
+    case when s.v > f.last and (f.due = 0 or f.due <= s.t) then s.t + {ALERT_TIMER_S}
+         when f.last > s.v or f.last = 0.0 then 0
+         when f.due <= s.t then 0 else f.due end,
+    case when f.due > 0 and f.due <= s.t then f.due end
+  from f join s on s.k = f.k and s.n = f.n + 1)
+select k as user_id, fired as fired_at, cast(k as varchar) || '温度连续上升' as alert
+from f where fired is not null
+""")
+def q_rising_alert(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).select(
+        "user_id", "event_id", "value",
+        F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("t"), "time_us")
+    return keyed.rising_alerts(ev, "user_id", "t", ["time_us", "event_id"], "value",
+                              timer_s=ALERT_TIMER_S)

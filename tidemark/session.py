@@ -48,6 +48,21 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: ``spark.checkpoint.dir`` when the
+    cluster names one, else (local tests only) a fresh local temp folder."""
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -55,16 +70,7 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     can reach. Only when it is unset (local tests) do we make one under the
     local temp folder and register it, so ``DataFrame.checkpoint()`` works too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     if base.startswith("file:"):
         base = base[len("file:"):]
     if "://" in base:
