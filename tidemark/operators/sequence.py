@@ -45,9 +45,13 @@ def _lsum(c: str) -> str:
     return f"_tm_lsum_{c}"
 
 
-def _local_scan(keys: list[str], sums: list[str]):
+def _lmax(c: str) -> str:
+    return f"_tm_lmax_{c}"
+
+
+def _local_scan(keys: list[str], sums: list[str], maxes: list[str]):
     def scan(batches):
-        carry_key, carry_n, carry_s = None, 0, {}
+        carry_key, carry_n, carry_s, carry_m = None, 0, {}, {}
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -55,6 +59,10 @@ def _local_scan(keys: list[str], sums: list[str]):
             g = pdf.groupby(keys, sort=False, dropna=False)
             seq = g.cumcount().to_numpy(dtype=np.int64) + 1
             acc = {c: g[c].cumsum().fillna(0).to_numpy() for c in sums}
+            # -inf stands for "no value yet" so the running max carries over NULLs.
+            top = {c: pdf[c].astype("float64").fillna(-np.inf).groupby(
+                [pdf[k] for k in keys], sort=False, dropna=False).cummax().to_numpy()
+                for c in maxes}
             first = tuple(kf.iloc[0])
             if carry_key is not None and first == carry_key:
                 # Sorted input: rows continuing the previous batch's last key lead the batch.
@@ -64,24 +72,31 @@ def _local_scan(keys: list[str], sums: list[str]):
                 for c in sums:
                     acc[c] = acc[c].astype(np.result_type(acc[c].dtype, type(carry_s[c])))
                     acc[c][:run] += carry_s[c]
+                for c in maxes:
+                    top[c][:run] = np.fmax(top[c][:run], carry_m[c])
             carry_key = tuple(kf.iloc[-1])
             carry_n = int(seq[-1])
             carry_s = {c: acc[c][-1] for c in sums}
-            out = pdf.assign(**{LSEQ: seq}, **{_lsum(c): acc[c] for c in sums})
+            carry_m = {c: top[c][-1] for c in maxes}
+            out = pdf.assign(**{LSEQ: seq}, **{_lsum(c): acc[c] for c in sums},
+                             **{_lmax(c): np.where(np.isneginf(top[c]), np.nan, top[c])
+                                for c in maxes})
             yield out
     return scan
 
 
 def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  sums: Sequence[str] = (), partitions: int | None = None,
-                  seq_col: str = "seq", sum_prefix: str = "running_") -> DataFrame:
-    """Add ``seq`` (1-based position of the row within its key, in ``order``)
-    and ``running_<c>`` (sum of ``c`` over the key's rows up to this one).
+                  sums: Sequence[str] = (), maxes: Sequence[str] = (),
+                  partitions: int | None = None, seq_col: str = "seq",
+                  sum_prefix: str = "running_", max_prefix: str = "running_max_") -> DataFrame:
+    """Add ``seq`` (1-based position of the row within its key, in ``order``),
+    ``running_<c>`` (sum of ``c`` over the key's rows up to this one) and
+    ``running_max_<c>`` (largest non-NULL ``c`` so far, as double; NULL if none).
 
     ``order`` must make rows unique within a key (add an id as a last tie
     breaker); NULL summands count as 0.
     """
-    keys, sums = list(keys), list(sums)
+    keys, sums, maxes = list(keys), list(sums), list(maxes)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
@@ -93,13 +108,14 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(LSEQ, T.LongType())] + [
         T.StructField(_lsum(c), ranged.schema[c].dataType if isinstance(
             ranged.schema[c].dataType, (T.LongType, T.DoubleType)) else T.DoubleType())
-        for c in sums])
+        for c in sums] + [T.StructField(_lmax(c), T.DoubleType()) for c in maxes])
     ensure_checkpoint_dir(spark)
-    local = ranged.mapInPandas(_local_scan(keys, sums), schema).checkpoint(eager=True)
+    local = ranged.mapInPandas(_local_scan(keys, sums, maxes), schema).checkpoint(eager=True)
 
     # Totals per (partition, key), kept only for keys seen in several partitions.
     totals = local.groupBy(PID, *keys).agg(
-        F.max(LSEQ).alias("_n"), *[F.max_by(_lsum(c), LSEQ).alias(f"_s_{c}") for c in sums])
+        F.max(LSEQ).alias("_n"), *[F.max_by(_lsum(c), LSEQ).alias(f"_s_{c}") for c in sums],
+        *[F.max(_lmax(c)).alias(f"_m_{c}") for c in maxes])
     wk = Window.partitionBy(*keys)
     before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (totals.withColumn("_parts", F.count(F.lit(1)).over(wk))
@@ -107,7 +123,8 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
                .select(F.col(PID).alias("_o_pid"), *[F.col(k).alias(f"_o_{k}") for k in keys],
                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
                        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
-                         for c in sums]))
+                         for c in sums],
+                       *[F.max(f"_m_{c}").over(before).alias(f"_offm_{c}") for c in maxes]))
     # At most 2 rows per range partition: safe to broadcast whatever the data size.
     cond = [F.col(PID) == F.col("_o_pid")] + [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
     joined = local.join(F.broadcast(offsets), cond, "left")
@@ -116,4 +133,7 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     for c in sums:
         out_cols.append((F.col(_lsum(c)) + F.coalesce(F.col(f"_off_{c}"), F.lit(0)))
                         .alias(f"{sum_prefix}{c}"))
+    for c in maxes:
+        # greatest() skips NULLs: either side may have seen no value yet.
+        out_cols.append(F.greatest(F.col(_lmax(c)), F.col(f"_offm_{c}")).alias(f"{max_prefix}{c}"))
     return joined.select(*out_cols)

@@ -27,11 +27,12 @@ def keyed_window_count(events: DataFrame, keys: Sequence[str], size: str = "5 se
 
 
 def min_by_window(events: DataFrame, keys: Sequence[str], by: str, size: str,
-                  tie: str, time_col: str = "ts") -> DataFrame:
+                  tie: Sequence[str], time_col: str = "ts") -> DataFrame:
     """Per tumbling window and key, the row with the smallest ``by``
-    (compared as text), earliest ``tie`` first; with the window start."""
+    (compared as text), earliest ``tie`` first; with the window start.
+    ``min_by`` is a partial aggregate: one row per group crosses the shuffle."""
     cols = [c for c in events.columns]
-    best = F.min_by(F.struct(*cols), F.struct(F.col(by).cast("string"), F.col(tie)))
+    best = F.min_by(F.struct(*cols), F.struct(F.col(by).cast("string"), *[F.col(t) for t in tie]))
     return (events.groupBy(F.window(time_col, size).alias("w"), *keys)
             .agg(best.alias("row"))
             .select(window_bounds_ms()[0], "row.*"))

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.json import json_map, project_event, project_properties, to_json_object
 from tidemark.functions.text import composite_key, text_hash
 from tidemark.functions.time import register_utc2local
-from tidemark.operators import daily, hot_items, joins, keyed, rolling, windows, words
+from tidemark.operators import daily, guard, hot_items, joins, keyed, rolling, windows, words
 from tidemark.plans.registry import register
+from tidemark.session import shared_dir
+from tidemark.sinks import files as file_sinks
 from tidemark.sinks import snapshot
+from tidemark.sources import catalog, files, kafka
 from tidemark.sources.tables import read_clickstream, read_table
 
 # Event types of the driver table that stand in for the reference's events.
@@ -284,3 +288,184 @@ def q_rising_alert(spark: SparkSession, sf_dir: str):
         F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("t"), "time_us")
     return keyed.rising_alerts(ev, "user_id", "t", ["time_us", "event_id"], "value",
                               timer_s=ALERT_TIMER_S)
+
+
+# --- parsing and decoding (P1-P3 P9 P10 P13 S3 S4) -----------------------------
+
+@register("clickstream_parse", covers="P1 P2 P3 P13 D6", oracle="""
+select event_id, event_type as event, cast(user_id as varchar) as distinct_id,
+       epoch_us(ts) // 1000 as time, json_extract_string(props, '$.k') as k,
+       'null' as v1_message_id, 'null' as v1_element_content, 'null' as v1_message_title
+from events
+""")
+def q_clickstream_parse(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    raw = ev.select("event_id", to_json_object(
+        "event", "distinct_id", F.parse_json("props").alias("properties"),
+        F.col("time_ms").alias("time")).alias("raw"))
+    parsed = raw.select("event_id", *project_event("raw"))
+    return parsed.select("event_id", "event", "distinct_id", "time",
+                         json_map("properties").getItem("k").alias("k"),
+                         *project_properties("properties"))
+
+
+def _kafka_records(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    value = F.to_json(F.struct(
+        "event", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("age"),
+        F.struct(F.col("distinct_id").alias("userID")).alias("properties")))
+    return ev.select(
+        F.to_json(F.struct(F.col("event_id").alias("id"))).cast("binary").alias("key"),
+        value.cast("binary").alias("value"), F.lit("sc_md").alias("topic"),
+        F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+
+
+@register("kafka_decode", covers="S3 S4 P9", oracle="""
+select event_type as event, cast(cast(round(value * 100) as bigint) as varchar) as age,
+       cast(user_id as varchar) as userID,
+       '消费的主题是：sc_md,分区是：' || (user_id % 3) || ',当前偏移量是：' || event_id as lineage
+from events
+""")
+def q_kafka_decode(spark: SparkSession, sf_dir: str):
+    dec = kafka.decode_key_value(_kafka_records(spark, sf_dir))
+    return dec.select(kafka.variant_text(F.col("value"), "$.event").alias("event"),
+                      kafka.variant_text(F.col("value"), "$.age").alias("age"),
+                      kafka.variant_text(F.col("value"), "$.properties.userID").alias("userID"),
+                      kafka.lineage().alias("lineage"))
+
+
+@register("async_lookup", covers="S4 P10 P13 J1", oracle="""
+with r as (select event_id, case when event_type <> 'signup' then cast(user_id as varchar) end as rid,
+                  event_type as uname from events),
+g as (select event_id, coalesce(rid, '0') as id,
+             case when rid is not null then uname else 'null' end as username from r),
+j as (select g.event_id, g.id, g.username,
+             case when c.c_custkey is not null then c.c_name else '0000' end as phone
+      from g left join customer c on cast(c.c_custkey as varchar) = g.id)
+select event_id, id, username, phone,
+       to_json(struct_pack(id := id, username := username, phone := phone)) as json
+from j
+""")
+def q_async_lookup(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    value = F.to_json(F.struct(
+        F.when(F.col("event") != "signup", F.col("distinct_id")).alias("id"),
+        F.col("event").alias("username"),
+        F.when(F.col("event") == "purchase", F.lit("secret")).alias("password")))
+    rec = ev.select(F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"),
+                    F.lit("test_topic").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    dec = kafka.decode_key_value(rec)
+    users = dec.select(F.col("metadata.offset").alias("event_id"),
+                       *kafka.guarded_fields(F.col("value"))).drop("password")
+    cust = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("phone"), "c_custkey")
+    out = joins.enrich_lookup(users, joins.dedup_dimension(cust, "id", "phone", "c_custkey"),
+                              "id", "phone")
+    return out.select("event_id", "id", "username", "phone",
+                      to_json_object("id", "username", "phone").alias("json"))
+
+
+# --- guards (X1 D2 D3) --------------------------------------------------------------
+
+GUARD_NOW_MS = 1705276800000  # 2024-01-15 00:00:00 UTC: later rows are "in the future"
+
+
+@register("future_guard", covers="X1 D2 D3", oracle=f"""
+with e as (select event_id, user_id % 3 as src, epoch_us(ts) // 1000 as t from events),
+v as (select *, case when t - {GUARD_NOW_MS} <= 600000 then t end as vt from e)
+select event_id,
+       case when vt is not null then t
+            else coalesce(cast(max(vt) over (partition by src order by event_id
+                          rows between unbounded preceding and current row) as bigint), 0)
+       end as guarded_time
+from v
+""")
+def q_future_guard(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).select(
+        "event_id", "time_ms", F.pmod("user_id", F.lit(3)).alias("src"))
+    g = guard.guard_future_clamp(ev, "time_ms", GUARD_NOW_MS, ["src"], ["event_id"])
+    return g.select("event_id", "guarded_time")
+
+
+# --- catalog, files, sinks (S6 S8 S9 S14 T3 K1 K4 P8) -------------------------------
+
+@register("partition_scan", covers="S14 T3", oracle="""
+select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'
+""")
+def q_partition_scan(spark: SparkSession, sf_dir: str):
+    path = shared_dir(spark, "orders_by_status")
+    read_table(spark, sf_dir, "orders").write.mode("overwrite") \
+        .partitionBy("o_orderstatus").parquet(path)
+    catalog.register_partitioned(spark, "tm_orders_by_status", path)
+    return catalog.scan_partition(spark, "tm_orders_by_status", "o_orderstatus = 'F'") \
+        .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+@register("day_files", covers="K1 F2 D7", oracle=f"""
+select {LOCAL_DAY_SQL} as dt, count(*) as n, count(distinct user_id) as users from events group by 1
+""")
+def q_day_files(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    recs = ev.select("event", "distinct_id", F.col("time_ms").alias("time"))
+    recs = recs.withColumn("dt", file_sinks.day_bucket(F.col("time").cast("string")))
+    path = shared_dir(spark, "day_files")
+    file_sinks.write_day_json(recs, path)
+    back = spark.read.schema("event STRING, distinct_id STRING, time BIGINT, dt STRING").json(path)
+    return back.groupBy("dt").agg(F.count(F.lit(1)).alias("n"),
+                                  F.count_distinct("distinct_id").alias("users"))
+
+
+@register("metric_upsert", covers="K4 A10", oracle=f"""
+with a as (
+  select {LOCAL_DAY_SQL} as day, event_type, count(*) as n, count(distinct user_id) as u
+  from events where event_type in ('{PV_EVENT}', '{LIVE_EVENT}') group by all)
+select day,
+  max(case when event_type = '{PV_EVENT}' then cast(n as varchar) end) as pv,
+  max(case when event_type = '{PV_EVENT}' then cast(u as varchar) end) as uv,
+  max(case when event_type = '{LIVE_EVENT}' then cast(n * cast(3.0 as double) / u / 60 as varchar) end)
+    as live_avg,
+  max(case when event_type = '{LIVE_EVENT}' then cast(u as varchar) end) as live_users
+from a group by day
+""")
+def q_metric_upsert(spark: SparkSession, sf_dir: str):
+    tall = daily.daily_metrics(read_clickstream(spark, sf_dir), pv_event=PV_EVENT,
+                               live_event=LIVE_EVENT).withColumn("u_time", F.current_timestamp())
+    path = shared_dir(spark, "daily_metrics_snapshot")
+    pv = tall.where(F.col("metric").isin("pv", "uv"))
+    snapshot.upsert_last_write(pv, path, 0)
+    snapshot.upsert_last_write(tall.where(~F.col("metric").isin("pv", "uv")), path, 1)
+    snapshot.upsert_last_write(pv, path, 1)  # replayed batch id: no-op
+    wide = snapshot.pivot_metrics(snapshot.read_snapshot(spark, path), "day", list(daily.METRICS))
+    return wide.drop("u_time")
+
+
+@register("sensor_parse", covers="S9 P8 F3", oracle="""
+select cast(user_id as varchar) as id, epoch_us(ts) // 1000000 as timestamp, value as temperature,
+       true as valid
+from events
+""")
+def q_sensor_parse(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    line = F.concat_ws(", ", F.col("distinct_id"),
+                       F.floor(F.col("time_us") / F.lit(1_000_000)).cast("string"),
+                       F.col("value").cast("string"))
+    path = shared_dir(spark, "sensor_lines")
+    ev.select(line.alias("value")).write.mode("overwrite").text(path)
+    return files.parse_sensor_line(files.read_lines(spark, path))
+
+
+@register("min_age_window", covers="A11", oracle="""
+select (epoch_us(ts) // 3600000000) * 3600000 as window_start, event_type as event,
+       arg_min(event_id, (cast(cast(round(value * 100) as bigint) as varchar), epoch_us(ts), event_id))
+         as event_id,
+       min(cast(cast(round(value * 100) as bigint) as varchar)) as age
+from events group by all
+""")
+def q_min_age_window(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir).select(
+        "ts", "event", "event_id", "time_us",
+        F.round(F.col("value") * 100).cast("bigint").cast("string").alias("age"))
+    best = windows.min_by_window(ev, ["event"], "age", "1 hour", ["time_us", "event_id"])
+    return best.select("window_start", "event", "event_id", "age")
