@@ -1 +1,64 @@
-"""Streaming twins of the batch queries (registered in later steps)."""
+"""Streaming twins: the same answers computed by Structured Streaming queries.
+
+Each twin replays a driver table as a file stream, runs to completion with
+``availableNow`` (bounded waits, fresh checkpoints under the shared checkpoint
+folder), writes through the real sinks and returns what the sinks hold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from tidemark.plans.batch import HOT_ITEMS_SQL, LIVE_EVENT, LOCAL_DAY_SQL, PV_EVENT
+from tidemark.plans.registry import register
+from tidemark.session import shared_dir
+from tidemark.sources.tables import clickstream
+from tidemark.streaming import daily as sdaily
+from tidemark.streaming import hot_items as shot
+from tidemark.streaming.runner import run_foreach_batch, stream_table
+
+
+def _events(spark: SparkSession, sf_dir: str):
+    return sdaily.guarded(clickstream(stream_table(spark, sf_dir, "events")))
+
+
+def _counts_pair(spark: SparkSession, sf_dir: str, event: str, tag: str):
+    ev = _events(spark, sf_dir)
+    n_path = shared_dir(spark, f"snap-{tag}-n")
+    u_path = shared_dir(spark, f"snap-{tag}-u")
+    run_foreach_batch(sdaily.pv_counts(ev, event), sdaily.upsert_metric_sink(n_path, "pv"),
+                      "update", name=f"{tag}-n")
+    run_foreach_batch(sdaily.uv_counts(ev, event), sdaily.upsert_metric_sink(u_path, "uv"),
+                      "update", name=f"{tag}-u")
+    return n_path, u_path
+
+
+@register("daily_pv_uv_stream", covers="X1 X5 X6 X7 X8 K4 A6 A7 S9", oracle=f"""
+select {LOCAL_DAY_SQL} as day, count(*) as pv, count(distinct user_id) as uv
+from events where event_type = '{PV_EVENT}' group by 1
+""")
+def q_daily_pv_uv_stream(spark: SparkSession, sf_dir: str):
+    n_path, u_path = _counts_pair(spark, sf_dir, PV_EVENT, "pv")
+    return sdaily.read_pv_uv(spark, n_path, u_path)
+
+
+@register("daily_live_stream", covers="X5 X6 A8 K4", oracle=f"""
+select {LOCAL_DAY_SQL} as day, count(distinct user_id) as live_users,
+       count(*) * cast(3.0 as double) / count(distinct user_id) / 60 as live_avg
+from events where event_type = '{LIVE_EVENT}' group by 1
+""")
+def q_daily_live_stream(spark: SparkSession, sf_dir: str):
+    n_path, u_path = _counts_pair(spark, sf_dir, LIVE_EVENT, "live")
+    return sdaily.read_live(spark, n_path, u_path)
+
+
+@register("hot_items_stream", covers="X4 X11 W2 T1", oracle=HOT_ITEMS_SQL + """
+select item_id, window_end, view_count, cast(rank as integer) as rank from r
+where rank <= 3 and window_end <= (select epoch_us(max(ts)) // 1000 from events)
+""")
+def q_hot_items_stream(spark: SparkSession, sf_dir: str):
+    ev = clickstream(stream_table(spark, sf_dir, "events"))
+    out = shared_dir(spark, "hot-items")
+    run_foreach_batch(shot.window_counts(ev, behavior=PV_EVENT), shot.top_n_sink(out),
+                      "append", name="hot")
+    return spark.read.parquet(out).drop("batch")
