@@ -26,6 +26,8 @@ PAIR_SIZE = 2                    # count window of the pair average
 ALERT_TIMER_S = 10               # rising-temperature timer, seconds
 ALERT_TEXT = "温度连续上升"        # appended to the key in the alert line
 
+SEQ = "_tm_seq"
+
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    value: str) -> DataFrame:
@@ -38,8 +40,8 @@ def pair_average(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  value: str, size: int = PAIR_SIZE) -> DataFrame:
     """Every ``size`` consecutive values of a key -> integer average
     (``sum div size``, truncating); a trailing incomplete group is not emitted."""
-    seq = keyed_running(df.select(*keys, *order, value), keys, order)
-    grp = ((F.col("seq") - 1) / F.lit(size)).cast("bigint")
+    seq = keyed_running(df.select(*keys, *order, value), keys, order, seq_col=SEQ)
+    grp = ((F.col(SEQ) - 1) / F.lit(size)).cast("bigint")
     return (seq.groupBy(*keys, grp.alias("group_no"))
             .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
             .where(F.col("_n") == size)
@@ -52,14 +54,12 @@ def retract_changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str])
     Record n of a key emits (false, n-1) when n > 1, then (true, n);
     ``change_seq`` is the position in the key's changelog.
     """
-    seq = keyed_running(df.select(*keys, *order), keys, order)
-    rows = F.when(F.col("seq") > 1, F.array(
-        F.struct((2 * F.col("seq") - 2).alias("change_seq"), F.lit(False).alias("is_add"),
-                 (F.col("seq") - 1).alias("cnt")),
-        F.struct((2 * F.col("seq") - 1).alias("change_seq"), F.lit(True).alias("is_add"),
-                 F.col("seq").alias("cnt")))).otherwise(F.array(
-        F.struct((2 * F.col("seq") - 1).alias("change_seq"), F.lit(True).alias("is_add"),
-                 F.col("seq").alias("cnt"))))
+    seq = keyed_running(df.select(*keys, *order), keys, order, seq_col=SEQ)
+    n = F.col(SEQ)
+    add = F.struct((2 * n - 1).alias("change_seq"), F.lit(True).alias("is_add"), n.alias("cnt"))
+    retract = F.struct((2 * n - 2).alias("change_seq"), F.lit(False).alias("is_add"),
+                       (n - 1).alias("cnt"))
+    rows = F.when(n > 1, F.array(retract, add)).otherwise(F.array(add))
     return seq.select(*keys, F.inline(rows))
 
 

@@ -56,9 +56,9 @@ def _local_scan(keys: list[str], sums: list[str], maxes: list[str]):
             if pdf.empty:
                 continue
             kf = pdf[keys]
-            g = pdf.groupby(keys, sort=False, dropna=False)
-            seq = g.cumcount().to_numpy(dtype=np.int64) + 1
-            acc = {c: g[c].cumsum().fillna(0).to_numpy() for c in sums}
+            seq = pdf.groupby(keys, sort=False, dropna=False).cumcount().to_numpy(np.int64) + 1
+            acc = {c: pdf[c].fillna(0).groupby([pdf[k] for k in keys], sort=False,
+                                               dropna=False).cumsum().to_numpy() for c in sums}
             # -inf stands for "no value yet" so the running max carries over NULLs.
             top = {c: pdf[c].astype("float64").fillna(-np.inf).groupby(
                 [pdf[k] for k in keys], sort=False, dropna=False).cummax().to_numpy()

@@ -45,10 +45,18 @@ def query_as_json(spark: SparkSession, url: str, query: str, n: int | None = Non
 
 
 def write_table(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None,
-                mode: str = "append", batch_size: int = 1000) -> None:
-    """K6: batch insert (``batchsize`` rows per statement batch)."""
-    (df.write.format("jdbc").options(**_opts(url, props)).option("dbtable", table)
-     .option("batchsize", str(batch_size)).mode(mode).save())
+                mode: str = "append", batch_size: int = 1000,
+                column_types: str | None = None) -> None:
+    """K6: batch insert (``batchsize`` rows per statement batch).
+
+    ``column_types`` (e.g. ``"id VARCHAR(20)"``) sets column types when the
+    table is created, for databases whose default text type cannot be compared.
+    """
+    w = (df.write.format("jdbc").options(**_opts(url, props)).option("dbtable", table)
+         .option("batchsize", str(batch_size)))
+    if column_types:
+        w = w.option("createTableColumnTypes", column_types)
+    w.mode(mode).save()
 
 
 def stream_to_table(stream: DataFrame, url: str, table: str, checkpoint: str,
@@ -62,6 +70,7 @@ def stream_to_table(stream: DataFrame, url: str, table: str, checkpoint: str,
 
 def copy_table(spark: SparkSession, src_url: str, src_query: str, dst_url: str, dst_table: str,
                src_props: dict[str, str] | None = None,
-               dst_props: dict[str, str] | None = None) -> None:
+               dst_props: dict[str, str] | None = None, column_types: str | None = None) -> None:
     """K8: JDBC source -> JDBC sink copy."""
-    write_table(read_query(spark, src_url, src_query, src_props), dst_url, dst_table, dst_props)
+    write_table(read_query(spark, src_url, src_query, src_props), dst_url, dst_table, dst_props,
+                column_types=column_types)
