@@ -78,3 +78,23 @@ def test_future_guard_clamp(spark):
     out = guard_future_clamp(df, "t", now, ["src"], ["off"])
     assert rows(out, "off", "guarded_time") == [(1, 900_000), (2, 900_000), (3, 950_000),
                                                 (4, 0), (5, 10)]
+
+
+def test_rising_alert_distributed_equals_scan(spark):
+    rnd = random.Random(11)
+    data = []
+    for i in range(3000):
+        k = "hot" if rnd.random() < 0.5 else f"s{rnd.randrange(8)}"
+        v = rnd.choice([0.0, -1.0, float(rnd.randrange(-3, 6))])
+        data.append((k, rnd.randrange(2000), i, v))
+    df = spark.createDataFrame(data, "id string, t bigint, n bigint, v double")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        slow = keyed.rising_alerts_scan(df, "id", "t", "n", "v", timer_s=7)
+        chain = keyed.rising_alerts_chain(df, "id", "t", "n", "v", timer_s=7)
+        mixed = keyed.rising_alerts(df, "id", "t", "n", "v", timer_s=7, hot_rows=500)
+        assert rows(chain, "id", "fired_at") == rows(slow, "id", "fired_at")
+        assert rows(mixed, "id", "fired_at") == rows(slow, "id", "fired_at")
+        assert slow.count() > 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -27,6 +27,8 @@ ALERT_TIMER_S = 10               # rising-temperature timer, seconds
 ALERT_TEXT = "温度连续上升"        # appended to the key in the alert line
 
 SEQ = "_tm_seq"
+HOT_KEY_ROWS = 1_000_000      # above this many rows a key is not folded in one task
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -92,18 +94,13 @@ def _alert_fold(key: str, t: str, value: str, timer_s: int):
     return fold
 
 
-def rising_alerts(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
-                  timer_s: int = ALERT_TIMER_S) -> DataFrame:
-    """X10 in event time: per key, a rise arms a ``timer_s`` timer unless one
-    is pending, a fall cancels it, and a timer fires when a later reading's
-    time reaches it. A previous value of exactly 0.0 also cancels (the
-    reference's default previous value). Timers still pending at the end of
-    the input do not fire. Output: (key, fired_at, alert).
+def rising_alerts_scan(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
+                       timer_s: int = ALERT_TIMER_S) -> DataFrame:
+    """X10 as a plain ordered fold per key (reference form for tests).
 
     Rows are hash-partitioned by key and sorted by (key, t, tie); each task
-    streams its sorted Arrow batches through the fold with O(1) state, so no
-    group is ever materialized. Re-arming depends on when the previous timer
-    ended, a chain through the whole key, so one key's scan stays in one task.
+    streams its sorted Arrow batches through the fold with O(1) state. One
+    key's rows are scanned in one task: use :func:`rising_alerts` at scale.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ties = [tie] if isinstance(tie, str) else list(tie)
@@ -113,3 +110,119 @@ def rising_alerts(df: DataFrame, key: str, t: str, tie: str | Sequence[str], val
     schema = T.StructType([df.schema[key], T.StructField("fired_at", T.LongType())])
     fired = sorted_rows.mapInPandas(_alert_fold(key, t, value, timer_s), schema)
     return fired.withColumn("alert", F.concat(F.col(key).cast("string"), F.lit(ALERT_TEXT)))
+
+
+def rising_alerts(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
+                  timer_s: int = ALERT_TIMER_S, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """X10 in event time, choosing the plan per key by its size.
+
+    One aggregate counts rows per key. Keys with at most ``hot_rows`` rows
+    are folded in one task each (:func:`rising_alerts_scan`, O(1) state,
+    bounded work per task); larger keys go to :func:`rising_alerts_chain`,
+    which splits a key over many tasks. The hot-key list is broadcast: it has
+    at most total_rows / hot_rows entries.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(key).checkpoint(eager=True)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return rising_alerts_scan(df, key, t, tie, value, timer_s)
+    hot_b = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
+    cold = df.join(hot_b, key, "left_anti")
+    hot_rows_df = df.join(hot_b, key, "left_semi")
+    return rising_alerts_scan(cold, key, t, tie, value, timer_s).unionByName(
+        rising_alerts_chain(hot_rows_df, key, t, tie, value, timer_s))
+
+
+def rising_alerts_chain(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
+                        timer_s: int = ALERT_TIMER_S, max_rounds: int = 64) -> DataFrame:
+    """X10 in event time, exact and split across tasks even for one hot key.
+
+    Rules, per key in (t, tie) order: a rise arms a ``timer_s`` timer unless
+    one is pending; a fall -- or a previous value of exactly 0.0 -- cancels a
+    pending timer; a timer fires when a later reading's time reaches it (it
+    fires before that reading is applied). Timers still pending at the end of
+    the input do not fire. Output: (key, fired_at, alert).
+
+    The chain of timers is rebuilt from row-local facts:
+
+    * the previous value (a join on position - 1) gives each reading's class:
+      rise (R), stop (a fall, or any reading after an exact 0.0: cancels a
+      pending timer), or keep;
+    * a timer armed at R row i is resolved at f = the first row with
+      t >= t_i + timer (it fires) or at c = the first stop row after i, if
+      that comes first (cancelled). The next timer is armed at the first R row
+      at or after f, or after c. f, c and "first R row at or after p" come
+      from one reverse range scan (:func:`keyed_running`), so a hot key is
+      split across tasks;
+    * the armed rows are the chain from the key's first R row through these
+      "next arm" links. The chain is marked by frontier doubling: with jump
+      tables A_k = next^(2^k), P_{k+1} = P_k + A_k(P_k); every round is two
+      equi-joins on (key, position) -- unique keys, so no skew -- and is
+      checkpointed. Rounds = log2(longest chain) + 1.
+    """
+    ties = [tie] if isinstance(tie, str) else list(tie)
+    T_ = timer_s
+    base = keyed_running(df.select(key, t, *ties, value), [key], [t, *ties], seq_col="pos")
+    rows = base.select(key, "pos", F.col(t).alias("t"), F.col(value).cast("double").alias("v"))
+
+    prev = rows.select(key, (F.col("pos") + 1).alias("pos"), F.col("v").alias("last"))
+    cls = (rows.join(prev, [key, "pos"], "left")
+           .withColumn("last", F.coalesce("last", F.lit(0.0)))
+           .withColumn("is_r", F.col("v") > F.col("last"))
+           .withColumn("is_stop", (F.col("is_r") & (F.col("last") == 0.0)) |
+                       (~F.col("is_r") & ((F.col("last") > F.col("v")) | (F.col("last") == 0.0)))))
+
+    # One reverse scan over data rows and "due" probes (one per R row, at t + timer).
+    data = cls.select(key, F.col("t").alias("at"), F.lit(1).alias("kind"), "pos",
+                      F.when(F.col("is_stop"), -F.col("pos")).alias("neg_stop"),
+                      F.when(F.col("is_r"), -F.col("pos")).alias("neg_r"),
+                      (-F.col("pos")).alias("neg_pos"))
+    probes = cls.where("is_r").select(
+        key, (F.col("t") + F.lit(T_)).alias("at"), F.lit(0).alias("kind"), "pos",
+        F.lit(None).cast("bigint").alias("neg_stop"), F.lit(None).cast("bigint").alias("neg_r"),
+        F.lit(None).cast("bigint").alias("neg_pos"))
+    scanned = keyed_running(
+        data.unionByName(probes), [key],
+        [F.col("at").desc(), F.col("kind").desc(), F.col("pos").desc()],
+        maxes=["neg_stop", "neg_r", "neg_pos"], seq_col="_scan_seq")
+    first = lambda c: (-F.col(f"running_max_{c}")).cast("bigint")
+    at_data = scanned.where("kind = 1").select(key, "pos", first("neg_stop").alias("n_stop"),
+                                               first("neg_r").alias("n_r"))
+    due_hit = scanned.where("kind = 0").select(key, "pos", first("neg_pos").alias("f"))
+
+    after = at_data.select(key, (F.col("pos") - 1).alias("pos"), F.col("n_stop").alias("c"))
+    arms = (cls.where("is_r").select(key, "pos", (F.col("t") + F.lit(T_)).alias("due"))
+            .join(due_hit, [key, "pos"], "left").join(after, [key, "pos"], "left")
+            .withColumn("fired", F.col("f").isNotNull() & (F.col("c").isNull() | (F.col("f") <= F.col("c"))))
+            .withColumn("target", F.when(F.col("fired"), F.col("f"))
+                        .when(F.col("c").isNotNull(), F.col("c") + 1)))
+    look = at_data.select(key, F.col("pos").alias("target"), F.col("n_r").alias("nxt"))
+    nodes = arms.join(look, [key, "target"], "left") \
+        .select(key, "pos", "due", "fired", "nxt").checkpoint(eager=True)
+
+    starts = at_data.where("pos = 1").where(F.col("n_r").isNotNull()) \
+        .select(key, F.col("n_r").alias("pos")).checkpoint(eager=True)
+    chain = _mark_chain(nodes, starts, key, max_rounds)
+    fired = chain.join(nodes, [key, "pos"]).where("fired").select(key, F.col("due").alias("fired_at"))
+    return fired.withColumn("alert", F.concat(F.col(key).cast("string"), F.lit(ALERT_TEXT)))
+
+
+def _mark_chain(nodes: DataFrame, starts: DataFrame, key: str, max_rounds: int) -> DataFrame:
+    """Positions reachable from ``starts`` through ``nxt`` (which only moves
+    forward), by frontier doubling over jump tables."""
+    jump = nodes.select(key, "pos", F.col("nxt").alias("j"))
+    reach = starts.select(key, "pos")
+    size = reach.count()
+    for _ in range(max_rounds):
+        step = (reach.join(jump, [key, "pos"]).where(F.col("j").isNotNull())
+                .select(key, F.col("j").alias("pos")))
+        reach = reach.unionByName(step).distinct().checkpoint(eager=True)
+        grown = reach.count()
+        if grown == size:
+            return reach
+        size = grown
+        b = jump.select(key, F.col("pos").alias("j"), F.col("j").alias("j2"))
+        jump = (jump.join(b, [key, "j"], "left").select(key, "pos", F.col("j2").alias("j"))
+                .checkpoint(eager=True))
+    raise RuntimeError("alert chain did not converge; raise max_rounds")
