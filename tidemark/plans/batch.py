@@ -14,7 +14,7 @@ from tidemark.session import shared_dir
 from tidemark.sinks import files as file_sinks
 from tidemark.sinks import snapshot
 from tidemark.sources import catalog, files, kafka
-from tidemark.sources.tables import read_clickstream, read_table
+from tidemark.sources.tables import read_clickstream, read_table, spread_for_cpu
 
 # Event types of the driver table that stand in for the reference's events.
 PV_EVENT = "view"     # the reference's "$AppStart"
@@ -161,7 +161,7 @@ t as (select case when line = '' then ['']
 select w as word, count(*) as n from (select unnest(ws) as w from t) group by w
 """)
 def q_word_count(spark: SparkSession, sf_dir: str):
-    return words.word_count(read_table(spark, sf_dir, "documents"))
+    return words.word_count(spread_for_cpu(read_table(spark, sf_dir, "documents")))
 
 
 @register("utc2local", covers="F1 F2 U1", oracle="""
@@ -189,7 +189,7 @@ TEXT_HASH_SQL = ("list_reduce(list_transform(list_filter(string_split({c}, ''),
 select doc_id, {TEXT_HASH_SQL.format(c='text')} as bucket from documents
 """)
 def q_text_hash(spark: SparkSession, sf_dir: str):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread_for_cpu(read_table(spark, sf_dir, "documents"))
     return docs.select("doc_id", text_hash("text").alias("bucket"))
 
 
@@ -469,3 +469,73 @@ def q_min_age_window(spark: SparkSession, sf_dir: str):
         F.round(F.col("value") * 100).cast("bigint").cast("string").alias("age"))
     best = windows.min_by_window(ev, ["event"], "age", "1 hour", ["time_us", "event_id"])
     return best.select("window_start", "event", "event_id", "age")
+
+
+# --- rolling room peaks from raw JSON records (S5 P2-P7 W5 K3) ----------------
+
+LIVE_CONTENT = "视频直播播放"   # fixed value: the content the room job keeps
+
+
+def _raw_live_records(spark: SparkSession, sf_dir: str):
+    """Raw JSON records in the reference's clickstream shape, derived from events:
+    view events are 'LiveVisit'; content marks plays (value > 10)."""
+    ev = read_clickstream(spark, sf_dir)
+    props = F.struct(F.col("message_id").alias("v1_message_id"),
+                     F.when(F.col("value") > 10, F.lit(LIVE_CONTENT)).otherwise(F.lit("其他"))
+                     .alias("v1_element_content"),
+                     F.col("title").alias("v1_message_title"),
+                     F.col("distinct_id").alias("userID"))
+    event = F.when(F.col("event") == PV_EVENT, F.lit("LiveVisit")).otherwise(F.col("event"))
+    return ev.select(F.to_json(F.struct(event.alias("event"), "distinct_id",
+                                        props.alias("properties"),
+                                        F.col("time_ms").alias("time"))).alias("raw"))
+
+
+@register("room_peak_from_json", covers="P1 P2 P3 P4 P5 W5 A5 P14 K3", oracle=f"""
+with e as (select json_extract_string(props, '$.k') as message_id, user_id as u,
+                  epoch_us(ts) // 10000000 as p
+           from events where event_type = '{PV_EVENT}' and value > 10),
+c as (select distinct message_id, p - 8639 as q from e),
+v as (select c.message_id, c.q, count(distinct e.u) as uv
+      from c join e on e.message_id = c.message_id and e.p between c.q and c.q + 8639
+      group by all)
+select 'room-' || message_id || '+' || message_id as row_key, max(uv) as uv, '0' as max_online
+from v group by message_id
+""")
+def q_room_peak_from_json(spark: SparkSession, sf_dir: str):
+    parsed = _raw_live_records(spark, sf_dir).select(*project_event("raw"))
+    live = parsed.where(F.col("event") == "LiveVisit").select(
+        "distinct_id", "time", *project_properties("properties", default=""))
+    kept = live.where((F.col("v1_element_content") == LIVE_CONTENT) &
+                      (F.col("v1_message_id") != "") & (F.col("distinct_id") != ""))
+    kept = kept.withColumn("time_us", F.col("time") * 1000)
+    seg = rolling.rolling_distinct_segments(kept, ["v1_message_id", "v1_message_title"],
+                                            "distinct_id", "time_us", 86400, 10)
+    peaks = rolling.peak_distinct(seg, ["v1_message_id", "v1_message_title"])
+    return snapshot.keep_max_rows(peaks, composite_key("v1_message_title", "v1_message_id"), "uv")
+
+
+LIVE_VISIT_SCHEMA = ("event STRING, time BIGINT, "
+                     "properties STRUCT<userID: STRING, v1_message_title: STRING, v1_message_id: STRING>")
+
+
+@register("live_visit_sql", covers="S5 P6 P7 F1 U1", oracle=f"""
+select json_extract_string(props, '$.k') as v1_message_id,
+       'room-' || json_extract_string(props, '$.k') as v1_message_title,
+       cast(user_id as varchar) as userID,
+       strftime(ts + interval 8 hour, '%Y-%m-%d %H:%M:%S') as local_time
+from events where event_type = '{PV_EVENT}'
+""")
+def q_live_visit_sql(spark: SparkSession, sf_dir: str):
+    raw = _raw_live_records(spark, sf_dir)
+    # A declared nested schema; members missing from a record become NULL.
+    raw.select(F.from_json("raw", LIVE_VISIT_SCHEMA).alias("r")).select("r.*") \
+        .createOrReplaceTempView("tm_live_visit")
+    register_utc2local(spark)
+    return spark.sql("""
+        select properties.v1_message_id as v1_message_id,
+               properties.v1_message_title as v1_message_title,
+               properties.userID as userID,
+               date_format(utc2local(timestamp_millis(time)), 'yyyy-MM-dd HH:mm:ss') as local_time
+        from tm_live_visit
+        where event = 'LiveVisit' and properties.v1_message_id is not null""")

@@ -77,7 +77,10 @@ def metric_rows(counts: DataFrame, metric: str) -> DataFrame:
 def upsert_metric_sink(path: str, metric: str):
     """foreachBatch function: last-write upsert of one metric's changed days."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        snapshot.upsert_last_write(metric_rows(batch, metric), path, batch_id)
+        rows = metric_rows(batch, metric)
+        if rows.isEmpty():      # e.g. the no-data batch after a watermark step
+            return
+        snapshot.upsert_last_write(rows, path, batch_id)
     return write
 
 

@@ -39,6 +39,8 @@ def window_counts(events: DataFrame, behavior: str = batch_hot.BEHAVIOR,
 def top_n_sink(path: str, n: int = batch_hot.TOP_N, with_report: bool = False):
     """foreachBatch function: top-N of the windows closed in this batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         top = batch_hot.top_n(batch.where(F.col("view_count") > 0), n)
         out = batch_hot.report(top) if with_report else top
         out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
