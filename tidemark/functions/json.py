@@ -6,7 +6,7 @@ higher-order functions), so parsing runs JVM-side and prunes unused fields.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the reference's parse rules.
@@ -35,7 +35,12 @@ def json_map(c, null_text: bool = True) -> Column:
 
 
 def member(m: Column, key: str, default: str | None = MISSING_TEXT) -> Column:
-    """Map lookup with a default for a missing key (``getOrElse``)."""
+    """Map lookup with a default for a missing key (``getOrElse``) on a map
+    from :func:`json_map` (JSON nulls already read as "null").
+
+    The map is referenced once: when Catalyst inlines the parse into pushed
+    filters, each member costs one parse, not one per reference.
+    """
     v = m.getItem(key)
     return v if default is None else F.coalesce(v, F.lit(default))
 
@@ -45,8 +50,12 @@ def project_event(raw, time_type: str = "bigint") -> list[Column]:
 
     ``time`` is cast with ``try_cast``: a missing or non-numeric time becomes
     NULL instead of failing the job, so the caller can quarantine it (D3).
+    Use :func:`parse_events` on a DataFrame to parse each record once.
     """
-    m = json_map(raw)
+    return _event_members(json_map(raw), time_type)
+
+
+def _event_members(m: Column, time_type: str = "bigint") -> list[Column]:
     return [
         member(m, "event").alias("event"),
         member(m, "distinct_id").alias("distinct_id"),
@@ -62,6 +71,30 @@ def project_properties(props, default: str = NULL_TEXT) -> list[Column]:
     return [member(m, k, default).alias(k) for k in PROPERTY_KEYS]
 
 
+def may_contain_value(raw, value: str) -> Column:
+    """Cheap necessary condition for "some member of this JSON text equals
+    ``value``": the text holds ``value`` literally, or uses ``\\u`` escapes
+    (the only way JSON can spell letters differently). Put it before the full
+    parse so records that cannot match are never parsed; keep the exact
+    filter after the parse."""
+    return (F.instr(_c(raw), value) > 0) | (F.instr(_c(raw), "\\u") > 0)
+
+
+def parse_events(df: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (),
+                 time_type: str = "bigint") -> DataFrame:
+    """P1 + P2 on a DataFrame: each record's JSON is parsed once (the map is a
+    column of its own, which Catalyst does not inline into every member)."""
+    m = df.select(*keep, json_map(raw).alias("_m"))
+    return m.select(*keep, *_event_members(F.col("_m"), time_type))
+
+
+def parse_properties(df: DataFrame, props: str = "properties", default: str = NULL_TEXT,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """P3 on a DataFrame, parsing each ``properties`` text once."""
+    m = df.select(*keep, json_map(props).alias("_p"))
+    return m.select(*keep, *[member(F.col("_p"), k, default).alias(k) for k in PROPERTY_KEYS])
+
+
 def json_path(c, path: str) -> Column:
     """JSON path extraction (``$.a.b``), NULL when absent."""
     return F.get_json_object(_c(c), path)

@@ -48,8 +48,11 @@ def rolling_distinct_segments(df: DataFrame, keys: Sequence[str], user: str, tim
     pieces = panes.select(
         *keys, (F.col("p") - (k - 1)).alias("s"),
         F.least(F.col("p") + 1, F.coalesce(nxt - (k - 1), F.col("p") + 1)).alias("e"))
-    deltas = (pieces.select(*keys, F.col("s").alias("q"), F.lit(1).alias("d"))
-              .unionByName(pieces.select(*keys, F.col("e").alias("q"), F.lit(-1).alias("d")))
+    # Both deltas of a piece come from one row: the panes are read and
+    # deduplicated once, not once per union branch.
+    deltas = (pieces.select(*keys, F.inline(F.array(
+                  F.struct(F.col("s").alias("q"), F.lit(1).alias("d")),
+                  F.struct(F.col("e").alias("q"), F.lit(-1).alias("d")))))
               .groupBy(*keys, "q").agg(F.sum("d").alias("d"))
               .where(F.col("d") != 0))
     w = Window.partitionBy(*keys).orderBy("q")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.json import json_map, project_event, project_properties, to_json_object
+from tidemark.functions.json import (json_map, may_contain_value, parse_events, parse_properties,
+                                     to_json_object)
 from tidemark.functions.text import composite_key, text_hash
 from tidemark.functions.time import register_utc2local
 from tidemark.operators import daily, guard, hot_items, joins, keyed, rolling, windows, words
@@ -299,18 +300,19 @@ select event_id, event_type as event, cast(user_id as varchar) as distinct_id,
 from events
 """)
 def q_clickstream_parse(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir)
+    ev = read_clickstream(spark, sf_dir, spread=True)
     raw = ev.select("event_id", to_json_object(
         "event", "distinct_id", F.parse_json("props").alias("properties"),
         F.col("time_ms").alias("time")).alias("raw"))
-    parsed = raw.select("event_id", *project_event("raw"))
-    return parsed.select("event_id", "event", "distinct_id", "time",
-                         json_map("properties").getItem("k").alias("k"),
-                         *project_properties("properties"))
+    parsed = parse_events(raw, "raw", keep=("event_id",))
+    with_k = parsed.select("event_id", "event", "distinct_id", "time", "properties",
+                           json_map("properties").getItem("k").alias("k"))
+    return parse_properties(with_k, "properties",
+                            keep=("event_id", "event", "distinct_id", "time", "k"))
 
 
 def _kafka_records(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir)
+    ev = read_clickstream(spark, sf_dir, spread=True)
     value = F.to_json(F.struct(
         "event", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("age"),
         F.struct(F.col("distinct_id").alias("userID")).alias("properties")))
@@ -348,7 +350,7 @@ select event_id, id, username, phone,
 from j
 """)
 def q_async_lookup(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir)
+    ev = read_clickstream(spark, sf_dir, spread=True)
     value = F.to_json(F.struct(
         F.when(F.col("event") != "signup", F.col("distinct_id")).alias("id"),
         F.col("event").alias("username"),
@@ -479,7 +481,7 @@ LIVE_CONTENT = "视频直播播放"   # fixed value: the content the room job ke
 def _raw_live_records(spark: SparkSession, sf_dir: str):
     """Raw JSON records in the reference's clickstream shape, derived from events:
     view events are 'LiveVisit'; content marks plays (value > 10)."""
-    ev = read_clickstream(spark, sf_dir)
+    ev = read_clickstream(spark, sf_dir, spread=True)
     props = F.struct(F.col("message_id").alias("v1_message_id"),
                      F.when(F.col("value") > 10, F.lit(LIVE_CONTENT)).otherwise(F.lit("其他"))
                      .alias("v1_element_content"),
@@ -503,9 +505,10 @@ select 'room-' || message_id || '+' || message_id as row_key, max(uv) as uv, '0'
 from v group by message_id
 """)
 def q_room_peak_from_json(spark: SparkSession, sf_dir: str):
-    parsed = _raw_live_records(spark, sf_dir).select(*project_event("raw"))
-    live = parsed.where(F.col("event") == "LiveVisit").select(
-        "distinct_id", "time", *project_properties("properties", default=""))
+    raw = _raw_live_records(spark, sf_dir)
+    parsed = parse_events(raw.where(may_contain_value("raw", "LiveVisit")), "raw")
+    live = parse_properties(parsed.where(F.col("event") == "LiveVisit"), "properties",
+                            default="", keep=("distinct_id", "time"))
     kept = live.where((F.col("v1_element_content") == LIVE_CONTENT) &
                       (F.col("v1_message_id") != "") & (F.col("distinct_id") != ""))
     kept = kept.withColumn("time_us", F.col("time") * 1000)

@@ -65,5 +65,7 @@ def clickstream(events: DataFrame) -> DataFrame:
     )
 
 
-def read_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clickstream(read_table(spark, sf_dir, "events"))
+def read_clickstream(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The clickstream view; ``spread`` for CPU-heavy per-row work (JSON)."""
+    t = read_table(spark, sf_dir, "events")
+    return clickstream(spread_for_cpu(t) if spread else t)
