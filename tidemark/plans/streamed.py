@@ -8,14 +8,16 @@ folder), writes through the real sinks and returns what the sinks hold.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.plans.batch import HOT_ITEMS_SQL, LIVE_EVENT, LOCAL_DAY_SQL, PV_EVENT
+from tidemark.plans.batch import ALERT_TIMER_S, HOT_ITEMS_SQL, LIVE_EVENT, LOCAL_DAY_SQL, PV_EVENT
 from tidemark.plans.registry import register
 from tidemark.session import shared_dir
 from tidemark.sources.tables import clickstream
 from tidemark.streaming import daily as sdaily
 from tidemark.streaming import hot_items as shot
-from tidemark.streaming.runner import run_foreach_batch, stream_table
+from tidemark.streaming import processors
+from tidemark.streaming.runner import run_foreach_batch, run_to_parquet, stream_table
 
 
 def _events(spark: SparkSession, sf_dir: str):
@@ -62,3 +64,39 @@ def q_hot_items_stream(spark: SparkSession, sf_dir: str):
     run_foreach_batch(shot.window_counts(ev, behavior=PV_EVENT), shot.top_n_sink(out),
                       "append", name="hot")
     return spark.read.parquet(out).drop("batch")
+
+
+ALERT_STREAM_SQL = f"""
+with recursive s as (
+  select user_id as k, epoch_us(ts) // 1000000 as t, value as v,
+         row_number() over (partition by user_id order by ts, event_id) as n from events),
+f(k, n, last, due, fired) as (
+  select distinct k, cast(0 as bigint), cast(0.0 as double), cast(0 as bigint), cast(null as bigint) from s
+  union all
+  select s.k, s.n, s.v,
+    case when s.v > f.last and (f.due = 0 or f.due <= s.t) then s.t + {ALERT_TIMER_S}
+         when f.last > s.v or f.last = 0.0 then 0
+         when f.due <= s.t then 0 else f.due end,
+    case when f.due > 0 and f.due <= s.t then f.due end
+  from f join s on s.k = f.k and s.n = f.n + 1),
+last_state as (select k, due from f where n = (select max(n) from s where s.k = f.k)),
+wm as (select epoch_us(max(ts)) // 1000 as w from events)
+select cast(k as varchar) as id, fired * 1000 as fired_at, cast(k as varchar) || '温度连续上升' as alert
+from f where fired is not null
+union all
+select cast(k as varchar), due * 1000, cast(k as varchar) || '温度连续上升'
+from last_state, wm where due > 0 and due * 1000 <= w
+"""
+
+
+@register("rising_alert_stream", covers="X10 X3 U4", oracle=ALERT_STREAM_SQL)
+def q_rising_alert_stream(spark: SparkSession, sf_dir: str):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    ev = clickstream(stream_table(spark, sf_dir, "events"))
+    readings = (ev.select(F.col("distinct_id").alias("id"), "ts", "event_id", "time_us",
+                          (F.floor(F.col("time_us") / F.lit(1_000_000)) * 1000).cast("bigint")
+                          .alias("time_ms"), F.col("value").alias("temperature"))
+                .withWatermark("ts", "0 seconds"))
+    alerts = processors.rising_alert_stream(readings, order=("time_us", "event_id"),
+                                            timer_ms=ALERT_TIMER_S * 1000)
+    return run_to_parquet(alerts, name="alerts")
