@@ -140,3 +140,27 @@ def test_text_sink_day_buckets(spark):
     file_sinks.write_day_text(file_sinks.with_day_bucket(recs), d)
     back = spark.read.text(d)
     assert rows(back, "dt") == [("2021-02-28",), ("__invalid__",)]
+
+
+def test_rolling_peak_stream_incremental(spark):
+    """Peaks built batch by batch (pane store + ranged re-sweep + keep-max)
+    equal the one-shot batch peaks."""
+    from tidemark.functions.text import composite_key
+    from tidemark.operators import rolling
+    from tidemark.sinks import snapshot
+    from tidemark.streaming import rolling as srolling
+    d, schema = _split_events(spark, parts=4)
+    ev = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    keys = ["message_id", "title"]
+    size, slide = 7200, 60
+    panes = srolling.distinct_panes(ev, keys, "user_id", "time_us", slide, delay="1 day")
+    store, peaks = new_dir() + "/panes", new_dir() + "/peaks"
+    run_foreach_batch(panes, srolling.peak_sink(store, peaks, keys, "user_id", size, slide,
+                                                composite_key("title", "message_id")), "append")
+    got = rows(snapshot.read_snapshot(spark, peaks), "row_key", "uv")
+    ev_b = clickstream(spark.read.parquet(f"{SF}/events.parquet"))
+    seg = rolling.rolling_distinct_segments(ev_b, keys, "user_id", "time_us", size, slide)
+    want = rows(rolling.peak_distinct(seg, keys).select(
+        composite_key("title", "message_id").alias("row_key"), "uv"))
+    assert got == want
+    assert len(spark.read.parquet(store).select("batch").distinct().collect()) == 4

@@ -11,12 +11,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.batch import ALERT_TIMER_S, HOT_ITEMS_SQL, LIVE_EVENT, LOCAL_DAY_SQL, PV_EVENT
+from tidemark.functions.text import composite_key
 from tidemark.plans.registry import register
 from tidemark.session import shared_dir
+from tidemark.sinks import snapshot
 from tidemark.sources.tables import clickstream
 from tidemark.streaming import daily as sdaily
 from tidemark.streaming import hot_items as shot
 from tidemark.streaming import processors
+from tidemark.streaming import rolling as srolling
 from tidemark.streaming.runner import run_foreach_batch, run_to_parquet, stream_table
 
 
@@ -100,3 +103,24 @@ def q_rising_alert_stream(spark: SparkSession, sf_dir: str):
     alerts = processors.rising_alert_stream(readings, order=("time_us", "event_id"),
                                             timer_ms=ALERT_TIMER_S * 1000)
     return run_to_parquet(alerts, name="alerts")
+
+
+@register("rolling_peak_stream", covers="W5 A5 K3 X2 P14", oracle="""
+with e as (select json_extract_string(props, '$.k') as message_id, user_id as u,
+                  epoch_us(ts) // 10000000 as p from events),
+c as (select distinct message_id, p - 8639 as q from e),
+v as (select c.message_id, c.q, count(distinct e.u) as uv
+      from c join e on e.message_id = c.message_id and e.p between c.q and c.q + 8639
+      group by all)
+select 'room-' || message_id || '+' || message_id as row_key, max(uv) as uv, '0' as max_online
+from v group by message_id
+""")
+def q_rolling_peak_stream(spark: SparkSession, sf_dir: str):
+    ev = clickstream(stream_table(spark, sf_dir, "events")).where(F.col("message_id").isNotNull())
+    keys = ["message_id", "title"]
+    panes = srolling.distinct_panes(ev, keys, "user_id", "time_us", 10)
+    store, peaks = shared_dir(spark, "room-panes"), shared_dir(spark, "room-peaks")
+    run_foreach_batch(panes, srolling.peak_sink(store, peaks, keys, "user_id", 86400, 10,
+                                                composite_key("title", "message_id")),
+                      "append", name="room-peak")
+    return snapshot.read_snapshot(spark, peaks).select("row_key", "uv", "max_online")
