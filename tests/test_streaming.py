@@ -164,3 +164,18 @@ def test_rolling_peak_stream_incremental(spark):
         composite_key("title", "message_id").alias("row_key"), "uv"))
     assert got == want
     assert len(spark.read.parquet(store).select("batch").distinct().collect()) == 4
+
+
+def test_start_daily_jobs(spark):
+    base = new_dir() + "/daily"
+    ev = clickstream(spark.readStream.schema(spark.read.parquet(f"{SF}/events.parquet").schema)
+                     .option("basePath", SF).parquet(f"{SF}/events.parque[t]"))
+    qs = sdaily.start_daily_jobs(sdaily.guarded(ev), base, pv_event="view", live_event="click",
+                                 trigger={"availableNow": True})
+    for q in qs:
+        assert q.awaitTermination(300)
+    got = sdaily.read_daily(spark, base)
+    b = clickstream(spark.read.parquet(f"{SF}/events.parquet"))
+    want = daily.daily_pv_uv(b, "view").join(daily.daily_live(b, "click"), "day", "full_outer")
+    assert rows(got, "day", "pv", "uv", "live_users", "live_avg") == \
+        rows(want, "day", "pv", "uv", "live_users", "live_avg")

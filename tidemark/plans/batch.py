@@ -542,3 +542,22 @@ def q_live_visit_sql(spark: SparkSession, sf_dir: str):
                date_format(utc2local(timestamp_millis(time)), 'yyyy-MM-dd HH:mm:ss') as local_time
         from tm_live_visit
         where event = 'LiveVisit' and properties.v1_message_id is not null""")
+
+
+@register("hot_items_csv", covers="S6 W2 T1 X4", oracle=HOT_ITEMS_SQL + """
+select item_id, window_end, view_count, cast(rank as integer) as rank from r where rank <= 3
+""")
+def q_hot_items_csv(spark: SparkSession, sf_dir: str):
+    ev = read_clickstream(spark, sf_dir)
+    behavior = (F.when(F.col("event") == PV_EVENT, "pv").when(F.col("event") == "purchase", "buy")
+                .when(F.col("event") == "click", "cart").otherwise("fav"))
+    rows = ev.select(F.col("user_id").alias("userId"), F.col("item_id").alias("itemId"),
+                     (F.col("item_id") % 10).cast("int").alias("categoryId"),
+                     behavior.alias("behavior"),
+                     F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("timestamp"))
+    path = shared_dir(spark, "user_behavior")
+    rows.write.mode("overwrite").csv(path)
+    ub = files.read_csv(spark, path, files.USER_BEHAVIOR)
+    events = ub.select(F.col("behavior").alias("event"), F.col("itemId").alias("item_id"),
+                       F.timestamp_seconds("timestamp").alias("ts"))
+    return hot_items.hot_items(events, behavior="pv")

@@ -102,3 +102,35 @@ def read_live(spark, beats_path: str, users_path: str) -> DataFrame:
 
 __all__ = ["EARLY_FIRE", "WATERMARK_DELAY", "guarded", "metric_rows", "pv_counts", "read_live",
            "read_pv_uv", "upsert_metric_sink", "uv_counts"]
+
+
+def start_daily_jobs(events: DataFrame, base: str, pv_event: str = PV_EVENT,
+                     live_event: str | None = None, trigger: dict | None = None,
+                     delay: str = WATERMARK_DELAY) -> list:
+    """Entry 1 as running queries: pv, uv (and live beats / users) per local
+    day, each upserted into its own last-write snapshot under ``base``.
+
+    The default trigger fires every 5 s (X6 early results); checkpoints live
+    under ``base`` so a restart resumes exactly (X13). Returns the queries.
+    """
+    from tidemark.operators.daily import LIVE_EVENT
+    live_event = live_event or LIVE_EVENT
+    trig = trigger or {"processingTime": EARLY_FIRE}
+    jobs = [("pv", pv_counts(events, pv_event, delay), "pv"),
+            ("uv", uv_counts(events, pv_event, delay=delay), "uv"),
+            ("live_beats", pv_counts(events, live_event, delay), "pv"),
+            ("live_users", uv_counts(events, live_event, delay=delay), "uv")]
+    out = []
+    for name, df, metric in jobs:
+        q = (df.writeStream.outputMode("update")
+             .foreachBatch(upsert_metric_sink(f"{base}/{name}", metric))
+             .option("checkpointLocation", f"{base}/_checkpoints/{name}")
+             .queryName(f"daily_{name}").trigger(**trig).start())
+        out.append(q)
+    return out
+
+
+def read_daily(spark, base: str) -> DataFrame:
+    """(day, pv, uv, live_users, live_avg) from the snapshots of :func:`start_daily_jobs`."""
+    return read_pv_uv(spark, f"{base}/pv", f"{base}/uv").join(
+        read_live(spark, f"{base}/live_beats", f"{base}/live_users"), "day", "full_outer")
