@@ -10,19 +10,22 @@ work split by *range*, not by key:
 2. each partition scans its sorted rows once (Arrow batches, vectorized
    pandas ``groupby.cumcount/cumsum``) and produces positions and sums local
    to the partition;
-3. the scanned rows are checkpointed (reliable storage under
-   ``spark.checkpoint.dir``). Range bounds come from sampling, and Spark
-   samples again for every exchange it plans, so the totals below and the
-   final rows must read one materialized copy, not two recomputations;
+3. the scanned rows are written once as parquet under the shared
+   ``spark.checkpoint.dir`` (compressed and columnar, cheaper than an RDD
+   checkpoint at scale) and read back, which also cuts the lineage. Range
+   bounds come from sampling, and Spark samples again for every exchange it
+   plans, so the totals below and the final rows must read one materialized
+   copy, not two recomputations. The partition id is a stored column, so how
+   the copy is split on reading does not matter;
 4. a key can continue across partitions only as the last key of one partition
    and the first key of the next, so the per-(partition, key) totals of keys
    seen in more than one partition are at most 2 rows per partition. Their
    prefix sums (offsets) are broadcast -- the bound is the partition count,
    not the data -- and added to the local values.
 
-One range shuffle of the data, one checkpoint write, a small aggregate; no
-task sees more than its range, and a lost executor is recovered from the
-checkpoint, not by re-sampling.
+One range shuffle of the data, one parquet write, a small aggregate; no task
+sees more than its range, and a lost executor is recovered from the written
+copy, not by re-sampling.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import shared_dir
 
 PID = "_tm_pid"
 LSEQ = "_tm_lseq"
@@ -109,8 +112,9 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
         T.StructField(_lsum(c), ranged.schema[c].dataType if isinstance(
             ranged.schema[c].dataType, (T.LongType, T.DoubleType)) else T.DoubleType())
         for c in sums] + [T.StructField(_lmax(c), T.DoubleType()) for c in maxes])
-    ensure_checkpoint_dir(spark)
-    local = ranged.mapInPandas(_local_scan(keys, sums, maxes), schema).checkpoint(eager=True)
+    path = shared_dir(spark, "keyed-running")
+    ranged.mapInPandas(_local_scan(keys, sums, maxes), schema).write.mode("overwrite").parquet(path)
+    local = spark.read.schema(schema).parquet(path)
 
     # Totals per (partition, key), kept only for keys seen in several partitions.
     totals = local.groupBy(PID, *keys).agg(
