@@ -32,7 +32,17 @@ def register(name: str, oracle: str | None = None, covers: str = ""):
 
 def queries() -> dict[str, QueryFn]:
     _load()
-    return dict(_QUERIES)
+    return {name: _shipping(fn) for name, fn in _QUERIES.items()}
+
+
+def _shipping(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tidemark.session import ship_package
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def oracles() -> dict[str, str]:

@@ -39,6 +39,7 @@ def build_session(master: str = "local[*]", app: str = "tidemark",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -79,3 +80,39 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
         return f"{base}/{sub}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{sub}-", dir=base)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in executors' Python workers (used by
+    ``mapInPandas`` and stateful processors): zip the package into the shared
+    folder once per application and add it with ``addPyFile``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out_dir = shared_dir(spark, "pyfiles")
+    local_zip = os.path.join(tempfile.mkdtemp(prefix="tidemark-zip-"), "tidemark.zip")
+    with zipfile.ZipFile(local_zip, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(d, n)
+                    z.write(full, os.path.relpath(full, root))
+    if "://" in out_dir:
+        jvm = sc._jvm
+        src = jvm.org.apache.hadoop.fs.Path("file://" + local_zip)
+        dst = jvm.org.apache.hadoop.fs.Path(out_dir + "/tidemark.zip")
+        dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(src, dst)
+        sc.addPyFile(out_dir + "/tidemark.zip")
+    else:
+        import shutil
+        target = os.path.join(out_dir, "tidemark.zip")
+        shutil.copyfile(local_zip, target)
+        sc.addPyFile(target)
+    _SHIPPED.add(app)

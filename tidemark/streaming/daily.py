@@ -28,6 +28,7 @@ from tidemark.functions.time import local_text
 from tidemark.operators.daily import PV_EVENT, day_window, live_minutes
 from tidemark.operators.guard import MAX_AHEAD_MS
 from tidemark.sinks import snapshot
+from tidemark.streaming.runner import state_partitions
 
 # Fixed values of the reference's daily job: 30 s out-of-order + 30 s lateness.
 WATERMARK_DELAY = "60 seconds"
@@ -121,12 +122,13 @@ def start_daily_jobs(events: DataFrame, base: str, pv_event: str = PV_EVENT,
             ("live_beats", pv_counts(events, live_event, delay), "pv"),
             ("live_users", uv_counts(events, live_event, delay=delay), "uv")]
     out = []
-    for name, df, metric in jobs:
-        q = (df.writeStream.outputMode("update")
-             .foreachBatch(upsert_metric_sink(f"{base}/{name}", metric))
-             .option("checkpointLocation", f"{base}/_checkpoints/{name}")
-             .queryName(f"daily_{name}").trigger(**trig).start())
-        out.append(q)
+    with state_partitions(events.sparkSession):
+        for name, df, metric in jobs:
+            q = (df.writeStream.outputMode("update")
+                 .foreachBatch(upsert_metric_sink(f"{base}/{name}", metric))
+                 .option("checkpointLocation", f"{base}/_checkpoints/{name}")
+                 .queryName(f"daily_{name}").trigger(**trig).start())
+            out.append(q)
     return out
 
 

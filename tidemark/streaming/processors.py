@@ -9,10 +9,12 @@ arrival order, as a keyed process function sees them.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
@@ -23,6 +25,10 @@ from tidemark.operators.keyed import ALERT_TEXT, ALERT_TIMER_S, PAIR_SIZE
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The processors are unpickled by a Python runner on the driver that does not
+# see files added with addPyFile: ship this module's classes by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)

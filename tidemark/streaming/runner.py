@@ -8,6 +8,7 @@ under the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +31,24 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(f"{base}/{name}.parque[t]")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start streaming queries with ``n`` shuffle (= state) partitions.
+
+    A stateful query keeps the partition count of its first run for the life
+    of its checkpoint, so it is chosen here on purpose -- the cluster's
+    default parallelism unless given -- instead of inheriting whatever the
+    session's batch setting happens to be. The session value is restored.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def await_done(q: StreamingQuery, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
     finished = q.awaitTermination(timeout_s)
     if not finished:
@@ -45,8 +64,9 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], m
     """Run ``stream`` with ``foreachBatch(fn)`` until the input is drained."""
     spark = stream.sparkSession
     ck = checkpoint or shared_dir(spark, f"ckpt-{name}")
-    q = (stream.writeStream.outputMode(mode).foreachBatch(fn)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).foreachBatch(fn)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     await_done(q, timeout_s)
     return ck
 
@@ -57,7 +77,8 @@ def run_to_parquet(stream: DataFrame, mode: str = "append", name: str = "q",
     spark = stream.sparkSession
     out = shared_dir(spark, f"out-{name}")
     ck = shared_dir(spark, f"ckpt-{name}")
-    q = (stream.writeStream.outputMode(mode).format("parquet").option("path", out)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     await_done(q, timeout_s)
     return spark.read.schema(stream.schema).parquet(out)
