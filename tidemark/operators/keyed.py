@@ -102,10 +102,9 @@ def rising_alerts_scan(df: DataFrame, key: str, t: str, tie: str | Sequence[str]
     streams its sorted Arrow batches through the fold with O(1) state. One
     key's rows are scanned in one task: use :func:`rising_alerts` at scale.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ties = [tie] if isinstance(tie, str) else list(tie)
     sorted_rows = (df.select(key, t, *ties, value)
-                   .repartition(n, key)
+                   .repartition(key)
                    .sortWithinPartitions(key, t, *ties))
     schema = T.StructType([df.schema[key], T.StructField("fired_at", T.LongType())])
     fired = sorted_rows.mapInPandas(_alert_fold(key, t, value, timer_s), schema)

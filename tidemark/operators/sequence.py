@@ -101,12 +101,13 @@ def keyed_running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """
     keys, sums, maxes = list(keys), list(sums), list(maxes)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     sort_cols = [F.col(k) for k in keys] + order_cols
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn(PID, F.spark_partition_id()))
+    # Without an explicit count AQE may coalesce adjacent ranges of a small
+    # input; coalesced partitions are still contiguous, ordered ranges.
+    ranged = (df.repartitionByRange(partitions, *sort_cols) if partitions
+              else df.repartitionByRange(*sort_cols))
+    ranged = ranged.sortWithinPartitions(*sort_cols).withColumn(PID, F.spark_partition_id())
 
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(LSEQ, T.LongType())] + [
         T.StructField(_lsum(c), ranged.schema[c].dataType if isinstance(
