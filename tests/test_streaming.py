@@ -179,3 +179,32 @@ def test_start_daily_jobs(spark):
     want = daily.daily_pv_uv(b, "view").join(daily.daily_live(b, "click"), "day", "full_outer")
     assert rows(got, "day", "pv", "uv", "live_users", "live_avg") == \
         rows(want, "day", "pv", "uv", "live_users", "live_avg")
+
+
+def test_future_clamp_stream_equals_batch(spark):
+    from tidemark.operators.guard import guard_future_clamp
+    d, schema = _split_events(spark, parts=3)
+    now = 1704067200000 + 3 * 86_400_000   # events after day 3 (+10 min) are "future" here
+    stream = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    src = stream.select("event_id", "time_ms", F.pmod("user_id", F.lit(3)).alias("src"))
+    got = run_to_parquet(processors.future_clamp_stream(src, "src", "time_ms", "event_id",
+                                                        "event_id", 600_000, now), name="clamp")
+    batch = clickstream(spark.read.parquet(f"{SF}/events.parquet")).select(
+        "event_id", "time_ms", F.pmod("user_id", F.lit(3)).alias("src"))
+    want = guard_future_clamp(batch, "time_ms", now, ["src"], ["event_id"])
+    assert rows(got, "id", "guarded_time") == rows(want, "event_id", "guarded_time")
+
+
+def test_processing_time_window_count(spark):
+    from tidemark.operators import windows
+    d, schema = _split_events(spark, parts=2)
+    s = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    arr = windows.with_arrival_time(s).withWatermark("arrival", "0 seconds")
+    counts = windows.keyed_window_count(arr, ["event"], "5 seconds", time_col="arrival")
+    out = new_dir() + "/pt"
+    def write(b, i):
+        b.write.mode("overwrite").parquet(f"{out}/batch={i}")
+    run_foreach_batch(counts, write, "update")
+    got = spark.read.parquet(out).groupBy("event", "window_end").agg(F.max("n").alias("n"))
+    total = got.agg(F.sum("n")).first()[0]
+    assert total == spark.read.parquet(f"{SF}/events.parquet").count()

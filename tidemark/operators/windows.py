@@ -14,6 +14,12 @@ def window_bounds_ms(w: str = "w") -> list[Column]:
             F.floor(F.unix_micros(F.col(f"{w}.end")) / F.lit(1000)).cast("bigint").alias("window_end")]
 
 
+def with_arrival_time(df: DataFrame, name: str = "arrival") -> DataFrame:
+    """A processing-time column. On a stream it is the micro-batch time,
+    so windows over it group records by when they were processed."""
+    return df.withColumn(name, F.current_timestamp())
+
+
 def keyed_window_count(events: DataFrame, keys: Sequence[str], size: str = "5 seconds",
                        time_col: str = "ts") -> DataFrame:
     """(keys, window_end, count) per tumbling window.

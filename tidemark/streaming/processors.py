@@ -184,6 +184,48 @@ class RunningSumProcessor(StatefulProcessor):
         pass
 
 
+class FutureClampProcessor(StatefulProcessor):
+    """D2 ``clamp`` on a stream, keyed by source partition: a record more than
+    ``max_ahead_ms`` after ``now`` takes the largest valid time seen so far on
+    its partition (0 if none) and does not raise it; valid records pass and
+    raise it. Rows are handled in offset order."""
+
+    def __init__(self, time_col: str, offset_col: str, id_col: str, max_ahead_ms: int,
+                 now_ms: int | None = None):
+        self.time_col, self.offset_col, self.id_col = time_col, offset_col, id_col
+        self.max_ahead_ms, self.now_ms = max_ahead_ms, now_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.top = handle.getValueState("top", "t bigint")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = _ordered(rows, [self.offset_col])
+        now = self.now_ms if self.now_ms is not None else timerValues.getCurrentProcessingTimeInMs()
+        top = self.top.get()[0] if self.top.exists() else None
+        out = np.empty(len(pdf), dtype=np.int64)
+        for i, t in enumerate(pdf[self.time_col].to_numpy(dtype=np.int64)):
+            t = int(t)
+            if t - now > self.max_ahead_ms:
+                out[i] = top if top is not None else 0
+            else:
+                top = t if top is None else max(top, t)
+                out[i] = t
+        if top is not None:
+            self.top.update((top,))
+        yield pd.DataFrame({"id": pdf[self.id_col].to_numpy(dtype=np.int64), "guarded_time": out})
+
+    def close(self) -> None:
+        pass
+
+
+def future_clamp_stream(df: DataFrame, source: str, time_col: str, offset_col: str,
+                        id_col: str, max_ahead_ms: int, now_ms: int | None = None) -> DataFrame:
+    """D2 clamp for streams; output (id, guarded_time)."""
+    schema = StructType([StructField("id", LongType()), StructField("guarded_time", LongType())])
+    proc = FutureClampProcessor(time_col, offset_col, id_col, max_ahead_ms, now_ms)
+    return df.groupBy(source).transformWithStateInPandas(proc, schema, "append", "None")
+
+
 def _key_field(df: DataFrame, key: str) -> StructField:
     return StructField("key", df.schema[key].dataType)
 
@@ -218,6 +260,6 @@ def running_sum_stream(df: DataFrame, key: str, value: str, order: Sequence[str]
         RunningSumProcessor(value, order), schema, "append", "None")
 
 
-__all__ = ["ROCKSDB", "ChangelogProcessor", "PairAverageProcessor", "RisingAlertProcessor",
-           "RunningSumProcessor", "changelog_stream", "pair_average_stream",
-           "rising_alert_stream", "running_sum_stream"]
+__all__ = ["ROCKSDB", "ChangelogProcessor", "FutureClampProcessor", "PairAverageProcessor",
+           "RisingAlertProcessor", "RunningSumProcessor", "changelog_stream", "future_clamp_stream",
+           "pair_average_stream", "rising_alert_stream", "running_sum_stream"]
