@@ -561,3 +561,24 @@ def q_hot_items_csv(spark: SparkSession, sf_dir: str):
     events = ub.select(F.col("behavior").alias("event"), F.col("itemId").alias("item_id"),
                        F.timestamp_seconds("timestamp").alias("ts"))
     return hot_items.hot_items(events, behavior="pv")
+
+
+@register("rolling_uv_5s_segments", covers="W4 W6 A5", oracle="""
+with e as (select json_extract_string(props, '$.k') as message_id, user_id as u,
+                  epoch_us(ts) // 5000000 as p from events),
+c as (select distinct message_id, p - 17279 as q from e
+      union select distinct message_id, p + 1 from e),
+v as (select c.message_id, c.q, count(distinct e.u) as uv
+      from c left join e on e.message_id = c.message_id and e.p between c.q and c.q + 17279
+      group by all),
+ch as (select *, lag(uv) over (partition by message_id order by q) as prev from v),
+s as (select message_id, q, uv, lead(q) over (partition by message_id order by q) as nq
+      from ch where prev is null or prev <> uv)
+select message_id, 'room-' || message_id as title, q * 5 as seg_start, nq * 5 as seg_stop, uv
+from s where uv > 0
+""")
+def q_rolling_uv_5s_segments(spark: SparkSession, sf_dir: str):
+    """HOP(time, 5 s, 1 day): 17,280 windows per event, never expanded."""
+    ev = read_clickstream(spark, sf_dir).where(F.col("message_id").isNotNull())
+    return rolling.rolling_distinct_segments(ev, ["message_id", "title"], "user_id", "time_us",
+                                             86400, 5)
