@@ -397,9 +397,10 @@ def q_future_guard(spark: SparkSession, sf_dir: str):
 select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'
 """)
 def q_partition_scan(spark: SparkSession, sf_dir: str):
-    path = shared_dir(spark, "orders_by_status")
-    read_table(spark, sf_dir, "orders").write.mode("overwrite") \
-        .partitionBy("o_orderstatus").parquet(path)
+    orders = read_table(spark, sf_dir, "orders")
+    path = catalog.derived_table(
+        spark, "orders_by_status", orders,
+        lambda df, out: df.write.mode("overwrite").partitionBy("o_orderstatus").parquet(out))
     catalog.register_partitioned(spark, "tm_orders_by_status", path)
     return catalog.scan_partition(spark, "tm_orders_by_status", "o_orderstatus = 'F'") \
         .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")

@@ -6,6 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def derived_table(spark: SparkSession, name: str, source: DataFrame, build) -> str:
+    """Materialize ``build(source)`` once per version of its input files.
+
+    The folder name carries a digest of the source files' paths, sizes and
+    modification times, under the shared checkpoint folder; a folder with
+    Spark's commit marker is reused, so a setup step (e.g. a partitioned copy)
+    is not repeated on every run. Returns the folder path.
+    """
+    import hashlib
+
+    from tidemark.session import ensure_checkpoint_dir
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    h = hashlib.sha256(name.encode())
+    for f in sorted(source.inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        h.update(f"{f}|{st.getLen()}|{st.getModificationTime()}".encode())
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    path = f"{base}/derived/{name}-{h.hexdigest()[:16]}"
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(conf).exists(marker):
+        build(source, path)
+    return path
+
+
 def register_partitioned(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Register parquet files laid out as ``<col>=<value>/`` folders as a
     catalog table and discover its partitions."""
