@@ -454,8 +454,10 @@ def q_sensor_parse(spark: SparkSession, sf_dir: str):
     line = F.concat_ws(", ", F.col("distinct_id"),
                        F.floor(F.col("time_us") / F.lit(1_000_000)).cast("string"),
                        F.col("value").cast("string"))
-    path = shared_dir(spark, "sensor_lines")
-    ev.select(line.alias("value")).write.mode("overwrite").text(path)
+    events = read_table(spark, sf_dir, "events")
+    path = catalog.derived_table(spark, "sensor_lines", events,
+                                 lambda _, out: ev.select(line.alias("value"))
+                                 .write.mode("overwrite").text(out))
     return files.parse_sensor_line(files.read_lines(spark, path))
 
 
@@ -556,8 +558,8 @@ def q_hot_items_csv(spark: SparkSession, sf_dir: str):
                      (F.col("item_id") % 10).cast("int").alias("categoryId"),
                      behavior.alias("behavior"),
                      F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("timestamp"))
-    path = shared_dir(spark, "user_behavior")
-    rows.write.mode("overwrite").csv(path)
+    path = catalog.derived_table(spark, "user_behavior", read_table(spark, sf_dir, "events"),
+                                 lambda _, out: rows.write.mode("overwrite").csv(out))
     ub = files.read_csv(spark, path, files.USER_BEHAVIOR)
     events = ub.select(F.col("behavior").alias("event"), F.col("itemId").alias("item_id"),
                        F.timestamp_seconds("timestamp").alias("ts"))
