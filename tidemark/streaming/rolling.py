@@ -4,10 +4,11 @@
    (key, user, pane) once; records later than the watermark are dropped, as a
    HOP window with a watermark would drop them.
 2. ``foreachBatch`` appends the batch's new panes to a pane store (parquet
-   under ``<store>/batch=<id>/day=<d>/``; overwrite per batch id, so replays
-   do not duplicate), then re-runs the sweep over the panes that windows
-   touching the new panes can see: windows starting in [pmin-k+1, pmax] cover
-   panes [pmin-k+1, pmax+k-1]. The ``day`` partition prunes the read.
+   under ``<store>/day=<d>/batch=<id>/``, written with dynamic partition
+   overwrite, so a replayed batch replaces its own folders), then re-runs the
+   sweep over the panes that windows touching the new panes can see: windows
+   starting in [pmin-k+1, pmax] cover panes [pmin-k+1, pmax+k-1]. Only the
+   day folders of that range are listed and read.
 3. Peaks per key are upserted with keep-max (K3). A window's count only grows
    as panes arrive, and every window is recomputed in full in the batch that
    brings its last pane, so keep-max over batches equals the batch answer.
@@ -39,6 +40,12 @@ def distinct_panes(events: DataFrame, keys: Sequence[str], user: str, time_us: s
             .dropDuplicatesWithinWatermark([*keys, user, "p"]))
 
 
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def peak_sink(store: str, peaks: str, keys: Sequence[str], user: str, size_s: int,
               slide_s: int, row_key: Column, value: str = "uv"):
     """foreachBatch function: pane store append + ranged sweep + keep-max upsert."""
@@ -51,11 +58,14 @@ def peak_sink(store: str, peaks: str, keys: Sequence[str], user: str, size_s: in
             return
         spark = batch.sparkSession
         (new.withColumn("day", F.floor(F.col("p") / F.lit(per_day)).cast("bigint"))
-         .write.mode("overwrite").partitionBy("day").parquet(f"{store}/batch={batch_id}"))
+         .withColumn("batch", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch").parquet(store))
         lo, hi = new.agg(F.min("p"), F.max("p")).first()
         lo, hi = lo - (k - 1), hi + (k - 1)
-        panes = (spark.read.parquet(store)
-                 .where(F.col("day").between(lo // per_day, hi // per_day))
+        days = [f"{store}/day={d}" for d in range(lo // per_day, hi // per_day + 1)
+                if _exists(spark, f"{store}/day={d}")]
+        panes = (spark.read.option("basePath", store).parquet(*days)
                  .where(F.col("p").between(lo, hi))
                  .select(*keys, user, (F.col("p") * slide_s * 1_000_000).alias("_us")))
         seg = rolling.rolling_distinct_segments(panes, keys, user, "_us", size_s, slide_s)
