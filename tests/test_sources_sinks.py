@@ -125,3 +125,22 @@ def test_json_day_files(spark, n):
     assert sorted(x for x in os.listdir(d) if not x.startswith((".", "_"))) == [
         "dt=2021-02-28", "dt=2021-03-01"]
     assert spark.read.json(d).count() == n
+
+
+@pytest.mark.parametrize("bmax", [1_000_000, 0])
+def test_lookup_enrich_cases(spark, bmax):
+    """FIXTURES §8: match; no match -> 0000; NULL phone stays NULL; missing id
+    -> "0","null","null"; missing username -> id kept; duplicate dimension ids
+    (first by order wins). ``bmax`` = 0 forces the shuffle join."""
+    from tidemark.operators import joins
+    recs = spark.createDataFrame([
+        ('{"id":"1","username":"a","password":"p"}',), ('{"id":"9","username":"b"}',),
+        ('{"id":"2","username":"c"}',), ('{"username":"d"}',), ('{"id":"3"}',)], "v string")
+    users = recs.select(*kafka.guarded_fields(F.try_parse_json("v"))).drop("password")
+    dim = spark.createDataFrame([("1", "111", 2), ("1", "999", 5), ("2", None, 1), ("3", "333", 1)],
+                                "id string, phone string, ord int")
+    out = joins.enrich_lookup(users, joins.dedup_dimension(dim, "id", "phone", "ord"), "id",
+                              "phone", broadcast_max_rows=bmax)
+    assert rows(out, "id", "username", "phone") == sorted([
+        ("1", "a", "111"), ("9", "b", "0000"), ("2", "c", None), ("0", "null", "0000"),
+        ("3", "null", "333")])
