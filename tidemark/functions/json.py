@@ -45,30 +45,48 @@ def member(m: Column, key: str, default: str | None = MISSING_TEXT) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
+def members(raw, keys: list[str], default: str | None = MISSING_TEXT) -> list[Column]:
+    """Top-level members ``keys`` of a JSON object as text, with P1's rules:
+    nested values as compact JSON text, a JSON null as "null", a missing key
+    (or a text that is not an object) as ``default``.
+
+    The object is parsed as a struct of strings, which Catalyst prunes to the
+    fields used; only when a field comes out NULL does the (lazy) map parse
+    decide between an explicit null and a missing key.
+    """
+    return _members_of(F.from_json(_c(raw), _struct_ddl(keys)), _c(raw), keys, default)
+
+
+def _struct_ddl(keys: list[str]) -> str:
+    return ", ".join(f"`{k}` STRING" for k in keys)
+
+
+def _members_of(st: Column, raw: Column, keys: list[str], default: str | None,
+                mp: Column | None = None) -> list[Column]:
+    mp = F.from_json(raw, "map<string,string>") if mp is None else mp
+    out = []
+    for k in keys:
+        explicit_null = F.when(F.map_contains_key(mp, F.lit(k)), F.lit(NULL_TEXT))
+        tail = [explicit_null] if default is None else [explicit_null, F.lit(default)]
+        out.append(F.coalesce(st.getField(k), *tail).alias(k))
+    return out
+
+
 def project_event(raw, time_type: str = "bigint") -> list[Column]:
     """(event, distinct_id, properties, time) with ``""`` defaults.
 
     ``time`` is cast with ``try_cast``: a missing or non-numeric time becomes
     NULL instead of failing the job, so the caller can quarantine it (D3).
-    Use :func:`parse_events` on a DataFrame to parse each record once.
     """
-    return _event_members(json_map(raw), time_type)
-
-
-def _event_members(m: Column, time_type: str = "bigint") -> list[Column]:
-    return [
-        member(m, "event").alias("event"),
-        member(m, "distinct_id").alias("distinct_id"),
-        member(m, "properties").alias("properties"),
-        m.getItem("time").try_cast(time_type).alias("time"),
-    ]
+    ev, uid, props = members(raw, ["event", "distinct_id", "properties"])
+    t = F.from_json(_c(raw), "`time` STRING").getField("time").try_cast(time_type)
+    return [ev, uid, props, t.alias("time")]
 
 
 def project_properties(props, default: str = NULL_TEXT) -> list[Column]:
     """Second-level parse of ``properties``; default "null" (daily job)
     or "" (rolling job)."""
-    m = json_map(props)
-    return [member(m, k, default).alias(k) for k in PROPERTY_KEYS]
+    return members(props, PROPERTY_KEYS, default)
 
 
 def may_contain_value(raw, value: str) -> Column:
@@ -82,17 +100,34 @@ def may_contain_value(raw, value: str) -> Column:
 
 def parse_events(df: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (),
                  time_type: str = "bigint") -> DataFrame:
-    """P1 + P2 on a DataFrame: each record's JSON is parsed once (the map is a
-    column of its own, which Catalyst does not inline into every member)."""
-    m = df.select(*keep, json_map(raw).alias("_m"))
-    return m.select(*keep, *_event_members(F.col("_m"), time_type))
+    """P1 + P2 on a DataFrame: each record is parsed once into a struct column
+    (Catalyst does not inline an expensive expression used several times)."""
+    keys = ["event", "distinct_id", "properties", "time"]
+    st = _with_fallback(df.select(*keep, F.col(raw).alias("_raw"),
+                                  F.from_json(raw, _struct_ddl(keys)).alias("_s")), keys[:3])
+    ev, uid, props = _members_of(F.col("_s"), F.col("_raw"), keys[:3], MISSING_TEXT, F.col("_m"))
+    return st.select(*keep, ev, uid, props,
+                     F.col("_s.time").try_cast(time_type).alias("time"))
 
 
 def parse_properties(df: DataFrame, props: str = "properties", default: str = NULL_TEXT,
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """P3 on a DataFrame, parsing each ``properties`` text once."""
-    m = df.select(*keep, json_map(props).alias("_p"))
-    return m.select(*keep, *[member(F.col("_p"), k, default).alias(k) for k in PROPERTY_KEYS])
+    st = _with_fallback(df.select(*keep, F.col(props).alias("_raw"),
+                                  F.from_json(props, _struct_ddl(PROPERTY_KEYS)).alias("_s")),
+                        PROPERTY_KEYS)
+    return st.select(*keep, *_members_of(F.col("_s"), F.col("_raw"), PROPERTY_KEYS, default,
+                                         F.col("_m")))
+
+
+def _with_fallback(st: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``_m``: the record as a map, parsed once and only when some member
+    came out NULL (to tell an explicit JSON null from a missing key)."""
+    any_null = None
+    for k in keys:
+        c = F.col(f"_s.{k}").isNull()
+        any_null = c if any_null is None else (any_null | c)
+    return st.withColumn("_m", F.when(any_null, F.from_json("_raw", "map<string,string>")))
 
 
 def json_path(c, path: str) -> Column:
