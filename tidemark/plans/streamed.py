@@ -124,3 +124,34 @@ def q_rolling_peak_stream(spark: SparkSession, sf_dir: str):
                                                 composite_key("title", "message_id")),
                       "append", name="room-peak")
     return snapshot.read_snapshot(spark, peaks).select("row_key", "uv", "max_online")
+
+
+def _cents_stream(spark: SparkSession, sf_dir: str):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    ev = clickstream(stream_table(spark, sf_dir, "events"))
+    return ev.select("user_id", "event_id", "time_us",
+                     F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+
+
+@register("running_sum_stream", covers="A2 A3 U4", oracle="""
+select user_id as key, cast(sum(cast(round(value * 100) as bigint)) over w as bigint) as running_sum,
+       row_number() over w as seq
+from events
+window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row)
+""")
+def q_running_sum_stream(spark: SparkSession, sf_dir: str):
+    out = processors.running_sum_stream(_cents_stream(spark, sf_dir), "user_id", "cents",
+                                        ["time_us", "event_id"])
+    return run_to_parquet(out, name="running-sum")
+
+
+@register("pair_average_stream", covers="X9 U3", oracle="""
+with s as (select user_id, cast(round(value * 100) as bigint) as c,
+                  row_number() over (partition by user_id order by ts, event_id) as n from events),
+g as (select user_id, (n - 1) // 2 as group_no, count(*) as k, sum(c) as sc from s group by all)
+select user_id as key, cast(sc // 2 as bigint) as avg_value from g where k = 2
+""")
+def q_pair_average_stream(spark: SparkSession, sf_dir: str):
+    out = processors.pair_average_stream(_cents_stream(spark, sf_dir), "user_id", "cents",
+                                         ["time_us", "event_id"])
+    return run_to_parquet(out, name="pair-average")
