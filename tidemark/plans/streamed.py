@@ -155,3 +155,16 @@ def q_pair_average_stream(spark: SparkSession, sf_dir: str):
     out = processors.pair_average_stream(_cents_stream(spark, sf_dir), "user_id", "cents",
                                          ["time_us", "event_id"])
     return run_to_parquet(out, name="pair-average")
+
+
+@register("changelog_stream", covers="X12", oracle="""
+with s as (select event_type as event,
+                  row_number() over (partition by event_type order by ts, event_id) as n from events)
+select event as key, true as is_add, n as cnt from s
+union all select event, false, n - 1 from s where n > 1
+""")
+def q_changelog_stream(spark: SparkSession, sf_dir: str):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+    ev = clickstream(stream_table(spark, sf_dir, "events")).select("event", "time_us", "event_id")
+    out = processors.changelog_stream(ev, "event", ["time_us", "event_id"])
+    return run_to_parquet(out, name="changelog")
