@@ -94,7 +94,6 @@ from last_state, wm where due > 0 and due * 1000 <= w
 
 @register("rising_alert_stream", covers="X10 X3 U4", oracle=ALERT_STREAM_SQL)
 def q_rising_alert_stream(spark: SparkSession, sf_dir: str):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
     ev = clickstream(stream_table(spark, sf_dir, "events"))
     readings = (ev.select(F.col("distinct_id").alias("id"), "ts", "event_id", "time_us",
                           (F.floor(F.col("time_us") / F.lit(1_000_000)) * 1000).cast("bigint")
@@ -127,7 +126,6 @@ def q_rolling_peak_stream(spark: SparkSession, sf_dir: str):
 
 
 def _cents_stream(spark: SparkSession, sf_dir: str):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
     ev = clickstream(stream_table(spark, sf_dir, "events"))
     return ev.select("user_id", "event_id", "time_us",
                      F.round(F.col("value") * 100).cast("bigint").alias("cents"))
@@ -164,7 +162,6 @@ select event as key, true as is_add, n as cnt from s
 union all select event, false, n - 1 from s where n > 1
 """)
 def q_changelog_stream(spark: SparkSession, sf_dir: str):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
     ev = clickstream(stream_table(spark, sf_dir, "events")).select("event", "time_us", "event_id")
     out = processors.changelog_stream(ev, "event", ["time_us", "event_id"])
     return run_to_parquet(out, name="changelog")

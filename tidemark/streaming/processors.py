@@ -26,7 +26,7 @@ from pyspark.sql.types import (BooleanType, LongType, StringType, StructField,
 
 from tidemark.operators.keyed import ALERT_TEXT, ALERT_TIMER_S, PAIR_SIZE
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tidemark.streaming.runner import ROCKSDB  # noqa: E402,F401  (re-exported)
 
 # The processors are unpickled by a Python runner on the driver that does not
 # see files added with addPyFile: ship this module's classes by value.

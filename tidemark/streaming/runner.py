@@ -31,22 +31,34 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(f"{base}/{name}.parque[t]")
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
-    """Start streaming queries with ``n`` shuffle (= state) partitions.
-
-    A stateful query keeps the partition count of its first run for the life
-    of its checkpoint, so it is chosen here on purpose -- the cluster's
-    default parallelism unless given -- instead of inheriting whatever the
-    session's batch setting happens to be. The session value is restored.
+    """Start streaming queries with ``n`` shuffle (= state) partitions and the
+    RocksDB state store.
+
+    A stateful query keeps the partition count and state store of its first
+    run for the life of its checkpoint, so both are chosen here on purpose --
+    the cluster's default parallelism unless given, and RocksDB (state off the
+    JVM heap; required by transformWithState) -- instead of inheriting the
+    session's batch settings. A query reads the settings when it starts; the
+    session's values are restored afterwards.
     """
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    conf = {"spark.sql.shuffle.partitions": str(n or spark.sparkContext.defaultParallelism),
+            "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def await_done(q: StreamingQuery, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
