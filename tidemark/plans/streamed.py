@@ -20,7 +20,8 @@ from tidemark.streaming import daily as sdaily
 from tidemark.streaming import hot_items as shot
 from tidemark.streaming import processors
 from tidemark.streaming import rolling as srolling
-from tidemark.streaming.runner import run_foreach_batch, run_to_parquet, stream_table
+from tidemark.streaming.runner import (run_foreach_batch, run_foreach_batches, run_to_parquet,
+                                      stream_table)
 
 
 def _events(spark: SparkSession, sf_dir: str):
@@ -31,10 +32,9 @@ def _counts_pair(spark: SparkSession, sf_dir: str, event: str, tag: str):
     ev = _events(spark, sf_dir)
     n_path = shared_dir(spark, f"snap-{tag}-n")
     u_path = shared_dir(spark, f"snap-{tag}-u")
-    run_foreach_batch(sdaily.pv_counts(ev, event), sdaily.upsert_metric_sink(n_path, "pv"),
-                      "update", name=f"{tag}-n")
-    run_foreach_batch(sdaily.uv_counts(ev, event), sdaily.upsert_metric_sink(u_path, "uv"),
-                      "update", name=f"{tag}-u")
+    run_foreach_batches([
+        (sdaily.pv_counts(ev, event), sdaily.upsert_metric_sink(n_path, "pv"), "update", f"{tag}-n"),
+        (sdaily.uv_counts(ev, event), sdaily.upsert_metric_sink(u_path, "uv"), "update", f"{tag}-u")])
     return n_path, u_path
 
 

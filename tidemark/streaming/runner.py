@@ -83,6 +83,23 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], m
     return ck
 
 
+def run_foreach_batches(jobs: list[tuple[DataFrame, Callable[[DataFrame, int], None], str, str]],
+                        timeout_s: int = DEFAULT_TIMEOUT_S) -> list[str]:
+    """Start several (stream, foreachBatch fn, output mode, name) queries
+    together, then wait for all of them; returns their checkpoints."""
+    started, cks = [], []
+    for stream, fn, mode, name in jobs:
+        spark = stream.sparkSession
+        ck = shared_dir(spark, f"ckpt-{name}")
+        with state_partitions(spark):
+            started.append(stream.writeStream.outputMode(mode).foreachBatch(fn)
+                           .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        cks.append(ck)
+    for q in started:
+        await_done(q, timeout_s)
+    return cks
+
+
 def run_to_parquet(stream: DataFrame, mode: str = "append", name: str = "q",
                    timeout_s: int = DEFAULT_TIMEOUT_S) -> DataFrame:
     """Append-mode stream -> parquet file sink (exactly once) -> batch DataFrame."""
