@@ -52,3 +52,25 @@ def test_clickstream_mapping(spark):
     ev = clickstream(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
     r = ev.first()
     assert r.title == "room-" + r.message_id and r.time_us // 1000 == r.time_ms
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(slide=st.sampled_from([30, 60, 300]), k=st.integers(1, 6),
+       events=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 7), st.integers(0, 5000)),
+                       min_size=1, max_size=60))
+def test_sweep_property(spark, slide, k, events):
+    base = datetime(2024, 1, 1)
+    data = [(key, u, base + timedelta(seconds=s)) for key, u, s in events]
+    df = spark.createDataFrame(data, "k string, u int, ts timestamp").withColumn(
+        "us", F.unix_micros("ts"))
+    size = slide * k
+    seg = rolling.rolling_distinct_segments(df, ["k"], "u", "us", size, slide)
+    got = rows(rolling.expand_segments(seg, ["k"], size, slide), "k", "win_start", "uv")
+    ref = (df.groupBy("k", F.window("ts", f"{size} seconds", f"{slide} seconds").alias("w"))
+           .agg(F.count_distinct("u").alias("uv"))
+           .select("k", F.unix_seconds("w.start").alias("s"), "uv"))
+    assert got == rows(ref, "k", "s", "uv")
