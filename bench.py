@@ -21,12 +21,24 @@ from tidemark.plans import registry  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 
+def _driver_memory() -> str:
+    """BENCH_MEM if set, else about half the machine's memory, at most 16g."""
+    if os.environ.get("BENCH_MEM"):
+        return os.environ["BENCH_MEM"]
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(x for x in f if x.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(16, kb // (2 * 1024 * 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+                          extra={"spark.driver.memory": _driver_memory()})
     qs = registry.queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(qs)
     times: dict[str, float] = {}
