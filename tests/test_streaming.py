@@ -208,3 +208,21 @@ def test_processing_time_window_count(spark):
     got = spark.read.parquet(out).groupBy("event", "window_end").agg(F.max("n").alias("n"))
     total = got.agg(F.sum("n")).first()[0]
     assert total == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_day_json_stream_sink(spark):
+    """K1 on a stream: file sink under dt=<local day>/, exactly once per batch."""
+    from tidemark.sinks import files as file_sinks
+    d, schema = _split_events(spark, parts=2)
+    ev = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    recs = ev.select("event", "distinct_id", F.col("time_ms").alias("time")) \
+        .withColumn("dt", file_sinks.day_bucket(F.col("time").cast("string")))
+    out = new_dir() + "/days"
+    q = file_sinks.day_json_stream(recs, out, new_dir() + "/ck")
+    assert q.awaitTermination(300)
+    back = spark.read.schema("event STRING, distinct_id STRING, time BIGINT, dt STRING").json(out)
+    got = rows(back.groupBy("dt").count())
+    want = rows(daily.daily_pv_uv(
+        clickstream(spark.read.parquet(f"{SF}/events.parquet")).withColumn("event", F.lit("x")),
+        "x").select("day", "pv"))
+    assert got == want
