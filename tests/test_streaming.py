@@ -226,3 +226,19 @@ def test_day_json_stream_sink(spark):
         clickstream(spark.read.parquet(f"{SF}/events.parquet")).withColumn("event", F.lit("x")),
         "x").select("day", "pv"))
     assert got == want
+
+
+def test_hot_items_stream_report(spark):
+    from tidemark.operators import hot_items
+    from tidemark.streaming import hot_items as shot
+    d, schema = _split_events(spark, parts=2)
+    ev = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    out = new_dir() + "/reports"
+    run_foreach_batch(shot.window_counts(ev, behavior="view"), shot.top_n_sink(out, with_report=True),
+                      "append")
+    got = rows(spark.read.parquet(out).select("window_end", "report"))
+    b = clickstream(spark.read.parquet(f"{SF}/events.parquet"))
+    max_ms = b.agg(F.max("time_ms")).first()[0]
+    want = hot_items.report(hot_items.hot_items(b, behavior="view")).where(
+        F.col("window_end") <= max_ms)
+    assert got == rows(want, "window_end", "report") and len(got) > 0
