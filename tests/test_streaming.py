@@ -242,3 +242,22 @@ def test_hot_items_stream_report(spark):
     want = hot_items.report(hot_items.hot_items(b, behavior="view")).where(
         F.col("window_end") <= max_ms)
     assert got == rows(want, "window_end", "report") and len(got) > 0
+
+
+def test_raw_json_lines_to_daily_snapshots(spark):
+    """The README flow: raw JSON records -> parse -> Entry-1 streaming jobs."""
+    from tidemark.functions.json import parse_events
+    src = clickstream(spark.read.parquet(f"{SF}/events.parquet"))
+    d = new_dir()
+    name = (F.when(F.col("event") == "view", "$AppStart").when(F.col("event") == "click", "LiveVisit")
+            .otherwise(F.col("event")))
+    src.select(F.to_json(F.struct(name.alias("event"), "distinct_id",
+                                  F.col("time_ms").alias("time"))).alias("value")).write.text(d + "/in")
+    ev = (parse_events(spark.readStream.text(d + "/in"), "value")
+          .withColumn("ts", F.timestamp_millis("time")).withColumn("time_ms", F.col("time")))
+    for q in sdaily.start_daily_jobs(sdaily.guarded(ev), d + "/daily", pv_event="$AppStart",
+                                     live_event="LiveVisit", trigger={"availableNow": True}):
+        assert q.awaitTermination(300)
+    cols = ("day", "pv", "uv", "live_users", "live_avg")
+    want = daily.daily_pv_uv(src, "view").join(daily.daily_live(src, "click"), "day", "full_outer")
+    assert rows(sdaily.read_daily(spark, d + "/daily"), *cols) == rows(want, *cols)
