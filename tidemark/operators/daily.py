@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import DAY_WINDOW_START, local_text
+from tidemark.functions.time import DATETIME_FMT, DAY_WINDOW_START, local_text
 
 # Fixed values of the reference's daily job.
 PV_EVENT = "$AppStart"
@@ -54,8 +54,10 @@ def daily_live(events: DataFrame, live_event: str = LIVE_EVENT,
 
 
 def daily_metrics(events: DataFrame, pv_event: str = PV_EVENT, live_event: str = LIVE_EVENT,
-                  user: str = "distinct_id", ts: str = "ts") -> DataFrame:
-    """A10: tall (day, metric, value-as-text) rows for pv, uv, live_avg, live_users.
+                  user: str = "distinct_id", ts: str = "ts",
+                  with_update_time: bool = False) -> DataFrame:
+    """A10: tall (day, metric, value-as-text) rows for pv, uv, live_avg, live_users;
+    with ``with_update_time`` also the write time text (F5), as the reference emits.
 
     One scan and one aggregation for both branches: grouping by (day, event)
     keeps a single distinct aggregate, so no Expand doubles the rows.
@@ -72,4 +74,7 @@ def daily_metrics(events: DataFrame, pv_event: str = PV_EVENT, live_event: str =
                   F.array(pair("pv", F.col("n")), pair("uv", F.col("u")))).otherwise(
         F.array(pair("live_avg", live_minutes(F.col("n"), F.col("u"))),
                 pair("live_users", F.col("u"))))
-    return (agg.select(local_text("w.start").alias("day"), F.inline(rows)))
+    out = agg.select(local_text("w.start").alias("day"), F.inline(rows))
+    if with_update_time:
+        out = out.withColumn("update_time", local_text(F.current_timestamp(), DATETIME_FMT))
+    return out
