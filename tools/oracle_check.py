@@ -46,6 +46,7 @@ def _rows(cols, rows, tol):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--json", help="also write a per-query report to this file")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -55,6 +56,7 @@ def main() -> int:
     qs, ors = registry.queries(), registry.oracles()
     names = a.names or list(qs)
     bad = 0
+    report = {}
     for n in names:
         t0 = time.time()
         df = qs[n](spark, a.sf_dir)
@@ -63,6 +65,7 @@ def main() -> int:
         ts = time.time() - t0
         if n not in ors:
             print(f"{n:24s} spark_rows={len(s_rows):7d} (no oracle) {ts:.1f}s", flush=True)
+            report[n] = {"spark_rows": len(s_rows), "oracle": False, "spark_sec": round(ts, 2)}
             continue
         t0 = time.time()
         res = con.execute(ors[n])
@@ -73,6 +76,8 @@ def main() -> int:
         exact = cols_ok and _rows(s_cols, s_rows, False) == _rows(d_cols, d_rows, False)
         approx = cols_ok and _rows(s_cols, s_rows, True) == _rows(d_cols, d_rows, True)
         bad += not exact
+        report[n] = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows), "columns": cols_ok,
+                     "exact": exact, "approx": approx, "spark_sec": round(ts, 2)}
         print(f"{n:24s} spark_rows={len(s_rows):7d} duck_rows={len(d_rows):7d} cols={cols_ok} "
               f"exact={exact} approx={approx} spark={ts:.1f}s duck={td:.1f}s", flush=True)
         if not cols_ok:
@@ -83,6 +88,10 @@ def main() -> int:
             diff_d = [r for r in dr if r not in set(sr)][:3]
             print("   only spark:", diff_s, "\n   only duck: ", diff_d)
     spark.stop()
+    if a.json:
+        import json
+        with open(a.json, "w") as f:
+            json.dump(report, f, indent=1, sort_keys=True)
     return 1 if bad else 0
 
 
