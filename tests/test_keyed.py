@@ -98,3 +98,18 @@ def test_rising_alert_distributed_equals_scan(spark):
         assert slow.count() > 20
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_rising_alert_chain_long_monotonic(spark):
+    """One sensor, strictly rising readings: every timer fires and re-arms, so
+    the chain is as long as it gets (deepest doubling)."""
+    rnd = random.Random(5)
+    t, data = 0, []
+    for i in range(1500):
+        t += rnd.choice([1, 2, 3])
+        data.append(("hot", t, i, float(i + 1)))
+    df = spark.createDataFrame(data, "id string, t bigint, n bigint, v double")
+    chain = keyed.rising_alerts_chain(df, "id", "t", "n", "v", timer_s=7)
+    slow = keyed.rising_alerts_scan(df, "id", "t", "n", "v", timer_s=7)
+    got, want = rows(chain, "id", "fired_at"), rows(slow, "id", "fired_at")
+    assert got == want and len(want) > 200
