@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, language_id, mixing, near_dedup
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": language_id.op4_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_mixing": mixing.op9_mixing,
+    "op10_simhash_near_dedup": near_dedup.op10_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_language_id": language_id.op4_language_id,
     "op6_exact_dedup": exact_dedup.OP6_SQL.strip(),
 }
 
