@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_id, mixing, near_dedup
+from tidemark.llm import exact_dedup, language_id, mixing, near_dedup, quality
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": language_id.op4_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_mixing": mixing.op9_mixing,
     "op10_simhash_near_dedup": near_dedup.op10_simhash_near_dedup,
 }
