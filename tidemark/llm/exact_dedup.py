@@ -24,10 +24,11 @@ from tidemark.streaming.runner import state_partitions
 
 FILES_PER_BATCH = 1000   # landed files that one micro-batch takes
 
-# Fixed settings of the state store: bounded native memory, compact files.
+# Fixed settings of the state store: bounded native memory, no space set aside in files.
 STATE = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
          "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
-         "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4"}
+         "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(col: str = "text") -> Column:
@@ -97,7 +98,7 @@ def _hits(docs: DataFrame, state: DataFrame, digest_bits: int) -> DataFrame:
     rows = docs.select(doc_key().alias("key"), normalised().alias("norm"))
     rows = rows.withColumn("digest", F.substring(F.sha2("norm", 256), 1, digest_bits // 4))
     entry = state.filter("seen > 1").select(F.col("digest").alias("d"), F.col("key").alias("at"), F.col("bytes").alias("n"))
-    shared = rows.join(entry, F.col("digest") == F.col("d"))
+    shared = saved(rows.join(entry, F.col("digest") == F.col("d")), "dedup-shared")
     located = (shared.filter((F.col("key") == F.col("at")) & (F.octet_length("norm") == F.col("n")))
                .groupBy("digest").agg(F.min("norm").alias("content")).withColumnRenamed("digest", "c"))
     checked = shared.join(located, F.col("digest") == F.col("c"))
