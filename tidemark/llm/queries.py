@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, fingerprints, language_id, mixing, near_dedup, quality
+from tidemark.llm import exact_dedup, fingerprints, language_id, mixing, near_dedup, pii, quality
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": language_id.op4_language_id,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_pii": pii.op7_pii,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_mixing": mixing.op9_mixing,
     "op10_simhash_near_dedup": near_dedup.op10_simhash_near_dedup,
