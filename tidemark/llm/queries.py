@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, fingerprints, language_id, mixing, near_dedup, pii, quality, substring_dedup
+from tidemark.llm import bpe, exact_dedup, fingerprints, language_id, lm, mixing, near_dedup, pii, quality, substring_dedup
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_bpe": bpe.op2_bpe,
+    "op3_lm_scoring": lm.op3_lm_scoring,
     "op4_language_id": language_id.op4_language_id,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
@@ -25,6 +26,7 @@ ORACLES: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.OP1_SQL.strip(),
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_bpe": bpe.op2_bpe,
+    "op3_lm_scoring": lm.op3_lm_scoring,
     "op4_language_id": language_id.op4_language_id,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.OP6_SQL.strip(),
