@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import held_out, read_documents, small_batches
 
@@ -169,7 +170,8 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
     language by name wins."""
     small_batches(docs.sparkSession)
     names, unit, shared = centred(prototypes)
-    kept = docs.select(*(keep or [F.col("doc_id")]))
+    columns = keep or [F.col("doc_id")]
+    kept = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(dim, seed)
@@ -196,9 +198,8 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
                 [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*b.schema.names[:-1], "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return docs.select(*(keep or [F.col("doc_id")]), F.col("text").alias("__text")).mapInArrow(
-        run, f"{fields}, lang_pred string, score double")
+    schema = T.StructType(kept.schema.fields).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    return docs.select(*columns, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
 def train(docs: DataFrame) -> dict[str, np.ndarray]:
