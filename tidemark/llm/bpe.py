@@ -20,14 +20,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, from_key, read_documents, small_batches, text_of
+from tidemark.llm.common import apart, doc_key, from_key, packed, read_documents, small_batches, text_of, unpacked
 from tidemark.llm.words import _numbers, joined, runs
 
 ROLL = 32            # bytes in the rolling hash
@@ -55,10 +55,7 @@ class Codec:
     def __init__(self, definition: str):
         import json
 
-        from tokenizers import Tokenizer
-        self.exact = Tokenizer.from_str(definition)
-        self.exact.no_truncation()
-        self.exact.no_padding()
+        self.definition = definition
         spec = json.loads(definition)
         pre = spec.get("pre_tokenizer") or {}
         vocab = {t: i for t, i in spec["model"]["vocab"].items()}
@@ -81,6 +78,14 @@ class Codec:
             import tiktoken
             self.fast = tiktoken.Encoding("plain", pat_str=self.PATTERN, mergeable_ranks=plain, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_str(self.definition)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     @staticmethod
     def _letters() -> dict[str, int]:
         """The printable stand-in of every byte: itself where printable, else the next free from U+0100 on."""
@@ -146,24 +151,6 @@ class Chunks:
         self.of, self.low, self.high = of, places[first] - offsets[of], places[last] - offsets[of]
 
 
-def _compressed(texts: DataFrame) -> DataFrame:
-    """(key, packed): the texts of (key, text) rows, compressed."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zstandard import ZstdCompressor
-        pack = ZstdCompressor(level=3, write_checksum=False, write_content_size=True).compress
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(t.as_py()) for t in b.column(1)], pa.binary())],
-                                             ["key", "packed"])
-
-    return texts.select("key", F.col("text").cast("binary")).mapInArrow(run, "key bigint, packed binary")
-
-
-def _unpacked(column: pa.Array) -> list[bytes]:
-    from zstandard import ZstdDecompressor
-    unpack = ZstdDecompressor().decompress
-    return [unpack(t.as_py()) for t in column]
-
-
 def chunks(texts: DataFrame) -> DataFrame:
     """(h1, h2, key, low, high) of the chunks of (key, text) rows, each once a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +193,7 @@ def _encode_owned(rows: DataFrame, definition: str) -> DataFrame:
         kind = _ids_type(c)
         for b in batches:
             h1, h2, ids = [], [], []
-            for text, owned in zip(_unpacked(b.column(1)), b.column(2)):
+            for text, owned in zip(unpacked(b.column(1)), b.column(2)):
                 mine = _places(text)
                 for h in {(o["h1"], o["h2"]) for o in owned.as_py()} & mine.keys():
                     low, high = mine[h][0]
@@ -248,7 +235,7 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
     with open(path or default_path(), encoding="utf-8") as f:
         definition = f.read()
     texts = docs.select(doc_key().alias("key"), text_of().alias("text"))
-    dealt = _compressed(texts).repartition("key")
+    dealt = packed(texts)
     met = dealt
     if codec(definition).splits:
         found = chunks(texts)
@@ -257,7 +244,7 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
         owned = shared.groupBy(F.col("o.key").alias("k")).agg(F.collect_list(F.struct("h1", "h2", "o.low", "o.high")).alias("owned"))
         once = (_encode_owned(dealt.join(owned, F.col("key") == F.col("k")), definition).dropDuplicates(["h1", "h2"])
                 .select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "ids"))
-        reused = (found.join(once, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
+        reused = (found.join(once, (apart("h1") == apart("c1")) & (F.col("h2") == F.col("c2")))
                   .groupBy(F.col("key").alias("k")).agg(F.collect_list(F.struct("h1", "h2", "ids")).alias("reused")))
         met = dealt.join(reused, F.col("key") == F.col("k"), "left").select("key", "packed", "reused")
     else:
@@ -270,7 +257,7 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
         kind = _ids_type(c)
         for b in batches:
             out = []
-            for text, reused in zip(_unpacked(b.column(1)), b.column(2)):
+            for text, reused in zip(unpacked(b.column(1)), b.column(2)):
                 spans, known = [], reused.as_py()
                 if known:
                     by_hash = {(r["h1"], r["h2"]): np.frombuffer(r["ids"], kind) for r in known}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(col: str) -> Column:
+    """A join key that tells as much as ``col`` (a long) but not the planner that
+    it does. A side that was just aggregated by ``col`` is then shuffled for the
+    join too, and adaptive execution can split a hot key of the other side, which
+    it only does between two plain shuffles."""
+    return F.col(col).bitwiseXOR(F.lit(-1).cast("bigint"))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch, since a row holds a whole text."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -70,3 +80,27 @@ def small_batches(spark: SparkSession) -> None:
 def held_out(modulus: int, remainder: int, col: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """(key, packed) of (key, text) rows: the texts compressed and dealt by key.
+
+    Several joins on the key read this one shuffle: the key's null check is
+    said here, else an inner join would add it to its own copy of the plan.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+        pack = ZstdCompressor(level=3, write_checksum=False, write_content_size=True).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(t.as_py()) for t in b.column(1)], pa.binary())],
+                                             ["key", "packed"])
+
+    rows = texts.select("key", F.col("text").cast("binary")).mapInArrow(run, "key bigint, packed binary")
+    return rows.filter(F.col("key").isNotNull()).repartition("key")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    """The texts of a ``packed`` column."""
+    from zstandard import ZstdDecompressor
+    unpack = ZstdDecompressor().decompress
+    return [unpack(t.as_py()) for t in column]

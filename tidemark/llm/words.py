@@ -12,7 +12,7 @@ from functools import cache
 
 import numpy as np
 
-PIECE = 1 << 20            # bytes hashed at once
+PIECE = 1 << 18            # bytes hashed at once
 MASK = (1 << 64) - 1
 
 # Odd multipliers of the polynomials (bytes of a word, words of a
