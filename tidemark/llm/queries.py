@@ -24,11 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.OP1_SQL.strip(),
-    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
-    "op2_bpe": bpe.op2_bpe,
-    "op3_lm_scoring": lm.op3_lm_scoring,
-    "op4_language_id": language_id.op4_language_id,
-    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_exact_dedup": exact_dedup.OP6_SQL.strip(),
 }
 
