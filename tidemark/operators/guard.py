@@ -1,4 +1,4 @@
-"""Record guards: quarantine of bad rows (D3) and the future-time guard.
+"""The future-time guard.
 
 A record whose time is missing, not a number, or more than 10 minutes ahead
 of "now" must not move event time forward. ``now`` is a parameter so that
@@ -18,32 +18,20 @@ from tidemark.operators.sequence import keyed_running
 MAX_AHEAD_MS = 600_000
 
 
-def split_valid(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
-    """D3: (good rows, quarantined rows). Both are lazy filters of one input."""
-    flag = F.coalesce(ok, F.lit(False))
-    return df.where(flag), df.where(~flag)
-
-
 def is_future(time_ms: Column, now_ms: int, max_ahead_ms: int = MAX_AHEAD_MS) -> Column:
     return (time_ms - F.lit(now_ms)) > F.lit(max_ahead_ms)
 
 
-def guard_future_drop(df: DataFrame, time_ms: str, now_ms: int,
-                      max_ahead_ms: int = MAX_AHEAD_MS) -> tuple[DataFrame, DataFrame]:
-    """D2 ``drop`` policy: future and time-less rows go to quarantine."""
-    ok = F.col(time_ms).isNotNull() & ~is_future(F.col(time_ms), now_ms, max_ahead_ms)
-    return split_valid(df, ok)
-
-
 def guard_future_clamp(df: DataFrame, time_ms: str, now_ms: int, source: Sequence[str],
                        order: Sequence[str], max_ahead_ms: int = MAX_AHEAD_MS,
                        out: str = "guarded_time") -> DataFrame:
     """D2 ``clamp`` policy (batch): a future record takes the largest valid
     time seen so far on its source partition, in offset order (0 if none),
-    and does not raise that maximum. The running max is computed with
+    and does not raise that maximum. A row without a time keeps none (D3: the
+    caller quarantines it). The running max is computed with
     :func:`keyed_running`, so one busy source partition is still split."""
-    valid = F.when(~is_future(F.col(time_ms), now_ms, max_ahead_ms), F.col(time_ms))
+    valid = F.when(~is_future(F.col(time_ms), now_ms, max_ahead_ms), F.col(time_ms).cast("bigint"))
     r = keyed_running(df.withColumn("_valid_t", valid), source, order, maxes=["_valid_t"])
-    clamped = F.when(F.col("_valid_t").isNotNull(), F.col(time_ms)).otherwise(
-        F.coalesce(F.col("running_max__valid_t").cast("bigint"), F.lit(0).cast("bigint")))
+    clamped = F.when(F.col("_valid_t").isNotNull(), F.col(time_ms)).when(
+        F.col(time_ms).isNotNull(), F.coalesce(F.col("running_max__valid_t"), F.lit(0).cast("bigint")))
     return r.withColumn(out, clamped).drop("_valid_t", "running_max__valid_t", "seq")

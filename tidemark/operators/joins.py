@@ -1,4 +1,4 @@
-"""Lookup enrichment (J1) and a size-checked broadcast helper."""
+"""Lookup enrichment."""
 
 from __future__ import annotations
 
@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 NO_MATCH = "0000"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded count (it stops after ``max_rows + 1`` rows). Beyond
-    the bound the frame is returned as is and Spark plans a shuffle join
-    (AQE may still pick a broadcast at run time from real sizes).
-    """
-    if max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def dedup_dimension(dim: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """One row per key: the first by ``order`` wins. A map-side partial
     ``min_by`` keeps a duplicated hot key from piling up in one task."""
@@ -29,16 +17,14 @@ def dedup_dimension(dim: DataFrame, key: str, value: str, order: str) -> DataFra
 
 
 def enrich_lookup(stream: DataFrame, dim: DataFrame, key: str, value: str,
-                  default: str = NO_MATCH, out: str | None = None,
-                  broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                  default: str = NO_MATCH, out: str | None = None) -> DataFrame:
     """Left outer equi-join of records to a de-duplicated dimension.
 
     No row -> ``default``; a found row whose value is NULL stays NULL (a match
     flag decides, not ``coalesce``). Works on batch and on streams
-    (stream-static join).
+    (stream-static join). Spark chooses the join from the sizes it sees at run time.
     """
     d = dim.select(key, value).withColumn("_hit", F.lit(True))
-    d = broadcast_if_small(d, broadcast_max_rows)
     j = stream.join(d, on=key, how="left")
     return j.withColumn(out or value, F.when(F.col("_hit"), F.col(value)).otherwise(F.lit(default))) \
         .drop("_hit", *([value] if out and out != value else []))

@@ -5,16 +5,19 @@ twins compute the same output over a whole table:
 
 * running sums, count-of-2 averages and retract changelogs come from
   :func:`keyed_running`, which splits a hot key over many tasks;
-* the rising-value alert is an ordered fold with timers (X10), run as a
-  per-key scan over sorted rows (see :func:`rising_alerts`).
+* the rising-value alert is an ordered fold with timers (X10), run over the
+  stretches between falls, which split a hot key too (see :func:`rising_alerts`).
+
+Rules for bad values, the same on streams: a NULL key is a key like any other;
+a NULL summand counts as 0; a reading without a time or whose value is NULL or
+NaN is no reading.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +30,6 @@ ALERT_TIMER_S = 10               # rising-temperature timer, seconds
 ALERT_TEXT = "温度连续上升"        # appended to the key in the alert line
 
 SEQ = "_tm_seq"
-HOT_KEY_ROWS = 1_000_000      # above this many rows a key is not folded in one task
-MAX_BROADCAST_KEYS = 1_000_000
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -45,7 +46,7 @@ def pair_average(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     seq = keyed_running(df.select(*keys, *order, value), keys, order, seq_col=SEQ)
     grp = ((F.col(SEQ) - 1) / F.lit(size)).cast("bigint")
     return (seq.groupBy(*keys, grp.alias("group_no"))
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.coalesce(value, F.lit(0))).alias("_s"))
             .where(F.col("_n") == size)
             .select(*keys, "group_no", F.expr(f"_s div {size}").alias("avg_value")))
 
@@ -65,163 +66,91 @@ def retract_changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str])
     return seq.select(*keys, F.inline(rows))
 
 
-def _alert_fold(key: str, t: str, value: str, timer_s: int):
-    def fold(batches):
-        cur, last, due = None, 0.0, 0
-        for pdf in batches:
-            ks = pdf[key].to_numpy()
-            ts = pdf[t].to_numpy(dtype=np.int64)
-            vs = pdf[value].to_numpy(dtype=np.float64)
-            out_k, out_t = [], []
-            for i in range(len(pdf)):
-                if cur is None or ks[i] != cur:
-                    cur, last, due = ks[i], 0.0, 0      # new key: fresh state
-                ti, vi = int(ts[i]), float(vs[i])
-                fired = 0 < due <= ti                    # timers due by now fire first
+def alert_step(last: float, due: int, t: int, v: float, timer: int) -> tuple[int, bool]:
+    """One reading of the alert rule: (timer pending after it, or 0; whether a
+    timer fired before it).
+
+    A timer due by now fires first. A rise arms a timer unless one is pending;
+    a fall, or a previous value of exactly 0.0, cancels it.
+    """
+    fired = 0 < due <= t
+    if v > last and not due > t:
+        return t + timer, fired
+    if last > v or last == 0.0 or fired:
+        return 0, fired
+    return due, fired
+
+
+def is_reading(t: str, value: str):
+    """Whether a row is a reading: it has a time and a value that is a number."""
+    return F.col(t).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+
+
+def _fold_stretches(key: str, timer: int, end: int):
+    """Fold rows sorted by stretch: ``first`` opens one, ``closes`` is the fall that ends it."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        due, owner = 0, None        # the pending timer of the open stretch, and its key
+        kind = None
+        for b in batches:
+            keys = b.column(key)
+            kind = keys.type
+            t, v, last, first, closes = (b.column(c).to_numpy(zero_copy_only=False) for c in ("t", "v", "last", "first", "closes"))
+            out: list[tuple] = []
+            for i in range(b.num_rows):
+                if first[i]:
+                    if 0 < due <= end:          # no reading followed: the end of the input decides
+                        out.append((owner, due))
+                    due, owner = 0, keys[i].as_py()
+                before = due
+                due, fired = alert_step(last[i], due, int(t[i]), v[i], timer)
                 if fired:
-                    out_k.append(cur)
-                    out_t.append(due)
-                active = due > ti
-                if vi > last and not active:
-                    due = ti + timer_s                  # rise, no timer: arm
-                elif last > vi or last == 0.0:
-                    due = 0                             # fall (or previous 0.0): cancel
-                elif fired:
+                    out.append((owner, before))
+                if closes[i]:
                     due = 0
-                last = vi
-            if out_k:
-                yield pd.DataFrame({key: out_k, "fired_at": np.asarray(out_t, dtype=np.int64)})
-    return fold
+            yield alerts(out, kind)
+        if kind is not None and 0 < due <= end:
+            yield alerts([(owner, due)], kind)
 
+    def alerts(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], kind), pa.array([d for _, d in out], pa.int64())],
+                                          [key, "fired_at"])
 
-def rising_alerts_scan(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
-                       timer_s: int = ALERT_TIMER_S) -> DataFrame:
-    """X10 as a plain ordered fold per key (reference form for tests).
-
-    Rows are hash-partitioned by key and sorted by (key, t, tie); each task
-    streams its sorted Arrow batches through the fold with O(1) state. One
-    key's rows are scanned in one task: use :func:`rising_alerts` at scale.
-    """
-    ties = [tie] if isinstance(tie, str) else list(tie)
-    sorted_rows = (df.select(key, t, *ties, value)
-                   .repartition(key)
-                   .sortWithinPartitions(key, t, *ties))
-    schema = T.StructType([df.schema[key], T.StructField("fired_at", T.LongType())])
-    fired = sorted_rows.mapInPandas(_alert_fold(key, t, value, timer_s), schema)
-    return fired.withColumn("alert", F.concat(F.col(key).cast("string"), F.lit(ALERT_TEXT)))
+    return fold
 
 
 def rising_alerts(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
-                  timer_s: int = ALERT_TIMER_S, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """X10 in event time, choosing the plan per key by its size.
-
-    One aggregate counts rows per key. Keys with at most ``hot_rows`` rows
-    are folded in one task each (:func:`rising_alerts_scan`, O(1) state,
-    bounded work per task); larger keys go to :func:`rising_alerts_chain`,
-    which splits a key over many tasks. The hot-key list is broadcast: it has
-    at most total_rows / hot_rows entries.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(key).checkpoint(eager=True)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return rising_alerts_scan(df, key, t, tie, value, timer_s)
-    hot_b = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
-    cold = df.join(hot_b, key, "left_anti")
-    hot_rows_df = df.join(hot_b, key, "left_semi")
-    return rising_alerts_scan(cold, key, t, tie, value, timer_s).unionByName(
-        rising_alerts_chain(hot_rows_df, key, t, tie, value, timer_s))
-
-
-def rising_alerts_chain(df: DataFrame, key: str, t: str, tie: str | Sequence[str], value: str,
-                        timer_s: int = ALERT_TIMER_S, max_rounds: int = 64) -> DataFrame:
+                  timer_s: int = ALERT_TIMER_S) -> DataFrame:
     """X10 in event time, exact and split across tasks even for one hot key.
 
-    Rules, per key in (t, tie) order: a rise arms a ``timer_s`` timer unless
-    one is pending; a fall -- or a previous value of exactly 0.0 -- cancels a
-    pending timer; a timer fires when a later reading's time reaches it (it
-    fires before that reading is applied). Timers still pending at the end of
-    the input do not fire. Output: (key, fired_at, alert).
-
-    The chain of timers is rebuilt from row-local facts:
-
-    * the previous value (a join on position - 1) gives each reading's class:
-      rise (R), stop (a fall, or any reading after an exact 0.0: cancels a
-      pending timer), or keep;
-    * a timer armed at R row i is resolved at f = the first row with
-      t >= t_i + timer (it fires) or at c = the first stop row after i, if
-      that comes first (cancelled). The next timer is armed at the first R row
-      at or after f, or after c. f, c and "first R row at or after p" come
-      from one reverse range scan (:func:`keyed_running`), so a hot key is
-      split across tasks;
-    * the armed rows are the chain from the key's first R row through these
-      "next arm" links. The chain is marked by frontier doubling: with jump
-      tables A_k = next^(2^k), P_{k+1} = P_k + A_k(P_k); every round is two
-      equi-joins on (key, position) -- unique keys, so no skew -- and is
-      checkpointed. Rounds = log2(longest chain) + 1.
+    Rules, per key in (t, tie) order, are :func:`alert_step`. At the end of the
+    input a pending timer fires if the input's event time, its largest ``t``, reached it. Rows
+    that are no readings are left out (:func:`is_reading`). Output: (key, fired_at, alert).
+
+    A fall leaves no timer pending, whatever came before. So a key's readings
+    are cut into stretches that begin at a fall; a stretch is folded by itself, and
+    the fall that ends it is its last row, at which a due timer still fires. Two
+    range scans (:func:`keyed_running`) give the previous value and the number of
+    falls so far, then stretches are dealt by (key, number). The work of one
+    task is bounded by the longest stretch without a fall, not by the key.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
-    T_ = timer_s
-    base = keyed_running(df.select(key, t, *ties, value), [key], [t, *ties], seq_col="pos")
-    rows = base.select(key, "pos", F.col(t).alias("t"), F.col(value).cast("double").alias("v"))
-
-    prev = rows.select(key, (F.col("pos") + 1).alias("pos"), F.col("v").alias("last"))
-    cls = (rows.join(prev, [key, "pos"], "left")
-           .withColumn("last", F.coalesce("last", F.lit(0.0)))
-           .withColumn("is_r", F.col("v") > F.col("last"))
-           .withColumn("is_stop", (F.col("is_r") & (F.col("last") == 0.0)) |
-                       (~F.col("is_r") & ((F.col("last") > F.col("v")) | (F.col("last") == 0.0)))))
-
-    # One reverse scan over data rows and "due" probes (one per R row, at t + timer).
-    data = cls.select(key, F.col("t").alias("at"), F.lit(1).alias("kind"), "pos",
-                      F.when(F.col("is_stop"), -F.col("pos")).alias("neg_stop"),
-                      F.when(F.col("is_r"), -F.col("pos")).alias("neg_r"),
-                      (-F.col("pos")).alias("neg_pos"))
-    probes = cls.where("is_r").select(
-        key, (F.col("t") + F.lit(T_)).alias("at"), F.lit(0).alias("kind"), "pos",
-        F.lit(None).cast("bigint").alias("neg_stop"), F.lit(None).cast("bigint").alias("neg_r"),
-        F.lit(None).cast("bigint").alias("neg_pos"))
-    scanned = keyed_running(
-        data.unionByName(probes), [key],
-        [F.col("at").desc(), F.col("kind").desc(), F.col("pos").desc()],
-        maxes=["neg_stop", "neg_r", "neg_pos"], seq_col="_scan_seq")
-    first = lambda c: (-F.col(f"running_max_{c}")).cast("bigint")
-    at_data = scanned.where("kind = 1").select(key, "pos", first("neg_stop").alias("n_stop"),
-                                               first("neg_r").alias("n_r"))
-    due_hit = scanned.where("kind = 0").select(key, "pos", first("neg_pos").alias("f"))
-
-    after = at_data.select(key, (F.col("pos") - 1).alias("pos"), F.col("n_stop").alias("c"))
-    arms = (cls.where("is_r").select(key, "pos", (F.col("t") + F.lit(T_)).alias("due"))
-            .join(due_hit, [key, "pos"], "left").join(after, [key, "pos"], "left")
-            .withColumn("fired", F.col("f").isNotNull() & (F.col("c").isNull() | (F.col("f") <= F.col("c"))))
-            .withColumn("target", F.when(F.col("fired"), F.col("f"))
-                        .when(F.col("c").isNotNull(), F.col("c") + 1)))
-    look = at_data.select(key, F.col("pos").alias("target"), F.col("n_r").alias("nxt"))
-    nodes = arms.join(look, [key, "target"], "left") \
-        .select(key, "pos", "due", "fired", "nxt").checkpoint(eager=True)
-
-    starts = at_data.where("pos = 1").where(F.col("n_r").isNotNull()) \
-        .select(key, F.col("n_r").alias("pos")).checkpoint(eager=True)
-    chain = _mark_chain(nodes, starts, key, max_rounds)
-    fired = chain.join(nodes, [key, "pos"]).where("fired").select(key, F.col("due").alias("fired_at"))
+    rows = df.where(is_reading(t, value))
+    end = rows.agg(F.max(t)).first()[0]
+    base = rows.select(key, F.col(t).cast("bigint").alias("t"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(ties)],
+                       F.col(value).cast("double").alias("v"))
+    order = ["t", *[f"_tie{i}" for i in range(len(ties))]]
+    seen = keyed_running(base, [key], order, lags=["v"], seq_col="pos").select(
+        key, "pos", "t", "v", F.coalesce("prev_v", F.lit(0.0)).alias("last"),
+        ((F.col("pos") > 1) & (F.col("v") < F.col("prev_v"))).cast("bigint").alias("fall"))
+    cut = keyed_running(seen, [key], ["pos"], sums=["fall"], seq_col="_pos")
+    number = F.col("running_fall")
+    own = F.struct(number.alias("stretch"), F.lit(False).alias("closes"))
+    ends = F.struct((number - 1).alias("stretch"), F.lit(True).alias("closes"))
+    parts = (cut.select(key, "pos", "t", "v", "last", "fall", F.explode(
+                 F.when(F.col("fall") == 1, F.array(own, ends)).otherwise(F.array(own))).alias("s"))
+             .select(key, "pos", "t", "v", "last", "s.stretch", "s.closes",
+                     (~F.col("s.closes") & ((F.col("pos") == 1) | (F.col("fall") == 1))).alias("first"))
+             .repartition(key, "stretch").sortWithinPartitions(key, "stretch", "pos"))
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fired_at", T.LongType())])
+    fired = parts.mapInArrow(_fold_stretches(key, timer_s, end if end is not None else 0), schema)
     return fired.withColumn("alert", F.concat(F.col(key).cast("string"), F.lit(ALERT_TEXT)))
-
-
-def _mark_chain(nodes: DataFrame, starts: DataFrame, key: str, max_rounds: int) -> DataFrame:
-    """Positions reachable from ``starts`` through ``nxt`` (which only moves
-    forward), by frontier doubling over jump tables."""
-    jump = nodes.select(key, "pos", F.col("nxt").alias("j"))
-    reach = starts.select(key, "pos")
-    size = reach.count()
-    for _ in range(max_rounds):
-        step = (reach.join(jump, [key, "pos"]).where(F.col("j").isNotNull())
-                .select(key, F.col("j").alias("pos")))
-        reach = reach.unionByName(step).distinct().checkpoint(eager=True)
-        grown = reach.count()
-        if grown == size:
-            return reach
-        size = grown
-        b = jump.select(key, F.col("pos").alias("j"), F.col("j").alias("j2"))
-        jump = (jump.join(b, [key, "j"], "left").select(key, "pos", F.col("j2").alias("j"))
-                .checkpoint(eager=True))
-    raise RuntimeError("alert chain did not converge; raise max_rounds")

@@ -23,8 +23,3 @@ def tokens(texts: DataFrame, text: str = "text", by_lines: bool = True) -> DataF
 def word_count(texts: DataFrame, text: str = "text", by_lines: bool = True) -> DataFrame:
     """A1: (word, n) over whole texts."""
     return tokens(texts, text, by_lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def first_field(lines: DataFrame, line: str = "value", name: str = "word") -> DataFrame:
-    """A one-column CSV table reads the text before the first comma."""
-    return lines.select(F.split(F.col(line), ",", 2).getItem(0).alias(name))

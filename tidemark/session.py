@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,13 +52,15 @@ def pin_utc(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder: ``spark.checkpoint.dir`` when the
-    cluster names one, else (local tests only) a fresh local temp folder."""
+    cluster names one, else (local master only) a fresh local temp folder."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     sc.setCheckpointDir(base)
@@ -72,14 +75,23 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     local temp folder and register it, so ``DataFrame.checkpoint()`` works too.
     """
     base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        # Remote filesystem: a unique child path; Spark writers create it.
-        import uuid
-        return f"{base}/{sub}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{sub}-", dir=base)
+    path = f"{base}/{sub}-{uuid.uuid4().hex}"
+    fs, p = hadoop_path(spark, path)
+    fs.mkdirs(p)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder or file on whatever store it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder of intermediate rows removed when the application ends
+    (a lazy result may be read until then)."""
+    fs, p = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
 
 
 _SHIPPED: set[str] = set()
@@ -104,15 +116,7 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     full = os.path.join(d, n)
                     z.write(full, os.path.relpath(full, root))
-    if "://" in out_dir:
-        jvm = sc._jvm
-        src = jvm.org.apache.hadoop.fs.Path("file://" + local_zip)
-        dst = jvm.org.apache.hadoop.fs.Path(out_dir + "/tidemark.zip")
-        dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(src, dst)
-        sc.addPyFile(out_dir + "/tidemark.zip")
-    else:
-        import shutil
-        target = os.path.join(out_dir, "tidemark.zip")
-        shutil.copyfile(local_zip, target)
-        sc.addPyFile(target)
+    fs, target = hadoop_path(spark, f"{out_dir}/tidemark.zip")
+    fs.copyFromLocalFile(hadoop_path(spark, "file://" + local_zip)[1], target)
+    sc.addPyFile(fs.makeQualified(target).toString())
     _SHIPPED.add(app)

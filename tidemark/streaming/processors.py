@@ -19,18 +19,22 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField,
                                StructType)
 
-from tidemark.operators.keyed import ALERT_TEXT, ALERT_TIMER_S, PAIR_SIZE
+from tidemark.operators import keyed
+from tidemark.operators.keyed import (ALERT_TEXT, ALERT_TIMER_S, PAIR_SIZE, alert_step,
+                                      is_reading)
 
 from tidemark.streaming.runner import ROCKSDB  # noqa: E402,F401  (re-exported)
 
 # The processors are unpickled by a Python runner on the driver that does not
 # see files added with addPyFile: ship this module's classes by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(keyed)
 
 
 def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
@@ -70,24 +74,19 @@ class RisingAlertProcessor(StatefulProcessor):
         last = self.last.get()[0] if self.last.exists() else 0.0
         due = self.due.get()[0] if self.due.exists() else 0
         fired: list[int] = []
+        timer = due
         for t, v in zip(pdf[self.time_col].to_numpy(dtype=np.int64),
                         pdf[self.value].to_numpy(dtype=np.float64)):
-            t, v = int(t), float(v)
-            went = 0 < due <= t
+            before = due
+            due, went = alert_step(last, due, int(t), float(v), self.timer_ms)
             if went:
-                fired.append(due)
-                self.handle.deleteTimer(due)
-            active = due > t
-            if v > last and not active:
-                due = t + self.timer_ms
+                fired.append(before)
+            last = float(v)
+        if due != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            if due:
                 self.handle.registerTimer(due)
-            elif last > v or last == 0.0:
-                if active:
-                    self.handle.deleteTimer(due)
-                due = 0
-            elif went:
-                due = 0
-            last = v
         self.last.update((last,))
         self.due.update((due,))
         if fired:
@@ -117,19 +116,21 @@ class PairAverageProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _ordered(rows, self.order)
         n, s = self.acc.get() if self.acc.exists() else (0, 0)
-        out = []
-        for v in pdf[self.value].to_numpy(dtype=np.int64):
-            n, s = n + 1, s + int(v)
-            if n >= self.size:
-                q = abs(s) // n
-                out.append(q if s >= 0 else -q)  # truncates toward zero, like Java
-                n, s = 0, 0
-        if n:
-            self.acc.update((n, s))
+        vals = pdf[self.value].to_numpy(dtype=np.int64)
+        whole = (n + len(vals)) // self.size            # groups that are complete now
+        if not whole:
+            self.acc.update((n + len(vals), int(s + vals.sum())))
+            return
+        first = self.size - n                           # values that complete the open group
+        used = first + (whole - 1) * self.size
+        sums = np.append(s + vals[:first].sum(), vals[first:used].reshape(-1, self.size).sum(axis=1))
+        avg = np.where(sums >= 0, sums // self.size, -(-sums // self.size))   # toward zero
+        rest = vals[used:]
+        if len(rest):
+            self.acc.update((len(rest), int(rest.sum())))
         else:
             self.acc.clear()
-        if out:
-            yield pd.DataFrame({"key": [key[0]] * len(out), "avg_value": np.asarray(out, np.int64)})
+        yield pd.DataFrame({"key": [key[0]] * whole, "avg_value": avg.astype(np.int64)})
 
     def close(self) -> None:
         pass
@@ -148,17 +149,12 @@ class ChangelogProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _ordered(rows, self.order)
         c = self.count.get()[0] if self.count.exists() else 0
-        adds, cnts = [], []
-        for _ in range(len(pdf)):
-            if c > 0:
-                adds.append(False)
-                cnts.append(c)
-            c += 1
-            adds.append(True)
-            cnts.append(c)
-        self.count.update((c,))
-        yield pd.DataFrame({"key": [key[0]] * len(adds), "is_add": adds,
-                            "cnt": np.asarray(cnts, np.int64)})
+        n = len(pdf)
+        cnts = np.repeat(np.arange(c, c + n + 1, dtype=np.int64), 2)[1:-1]   # c, c+1, c+1, ... c+n
+        adds = np.arange(2 * n) % 2 == 1
+        skip = 1 if c == 0 else 0                       # nothing to retract before the first record
+        self.count.update((c + n,))
+        yield pd.DataFrame({"key": [key[0]] * (2 * n - skip), "is_add": adds[skip:], "cnt": cnts[skip:]})
 
     def close(self) -> None:
         pass
@@ -205,16 +201,13 @@ class FutureClampProcessor(StatefulProcessor):
         pdf = _ordered(rows, [self.offset_col])
         now = self.now_ms if self.now_ms is not None else timerValues.getCurrentProcessingTimeInMs()
         top = self.top.get()[0] if self.top.exists() else None
-        out = np.empty(len(pdf), dtype=np.int64)
-        for i, t in enumerate(pdf[self.time_col].to_numpy(dtype=np.int64)):
-            t = int(t)
-            if t - now > self.max_ahead_ms:
-                out[i] = top if top is not None else 0
-            else:
-                top = t if top is None else max(top, t)
-                out[i] = t
-        if top is not None:
-            self.top.update((top,))
+        t = pdf[self.time_col].to_numpy(dtype=np.int64)
+        ahead = t - now > self.max_ahead_ms
+        none = np.iinfo(np.int64).min
+        tops = np.maximum.accumulate(np.append(none if top is None else top, np.where(ahead, none, t)))[1:]
+        out = np.where(ahead, np.where(tops == none, 0, tops), t)
+        if tops[-1] != none:
+            self.top.update((int(tops[-1]),))
         yield pd.DataFrame({"id": pdf[self.id_col].to_numpy(dtype=np.int64), "guarded_time": out})
 
     def close(self) -> None:
@@ -223,7 +216,9 @@ class FutureClampProcessor(StatefulProcessor):
 
 def future_clamp_stream(df: DataFrame, source: str, time_col: str, offset_col: str,
                         id_col: str, max_ahead_ms: int, now_ms: int | None = None) -> DataFrame:
-    """D2 clamp for streams; output (id, guarded_time)."""
+    """D2 clamp for streams; output (id, guarded_time). Rows without a time are
+    not given one: they belong in quarantine (D3) and are left out here."""
+    df = df.where(F.col(time_col).isNotNull())
     schema = StructType([StructField("id", LongType()), StructField("guarded_time", LongType())])
     proc = FutureClampProcessor(time_col, offset_col, id_col, max_ahead_ms, now_ms)
     return df.groupBy(source).transformWithStateInPandas(proc, schema, "append", "None")
@@ -233,19 +228,25 @@ def _key_field(df: DataFrame, key: str) -> StructField:
     return StructField("key", df.schema[key].dataType)
 
 
+def _zero_for_null(df: DataFrame, value: str) -> DataFrame:
+    """NULL counts as 0; said before the rows become pandas, where a NULL would turn longs to doubles."""
+    return df.withColumn(value, F.coalesce(F.col(value), F.lit(0)).cast("bigint"))
+
+
 def rising_alert_stream(readings: DataFrame, key: str = "id", time_col: str = "time_ms",
                         value: str = "temperature", order: Sequence[str] = ("time_ms",),
-                        timer_ms: int = ALERT_TIMER_S * 1000, event_time: str = "ts") -> DataFrame:
-    """X10 on a stream with an event-time watermark on ``event_time``."""
+                        timer_ms: int = ALERT_TIMER_S * 1000, time_mode: str = "EventTime") -> DataFrame:
+    """X10 on a stream: with ``EventTime`` timers follow the watermark of
+    ``readings``, with ``ProcessingTime`` the clock. Rows that are no readings are left out."""
     schema = StructType([StructField("id", StringType()), StructField("fired_at", LongType()),
                          StructField("alert", StringType())])
-    return readings.groupBy(key).transformWithStateInPandas(
-        RisingAlertProcessor(time_col, value, order, timer_ms), schema, "append", "EventTime")
+    return readings.where(is_reading(time_col, value)).groupBy(key).transformWithStateInPandas(
+        RisingAlertProcessor(time_col, value, order, timer_ms), schema, "append", time_mode)
 
 
 def pair_average_stream(df: DataFrame, key: str, value: str, order: Sequence[str] = ()) -> DataFrame:
     schema = StructType([_key_field(df, key), StructField("avg_value", LongType())])
-    return df.groupBy(key).transformWithStateInPandas(
+    return _zero_for_null(df, value).groupBy(key).transformWithStateInPandas(
         PairAverageProcessor(value, order), schema, "append", "None")
 
 
@@ -259,7 +260,7 @@ def changelog_stream(df: DataFrame, key: str, order: Sequence[str] = ()) -> Data
 def running_sum_stream(df: DataFrame, key: str, value: str, order: Sequence[str] = ()) -> DataFrame:
     schema = StructType([_key_field(df, key), StructField("running_sum", LongType()),
                          StructField("seq", LongType())])
-    return df.groupBy(key).transformWithStateInPandas(
+    return _zero_for_null(df, value).groupBy(key).transformWithStateInPandas(
         RunningSumProcessor(value, order), schema, "append", "None")
 
 
