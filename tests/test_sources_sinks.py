@@ -21,8 +21,8 @@ def test_kafka_decode_tolerant(spark):
     recs = recs.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
                        "topic", "partition", "offset", F.current_timestamp().alias("timestamp"))
     out = kafka.decode_key_value(recs).select(
-        kafka.variant_text(F.col("key"), "$.k").alias("k"),
-        kafka.variant_text(F.col("value"), "$.a").alias("a"),
+        kafka.node_text(F.col("key"), "$.k").alias("k"),
+        kafka.node_text(F.col("value"), "$.a").alias("a"),
         F.col("metadata.offset").alias("off"), "decode_ok").collect()
     assert [tuple(r) for r in out] == [(None, "1", 1, True), (None, None, None, False),
                                        ("1", None, None, False), ("2", "4", 4, True)]
@@ -32,7 +32,7 @@ def test_guarded_fields(spark):
     df = spark.createDataFrame([('{"id":"1","username":"u","password":"p"}',),
                                 ('{"id":"1","password":"p"}',), ('{"username":"u"}',),
                                 ("{bad",)], "v string")
-    out = df.select(*kafka.guarded_fields(F.try_parse_json("v"))).collect()
+    out = df.select(*kafka.guarded_fields(F.col("v"))).collect()
     assert [tuple(r) for r in out] == [("1", "u", "p"), ("1", "null", "null"),
                                        ("0", "null", "null"), ("0", "null", "null")]
 
@@ -98,6 +98,56 @@ def test_keep_max_snapshot_idempotent(spark):
     assert rows(cells) == [("r+2", "info", "max_online", "0"), ("r+2", "info", "uv", "7")]
 
 
+def test_snapshot_survives_id_restart_and_two_writers(spark):
+    """Ids that start again belong to a new writer; two writers share one table; only a replay is skipped."""
+    path = new_dir() + "/shared"
+    row = lambda k, v: spark.createDataFrame([(k, v)], "row_key string, uv bigint")
+    snapshot.upsert_keep_max(row("a", 6), path, 5, writer="first")
+    snapshot.upsert_keep_max(row("a", 100), path, 0, writer="second")     # a new checkpoint: batch 0
+    snapshot.upsert_keep_max(row("a", 200), path, 5, writer="second")     # the other writer's id
+    snapshot.upsert_keep_max(row("b", 1), path, 5, writer="first")        # its own last id: a replay
+    assert rows(snapshot.read_snapshot(spark, path)) == [("a", 200, "0")]
+    snapshot.upsert_keep_max(row("b", 1), path, 6, writer="first")
+    assert rows(snapshot.read_snapshot(spark, path)) == [("a", 200, "0"), ("b", 1, "0")]
+    assert snapshot.committed_versions(spark, path) == [1, 2, 3, 4]
+
+
+def test_snapshot_loser_starts_over(spark, monkeypatch):
+    """A commit number that another writer took meanwhile: the merge is done again."""
+    path = new_dir() + "/race"
+    row = lambda k, v: spark.createDataFrame([(k, v)], "row_key string, uv bigint")
+    take, raced = snapshot._take, []
+
+    def take_late(s, p, n, entry):
+        if not raced:
+            raced.append(n)
+            snapshot.upsert_keep_max(row("other", 9), path, 0, writer="other")
+        return take(s, p, n, entry)
+
+    monkeypatch.setattr(snapshot, "_take", take_late)
+    snapshot.upsert_keep_max(row("mine", 1), path, 0, writer="mine")
+    assert rows(snapshot.read_snapshot(spark, path)) == [("mine", 1, "0"), ("other", 9, "0")]
+
+
+def test_derived_table_follows_its_build(spark):
+    from tidemark.sources import catalog
+    df = spark.read.parquet("/root/testdata/sf0.001/nation.parquet").select("n_nationkey")
+    one = catalog.derived_table(df.where("n_nationkey < 3"), "t", "parquet")
+    assert catalog.derived_table(df.where("n_nationkey < 3"), "t", "parquet") == one
+    two = catalog.derived_table(df, "t", "parquet")
+    assert two != one and spark.read.parquet(two).count() == 25 and spark.read.parquet(one).count() == 3
+
+
+def test_json_member_text(spark):
+    from tidemark.sources import kafka
+    cases = {'{"a":1,"a":2}': "2", '{"a":null}': "null", '{"a":1.0}': "1.0", '{"a":{"b":1}}': "", '{"a":"{x"}': "{x",
+             '{"a":[1]}': "", '{"b":1}': None, '[1]': None, '{bad': None, '{"a":true}': "true", '{"a":""}': ""}
+    df = spark.createDataFrame([(c, ) for c in cases], "v string")
+    assert {r.v: r.t for r in df.select("v", kafka.node_text(F.col("v"), "$.a").alias("t")).collect()} == cases
+    got = spark.createDataFrame([('{"id":"1","username":null,"password":"p"}', ), ('{"id":null}', )], "v string")
+    assert rows(got.select(*kafka.guarded_fields(F.col("v")))) == [("1", "null", "p"), ("null", "null", "null")]
+
+
 def test_last_write_snapshot(spark):
     path = new_dir() + "/lw"
     mk = lambda vals, t: spark.createDataFrame(
@@ -127,20 +177,24 @@ def test_json_day_files(spark, n):
     assert spark.read.json(d).count() == n
 
 
-@pytest.mark.parametrize("bmax", [1_000_000, 0])
-def test_lookup_enrich_cases(spark, bmax):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_lookup_enrich_cases(spark, broadcast):
     """FIXTURES §8: match; no match -> 0000; NULL phone stays NULL; missing id
     -> "0","null","null"; missing username -> id kept; duplicate dimension ids
-    (first by order wins). ``bmax`` = 0 forces the shuffle join."""
+    (first by order wins); by broadcast and by shuffle."""
     from tidemark.operators import joins
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     recs = spark.createDataFrame([
         ('{"id":"1","username":"a","password":"p"}',), ('{"id":"9","username":"b"}',),
         ('{"id":"2","username":"c"}',), ('{"username":"d"}',), ('{"id":"3"}',)], "v string")
-    users = recs.select(*kafka.guarded_fields(F.try_parse_json("v"))).drop("password")
+    users = recs.select(*kafka.guarded_fields(F.col("v"))).drop("password")
     dim = spark.createDataFrame([("1", "111", 2), ("1", "999", 5), ("2", None, 1), ("3", "333", 1)],
                                 "id string, phone string, ord int")
     out = joins.enrich_lookup(users, joins.dedup_dimension(dim, "id", "phone", "ord"), "id",
-                              "phone", broadcast_max_rows=bmax)
-    assert rows(out, "id", "username", "phone") == sorted([
-        ("1", "a", "111"), ("9", "b", "0000"), ("2", "c", None), ("0", "null", "0000"),
-        ("3", "null", "333")])
+                              "phone")
+    try:
+        assert rows(out, "id", "username", "phone") == sorted([
+            ("1", "a", "111"), ("9", "b", "0000"), ("2", "c", None), ("0", "null", "0000"),
+            ("3", "null", "333")])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

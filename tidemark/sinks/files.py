@@ -1,4 +1,4 @@
-"""Day-bucketed file sinks (K1, K2) and the console sink (K7)."""
+"""Day-bucketed file sinks (K1, K2)."""
 
 from __future__ import annotations
 
@@ -22,14 +22,20 @@ def with_day_bucket(records: DataFrame, time_path: str = "$.time", value: str =
     return records.withColumn("dt", day_bucket(F.get_json_object(F.col(value), time_path)))
 
 
+def _dealt(records: DataFrame) -> DataFrame:
+    """Rows dealt by day, so that a day is written by few tasks and not by all;
+    REBALANCE splits a large day by the size seen at run time and joins small ones."""
+    return records.hint("rebalance", "dt")
+
+
 def write_day_json(records: DataFrame, path: str, mode: str = "append") -> None:
     """K1 (batch): JSON files under ``dt=<day>/``, one object per line."""
-    records.write.mode(mode).partitionBy("dt").json(path)
+    _dealt(records).write.mode(mode).partitionBy("dt").json(path)
 
 
 def write_day_text(records: DataFrame, path: str, value: str = "value", mode: str = "append") -> None:
     """K2 (batch): the same bucketing, written as lines of text."""
-    records.select(value, "dt").write.mode(mode).partitionBy("dt").text(path)
+    _dealt(records.select(value, "dt")).write.mode(mode).partitionBy("dt").text(path)
 
 
 def day_json_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
@@ -37,11 +43,3 @@ def day_json_stream(records: DataFrame, path: str, checkpoint: str, trigger: dic
     w = (records.writeStream.format("json").partitionBy("dt")
          .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def console(df: DataFrame, n: int = 20, truncate: bool = False):
-    """K7: print rows (batch) or start a console stream (streaming)."""
-    if df.isStreaming:
-        return df.writeStream.format("console").option("truncate", truncate).start()
-    df.show(n, truncate=truncate)
-    return None

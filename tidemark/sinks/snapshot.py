@@ -1,61 +1,128 @@
 """Keyed snapshot tables with keep-max (K3) and last-write (K4) rules; point read.
 
-Without a table format that supports MERGE, a snapshot is a folder of
-versions: ``<path>/batch=<id>/`` holds the whole merged table after batch
-``id``, written by Spark; a version counts once Spark's commit marker
-(``_SUCCESS``) is there. An upsert reads the newest committed version, merges
-the batch into it with an aggregate (no join: union + groupBy key), and writes
-the next version. Writing a batch id that is already committed is a no-op, so
-a ``foreachBatch`` replayed after a failure does not apply twice.
+Without a table format that supports MERGE, a snapshot is a folder of data
+folders and a log: ``_log/<n>.json`` names the data folder of commit n and the
+last batch id of every writer. An upsert reads the newest commit, merges the
+batch into it with an aggregate (no join: union + groupBy key), writes a new data
+folder and then its log entry under the next number. An entry's name is taken
+by a rename that fails if it exists, so of two writers one starts over from
+the other's commit, and neither loses a row.
+
+A writer is a streaming query (its id lives in its checkpoint) or a name given
+by the caller. A batch is skipped only if its writer's last batch has the same id,
+so a replay does not apply twice and a query with a new checkpoint, whose ids
+start again, is not skipped. Old data folders go once they are both superseded
+and older than ``KEEP_SECONDS``: a reader of the commit before still finds its files.
 
 The snapshot holds one row per key (per key and metric for K4), so its size
-follows the number of keys, not the number of events.
+follows the number of keys, not the number of events; every commit rewrites it.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import hadoop_path
+
 # Fixed value: the reference writes this constant next to the peak count.
 MAX_ONLINE_DEFAULT = "0"
-KEEP_VERSIONS = 2
+KEEP_SECONDS = 3600
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+def _log(spark: SparkSession, path: str) -> list[tuple[int, object]]:
+    """(number, file status) of the log's entries, in order."""
+    fs, p = hadoop_path(spark, f"{path}/_log")
+    if not fs.exists(p):
+        return []
+    out = [(st.getPath().getName(), st) for st in fs.listStatus(p)]
+    return sorted((int(name.split(".")[0]), st) for name, st in out if name.endswith(".json") and name[0].isdigit())
+
+
+def _entry(spark: SparkSession, status) -> dict:
+    fs, _ = hadoop_path(spark, status.getPath().toString())
+    stream = fs.open(status.getPath())
+    try:
+        raw = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(raw)
+
+
+def _newest(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    log = _log(spark, path)
+    return (log[-1][0], _entry(spark, log[-1][1])) if log else (0, None)
 
 
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return [n for n, _ in _log(spark, path)]
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    vs = committed_versions(spark, path)
-    return spark.read.parquet(f"{path}/batch={vs[-1]}") if vs else None
+    _, entry = _newest(spark, path)
+    return spark.read.parquet(f"{path}/{entry['data']}") if entry else None
+
+
+def _take(spark: SparkSession, path: str, number: int, entry: dict) -> bool:
+    """Write the log entry ``number``; false if another writer has it."""
+    jvm = spark.sparkContext._jvm
+    fs, tmp = hadoop_path(spark, f"{path}/_log/.{uuid.uuid4().hex}")
+    fs.mkdirs(tmp.getParent())
+    out = fs.create(tmp, True)
+    out.write(json.dumps(entry).encode())
+    out.close()
+    _, final = hadoop_path(spark, f"{path}/_log/{number:010d}.json")
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(final), none)
+        return True
+    except Exception as e:
+        if "FileAlreadyExists" not in str(e):
+            raise
+        fs.delete(tmp, False)
+        return False
 
 
 def _drop_old(spark: SparkSession, path: str) -> None:
-    vs = committed_versions(spark, path)
-    fs, _, jvm = _fs(spark, path)
-    for v in vs[:-KEEP_VERSIONS]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/batch={v}"), True)
+    log = _log(spark, path)
+    old = (time.time() - KEEP_SECONDS) * 1000
+    for (_, status), (_, after) in zip(log, log[1:]):
+        if after.getModificationTime() < old:
+            fs, data = hadoop_path(spark, f"{path}/{_entry(spark, status)['data']}")
+            fs.delete(data, True)
+            fs.delete(status.getPath(), False)
+
 
+def _writer(spark: SparkSession, writer: str | None) -> str:
+    return writer or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
-def _commit(spark: SparkSession, merged: DataFrame, path: str, batch_id: int) -> None:
-    merged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-    _drop_old(spark, path)
+
+def _upsert(batch: DataFrame, path: str, batch_id: int, writer: str | None,
+            merge: Callable[[DataFrame, DataFrame | None], DataFrame]) -> None:
+    spark = batch.sparkSession
+    who = _writer(spark, writer)
+    while True:
+        number, entry = _newest(spark, path)
+        writers = dict(entry["writers"]) if entry else {}
+        if writers.get(who) == batch_id:
+            return
+        current = spark.read.parquet(f"{path}/{entry['data']}") if entry else None
+        data = f"data-{uuid.uuid4().hex}"
+        merge(batch, current).write.parquet(f"{path}/{data}")
+        writers[who] = batch_id
+        if _take(spark, path, number + 1, {"data": data, "writers": writers}):
+            _drop_old(spark, path)
+            return
+        fs, p = hadoop_path(spark, f"{path}/{data}")
+        fs.delete(p, True)
 
 
 def keep_max_rows(peaks: DataFrame, row_key: Column, value: str) -> DataFrame:
@@ -65,40 +132,34 @@ def keep_max_rows(peaks: DataFrame, row_key: Column, value: str) -> DataFrame:
 
 
 def upsert_keep_max(batch: DataFrame, path: str, batch_id: int, key: str = "row_key",
-                    value: str = "uv") -> None:
+                    value: str = "uv", writer: str | None = None) -> None:
     """K3: store ``value`` for a key only if it is larger than the stored one
-    (a missing key counts as 0). Idempotent per ``batch_id``."""
-    spark = batch.sparkSession
-    if batch_id in committed_versions(spark, path):
-        return
-    new = batch.select(key, F.col(value).cast("bigint").alias(value))
-    cur = read_snapshot(spark, path)
-    if cur is not None:
-        new = new.unionByName(cur.select(key, value))
-    merged = (new.groupBy(key).agg(F.max(value).alias(value))
-              .withColumn("max_online", F.lit(MAX_ONLINE_DEFAULT)))
-    _commit(spark, merged, path, batch_id)
+    (a missing key counts as 0). Applied once per (writer, ``batch_id``)."""
+    def merge(rows: DataFrame, current: DataFrame | None) -> DataFrame:
+        new = rows.select(key, F.col(value).cast("bigint").alias(value))
+        if current is not None:
+            new = new.unionByName(current.select(key, value))
+        return new.groupBy(key).agg(F.max(value).alias(value)).withColumn("max_online", F.lit(MAX_ONLINE_DEFAULT))
+
+    _upsert(batch, path, batch_id, writer, merge)
 
 
 def upsert_last_write(batch: DataFrame, path: str, batch_id: int, key: str = "day",
                       metric: str = "metric", value: str = "value",
-                      written_at: str = "u_time") -> None:
+                      written_at: str = "u_time", writer: str | None = None) -> None:
     """K4: per (key, metric) the newest value wins -- newest by (written_at,
     batch_id, value) so replays and ties resolve the same way every time."""
-    spark = batch.sparkSession
-    if batch_id in committed_versions(spark, path):
-        return
-    new = batch.select(key, metric, F.col(value).cast("string").alias(value),
-                       F.col(written_at).cast("timestamp").alias(written_at),
-                       F.lit(batch_id).cast("bigint").alias("batch_id"))
-    cur = read_snapshot(spark, path)
-    if cur is not None:
-        new = new.unionByName(cur)
-    order = F.struct(written_at, "batch_id", value)
-    merged = (new.groupBy(key, metric)
-              .agg(F.max_by(F.struct(value, written_at, "batch_id"), order).alias("r"))
-              .select(key, metric, "r.*"))
-    _commit(spark, merged, path, batch_id)
+    def merge(rows: DataFrame, current: DataFrame | None) -> DataFrame:
+        new = rows.select(key, metric, F.col(value).cast("string").alias(value),
+                          F.col(written_at).cast("timestamp").alias(written_at),
+                          F.lit(batch_id).cast("bigint").alias("batch_id"))
+        if current is not None:
+            new = new.unionByName(current)
+        order = F.struct(written_at, "batch_id", value)
+        return (new.groupBy(key, metric).agg(F.max_by(F.struct(value, written_at, "batch_id"), order).alias("r"))
+                .select(key, metric, "r.*"))
+
+    _upsert(batch, path, batch_id, writer, merge)
 
 
 def pivot_metrics(tall: DataFrame, key: str, metrics: list[str], metric: str = "metric",
