@@ -130,29 +130,6 @@ def _with_fallback(st: DataFrame, keys: list[str]) -> DataFrame:
     return st.withColumn("_m", F.when(any_null, F.from_json("_raw", "map<string,string>")))
 
 
-def json_path(c, path: str) -> Column:
-    """JSON path extraction (``$.a.b``), NULL when absent."""
-    return F.get_json_object(_c(c), path)
-
-
-def guarded_lookup_fields(raw) -> list[Column]:
-    """P10: (id, username, password) with defaults "0", "null", "null".
-
-    The reference reads the fields in order and stops at the first missing
-    one: earlier fields are kept, that one and all later ones take defaults.
-    """
-    m = F.from_json(_c(raw), "map<string,string>")
-    has_id = m.getItem("id").isNotNull()
-    has_user = has_id & m.getItem("username").isNotNull()
-    has_pw = has_user & m.getItem("password").isNotNull()
-    d = LOOKUP_DEFAULTS
-    return [
-        F.when(has_id, m.getItem("id")).otherwise(F.lit(d["id"])).alias("id"),
-        F.when(has_user, m.getItem("username")).otherwise(F.lit(d["username"])).alias("username"),
-        F.when(has_pw, m.getItem("password")).otherwise(F.lit(d["password"])).alias("password"),
-    ]
-
-
 def to_json_object(*cols) -> Column:
     """Object -> JSON text."""
     return F.to_json(F.struct(*cols))

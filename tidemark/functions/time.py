@@ -33,27 +33,11 @@ def ntz_micros(c) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, _c(c))
 
 
-def ntz_to_instant(c) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> TIMESTAMP instant, usable by
-    ``withWatermark`` and ``window``."""
-    return F.timestamp_micros(ntz_micros(c))
-
-
 def epoch_ms_to_ts(c) -> Column:
     """Event-time attribute from epoch milliseconds (``.rowtime`` on a ms field)."""
     return F.timestamp_millis(_c(c))
 
 
-def epoch_s_to_ts(c) -> Column:
-    """Event time from epoch seconds (the extractor multiplies by 1000)."""
-    return F.timestamp_seconds(_c(c))
-
-
-def epoch_seconds(ts) -> Column:
-    """TIMESTAMP -> bigint epoch seconds (floor)."""
-    return F.floor(F.unix_micros(_c(ts)) / F.lit(1_000_000)).cast("bigint")
-
-
 def utc2local(ts) -> Column:
     """the reference's scalar function, a fixed +8 h shift (no DST rules)."""
     return _c(ts) + F.expr(f"INTERVAL {LOCAL_SHIFT_HOURS} HOURS")

@@ -15,7 +15,7 @@ from tidemark.session import shared_dir
 from tidemark.sinks import files as file_sinks
 from tidemark.sinks import snapshot
 from tidemark.sources import catalog, files, kafka
-from tidemark.sources.tables import read_clickstream, read_table, spread_for_cpu
+from tidemark.sources.tables import read_clickstream, read_table
 
 # Event types of the driver table that stand in for the reference's events.
 PV_EVENT = "view"     # the reference's "$AppStart"
@@ -162,7 +162,7 @@ t as (select case when line = '' then ['']
 select w as word, count(*) as n from (select unnest(ws) as w from t) group by w
 """)
 def q_word_count(spark: SparkSession, sf_dir: str):
-    return words.word_count(spread_for_cpu(read_table(spark, sf_dir, "documents")))
+    return words.word_count(read_table(spark, sf_dir, "documents"))
 
 
 @register("utc2local", covers="F1 F2 U1", oracle="""
@@ -190,7 +190,7 @@ TEXT_HASH_SQL = ("list_reduce(list_transform(list_filter(string_split({c}, ''),
 select doc_id, {TEXT_HASH_SQL.format(c='text')} as bucket from documents
 """)
 def q_text_hash(spark: SparkSession, sf_dir: str):
-    docs = spread_for_cpu(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
     return docs.select("doc_id", text_hash("text").alias("bucket"))
 
 
@@ -267,7 +267,8 @@ def q_changelog_count(spark: SparkSession, sf_dir: str):
 ALERT_TIMER_S = 3600  # the driver's events are minutes apart; 10 s would never fire
 
 
-@register("rising_alert", covers="X10 U4", oracle=f"""
+# A pending timer fires at the end if the input's event time reached it.
+ALERT_SQL = f"""
 with recursive s as (
   select user_id as k, epoch_us(ts) // 1000000 as t, value as v,
          row_number() over (partition by user_id order by ts, event_id) as n from events),
@@ -279,9 +280,16 @@ f(k, n, last, due, fired) as (
          when f.last > s.v or f.last = 0.0 then 0
          when f.due <= s.t then 0 else f.due end,
     case when f.due > 0 and f.due <= s.t then f.due end
-  from f join s on s.k = f.k and s.n = f.n + 1)
-select k as user_id, fired as fired_at, cast(k as varchar) || '温度连续上升' as alert
-from f where fired is not null
+  from f join s on s.k = f.k and s.n = f.n + 1),
+last_state as (select k, due from f where n = (select max(n) from s where s.k = f.k)),
+alerts as (
+  select k, fired as fired_s from f where fired is not null
+  union all select k, due from last_state where due > 0 and due <= (select max(t) from s))
+"""
+
+
+@register("rising_alert", covers="X10 U4", oracle=ALERT_SQL + """
+select k as user_id, fired_s as fired_at, cast(k as varchar) || '温度连续上升' as alert from alerts
 """)
 def q_rising_alert(spark: SparkSession, sf_dir: str):
     ev = read_clickstream(spark, sf_dir).select(
@@ -300,7 +308,7 @@ select event_id, event_type as event, cast(user_id as varchar) as distinct_id,
 from events
 """)
 def q_clickstream_parse(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir, spread=True)
+    ev = read_clickstream(spark, sf_dir)
     raw = ev.select("event_id", to_json_object(
         "event", "distinct_id", F.parse_json("props").alias("properties"),
         F.col("time_ms").alias("time")).alias("raw"))
@@ -312,33 +320,47 @@ def q_clickstream_parse(spark: SparkSession, sf_dir: str):
 
 
 def _kafka_records(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir, spread=True)
-    value = F.to_json(F.struct(
-        "event", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("age"),
-        F.struct(F.col("distinct_id").alias("userID")).alias("properties")))
-    return ev.select(
-        F.to_json(F.struct(F.col("event_id").alias("id"))).cast("binary").alias("key"),
-        value.cast("binary").alias("value"), F.lit("sc_md").alias("topic"),
-        F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    """Events as records; some have a malformed value (id mod 20 = 3) or key (5), a
+    JSON null (7), a missing (9) or a repeated member (11)."""
+    ev = read_clickstream(spark, sf_dir)
+    m = F.pmod("event_id", F.lit(20))
+    age = F.round(F.col("value") * 100).cast("bigint").cast("string")
+    rest = F.concat(F.lit('"properties":{"userID":"'), "distinct_id", F.lit('"}}'))
+    name = F.concat(F.lit('"event":"'), "event", F.lit('",'))
+    value = (F.when(m == 3, F.lit("{bad"))
+             .when(m == 7, F.concat(F.lit("{"), name, F.lit('"age":null,'), rest))
+             .when(m == 9, F.concat(F.lit("{"), name, rest))
+             .when(m == 11, F.concat(F.lit('{"event":"first",'), name, F.lit('"age":'), age, F.lit(","), rest))
+             .otherwise(F.to_json(F.struct("event", age.alias("age"),
+                                           F.struct(F.col("distinct_id").alias("userID")).alias("properties")))))
+    key = F.when(m == 5, F.lit("{")).otherwise(F.to_json(F.struct(F.col("event_id").alias("id"))))
+    return ev.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("events").alias("topic"),
+                     F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
 
 
 @register("kafka_decode", covers="S3 S4 P9", oracle="""
-select event_type as event, cast(cast(round(value * 100) as bigint) as varchar) as age,
-       cast(user_id as varchar) as userID,
-       '消费的主题是：sc_md,分区是：' || (user_id % 3) || ',当前偏移量是：' || event_id as lineage
+select event_id % 20 not in (3, 5) as decode_ok,
+       case when event_id % 20 not in (3, 5) then event_type end as event,
+       case when event_id % 20 in (3, 5, 9) then null when event_id % 20 = 7 then 'null'
+            else cast(cast(round(value * 100) as bigint) as varchar) end as age,
+       case when event_id % 20 not in (3, 5) then cast(user_id as varchar) end as userID,
+       case when event_id % 20 not in (3, 5) then event_id end as at,
+       case when event_id % 20 not in (3, 5)
+            then '消费的主题是：events,分区是：' || (user_id % 3) || ',当前偏移量是：' || event_id end as lineage
 from events
 """)
 def q_kafka_decode(spark: SparkSession, sf_dir: str):
     dec = kafka.decode_key_value(_kafka_records(spark, sf_dir))
-    return dec.select(kafka.variant_text(F.col("value"), "$.event").alias("event"),
-                      kafka.variant_text(F.col("value"), "$.age").alias("age"),
-                      kafka.variant_text(F.col("value"), "$.properties.userID").alias("userID"),
-                      kafka.lineage().alias("lineage"))
+    return dec.select("decode_ok", kafka.node_text(F.col("value"), "$.event").alias("event"),
+                      kafka.node_text(F.col("value"), "$.age").alias("age"),
+                      kafka.node_text(F.col("value"), "$.properties.userID").alias("userID"),
+                      F.col("metadata.offset").alias("at"), kafka.lineage().alias("lineage"))
 
 
 @register("async_lookup", covers="S4 P10 P13 J1", oracle="""
-with r as (select event_id, case when event_type <> 'signup' then cast(user_id as varchar) end as rid,
+with r as (select event_id, case when event_type <> 'signup' then cast(user_id as varchar)
+                                 when event_id % 2 = 1 then 'null' end as rid,
                   event_type as uname from events),
 g as (select event_id, coalesce(rid, '0') as id,
              case when rid is not null then uname else 'null' end as username from r),
@@ -350,13 +372,16 @@ select event_id, id, username, phone,
 from j
 """)
 def q_async_lookup(spark: SparkSession, sf_dir: str):
-    ev = read_clickstream(spark, sf_dir, spread=True)
+    """A signup has no id member, or, where the event id is odd, one that is JSON null."""
+    ev = read_clickstream(spark, sf_dir)
     value = F.to_json(F.struct(
         F.when(F.col("event") != "signup", F.col("distinct_id")).alias("id"),
         F.col("event").alias("username"),
         F.when(F.col("event") == "purchase", F.lit("secret")).alias("password")))
+    no_id = (F.col("event") == "signup") & (F.pmod("event_id", F.lit(2)) == 1)
+    value = F.when(no_id, F.concat(F.lit('{"id":null,'), F.substring(value, F.lit(2), F.length(value)))).otherwise(value)
     rec = ev.select(F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"),
-                    F.lit("test_topic").alias("topic"), F.lit(0).alias("partition"),
+                    F.lit("events").alias("topic"), F.lit(0).alias("partition"),
                     F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
     dec = kafka.decode_key_value(rec)
     users = dec.select(F.col("metadata.offset").alias("event_id"),
@@ -393,14 +418,11 @@ def q_future_guard(spark: SparkSession, sf_dir: str):
 
 # --- catalog, files, sinks (S6 S8 S9 S14 T3 K1 K4 P8) -------------------------------
 
-@register("partition_scan", covers="S14 T3", oracle="""
+@register("partition_scan", covers="S14", oracle="""
 select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'
 """)
 def q_partition_scan(spark: SparkSession, sf_dir: str):
-    orders = read_table(spark, sf_dir, "orders")
-    path = catalog.derived_table(
-        spark, "orders_by_status", orders,
-        lambda df, out: df.write.mode("overwrite").partitionBy("o_orderstatus").parquet(out))
+    path = catalog.derived_table(read_table(spark, sf_dir, "orders"), "orders_by_status", "parquet", ["o_orderstatus"])
     catalog.register_partitioned(spark, "tm_orders_by_status", path)
     return catalog.scan_partition(spark, "tm_orders_by_status", "o_orderstatus = 'F'") \
         .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
@@ -420,6 +442,18 @@ def q_day_files(spark: SparkSession, sf_dir: str):
                                   F.count_distinct("distinct_id").alias("users"))
 
 
+@register("partition_limit", covers="S14 T3", oracle="""
+select least(10, count(*)) as n, count(*) filter (o_orderstatus <> 'F') as others
+from (select * from orders where o_orderstatus = 'F' limit 10)
+""")
+def q_partition_limit(spark: SparkSession, sf_dir: str):
+    """LIMIT without order: which rows come is open, how many is not."""
+    path = catalog.derived_table(read_table(spark, sf_dir, "orders"), "orders_by_status", "parquet", ["o_orderstatus"])
+    catalog.register_partitioned(spark, "tm_orders_by_status", path)
+    rows = catalog.scan_partition(spark, "tm_orders_by_status", "o_orderstatus = 'F'", limit=10)
+    return rows.agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") != "F").alias("others"))
+
+
 @register("metric_upsert", covers="K4 A10", oracle=f"""
 with a as (
   select {LOCAL_DAY_SQL} as day, event_type, count(*) as n, count(distinct user_id) as u
@@ -445,22 +479,77 @@ def q_metric_upsert(spark: SparkSession, sf_dir: str):
 
 
 @register("sensor_parse", covers="S9 P8 F3", oracle="""
-select cast(user_id as varchar) as id, epoch_us(ts) // 1000000 as timestamp, value as temperature,
-       true as valid
+select cast(user_id as varchar) as id, epoch_us(ts) // 1000000 as timestamp,
+       case when event_id % 30 <> 4 then value end as temperature, event_id % 30 <> 4 as valid
 from events
 """)
 def q_sensor_parse(spark: SparkSession, sf_dir: str):
     ev = read_clickstream(spark, sf_dir)
+    # Some lines hold no number where the temperature belongs.
     line = F.concat_ws(", ", F.col("distinct_id"),
                        F.floor(F.col("time_us") / F.lit(1_000_000)).cast("string"),
-                       F.col("value").cast("string"))
-    events = read_table(spark, sf_dir, "events")
-    path = catalog.derived_table(spark, "sensor_lines", events,
-                                 lambda _, out: ev.select(line.alias("value"))
-                                 .write.mode("overwrite").text(out))
+                       F.when(F.pmod("event_id", F.lit(30)) == 4, F.lit("n/a")).otherwise(F.col("value").cast("string")))
+    path = catalog.derived_table(ev.select(line.alias("value")), "sensor_lines", "text")
     return files.parse_sensor_line(files.read_lines(spark, path))
 
 
+@register("sensor_table", covers="S7", oracle="""
+select case when event_id % 40 <> 6 then repeat('s', cast(event_id % 23 as integer)) || cast(user_id as varchar) end as id,
+       epoch_us(ts) // 1000000 as timestamp, value as temperature,
+       event_id % 40 <> 6 and event_id % 23 + length(cast(user_id as varchar)) <= 20 as valid, true as has_pt
+from events
+""")
+def q_sensor_table(spark: SparkSession, sf_dir: str):
+    """Ids of several lengths, some above 20 characters, some missing: flagged, not failed."""
+    ev = read_clickstream(spark, sf_dir)
+    name = F.concat(F.repeat(F.lit("s"), F.pmod("event_id", F.lit(23)).cast("int")), "distinct_id")
+    rows = ev.select(F.when(F.pmod("event_id", F.lit(40)) != 6, name).alias("id"),
+                     F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("timestamp"),
+                     F.col("value").alias("temperature"))
+    t = files.read_sensor_table(spark, catalog.derived_table(rows, "sensor_table", "csv"))
+    return t.select("id", "timestamp", "temperature", F.coalesce("valid", F.lit(False)).alias("valid"),
+                    F.col("pt").isNotNull().alias("has_pt"))
+
+
+@register("word_table", covers="S8", oracle="""
+select p_name as word, count(*) as n from part group by 1
+""")
+def q_word_table(spark: SparkSession, sf_dir: str):
+    """Lines "word,rest": the one declared column takes what stands before the first comma."""
+    part = read_table(spark, sf_dir, "part")
+    line = F.concat_ws(",", "p_name", F.col("p_partkey").cast("string"), F.lit("rest"))
+    path = catalog.derived_table(part.select(line.alias("value")), "word_lines", "text")
+    return files.read_words(spark, path).groupBy("word").agg(F.count("*").alias("n"))
+
+
+@register("snapshot_point_read", covers="S15 K4 F5", oracle=f"""
+with a as (
+  select {LOCAL_DAY_SQL} as day, event_type, count(*) as n, count(distinct user_id) as u
+  from events where event_type in ('{PV_EVENT}', '{LIVE_EVENT}') group by all),
+m as (select max(day) as day from a),
+c as (
+  select day, 'pv' as qualifier, cast(n as varchar) as value from a where event_type = '{PV_EVENT}'
+  union all select day, 'uv', cast(u as varchar) from a where event_type = '{PV_EVENT}'
+  union all select day, 'live_avg', cast(n * cast(3.0 as double) / u / 60 as varchar) from a where event_type = '{LIVE_EVENT}'
+  union all select day, 'live_users', cast(u as varchar) from a where event_type = '{LIVE_EVENT}')
+select c.day as row_key, 'info' as family, q.qualifier, v.value, true as timed
+from m join (select distinct day from c) c on c.day = m.day
+cross join (values ('pv'), ('uv'), ('live_avg'), ('live_users')) q(qualifier)
+left join c v on v.day = c.day and v.qualifier = q.qualifier
+""")
+def q_snapshot_point_read(spark: SparkSession, sf_dir: str):
+    """The cells of the newest day's row; each row of the table carries the text of its write time."""
+    tall = daily.daily_metrics(read_clickstream(spark, sf_dir), pv_event=PV_EVENT, live_event=LIVE_EVENT,
+                               with_update_time=True)
+    path = shared_dir(spark, "point-read")
+    snapshot.upsert_last_write(tall.withColumn("u_time", F.col("update_time").cast("timestamp")), path, 0)
+    held = snapshot.read_snapshot(spark, path)
+    wide = snapshot.pivot_metrics(held, "day", list(daily.METRICS), written_at=None)
+    newest = held.agg(F.max("day")).first()[0]
+    timed = held.where(F.col("u_time").isNull()).isEmpty()
+    return snapshot.point_read(wide, "day", newest).withColumn("timed", F.lit(timed))
+
+
 @register("min_age_window", covers="A11", oracle="""
 select (epoch_us(ts) // 3600000000) * 3600000 as window_start, event_type as event,
        arg_min(event_id, (cast(cast(round(value * 100) as bigint) as varchar), epoch_us(ts), event_id))
@@ -484,7 +573,7 @@ LIVE_CONTENT = "视频直播播放"   # fixed value: the content the room job ke
 def _raw_live_records(spark: SparkSession, sf_dir: str):
     """Raw JSON records in the reference's clickstream shape, derived from events:
     view events are 'LiveVisit'; content marks plays (value > 10)."""
-    ev = read_clickstream(spark, sf_dir, spread=True)
+    ev = read_clickstream(spark, sf_dir)
     props = F.struct(F.col("message_id").alias("v1_message_id"),
                      F.when(F.col("value") > 10, F.lit(LIVE_CONTENT)).otherwise(F.lit("其他"))
                      .alias("v1_element_content"),
@@ -547,7 +636,7 @@ def q_live_visit_sql(spark: SparkSession, sf_dir: str):
         where event = 'LiveVisit' and properties.v1_message_id is not null""")
 
 
-@register("hot_items_csv", covers="S6 W2 T1 X4", oracle=HOT_ITEMS_SQL + """
+@register("hot_items_csv", covers="S6 W2 T1", oracle=HOT_ITEMS_SQL + """
 select item_id, window_end, view_count, cast(rank as integer) as rank from r where rank <= 3
 """)
 def q_hot_items_csv(spark: SparkSession, sf_dir: str):
@@ -558,8 +647,7 @@ def q_hot_items_csv(spark: SparkSession, sf_dir: str):
                      (F.col("item_id") % 10).cast("int").alias("categoryId"),
                      behavior.alias("behavior"),
                      F.floor(F.col("time_us") / F.lit(1_000_000)).cast("bigint").alias("timestamp"))
-    path = catalog.derived_table(spark, "user_behavior", read_table(spark, sf_dir, "events"),
-                                 lambda _, out: rows.write.mode("overwrite").csv(out))
+    path = catalog.derived_table(rows, "user_behavior", "csv")
     ub = files.read_csv(spark, path, files.USER_BEHAVIOR)
     events = ub.select(F.col("behavior").alias("event"), F.col("itemId").alias("item_id"),
                        F.timestamp_seconds("timestamp").alias("ts"))

@@ -49,21 +49,25 @@ def as_strings(records: DataFrame) -> DataFrame:
     return records.select(F.col("value").cast("string").alias("value"))
 
 
+def is_json(text: Column) -> Column:
+    """Whether ``text`` is one JSON value. A tree reader keeps the last of
+    members with one name, which ``try_parse_json`` refuses; ``get_json_object``
+    reads such a text, so it is the second opinion."""
+    return F.try_parse_json(text).isNotNull() | F.get_json_object(text, "$").isNotNull()
+
+
 def decode_key_value(records: DataFrame, include_metadata: bool = True) -> DataFrame:
-    """S3 + S4: (key, value, metadata) with key and value parsed as JSON trees.
+    """S3 + S4: (key, value, metadata) with key and value as JSON text.
 
     Tolerant like the reference: a NULL key or value is just left out; a
     malformed part is NULL and so is every later part (order key, value,
     metadata), because decoding stops at the first error. ``decode_ok`` is
     false for such records so callers can quarantine them.
     """
-    k_txt = F.col("key").cast("string")
-    v_txt = F.col("value").cast("string")
-    k = F.try_parse_json(k_txt)
-    v = F.try_parse_json(v_txt)
-    key_ok = k_txt.isNull() | k.isNotNull()
-    value_ok = v_txt.isNull() | v.isNotNull()
-    cols = [F.when(key_ok, k).alias("key"), F.when(key_ok, v).alias("value")]
+    k, v = F.col("key").cast("string"), F.col("value").cast("string")
+    key_ok = k.isNull() | is_json(k)
+    value_ok = v.isNull() | is_json(v)
+    cols = [F.when(key_ok, k).alias("key"), F.when(key_ok & value_ok, v).alias("value")]
     if include_metadata:
         meta = F.struct(F.col("offset").alias("offset"), F.col("topic").alias("topic"),
                         F.col("partition").alias("partition"))
@@ -72,23 +76,36 @@ def decode_key_value(records: DataFrame, include_metadata: bool = True) -> DataF
     return records.select(*cols)
 
 
-def variant_text(v: Column, path: str) -> Column:
-    """``node.get(a).get(b).asText()`` for scalar members."""
-    return F.try_variant_get(v, path, "string")
+def node_text(value: Column, path: str) -> Column:
+    """``node.get(a).get(b).asText()``: a scalar as it is written, "null" for a
+    JSON null, "" for an object or array, NULL for a missing member. Of members
+    with one name the last counts."""
+    parent, _, name = path.rpartition(".")
+    inner = F.get_json_object(value, parent) if parent != "$" else value
+
+    def last(kind: str) -> Column:
+        found = F.filter(F.map_entries(F.from_json(inner, f"map<string,{kind}>")), lambda e: e["key"] == name)
+        return F.try_element_at(found, F.lit(-1))["value"]
+
+    kind = F.coalesce(F.schema_of_variant(last("variant")), F.lit("VOID"))
+    text = (F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
+            .otherwise(F.coalesce(last("string"), F.lit("null"))))
+    # A member whose value is null has a key, a missing one has none.
+    return F.when(F.array_contains(F.json_object_keys(inner), name), text)
 
 
 def lineage(meta: str = "metadata") -> Column:
-    """The reference's lineage line built from the record metadata."""
-    return F.format_string(LINEAGE_FORMAT, F.col(f"{meta}.topic"),
-                           F.col(f"{meta}.partition").cast("string"),
+    """The reference's lineage line built from the record metadata (NULL without)."""
+    line = F.format_string(LINEAGE_FORMAT, F.col(f"{meta}.topic"), F.col(f"{meta}.partition").cast("string"),
                            F.col(f"{meta}.offset").cast("string"))
+    return F.when(F.col(meta).isNotNull(), line)
 
 
-def guarded_fields(v: Column) -> list[Column]:
+def guarded_fields(value: Column) -> list[Column]:
     """P10 on a decoded record value: (id, username, password), defaults
-    "0", "null", "null"; a missing field stops the reading, earlier ones stay."""
-    i, u, p = (variant_text(v, "$.id"), variant_text(v, "$.username"),
-               variant_text(v, "$.password"))
+    "0", "null", "null"; a missing field stops the reading, earlier ones stay.
+    A member that is JSON null is there: its text is "null"."""
+    i, u, p = (node_text(value, f"$.{n}") for n in ("id", "username", "password"))
     has_i = i.isNotNull()
     has_u = has_i & u.isNotNull()
     has_p = has_u & p.isNotNull()

@@ -30,21 +30,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (tokenizing, hashing whole texts) at least
-    one task per core.
-
-    A scan yields one task per file split; a small table stored as a single
-    row group is one task however many cores there are. Only then is it
-    redistributed (round robin, a shuffle of that small input). A large table
-    already has far more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def clickstream(events: DataFrame) -> DataFrame:
     """events -> clickstream columns with an event-time ``ts`` (TIMESTAMP)."""
     us = ntz_micros("ts")
@@ -65,7 +50,6 @@ def clickstream(events: DataFrame) -> DataFrame:
     )
 
 
-def read_clickstream(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """The clickstream view; ``spread`` for CPU-heavy per-row work (JSON)."""
-    t = read_table(spark, sf_dir, "events")
-    return clickstream(spread_for_cpu(t) if spread else t)
+def read_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clickstream view."""
+    return clickstream(read_table(spark, sf_dir, "events"))

@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import rolling
+from tidemark.session import hadoop_path
 from tidemark.sinks import snapshot
 
-DEFAULT_DELAY = "30 seconds"  # the room job's out-of-order bound
+DELAY_S = 30                  # the room job's out-of-order bound
+DEFAULT_DELAY = f"{DELAY_S} seconds"
 
 
 def distinct_panes(events: DataFrame, keys: Sequence[str], user: str, time_us: str,
@@ -40,35 +42,52 @@ def distinct_panes(events: DataFrame, keys: Sequence[str], user: str, time_us: s
             .dropDuplicatesWithinWatermark([*keys, user, "p"]))
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _stored_days(spark, store: str) -> list[int]:
+    """Days that have a folder: one listing."""
+    fs, p = hadoop_path(spark, store)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return [int(n.split("=", 1)[1]) for n in names if n.startswith("day=")]
 
 
 def peak_sink(store: str, peaks: str, keys: Sequence[str], user: str, size_s: int,
-              slide_s: int, row_key: Column, value: str = "uv"):
-    """foreachBatch function: pane store append + ranged sweep + keep-max upsert."""
+              slide_s: int, row_key: Column, value: str = "uv", delay_s: int = DELAY_S):
+    """foreachBatch function: pane store append + ranged sweep + keep-max upsert,
+    then days that the watermark (``delay_s`` behind the largest pane) has left go."""
     k = size_s // slide_s
     per_day = 86400 // slide_s if 86400 % slide_s == 0 else k
+    late_panes = -(-delay_s // slide_s)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select(*keys, user, "p").distinct()
-        if new.isEmpty():
-            return
-        spark = batch.sparkSession
+        new = batch.select(*keys, user, "p").distinct().persist()
+        try:
+            if not new.isEmpty():
+                merge(new, batch_id)
+        finally:
+            new.unpersist()
+
+    def merge(new: DataFrame, batch_id: int) -> None:
+        spark = new.sparkSession
         (new.withColumn("day", F.floor(F.col("p") / F.lit(per_day)).cast("bigint"))
          .withColumn("batch", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "batch").parquet(store))
-        lo, hi = new.agg(F.min("p"), F.max("p")).first()
-        lo, hi = lo - (k - 1), hi + (k - 1)
-        days = [f"{store}/day={d}" for d in range(lo // per_day, hi // per_day + 1)
-                if _exists(spark, f"{store}/day={d}")]
+        first, last = new.agg(F.min("p"), F.max("p")).first()
+        lo, hi = first - (k - 1), last + (k - 1)
+        stored = _stored_days(spark, store)
+        days = [f"{store}/day={d}" for d in stored if lo // per_day <= d <= hi // per_day]
+        # Only the rooms of this batch can have a new peak.
         panes = (spark.read.option("basePath", store).parquet(*days)
-                 .where(F.col("p").between(lo, hi))
+                 .where(F.col("p").between(lo, hi)).join(new.select(*keys).distinct(), list(keys), "left_semi")
                  .select(*keys, user, (F.col("p") * slide_s * 1_000_000).alias("_us")))
         seg = rolling.rolling_distinct_segments(panes, keys, user, "_us", size_s, slide_s)
         best = snapshot.keep_max_rows(rolling.peak_distinct(seg, keys), row_key, value)
         snapshot.upsert_keep_max(best, peaks, batch_id, value=value)
+        # No window of a pane that may still come reaches back further than this.
+        oldest = (last - late_panes - (k - 1)) // per_day
+        for d in stored:
+            if d < oldest:
+                fs, p = hadoop_path(spark, f"{store}/day={d}")
+                fs.delete(p, True)
     return write

@@ -1,21 +1,20 @@
 """Run streaming queries to completion over a finite input (file replay).
 
 ``availableNow`` processes everything present at start in bounded micro-batches
-and stops; every wait is bounded. Checkpoints and outputs go to fresh folders
+and stops. Checkpoints and outputs go to fresh folders
 under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import pin_utc, shared_dir
-
-DEFAULT_TIMEOUT_S = 600
+from tidemark.session import hadoop_path, pin_utc, remove_at_end, shared_dir
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -31,6 +30,33 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(f"{base}/{name}.parque[t]")
 
 
+def replay(spark: SparkSession, events: DataFrame, after: Sequence[DataFrame] = (), parts: int = 5,
+           at: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """``events`` as a stream of ``parts`` files in the order of ``at``, then one
+    file for each of ``after``; every trigger takes one file, so the order of the
+    rows over micro-batches is the same on every run."""
+    path = shared_dir(spark, "replay")
+    remove_at_end(spark, path)
+    fs, folder = hadoop_path(spark, path)
+    cols = [F.col(c) for c in at]
+    ordered = events.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    ordered.select(*[c for c in events.columns if not c.startswith("_")]).write.mode("append").parquet(path)
+    names: list[str] = []
+
+    def listed() -> list[str]:
+        every = sorted(st.getPath().getName() for st in fs.listStatus(folder))
+        return [n for n in every if n.startswith("part-") and n not in names]
+
+    names += listed()
+    for rows in after:
+        rows.coalesce(1).write.mode("append").parquet(path)
+        names += listed()
+    for i, name in enumerate(names):      # the file source goes by modification time
+        fs.setTimes(hadoop_path(spark, f"{path}/{name}")[1], 1_000_000_000_000 + 1000 * i, -1)
+    schema = events.select(*[c for c in events.columns if not c.startswith("_")]).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -61,9 +87,11 @@ def state_partitions(spark: SparkSession, n: int | None = None):
                 spark.conf.set(k, v)
 
 
-def await_done(q: StreamingQuery, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+def await_done(q: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for the query's own end, or for ``timeout_s`` seconds if given."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"streaming query {q.name} did not finish in {timeout_s}s")
     if q.exception() is not None:
@@ -72,7 +100,7 @@ def await_done(q: StreamingQuery, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
 
 def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], mode: str,
                       checkpoint: str | None = None, name: str = "q",
-                      timeout_s: int = DEFAULT_TIMEOUT_S) -> str:
+                      timeout_s: int | None = None) -> str:
     """Run ``stream`` with ``foreachBatch(fn)`` until the input is drained."""
     spark = stream.sparkSession
     ck = checkpoint or shared_dir(spark, f"ckpt-{name}")
@@ -84,7 +112,7 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], m
 
 
 def run_foreach_batches(jobs: list[tuple[DataFrame, Callable[[DataFrame, int], None], str, str]],
-                        timeout_s: int = DEFAULT_TIMEOUT_S) -> list[str]:
+                        timeout_s: int | None = None) -> list[str]:
     """Start several (stream, foreachBatch fn, output mode, name) queries
     together, then wait for all of them; returns their checkpoints."""
     started, cks = [], []
@@ -101,7 +129,7 @@ def run_foreach_batches(jobs: list[tuple[DataFrame, Callable[[DataFrame, int], N
 
 
 def run_to_parquet(stream: DataFrame, mode: str = "append", name: str = "q",
-                   timeout_s: int = DEFAULT_TIMEOUT_S) -> DataFrame:
+                   timeout_s: int | None = None) -> DataFrame:
     """Append-mode stream -> parquet file sink (exactly once) -> batch DataFrame."""
     spark = stream.sparkSession
     out = shared_dir(spark, f"out-{name}")
