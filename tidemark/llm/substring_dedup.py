@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, from_key, read_documents, small_batches, text_of
+from tidemark.llm.common import apart, doc_key, from_key, packed, read_documents, small_batches, text_of, unpacked
 from tidemark.llm.words import joined, runs, words
 
 LENGTH = 20
@@ -80,9 +80,9 @@ class Anchors:
         return word - self.first_word[of]
 
 
-def _pieces(batch: pa.RecordBatch, column: int, length: int, gram: int) -> Iterator[tuple[int, int, Anchors]]:
+def _pieces(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, Anchors]]:
     """(first row, rows, anchors) of a batch's texts, a bounded number of bytes a time."""
-    for first, held, data, offsets in joined([t.as_py() for t in batch.column(column)]):
+    for first, held, data, offsets in joined(texts):
         yield first, len(held), Anchors(data, offsets, length, gram)
 
 
@@ -110,7 +110,7 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for first, _, a in _pieces(b, 1, length, gram):
+            for first, _, a in _pieces([t.as_py() for t in b.column(1)], length, gram):
                 yield pa.RecordBatch.from_arrays(
                     [_long(a.hash), pa.array(keys[first + a.of]), _int(a.local(a.at, a.of))], ["anchor", "key", "at"])
 
@@ -118,12 +118,12 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 
 def blocks(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(h1, h2, key, low, size, n) of (key, text, seeds) rows: blocks of
+    """(h1, h2, key, low, size, n) of (key, packed, seeds) rows: blocks of
     ``size`` words from word ``low`` on, whose seeds occur ``n`` times each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for first, count, a in _pieces(b, 1, length, gram):
+            for first, count, a in _pieces(unpacked(b.column(1)), length, gram):
                 row, seeds = _flat(b.column(2), first, count)
                 place = (row << 32) | seeds.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
                 n = seeds.field("n").to_numpy(zero_copy_only=False)
@@ -155,16 +155,16 @@ def blocks(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
                     [_long(h1), _second(h2), pa.array(keys[first + at]), _int(a.local(low, at)), _int(size),
                      pa.array(times[begin])], ["h1", "h2", "key", "low", "size", "n"])
 
-    return rows.select("key", F.col("text").cast("binary"), "seeds").mapInArrow(
+    return rows.select("key", "packed", "seeds").mapInArrow(
         run, "h1 bigint, h2 int, key bigint, low int, size int, n bigint")
 
 
 def windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(h1, h2, key, low) of every window inside the blocks of (key, text, parts) rows."""
+    """(h1, h2, key, low) of every window inside the blocks of (key, packed, parts) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for first, held, data, offsets in joined([t.as_py() for t in b.column(1)]):
+            for first, held, data, offsets in joined(unpacked(b.column(1))):
                 starts, _, hashes = words(data)
                 text = np.searchsorted(offsets, starts, side="right") - 1
                 first_word = np.searchsorted(text, np.arange(len(offsets)))
@@ -184,31 +184,32 @@ def windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     [_long(runs(hashes, at, length, 1)), _second(runs(hashes, at, length, 2)),
                      pa.array(keys[first + row]), _int(local)], ["h1", "h2", "key", "low"])
 
-    return rows.select("key", F.col("text").cast("binary"), "parts").mapInArrow(
+    return rows.select("key", "packed", "parts").mapInArrow(
         run, "h1 bigint, h2 int, key bigint, low int")
 
 
 def _against_first(rows: DataFrame) -> DataFrame:
-    """``rows`` with the first occurrence of their hash (``first``) and how many there are (``members``)."""
+    """``rows`` with the first occurrence of their hash (``first``; null where
+    there is one only) and how many there are (``members``)."""
     classes = rows.groupBy(F.col("h1").alias("c1"), F.col("h2").alias("c2")).agg(
-        F.min(F.struct("key", "low")).alias("first"), F.count("*").alias("members"))
-    return rows.join(classes, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))).drop("c1", "c2")
+        F.min(F.struct("key", "low")).alias("first"), F.count("*").alias("members")).filter("members > 1")
+    return rows.join(classes, (apart("h1") == apart("c1")) & (F.col("h2") == F.col("c2")), "left").drop("c1", "c2")
 
 
-def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(key, low, size): all repeated windows, in blocks; ``texts`` is (key, text) dealt by key."""
+def repeats(texts: DataFrame, dealt: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(key, low, size): all repeated windows, in blocks, of (key, text) rows; ``dealt``: the same texts, packed."""
     found = anchors(texts, length, gram)
     often = found.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("n")).filter("n > 1")
-    seeds = (found.join(often, F.col("anchor") == F.col("a")).groupBy(F.col("key").alias("k"))
+    seeds = (found.join(often, apart("anchor") == apart("a")).groupBy(F.col("key").alias("k"))
              .agg(F.collect_list(F.struct("at", "n")).alias("seeds")))
-    dealt = texts.repartition("key")
     held = _against_first(blocks(dealt.join(seeds, F.col("key") == F.col("k")), length, gram))
-    is_first = (F.col("first.key") == F.col("key")) & (F.col("first.low") == F.col("low"))
-    whole = held.filter(~is_first).select("key", "low", "size")
-    parts = (held.filter(is_first & (F.col("members") < F.col("n"))).groupBy(F.col("key").alias("k"))
+    later = (F.col("first.key") != F.col("key")) | (F.col("first.low") != F.col("low"))
+    is_later = F.coalesce(later, F.lit(False))
+    whole = held.filter(is_later).select("key", "low", "size")
+    parts = (held.filter(~is_later & (F.coalesce("members", F.lit(1)) < F.col("n"))).groupBy(F.col("key").alias("k"))
              .agg(F.collect_list(F.struct("low", "size")).alias("parts")))
     single = _against_first(windows(dealt.join(parts, F.col("key") == F.col("k")), length))
-    single = single.filter(~is_first).select("key", "low", F.lit(length).alias("size"))
+    single = single.filter(is_later).select("key", "low", F.lit(length).alias("size"))
     return whole.unionByName(single)
 
 
@@ -238,15 +239,16 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_t
         raise ValueError("gram must be 1 to length")
     small_batches(docs.sparkSession)
     texts = docs.select(doc_key().alias("key"), text_of().alias("text"))
-    spans = repeats(texts, length, gram).groupBy(F.col("key").alias("k")).agg(
+    dealt = packed(texts)
+    spans = repeats(texts, dealt, length, gram).groupBy(F.col("key").alias("k")).agg(
         F.collect_list(F.struct("low", "size")).alias("spans"))
-    rows = texts.repartition("key").join(spans, F.col("key") == F.col("k"), "left")
+    rows = dealt.join(spans, F.col("key") == F.col("k"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
         for b in batches:
-            done = [_kept(t.as_py(), [(s["low"], s["size"]) for s in (found.as_py() or ())])
-                    for t, found in zip(b.column(1), b.column(2))]
+            done = [_kept(t, [(s["low"], s["size"]) for s in (found.as_py() or ())])
+                    for t, found in zip(unpacked(b.column(1)), b.column(2))]
             cols = [b.column(0), pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
                     pa.array([sha256(d[2]).hexdigest() for d in done], pa.string())]
             if with_text:
@@ -255,7 +257,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_t
 
     names = ["key", "n_words", "n_removed", "kept_sha256"] + (["kept"] if with_text else [])
     schema = "key bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept binary" if with_text else "")
-    out = rows.select("key", F.col("text").cast("binary"), "spans").mapInArrow(run, schema)
+    out = rows.select("key", "packed", "spans").mapInArrow(run, schema)
     return out.withColumn("kept", F.col("kept").cast("string")) if with_text else out
 
 
