@@ -38,7 +38,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": _driver_memory()})
+                          extra={"spark.driver.memory": _driver_memory(),
+                                 # The tables are small: small splits use all cores.
+                                 "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "64k"})
     qs = registry.queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(qs)
     times: dict[str, float] = {}
