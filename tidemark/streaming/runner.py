@@ -14,20 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import hadoop_path, pin_utc, remove_at_end, shared_dir
-
-
-def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A driver table replayed as a file stream (schema taken from the file)."""
-    pin_utc(spark)
-    base = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{base}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("basePath", base)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # A one-file glob: the file source wants a directory or a pattern, not a file.
-    return r.parquet(f"{base}/{name}.parque[t]")
+from tidemark.session import hadoop_path, remove_at_end, shared_dir
 
 
 def replay(spark: SparkSession, events: DataFrame, after: Sequence[DataFrame] = (), parts: int = 5,
