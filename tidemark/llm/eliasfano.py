@@ -10,32 +10,27 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from functools import cached_property
 
 import numpy as np
 
 ONE = np.uint64(1)
 
 
-def _select_in_word(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the one number ``rank`` (from 0) in each 64-bit word."""
-    at = np.zeros(len(words), np.uint64)
-    rank = rank.astype(np.uint64)
-    for width in (32, 16, 8, 4, 2, 1):
-        w = np.uint64(width)
-        half = np.bitwise_count((words >> at) & ((ONE << w) - ONE)).astype(np.uint64)
-        right = half <= rank
-        rank = np.where(right, rank - half, rank)
-        at = np.where(right, at + w, at)
-    return at
-
-
 class EliasFano:
     """A read-only non-decreasing sequence; ``get`` reads any members."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        self.ones = np.zeros(len(high) + 1, np.int64)
-        np.cumsum(np.bitwise_count(high), out=self.ones[1:])
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        """Directory: where the ones of the high bits are, made when first asked."""
+        parts = []
+        for at in range(0, len(self.high), 1 << 14):
+            bits = np.unpackbits(self.high[at:at + (1 << 14)].view(np.uint8), bitorder="little")
+            parts.append((np.flatnonzero(bits) + (at << 6)).astype(np.uint32))
+        return np.concatenate(parts)
 
     @staticmethod
     def parts(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -67,9 +62,7 @@ class EliasFano:
         i = np.asarray(i, np.int64)
         if not len(i):
             return np.empty(0, np.int64)
-        word = np.searchsorted(self.ones, i, side="right") - 1
-        place = (word << 6) + _select_in_word(self.high[word], i - self.ones[word]).astype(np.int64)
-        out = (place - i) << self.low_bits
+        out = (self.ones[i].astype(np.int64) - i) << self.low_bits
         if self.low_bits:
             bit = i * self.low_bits
             shift = (bit & 63).astype(np.uint64)

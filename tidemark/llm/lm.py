@@ -41,8 +41,8 @@ SYMBOLS = 1 << BITS
 RARE, BEGIN, END, FIRST = 0, 1, 2, 3
 KNOWN = 1 << 18             # most frequent words whose counts every task has
 HOT = 1 << 16
-SHARD_TOKENS = 2_000_000    # corpus tokens a shard of level 3
-BATCH = 8 << 20             # bytes of text whose triples are sorted together
+SHARD_TOKENS = 4_000_000    # corpus tokens a shard of level 3
+BATCH = 3 << 20             # bytes of text whose triples are sorted together
 ALPHA = 0.1                 # added to a word's count
 HELD_OUT = 10               # documents whose crc32 leaves 0 by this are not learned from
 LEAST_PROBABILITY = 1e-300
@@ -84,17 +84,19 @@ class Vocabulary:
         self.words, self.counts, self.symbols = arrays["words"], arrays["counts"], arrays["symbols"]
         top = (self.words >> np.uint64(46)).astype(np.int64)
         self.starts = np.searchsorted(top, np.arange((1 << 18) + 1))
-        self.steps = int(np.diff(self.starts).max()) if len(self.words) else 0
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each word, or -1."""
         bucket = (hashes >> np.uint64(46)).astype(np.int64)
-        first, last = self.starts[bucket], self.starts[bucket + 1]
+        at, last = self.starts[bucket], self.starts[bucket + 1]
         out = np.full(len(hashes), -1, np.int64)
-        for k in range(self.steps):
-            at = np.minimum(first + k, len(self.words) - 1)
-            hit = (first + k < last) & (self.words[at] == hashes)
-            out[hit] = at[hit]
+        open_ = np.flatnonzero(at < last)
+        while len(open_):
+            here = at[open_]
+            hit = self.words[here] == hashes[open_]
+            out[open_[hit]] = here[hit]
+            at[open_] += 1
+            open_ = open_[~hit & (here + 1 < last[open_])]
         return out
 
 
@@ -244,13 +246,13 @@ def pair_counts(triples: DataFrame) -> DataFrame:
                 # The counts of counts ride along on a pair that no text has.
                 extra = np.array([-1, -2]), np.array([(c == 1).sum(), (c == 2).sum()])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([context[real], ended, extra[0]])),
+                    [pa.array(np.concatenate([context[real], ended, extra[0]]).astype(np.int32)),
                      pa.array(np.concatenate([total[real], ends, extra[1]])),
-                     pa.array(np.concatenate([followers[real], np.zeros(len(ended) + 2, np.int64)]))],
+                     pa.array(np.concatenate([followers[real], np.zeros(len(ended) + 2, np.int64)]).astype(np.int32))],
                     ["pair", "n", "followers"])
 
-    rows = triples.select("n", "block").mapInArrow(run, "pair bigint, n bigint, followers bigint")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("followers").alias("followers"))
+    rows = triples.select("n", "block").mapInArrow(run, "pair int, n bigint, followers int")
+    return rows.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("followers").cast("int").alias("followers"))
 
 
 def _discount(once: int, twice: int) -> float:
@@ -319,8 +321,8 @@ def build_head(pairs: pa.Table, vocabulary: dict[str, np.ndarray], n: int, disti
     after = pairs.column("followers").to_numpy()
     extra = dict(zip(pair[pair < 0].tolist(), count[pair < 0].tolist()))
     real = pair >= 0
-    order = np.argsort(pair[real])
-    pair, count, after = pair[real][order], count[real][order], after[real][order]
+    order = np.flatnonzero(real)[np.argsort(pair[real])]
+    pair, count, after = pair[order], count[order], after[order]
     parent, child = pair >> BITS, pair & (SYMBOLS - 1)
     total = np.bincount(parent, count, SYMBOLS)
     kinds = np.bincount(parent, minlength=SYMBOLS)
@@ -339,12 +341,15 @@ def build_head(pairs: pa.Table, vocabulary: dict[str, np.ndarray], n: int, disti
     d2 = _discount(int((count == 1).sum()), int((count == 2).sum()))
     d3 = _discount(extra.get(-1, 0), extra.get(-2, 0))
     left = np.where(total > 0, d2 * kinds / np.maximum(total, 1), 1.0)
-    p2 = (np.maximum(count - d2, 0) / np.maximum(total[parent], 1)) + left[parent] * first[child]
-    weight = np.where(after > 0, d3 * after / np.maximum(count, 1), 1.0)
-    return (_rows_of_children(parent, child, SYMBOLS, "pairs")
-            | EliasFano.parts(np.append(0, np.cumsum(count)), "totals")
-            | EliasFano.parts(np.append(0, np.cumsum(after)), "followers")
-            | quantised(np.log10(p2), "pair") | quantised(np.log10(weight), "weight")
+    p2 = ((np.maximum(count - d2, 0) / np.maximum(total[parent], 1)) + left[parent] * first[child]).astype(np.float32)
+    out = quantised(np.log10(p2), "pair")
+    weight = np.where(after > 0, d3 * after / np.maximum(count, 1), 1.0).astype(np.float32)
+    out |= quantised(np.log10(weight), "weight")
+    del p2, weight
+    out |= EliasFano.parts(np.append(0, np.cumsum(count)), "totals")
+    out |= EliasFano.parts(np.append(0, np.cumsum(after, dtype=np.int64)), "followers")
+    del count, after
+    return (out | _rows_of_children(parent, child, SYMBOLS, "pairs")
             | {"first": np.log10(first), "backoff": np.log10(left),
                "numbers": np.array([d3, np.log10(every), np.log10(mass[RARE])])})
 
@@ -391,8 +396,7 @@ class Model:
 
     tokens: int              # tokens learned from
     shards: int
-    counts: DataFrame        # (word, n) of the words no task has
-    levels: DataFrame        # (shard, levels)
+    levels: DataFrame        # (shard, levels, n, words): level 3, and the words no task has
     vocabulary: Broadcast
     head: Broadcast
 
@@ -413,8 +417,8 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     shared = spark.sparkContext.broadcast(to_bytes(vocabulary))
     shards = max(1, -(-n // shard_tokens))
     triples = saved(triple_counts(texts, shared, shards), "lm-triples")
-    pairs = pair_counts(triples).toArrow()
-    arrays = build_head(pairs, vocabulary, n, distinct, documents)
+    # At most SYMBOLS^2 rows of 16 bytes, whatever the corpus.
+    arrays = build_head(pair_counts(triples).toArrow(), vocabulary, n, distinct, documents)
     first = spark.sparkContext.broadcast(to_bytes(arrays))
     levels = saved(build_shards(triples, first, max(2, -(-n // HOT))), "lm-levels")
     hot = levels.select(F.explode(F.arrays_zip("hot", "gain")).alias("h")).select("h.*").toArrow()
@@ -424,165 +428,206 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
                                                            "ends": np.array([documents])}))
     rest = counts
     if len(word):
-        least = int(often.min())
-        rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(least)) * 64))
-    return Model(n, shards, rest, levels.select("shard", "levels"), shared, head)
+        rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(int(often.min()))) * 64))
+    none = F.lit(None)
+    dealt = levels.select("shard", "levels", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
+        saved(_word_shards(rest, shards), "lm-rest").select("shard", none.cast("binary").alias("levels"), "n", "words"))
+    return Model(n, shards, dealt, shared, head)
 
 
-def _scan(rows: DataFrame, model: Model, what: str) -> DataFrame:
-    """One pass over (key, sub, text): ``what`` is ``texts`` (sums of what the
-    tasks know), ``words`` (words they do not know) or ``triples`` (for the shards)."""
-    schema = {"texts": "key bigint, sub int, n_tokens bigint, n_known bigint, base double, score double",
-              "words": "word bigint, key bigint, sub int, n int",
-              "triples": "shard int, n int, refs int, block binary, places binary, texts binary"}[what]
-    vocabulary, head, shards = model.vocabulary, model.head, model.shards
+def _word_shards(counts: DataFrame, shards: int) -> DataFrame:
+    """(shard, n, words): the words of each shard in order, with their counts."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shard = _shard(b.column(0).to_numpy(zero_copy_only=False), shards)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *b.columns], ["shard", "word", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, h = Vocabulary(mapped(vocabulary.value)), Head(mapped(head.value))
-        for (keys, subs), s in _streams(batches, v, 2):
-            if what == "words":
-                yield _unknown_words(s, keys, subs)
-                continue
-            x, n = s.symbols, len(s.sizes)
-            pair = (x[:-1] << BITS) | x[1:]                    # of a token with the one before
-            distinct, back = np.unique(pair, return_inverse=True)
-            place = h.place(distinct)
-            log_pair, place = h.pair_log(place, distinct)[back], place[back]
-            token = np.flatnonzero(x[1:] != BEGIN)             # pairs that end in a token
-            later = token[x[token] != BEGIN]                   # those with a pair before them
-            context = place[later - 1]
-            asked = (context >= 0) & (place[later] >= 0)
-            ask, context_asked = later[asked], context[asked]
-            child = place[ask] - h.pairs.pointers.get(np.arange(SYMBOLS))[x[ask]]
-            query = (context_asked << BITS) | child
-            hot = np.searchsorted(h.hot, query)
-            is_hot = np.zeros(len(query), bool)
-            if len(h.hot):
-                hot = np.minimum(hot, len(h.hot) - 1)
-                is_hot = h.hot[hot] == query
-            if what == "triples":
-                cold = ask[~is_hot]
-                triple = (x[cold - 1] << 2 * BITS) | pair[cold]
-                yield _questions(query[~is_hot], _shard(triple, shards), s.text[cold + 1], keys, subs)
-                continue
-            text = s.text[1:]
-            score = np.bincount(text[token], log_pair[token], n)
-            score += np.bincount(text[later], h.context_log(context), n)
-            if len(h.hot):
-                score += np.bincount(text[ask[is_hot]], h.arrays["hot_gain"][hot[is_hot]], n)
-            known = s.places >= 0
-            of = s.word_text
-            own = np.zeros(len(of))
-            own[known] = np.log10(v.counts[s.places[known]] + ALPHA)
-            ends = int(h.arrays["ends"][0])
-            base = np.bincount(of, own, n) + np.log10(ends + ALPHA) - (s.sizes + 1) * h.log_all
-            rare = s.symbols[np.arange(len(of)) + 2 * of + 1] == RARE
-            score += np.bincount(of[rare], own[rare] - h.log_rare, n)
-            n_known = np.bincount(of, known, n).astype(np.int64) + (ends > 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(subs), pa.array(s.sizes + 1), pa.array(n_known), pa.array(base), pa.array(score)],
-                ["key", "sub", "n_tokens", "n_known", "base", "score"])
+    def gather(table: pa.Table) -> pa.Table:
+        word = table["word"].to_numpy().view(np.uint64)
+        order = np.argsort(word)
+        block = _pack(word[order], table["n"].to_numpy()[order])
+        return pa.table({"shard": table["shard"][:1], "n": pa.array([len(word)], pa.int32()), "words": pa.array([block], pa.binary())})
 
-    return rows.select("key", "sub", F.col("text").cast("binary")).mapInArrow(run, schema)
+    dealt = counts.select("word", "n").mapInArrow(deal, "shard int, word bigint, n bigint")
+    return dealt.groupBy("shard").applyInArrow(gather, "shard int, n int, words binary")
 
 
-def _unknown_words(s: Stream, keys: np.ndarray, subs: np.ndarray) -> pa.RecordBatch:
-    out = np.flatnonzero(s.places < 0)
-    order = out[np.lexsort((s.hashes[out], s.word_text[out]))]
-    word, of = s.hashes[order], s.word_text[order]
-    at = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (of[1:] != of[:-1]))) if len(order) else np.empty(0, np.int64)
-    n = np.diff(np.append(at, len(order)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(word[at].view(np.int64)), pa.array(keys[of[at]]), pa.array(subs[of[at]]), pa.array(n.astype(np.int32))],
-        ["word", "key", "sub", "n"])
+ASKED = [("batch", pa.int64()), ("shard", pa.int32()), ("n", pa.int32()), ("refs", pa.int32()), ("block", pa.binary()),
+         ("places", pa.binary()), ("n_words", pa.int32()), ("words", pa.binary()), ("own", pa.binary())]
+ANSWERED = [("batch", pa.int64()), ("n", pa.int32()), ("gains", pa.binary()), ("n_words", pa.int32()), ("logs", pa.binary()),
+            ("own", pa.binary())]
 
 
-def _questions(query: np.ndarray, shard: np.ndarray, text: np.ndarray, keys: np.ndarray, subs: np.ndarray) -> pa.RecordBatch:
-    """A row a shard: distinct queries, how many texts ask each, and which."""
-    order = np.lexsort((text, query))
+def questions(rows: DataFrame, model: Model) -> DataFrame:
+    """What batches of (key, text) rows ask of each shard: a row for a batch and
+    a shard. One row of each batch carries what needs no shard."""
+    vocabulary, head, shards = model.vocabulary, model.head, model.shards
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        v, h = Vocabulary(mapped(vocabulary.value)), Head(mapped(head.value))
+        part = TaskContext.get().partitionId() << 32
+        for i, ((keys,), s) in enumerate(_streams(batches, v, 1)):
+            own, query, triple, text = _known(s, v, h)
+            yield _asked(part + i, query, _shard(triple, shards), text, s, own | {"key": keys}, shards)
+
+    schema = ("batch bigint, shard int, n int, refs int, block binary, places binary, n_words int, words binary, own binary")
+    return rows.select("key", F.col("text").cast("binary")).mapInArrow(run, schema)
+
+
+def _known(s: Stream, v: Vocabulary, h: Head) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Sums by text of what levels 1 and 2 tell, and the triples to be asked:
+    (context and child, triple, text)."""
+    x, n = s.symbols, len(s.sizes)
+    pair = (x[:-1] << BITS) | x[1:]                    # of a token with the one before
+    distinct, back = np.unique(pair, return_inverse=True)
+    place = h.place(distinct)
+    log_pair, place = h.pair_log(place, distinct)[back], place[back]
+    token = np.flatnonzero(x[1:] != BEGIN)             # pairs that end in a token
+    later = token[x[token] != BEGIN]                   # those with a pair before them
+    context = place[later - 1]
+    asked = (context >= 0) & (place[later] >= 0)
+    ask = later[asked]
+    child = place[ask] - h.pairs.pointers.get(np.arange(SYMBOLS))[x[ask]]
+    query = (context[asked] << BITS) | child
+    hot, is_hot = np.searchsorted(h.hot, query), np.zeros(len(query), bool)
+    if len(h.hot):
+        hot = np.minimum(hot, len(h.hot) - 1)
+        is_hot = h.hot[hot] == query
+    text = s.text[1:]
+    score = np.bincount(text[token], log_pair[token], n) + np.bincount(text[later], h.context_log(context), n)
+    if len(h.hot):
+        score += np.bincount(text[ask[is_hot]], h.arrays["hot_gain"][hot[is_hot]], n)
+    known, of = s.places >= 0, s.word_text
+    log = np.zeros(len(of))
+    log[known] = np.log10(v.counts[s.places[known]] + ALPHA)
+    ends = int(h.arrays["ends"][0])
+    base = np.bincount(of, log, n) + np.log10(ends + ALPHA) - (s.sizes + 1) * h.log_all
+    rare = s.symbols[np.arange(len(of)) + 2 * of + 1] == RARE
+    score += np.bincount(of[rare], log[rare] - h.log_rare, n)
+    n_known = np.bincount(of, known, n).astype(np.int64) + (ends > 0)
+    cold = ask[~is_hot]
+    sums = {"n_tokens": s.sizes + 1, "n_known": n_known, "base": base, "score": score}
+    return sums, query[~is_hot], (x[cold - 1] << 2 * BITS) | pair[cold], text[cold]
+
+
+def _asked(batch: int, query: np.ndarray, shard: np.ndarray, text: np.ndarray, s: Stream,
+           own: dict[str, np.ndarray], shards: int) -> pa.RecordBatch:
+    """A row a shard: distinct queries, how many texts ask each and which (their
+    numbers in the batch); words likewise."""
+    order = np.argsort((query << 24) | text)           # a batch has far fewer than 2^24 texts
     query, shard, text = query[order], shard[order], text[order]
-    rows = []
-    for k, at in _by_shard(shard):
-        q, t = query[at], text[at]
-        new = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
-        times = np.diff(np.append(new, len(q)))
-        used, ref = np.unique(t, return_inverse=True)
-        order = np.argsort(keys[used], kind="stable")          # ids rise, so their steps are small
-        rank = np.empty(len(used), np.int64)
-        rank[order] = np.arange(len(used))
-        rows.append((k, len(new), len(q), _pack(q[new].astype(np.uint64), times.astype(np.uint32)),
-                     _pack(np.zeros(len(q), np.uint8), rank[ref].astype(np.uint32)),
-                     len(used).to_bytes(4, "little") + _pack(keys[used][order].astype(np.int64), subs[used][order].astype(np.int32))))
-    kinds = [("shard", pa.int32()), ("n", pa.int32()), ("refs", pa.int32()), ("block", pa.binary()),
-             ("places", pa.binary()), ("texts", pa.binary())]
+    triples = dict(_by_shard(shard))
+    new = np.flatnonzero(s.places < 0)
+    new = new[np.argsort(s.hashes[new], kind="stable")]
+    word, asks = s.hashes[new], s.word_text[new]
+    words_of = dict(_by_shard(_shard(word, shards)))
+    home = batch % shards                              # any shard will do for the sums
+    rows, none = [], np.empty(0, np.int64)
+    for k in sorted({home, *triples, *words_of}):
+        a, b = triples.get(k, none), words_of.get(k, none)
+        q, w = query[a], word[b]
+        at, times = _groups(q)
+        word_at, word_times = _groups(w)
+        ref = np.concatenate([text[a], asks[b]]).astype(np.uint32)
+        rows.append((batch, k, len(at), len(ref), _pack(q[at].astype(np.uint64), times), _pack(np.zeros(len(ref), np.uint8), ref),
+                     len(word_at), _pack(w[word_at], word_times), to_bytes(own) if k == home else None))
+    return _batch(rows, ASKED)
+
+
+def _batch(rows: list[tuple], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)],
                                       [name for name, _ in kinds])
 
 
-def _answers(asked: pa.Table, levels: pa.Table) -> pa.Table:
-    """(key, sub, gain): the gains of one shard's triples, summed by text."""
-    out = []
-    if len(asked) and len(levels):
-        arrays = mapped(levels["levels"][0].as_py())
-        contexts, triples = EliasFano.of(arrays, "contexts"), Children(arrays, "triples")
-        blocks = [_unpack(b.as_py(), n.as_py(), np.uint64, np.uint32) for b, n in zip(asked["block"], asked["n"])]
-        distinct, back = np.unique(np.concatenate([b[0] for b in blocks]).astype(np.int64), return_inverse=True)
-        context = distinct >> BITS
-        none, every = np.zeros(len(distinct), np.int64), np.full(len(distinct), contexts.n)
-        parent = contexts.find(none, every, context)
-        there = parent < contexts.n
-        there[there] = contexts.get(parent[there]) == context[there]
-        gain = np.zeros(len(distinct))
-        found = triples.find(parent[there], distinct[there] & (SYMBOLS - 1))
-        got = np.zeros(len(found))
-        got[found >= 0] = read_quantised(arrays, "gain", found[found >= 0])
-        gain[there] = got
-        at = 0
-        for (q, times), refs, places, texts in zip(blocks, asked["refs"], asked["places"], asked["texts"]):
-            mine = np.repeat(gain[back[at:at + len(q)]], times)
-            at += len(q)
-            _, ref = _unpack(places.as_py(), refs.as_py(), np.uint8, np.uint32)
-            raw = texts.as_py()
-            n = int.from_bytes(raw[:4], "little")
-            key, sub = _unpack(raw[4:], n, np.int64, np.int32)
-            total = np.bincount(ref, mine, n)
-            out.append(pa.RecordBatch.from_arrays([pa.array(key), pa.array(sub), pa.array(total)], ["key", "sub", "gain"]))
-    schema = pa.schema([("key", pa.int64()), ("sub", pa.int32()), ("gain", pa.float64())])
-    return pa.Table.from_batches(out, schema) if out else schema.empty_table()
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where equal values begin, and how many there are."""
+    if not len(values):
+        return np.empty(0, np.int64), np.empty(0, np.uint32)
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return at, np.diff(np.append(at, len(values))).astype(np.uint32)
+
+
+def _gains(query: np.ndarray, levels: dict[str, np.ndarray] | None) -> np.ndarray:
+    """The gain of each (context, child), 0 for triples that were not seen."""
+    gain = np.zeros(len(query))
+    if levels is None or not len(query):
+        return gain
+    contexts, triples = EliasFano.of(levels, "contexts"), Children(levels, "triples")
+    if not contexts.n:
+        return gain
+    context = query >> BITS
+    here, place = np.unique(context, return_inverse=True)
+    parent = contexts.find(np.zeros(len(here), np.int64), np.full(len(here), contexts.n), here)
+    parent = np.where((parent < contexts.n) & (contexts.get(np.minimum(parent, contexts.n - 1)) == here), parent, -1)[place]
+    there = np.flatnonzero(parent >= 0)
+    found = triples.find(parent[there], query[there] & (SYMBOLS - 1))
+    gain[there[found >= 0]] = read_quantised(levels, "gain", found[found >= 0])
+    return gain
+
+
+def _answers(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """What one shard answers: sums by text, a row for each batch that asks."""
+    levels, known_words, counts = None, np.empty(0, np.uint64), np.empty(0, np.int64)
+    for block, n, packed_words in zip(held["levels"], held["n"], held["words"]):
+        if block.is_valid:
+            levels = mapped(block.as_py())
+        elif n.as_py():
+            known_words, counts = _unpack(packed_words.as_py(), n.as_py(), np.uint64, np.int64)
+    blocks = [_unpack(b.as_py(), n.as_py(), np.uint64, np.uint32) for b, n in zip(asked["block"], asked["n"])]
+    every = np.concatenate([q for q, _ in blocks]) if blocks else np.empty(0, np.uint64)
+    distinct, back = np.unique(every.astype(np.int64), return_inverse=True)
+    gains, at, rows = _gains(distinct, levels), 0, []       # a triple is looked up once, whoever asks
+    for (q, times), *r in zip(blocks, *(asked[name] for name, _ in ASKED)):
+        batch, _, _, refs, _, places, n_words, word_block, own = (x.as_py() for x in r)
+        gain = np.repeat(gains[back[at:at + len(q)]], times)
+        at += len(q)
+        w, word_times = _unpack(word_block, n_words, np.uint64, np.uint32)
+        spot = np.minimum(np.searchsorted(known_words, w), max(len(known_words) - 1, 0))
+        hit = known_words[spot] == w if len(known_words) else np.zeros(len(w), bool)
+        c = np.where(hit, counts[spot] if len(known_words) else 0, 0)
+        _, ref = _unpack(places, refs, np.uint8, np.uint32)
+        by_gain, by_word = ref[:len(gain)], ref[len(gain):]
+        texts = np.flatnonzero(np.bincount(by_gain))
+        texts_w = np.flatnonzero(np.bincount(by_word))
+        rows.append((batch, len(texts), _pack(texts.astype(np.uint32), np.bincount(by_gain, gain)[texts].astype(np.float32)),
+                     len(texts_w), _pack(texts_w.astype(np.uint32),
+                                         np.bincount(by_word, np.repeat(np.log10(c + ALPHA), word_times))[texts_w],
+                                         np.bincount(by_word, np.repeat(hit, word_times))[texts_w].astype(np.uint32)), own))
+    return pa.Table.from_batches([_batch(rows, ANSWERED)])
+
+
+def _together(table: pa.Table) -> pa.Table:
+    """The texts of one batch with all their sums."""
+    own = next(mapped(o.as_py()) for o in table["own"] if o.is_valid)
+    base, score, known = (np.array(own[name]) for name in ("base", "score", "n_known"))
+    # In a fixed order, so that reruns add up the same numbers alike.
+    for i in np.lexsort((table["n_words"].to_numpy(), table["n"].to_numpy())).tolist():
+        n, gains, n_words, logs = (table[name][i].as_py() for name in ("n", "gains", "n_words", "logs"))
+        texts, gain = _unpack(gains, n, np.uint32, np.float32)
+        score[texts] += gain
+        texts, log, hits = _unpack(logs, n_words, np.uint32, np.float64, np.uint32)
+        base[texts] += log
+        score[texts] += log
+        known[texts] += hits
+    return pa.table({"key": np.array(own["key"]), "n_tokens": np.array(own["n_tokens"]), "n_known": known,
+                     "base_score": base, "score": score})
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """key, sub, n_tokens, n_known, base_score and score of every row.
+    """key, n_tokens, n_known, base_score and score of every row.
 
     Null text counts as empty: one token, the end. A null id counts as the
-    smallest. Rows are told apart by id and a hash of the text (``sub``);
-    repeated rows each get their row. With nothing learned every token is as likely as
-    any, score 0. An empty table gives no rows. Columns beside doc_id and
-    text are not read.
+    smallest. Repeated rows each get their row. With nothing learned every token is as
+    likely as any, score 0. An empty table gives no rows. Columns beside doc_id
+    and text are not read.
     """
     small_batches(docs.sparkSession)
-    sub = F.xxhash64(text_of()).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    rows = docs.select(doc_key().alias("key"), sub.alias("sub"), text_of().alias("text"))
-    own = _scan(rows, model, "texts").groupBy("key", "sub", "n_tokens", "n_known", "base", "score").agg(F.count("*").alias("rows"))
-    log = F.log10(F.coalesce(F.col("c"), F.lit(0)) + ALPHA)
-    named = (_scan(rows, model, "words").join(model.counts.select(F.col("word").alias("w"), F.col("n").alias("c")),
-                                              F.col("word") == F.col("w"), "left")
-             .select("key", "sub", F.lit(0.0).alias("gain"), (F.col("n") * log).alias("log"),
-                     F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0).cast("bigint").alias("known")))
-    asked = _scan(rows, model, "triples").groupBy("shard")
-    answered = asked.cogroup(model.levels.groupBy("shard")).applyInArrow(_answers, "key bigint, sub int, gain double")
-    more = (named.unionByName(answered.select("key", "sub", "gain", F.lit(0.0).alias("log"), F.lit(0).cast("bigint").alias("known")))
-            .groupBy(F.col("key").alias("k"), F.col("sub").alias("h"))
-            .agg(F.sum("gain").alias("gain"), F.sum("log").alias("log"), F.sum("known").alias("known")))
-    met = own.join(more, (F.col("key") == F.col("k")) & (F.col("sub") == F.col("h")), "left")
-
-    def each(name: str):   # equal rows asked together
-        return F.coalesce(F.col(name), F.lit(0)) / F.col("rows")
-
-    return (met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-            .select("key", "sub", "n_tokens", (F.col("n_known") + each("known")).cast("bigint").alias("n_known"),
-                    (F.col("base") + each("log")).alias("base_score"),
-                    (F.col("score") + each("log") + each("gain")).alias("score")))
+    rows = docs.select(doc_key().alias("key"), text_of().alias("text"))
+    answered = questions(rows, model).groupBy("shard").cogroup(model.levels.groupBy("shard")).applyInArrow(
+        _answers, "batch bigint, n int, gains binary, n_words int, logs binary, own binary")
+    return answered.groupBy("batch").applyInArrow(
+        _together, "key bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
