@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir, pin_utc
+from tidemark.session import ensure_checkpoint_dir, pin_utc, remove_at_end
 
 # The white space and word classes of the query contracts.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -48,8 +48,11 @@ def text_of(col: str = "text") -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder, for a written table."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder, for a written table; it
+    goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
