@@ -3,13 +3,14 @@ import re
 from collections import Counter
 
 import numpy as np
-from brute import near_components, sha
+from brute import near_components, sha, table
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
 from tidemark.llm import language_id, mixing
 from tidemark.llm.bpe import default_path
+from tidemark.llm.common import saved
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,3 +42,33 @@ def test_matches_brute_force(spark):
         if copies[d]:
             want[row] = copies[d]
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect()) == want
+
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+ODD = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, None, None, None, None), (3, "the cat and the dog", "en", "a", 5),
+       (3, "the cat and the dog", "en", "a", 5), (4, "le chien et le chat", "fr", None, None), (None, "le chien", None, "b", 1),
+       (5, "12 34", "en", "b", 5), (6, "the dog " * 30000, "en", "b", 1), (7, "THE CAT\tand the dog", "en", "c", 2)]
+
+
+def staged(spark, docs):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = saved(stage(spark, docs, SF), name)
+        out.append(docs)
+    return out
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls everywhere, repeated rows, a long text and clashing column names."""
+    docs = table(spark, ODD, COLUMNS)
+    out = staged(spark, docs)
+    assert all(d.columns == docs.columns for d in out[:-1])
+    texts = [sorted(r.text for r in d.collect()) for d in out[:3]]
+    assert len(texts[0]) == 6 and "12 34" not in texts[0]            # no letter: rejected
+    assert len(texts[1]) == 5 and len(texts[2]) == 4                 # copies go, then near copies
+    assert out[4].count() == out[3].count()
+
+
+def test_stages_on_an_empty_table(spark):
+    out = staged(spark, table(spark, [], COLUMNS))
+    assert [d.count() for d in out] == [0] * 5
