@@ -74,15 +74,17 @@ def exact_dedup(docs: DataFrame, digest_bits: int = 256, files_per_batch: int =
     spark = docs.sparkSession
     landing = scratch(spark, "dedup-landing")
     sha = F.sha2(F.col("norm"), 256)
-    (docs.select(doc_key().alias("key"), normalised().alias("norm"), F.input_file_name().alias("file"))
-     .select("key", sha.alias("text_sha256"), F.substring(sha, 1, digest_bits // 4).alias("digest"),
-             F.octet_length("norm").cast("bigint").alias("bytes"), "file")
-     .write.parquet(landing))
-    landed = spark.read.parquet(landing)
+    records = (docs.select(doc_key().alias("key"), normalised().alias("norm"), F.input_file_name().alias("file"))
+               .select("key", sha.alias("text_sha256"), F.substring(sha, 1, digest_bits // 4).alias("digest"),
+                       F.octet_length("norm").cast("bigint").alias("bytes"), "file"))
+    records.write.parquet(landing)
+    landed = spark.read.schema(records.schema).parquet(landing)
     state = saved(run_state(landed, landing, files_per_batch), "dedup-entries")
     hits = _hits(docs, state, digest_bits)
     # A group is a digest, or else the full text of the rows whose bytes differed.
-    groups = hits.groupBy("digest", "other").agg(F.count("*").alias("group_size"), F.min("key").alias("keep_key"))
+    # Written, so that the join below has a shuffle of its own on either side and a hot digest is split.
+    groups = saved(hits.groupBy("digest", "other").agg(F.count("*").alias("group_size"), F.min("key").alias("keep_key")),
+                   "dedup-groups")
     on = (F.col("h.digest") == F.col("g.digest")) & F.col("h.other").eqNullSafe(F.col("g.other"))
     shared = hits.alias("h").join(groups.alias("g"), on).select(
         "h.key", "h.text_sha256", "g.keep_key", "g.group_size")
@@ -101,7 +103,8 @@ def _hits(docs: DataFrame, state: DataFrame, digest_bits: int) -> DataFrame:
     shared = saved(rows.join(entry, F.col("digest") == F.col("d")), "dedup-shared")
     located = (shared.filter((F.col("key") == F.col("at")) & (F.octet_length("norm") == F.col("n")))
                .groupBy("digest").agg(F.min("norm").alias("content")).withColumnRenamed("digest", "c"))
-    checked = shared.join(located, F.col("digest") == F.col("c"))
+    # Reversed, the digest tells the planner nothing: both sides are shuffled and a hot one is split.
+    checked = shared.join(located, F.reverse("digest") == F.reverse("c"))
     return saved(checked.select("key", "digest", F.sha2("norm", 256).alias("text_sha256"),
                                 F.when(F.col("norm") != F.col("content"), F.col("norm")).alias("other")), "dedup-hits")
 
