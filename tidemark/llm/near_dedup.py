@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, from_key, read_documents, saved, small_batches
+from tidemark.llm.common import apart, doc_key, from_key, read_documents, saved, small_batches
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     linked = named.join(roots, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component")
     alone = fps.join(linked, F.col("fp") == F.col("f"), "left").select(
         F.col("fp").alias("f"), F.coalesce("component", "first_key").alias("component"))
-    return rows.join(alone, F.col("fp") == F.col("f")).select("key", "text_hash", "fp", "component")
+    return rows.join(alone, apart("fp") == apart("f")).select("key", "text_hash", "fp", "component")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
