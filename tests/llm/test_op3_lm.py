@@ -73,3 +73,20 @@ def test_held_out_text_scores_above_base(spark):
     _, out = run(df)
     test = [r for r in out.values() if held(r.key, 10, 0)]
     assert sum(r.score for r in test) > sum(r.base_score for r in test)
+
+
+@pytest.mark.parametrize("known,shard_tokens", [(None, 4_000_000), (40, 4_000_000), (40, 3000), (None, 3000)])
+def test_every_word_has_its_own_n_grams(spark, monkeypatch, known, shard_tokens):
+    """More words than 4,093; rare ones with and without a number, hot ones spread over shards."""
+    if known:
+        monkeypatch.setattr(lm, "KNOWN", known)
+    rng = random.Random(5)
+    phrases = [" ".join(f"w{min(int(rng.paretovariate(0.6)), 10 ** 6)}" for _ in range(4)) for _ in range(1500)]
+    phrases += [f"r{i} s{i} t{i}" for i in range(1500)]
+    rows = [(i, " the ".join(rng.choice(phrases) for _ in range(rng.randint(0, 12)))) for i in range(500)]
+    rows += [(1000 + i, p) for i, p in enumerate(phrases[1500:])]
+    full, capped = lm_trigram(rows, 10 ** 9), lm_trigram(rows)
+    _, out = run(table(spark, rows), shard_tokens=shard_tokens)
+    for d, want in full.items():
+        assert out[d].score == pytest.approx(want, abs=0.02 * out[d].n_tokens)
+    assert sum(abs(capped[d] - full[d]) > 0.02 * out[d].n_tokens for d in full) > 500

@@ -1,24 +1,29 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a trigram model with interpolated absolute discounting. Its
-symbols are the ``SYMBOLS - 3`` most frequent words, the start and the end of
-a text, and one class of all other words; a word of that class has its share
-of the class by its own count, so every word of the corpus counts.
-
-The trie's levels are Elias-Fano sequences. Level 1 (symbols) points into level 2
-(pairs), level 2 into level 3 (triples), with monotone pointers. A node's
-children are stored relative to it: a child of level 2 as a symbol, a child of
-level 3 as its place among the followers of its context's last symbol, each
-row of children carried on from the one before, so that a level is one
-monotone sequence; a query looks for the child among its context's
-successors. Smoothed probabilities and back-off weights have eight bits. Tasks
-map the levels from a file.
-
-Levels 1 and 2 have at most SYMBOLS^2 nodes, whatever the corpus; they go to
-every task. Level 3 and the counts of words grow with the corpus; they are dealt
-by hash over shards of the corpus's size, and the triples of the documents are
-sent there to be answered. Triples above 1/HOT of all are answered before:
-there are at most HOT of them.
+The model is a trigram model with interpolated absolute discounting over all
+words of the corpus. The most frequent words are numbered and known to every
+task; any other word is its hash. A token c after a b is scored by a sum,
+
+    log P(c | a b) = L(c) + W(b) + G(b c) + W(a b) + G(a b c),
+
+its share of all tokens, then what each n-gram that was seen adds: W is the
+mass that a context leaves to what it was not seen with, G the gain of a seen
+n-gram over the back-off. N-grams that were not seen add nothing.
+
+The n-grams are dealt over shards of the corpus's size by the middle word b of
+their triple, so a shard knows all that begins or ends with its words. A word of
+more than 1 / HOT of a shard would be too much for one: its triples are dealt by
+(a, b), those of BEGIN by c, and its pairs (b, c) are summed up by c, as are the
+counts of the words without a number. Tasks sum up triples before anything is
+shuffled; nothing but the numbered words and the hot words' totals, both of a
+bounded number, passes through the driver.
+
+A shard's trie has Elias-Fano sequences: its symbols; the words b; their
+followers c and their contexts a as children of b; the triples as children of a
+context, each as its place among the followers of b. Children are stored relative
+to their parent and carried on from row to row, so that a level is one monotone
+sequence, with monotone pointers. Gains and weights have eight bits. The
+distinct triples of the documents are sent to the shards to be answered.
 """
 
 from __future__ import annotations
@@ -36,16 +41,17 @@ from tidemark.llm.common import doc_key, from_key, held_out, read_documents, sav
 from tidemark.llm.eliasfano import EliasFano, mapped, quantised, read_quantised, to_bytes
 from tidemark.llm.words import joined, mixed, words
 
-BITS = 12
+BITS = 20
 SYMBOLS = 1 << BITS
-RARE, BEGIN, END, FIRST = 0, 1, 2, 3
-KNOWN = 1 << 18             # most frequent words whose counts every task has
-HOT = 1 << 16
-SHARD_TOKENS = 4_000_000    # corpus tokens a shard of level 3
+BEGIN, END, FIRST = 1, 2, 3      # 0 stands before BEGIN
+RARE = 1 << 62              # a word without a number is this bit and its hash
+KNOWN = SYMBOLS - FIRST     # most frequent words, which are numbered
+HOT = 4
+SHARD_TOKENS = 4_000_000    # corpus tokens a shard
 BATCH = 3 << 20             # bytes of text whose triples are sorted together
+HELD = 3_000_000            # distinct triples a task sums up at once
 ALPHA = 0.1                 # added to a word's count
 HELD_OUT = 10               # documents whose crc32 leaves 0 by this are not learned from
-LEAST_PROBABILITY = 1e-300
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -77,17 +83,22 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[at], np.add.reduceat(counts, at)
 
 
+def _rare(hashes: np.ndarray) -> np.ndarray:
+    """The symbols of words without a number; they rise with the hashes."""
+    return (hashes >> np.uint64(2)).astype(np.int64) | RARE
+
+
 class Vocabulary:
     """Counts and symbols of the most frequent words, found by their hashes."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.words, self.counts, self.symbols = arrays["words"], arrays["counts"], arrays["symbols"]
-        top = (self.words >> np.uint64(46)).astype(np.int64)
-        self.starts = np.searchsorted(top, np.arange((1 << 18) + 1))
+        top = (self.words >> np.uint64(64 - BITS)).astype(np.int64)
+        self.starts = np.searchsorted(top, np.arange(SYMBOLS + 1))
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each word, or -1."""
-        bucket = (hashes >> np.uint64(46)).astype(np.int64)
+        bucket = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
         at, last = self.starts[bucket], self.starts[bucket + 1]
         out = np.full(len(hashes), -1, np.int64)
         open_ = np.flatnonzero(at < last)
@@ -114,9 +125,8 @@ class Stream:
         self.text = np.repeat(np.arange(n), self.sizes + 2)
         begin = first[:-1] + 2 * np.arange(n)
         self.symbols[begin], self.symbols[begin + self.sizes + 1] = BEGIN, END
-        known = np.where(self.places >= 0, vocabulary.symbols[self.places] if len(vocabulary.words) else RARE, RARE)
-        self.symbols[np.arange(len(starts)) + 2 * self.word_text + 1] = known
-        self.begin = begin
+        known = vocabulary.symbols[self.places] if len(vocabulary.words) else 0
+        self.symbols[np.arange(len(starts)) + 2 * self.word_text + 1] = np.where(self.places >= 0, known, _rare(self.hashes))
 
 
 def _streams(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, text: int) -> Iterator[tuple]:
@@ -184,75 +194,176 @@ def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return word[order], n[order]
 
 
-def _triples(s: Stream) -> np.ndarray:
-    """Packed triples of all tokens but a text's first; an empty text gives (BEGIN, BEGIN, END)."""
+def _triples(s: Stream) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(b, a, c, text) of every token c but BEGIN, which follows a and b."""
     x = s.symbols
-    inside = np.flatnonzero(s.text[2:] == s.text[:-2]) + 2 if len(x) > 2 else np.empty(0, np.int64)
-    packed = (x[inside - 2] << 2 * BITS) | (x[inside - 1] << BITS) | x[inside]
-    empty = np.full(int((s.sizes == 0).sum()), (BEGIN << 2 * BITS) | (BEGIN << BITS) | END)
-    return np.concatenate([packed, empty])
+    at = np.flatnonzero(x != BEGIN)
+    b = x[at - 1]
+    return b, np.where(b == BEGIN, 0, x[at - 2]), x[at], s.text[at]
+
+
+def _order(b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """An order that brings equal triples together: first those of numbered
+    symbols, sorted, then those with a hash, sorted."""
+    wide = (b | a | c) >= SYMBOLS
+    plain, other = np.flatnonzero(~wide), np.flatnonzero(wide)
+    key = (b[plain] << 2 * BITS) | (a[plain] << BITS) | c[plain]
+    return np.concatenate([plain[np.argsort(key)], other[np.lexsort((c[other], a[other], b[other]))]])
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _lengths(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(starts, n))
+
+
+def _summed_triples(b: np.ndarray, a: np.ndarray, c: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    order = _order(b, a, c)
+    b, a, c, n = b[order], a[order], c[order], n[order]
+    at = _starts(b, a, c)
+    return [b[at], a[at], c[at], np.add.reduceat(n, at) if len(at) else n]
+
+
+def _pairs(b: np.ndarray, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs (b, c) with their counts, and the pair of each triple."""
+    order = _order(b, np.zeros(len(b), np.int64), c)
+    at = _starts(b[order], c[order])
+    back = np.empty(len(b), np.int64)
+    back[order] = np.repeat(np.arange(len(at)), _lengths(at, len(b)))
+    return b[order][at], c[order][at], np.add.reduceat(n[order], at) if len(at) else n, back
 
 
-def _shard(triples: np.ndarray, shards: int) -> np.ndarray:
-    return (mixed(triples.astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+def _pack_triples(b: np.ndarray, a: np.ndarray, c: np.ndarray, n: np.ndarray) -> bytes:
+    """Triples in their order with a number each: those of numbered symbols as one key."""
+    k = int(np.count_nonzero((b | a | c) < SYMBOLS))
+    plain = _pack(((b[:k] << 2 * BITS) | (a[:k] << BITS) | c[:k]).astype(np.uint64), n[:k])
+    return np.array([k, len(plain)], np.int64).tobytes() + plain + _pack(b[k:], a[k:], c[k:], n[k:])
+
+
+def _unpack_triples(block: bytes, n: int, kind) -> list[np.ndarray]:
+    k, size = (int(x) for x in np.frombuffer(block[:16], np.int64))
+    key, m = _unpack(block[16:16 + size], k, np.int64, kind)
+    wide = _unpack(block[16 + size:], n - k, np.int64, np.int64, np.int64, kind)
+    plain = (key >> 2 * BITS, (key >> BITS) & (SYMBOLS - 1), key & (SYMBOLS - 1), m)
+    return [np.concatenate(x) for x in zip(plain, wide)]
+
+
+def _deal(symbols: np.ndarray, shards: int) -> np.ndarray:
+    return (mixed(symbols.astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+
+
+def _home(b: np.ndarray, a: np.ndarray, c: np.ndarray, hot: int, shards: int) -> np.ndarray:
+    """The shard of each triple; symbols below ``hot`` are dealt by (a, b), BEGIN by c."""
+    other = mixed(np.where(b == BEGIN, c, a).astype(np.uint64))
+    return _deal(np.where(b < hot, other + b.astype(np.uint64), b.astype(np.uint64)), shards)
 
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places in it, in their order)."""
-    order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else []
+    small = len(shard) and shard.max() < 1 << 15           # sorted by radix
+    order = np.argsort(shard.astype(np.int16) if small else shard, kind="stable")
+    cuts = _starts(shard[order])
     for low, high in zip(cuts, [*cuts[1:], len(order)]):
         yield int(shard[order[low]]), order[low:high]
 
 
-def triple_counts(texts: DataFrame, vocabulary: Broadcast, shards: int) -> DataFrame:
-    """(shard, n, block): the distinct triples of each shard with their counts."""
+def _asking(b: np.ndarray, c: np.ndarray, hot: int, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places) of the pairs of which a shard must be told: the count of a
+    pair that begins with a hot word, or of a second word without a number."""
+    at = np.flatnonzero((b < hot) | (c >= RARE))
+    at = at[np.lexsort((b[at], c[at]))]
+    for k, mine in _by_shard(_deal(c[at], shards)):
+        yield k, at[mine]
+
+
+TRIPLES = [("shard", pa.int32()), ("source", pa.int32()), ("n", pa.int32()), ("block", pa.binary()),
+           ("stats", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int64()))]
+TRIPLES_DDL = "shard int, source int, n int, block binary, stats array<bigint>, kinds array<bigint>"
+
+
+def triple_counts(texts: DataFrame, vocabulary: Broadcast, hot: int, shards: int) -> DataFrame:
+    """(shard, source, n, block, stats): with source -1 the distinct triples of
+    each shard with their counts, and how many triples and pairs of its own occur
+    once and twice; else what the shard ``source`` asks this one."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(mapped(vocabulary.value))
+
+        def out(held: list) -> pa.RecordBatch:
+            found = _summed_triples(*(np.concatenate(x) for x in zip(*held)))
+            return _batch([(k, len(at), _pack_triples(*(x[at] for x in found)))
+                           for k, at in _by_shard(_home(*found[:3], hot, shards))], PARTS)
+
+        held, size = [], 0
         for _, s in _streams(batches, v, 0):
-            keys, n = np.unique(_triples(s), return_counts=True)
-            rows = [(k, len(at), _pack(keys[at].astype(np.uint64), n[at].astype(np.uint32)))
-                    for k, at in _by_shard(_shard(keys, shards))]
-            yield _block_rows(rows)
+            b, a, c, _ = _triples(s)
+            held.append(_summed_triples(b, a, c, np.ones(len(b), np.int64)))
+            size += len(held[-1][0])
+            if size > HELD:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
 
     def merge(table: pa.Table) -> pa.Table:
-        got = [_unpack(b.as_py(), n.as_py(), np.uint64, np.uint32) for n, b in zip(table["n"], table["block"])]
-        keys, n = _summed(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]).astype(np.uint64))
-        return pa.Table.from_batches([_block_rows([(table["shard"][0].as_py(), len(keys), _pack(keys, n))])])
+        got = [_unpack_triples(b.as_py(), n.as_py(), np.int64) for n, b in zip(table["n"], table["block"])]
+        found = b, _, c, n = _summed_triples(*(np.concatenate(x) for x in zip(*got)))
+        del got
+        first, second, times, _ = _pairs(b, c, n)
+        own = times[first >= hot]
+        counted = n[(b != BEGIN) | (c == END)]
+        me = table["shard"][0].as_py()
+        rows = [(me, -1, len(b), _pack_triples(*found), [int((x == k).sum()) for x in (counted, own) for k in (1, 2)], None)]
+        for k, at in _asking(first, second, hot, shards):
+            is_hot = first[at] < hot
+            rows.append((k, me, len(at), _pack(second[at], np.where(is_hot, first[at], 0).astype(np.uint32),
+                                               np.where(is_hot, times[at], 0)), None, None))
+        return pa.Table.from_batches([_batch(rows, TRIPLES)])
 
     parts = texts.select(F.col("text").cast("binary")).mapInArrow(count, "shard int, n int, block binary")
-    return parts.groupBy("shard").applyInArrow(merge, "shard int, n int, block binary")
-
-
-def _block_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                                       pa.array([r[2] for r in rows], pa.binary())], ["shard", "n", "block"])
-
-
-def pair_counts(triples: DataFrame) -> DataFrame:
-    """(pair, n, followers) from the triples: a pair before END is the context
-    of as many triples as it occurs; a pair that ends with END is counted itself.
-    Pairs -1 and -2 count the triples seen once and twice."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for n, block in zip(b.column(0), b.column(1)):
-                keys, c = _unpack(block.as_py(), n.as_py(), np.uint64, np.uint64)
-                keys, c = keys.astype(np.int64), c.astype(np.int64)
-                context, total = _summed(keys >> BITS, c)
-                _, followers = _summed(keys >> BITS, np.ones(len(keys), np.int64))
-                last = (keys & (SYMBOLS - 1)) == END
-                ended, ends = _summed(keys[last] & (SYMBOLS * SYMBOLS - 1), c[last])
-                real = (context & (SYMBOLS - 1)) != BEGIN
-                # The counts of counts ride along on a pair that no text has.
-                extra = np.array([-1, -2]), np.array([(c == 1).sum(), (c == 2).sum()])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([context[real], ended, extra[0]]).astype(np.int32)),
-                     pa.array(np.concatenate([total[real], ends, extra[1]])),
-                     pa.array(np.concatenate([followers[real], np.zeros(len(ended) + 2, np.int64)]).astype(np.int32))],
-                    ["pair", "n", "followers"])
-
-    rows = triples.select("n", "block").mapInArrow(run, "pair int, n bigint, followers int")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("followers").cast("int").alias("followers"))
+    return parts.groupBy("shard").applyInArrow(merge, TRIPLES_DDL)
+
+
+PARTS = [("shard", pa.int32()), ("n", pa.int32()), ("block", pa.binary())]
+
+
+def told(asked: DataFrame, rest: DataFrame, hot: int) -> DataFrame:
+    """(shard, source, n, block, stats, kinds): the answers of the shard ``source``
+    to what this one asked, in its order: counts of pairs and of second words. With
+    source -1 the pairs of hot words that this shard has summed up, how many of
+    them occur once and twice, and how many each hot word has."""
+    def answer(asks: pa.Table, words: pa.Table) -> pa.Table:
+        word, count = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for n, block in zip(words["n"], words["words"]):
+            word, count = _unpack(block.as_py(), n.as_py(), np.uint64, np.int64)
+        if not asks.num_rows:
+            return pa.Table.from_batches([_batch([], TRIPLES)])
+        got = [_unpack(b.as_py(), n.as_py(), np.int64, np.uint32, np.int64) for b, n in zip(asks["block"], asks["n"])]
+        c, b, n = (np.concatenate(x) for x in zip(*got))
+        order = np.lexsort((b, c))
+        at = _starts(c[order], b[order])
+        back = np.empty(len(c), np.int64)
+        back[order] = np.repeat(np.arange(len(at)), _lengths(at, len(c)))
+        c, b, total = c[order][at], b[order][at], np.add.reduceat(n[order], at)
+        place = _look(_rare(word), c)
+        alone = np.where(place >= 0, count[place] if len(count) else 0, 0)
+        me, rows, low = asks["shard"][0].as_py(), [], 0
+        for source, (x, _, _) in zip(asks["source"], got):
+            mine = back[low:low + len(x)]
+            low += len(x)
+            rows.append((source.as_py(), me, len(x), _pack(np.zeros(len(x), np.uint8), total[mine], alone[mine]), None, None))
+        real = b > 0
+        rows.append((me, -1, int(real.sum()), _pack(c[real], b[real], total[real], alone[real]),
+                     [int((total[real] == k).sum()) for k in (1, 2)], np.bincount(b[real], minlength=hot).tolist()))
+        return pa.Table.from_batches([_batch(rows, TRIPLES)])
+
+    return asked.groupBy("shard").cogroup(rest.groupBy("shard")).applyInArrow(answer, TRIPLES_DDL)
 
 
 def _discount(once: int, twice: int) -> float:
@@ -270,124 +381,113 @@ def _rows_of_children(parent: np.ndarray, child: np.ndarray, parents: int, name:
     return EliasFano.parts(pointers, f"{name}.pointers") | EliasFano.parts(base[parent] + child, f"{name}.children")
 
 
-class Children:
-    """One level: finds children among the successors of their parents."""
+def _keys(levels: dict[str, np.ndarray], name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The pointers of a level, and parent and child of each member as one rising key."""
+    pointers, children = EliasFano.of(levels, f"{name}.pointers"), EliasFano.of(levels, f"{name}.children")
+    at, value = pointers.get(np.arange(pointers.n)), children.get(np.arange(children.n))
+    before = np.where(at > 0, value[at - 1] + 1 if len(value) else 0, 0)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return at, (row << 32) | (value - before[row])
 
-    def __init__(self, arrays: dict[str, np.ndarray], name: str):
-        self.pointers = EliasFano.of(arrays, f"{name}.pointers")
-        self.children = EliasFano.of(arrays, f"{name}.children")
 
-    def find(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Place of each child, or -1."""
-        low, high = self.pointers.get(parent), self.pointers.get(parent + 1)
-        before = np.zeros(len(parent), np.int64)
-        before[low > 0] = self.children.get(low[low > 0] - 1) + 1
-        target = before + child
-        at = self.children.find(low, high, target)
-        found = at < high
-        found[found] = self.children.get(at[found]) == target[found]
-        return np.where(found, at, -1)
+def _look(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each number among rising keys, or -1."""
+    if not len(keys):
+        return np.full(len(asked), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, -1)
 
 
 class Head:
-    """Levels 1 and 2 with their probabilities, and the most frequent triples."""
+    """What every task knows: counts by symbol, and of hot symbols (those below
+    ``hot``) the followers."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.arrays = arrays
-        self.pairs = Children(arrays, "pairs")
-        self.totals, self.followers = EliasFano.of(arrays, "totals"), EliasFano.of(arrays, "followers")
-        self.first, self.backoff = arrays["first"], arrays["backoff"]
-        (self.discount, self.log_all, self.log_rare), self.hot = arrays["numbers"], arrays.get("hot")
-
-    def place(self, pair: np.ndarray) -> np.ndarray:
-        return self.pairs.find(pair >> BITS, pair & (SYMBOLS - 1))
-
-    def pair_log(self, place: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """log10 of P(second symbol | first one)."""
-        seen = read_quantised(self.arrays, "pair", np.maximum(place, 0)) if self.pairs.children.n else 0.0
-        return np.where(place >= 0, seen, self.backoff[pair >> BITS] + self.first[pair & (SYMBOLS - 1)])
-
-    def context_log(self, place: np.ndarray) -> np.ndarray:
-        """log10 of the mass that a pair leaves to what was not seen after it."""
-        if not self.pairs.children.n:
-            return np.zeros(len(place))
-        return np.where(place >= 0, read_quantised(self.arrays, "weight", np.maximum(place, 0)), 0.0)
-
-
-def build_head(pairs: pa.Table, vocabulary: dict[str, np.ndarray], n: int, distinct: int, documents: int
-               ) -> dict[str, np.ndarray]:
-    """Arrays of levels 1 and 2 from the pairs' counts; at most SYMBOLS^2 rows."""
-    pair, count = pairs.column("pair").to_numpy(), pairs.column("n").to_numpy()
-    after = pairs.column("followers").to_numpy()
-    extra = dict(zip(pair[pair < 0].tolist(), count[pair < 0].tolist()))
-    real = pair >= 0
-    order = np.flatnonzero(real)[np.argsort(pair[real])]
-    pair, count, after = pair[order], count[order], after[order]
-    parent, child = pair >> BITS, pair & (SYMBOLS - 1)
-    total = np.bincount(parent, count, SYMBOLS)
-    kinds = np.bincount(parent, minlength=SYMBOLS)
-    symbol_counts = np.zeros(SYMBOLS)
-    inside = vocabulary["symbols"] >= FIRST
-    symbol_counts[vocabulary["symbols"][inside]] = vocabulary["counts"][inside]
-    symbol_counts[END] = documents
-    named = symbol_counts.sum()
-    rare_n, rare_kinds = n - named, distinct - int(inside.sum()) - (documents > 0)
-    mass = symbol_counts + ALPHA
-    mass[RARE] = rare_n + ALPHA * (rare_kinds + 1)
-    every = n + ALPHA * (distinct + 1)
-    first = mass / every
-    first[BEGIN] = LEAST_PROBABILITY
-    first[FIRST + int(inside.sum()):] = LEAST_PROBABILITY
-    d2 = _discount(int((count == 1).sum()), int((count == 2).sum()))
-    d3 = _discount(extra.get(-1, 0), extra.get(-2, 0))
-    left = np.where(total > 0, d2 * kinds / np.maximum(total, 1), 1.0)
-    p2 = ((np.maximum(count - d2, 0) / np.maximum(total[parent], 1)) + left[parent] * first[child]).astype(np.float32)
-    out = quantised(np.log10(p2), "pair")
-    weight = np.where(after > 0, d3 * after / np.maximum(count, 1), 1.0).astype(np.float32)
-    out |= quantised(np.log10(weight), "weight")
-    del p2, weight
-    out |= EliasFano.parts(np.append(0, np.cumsum(count)), "totals")
-    out |= EliasFano.parts(np.append(0, np.cumsum(after, dtype=np.int64)), "followers")
-    del count, after
-    return (out | _rows_of_children(parent, child, SYMBOLS, "pairs")
-            | {"first": np.log10(first), "backoff": np.log10(left),
-               "numbers": np.array([d3, np.log10(every), np.log10(mass[RARE])])})
-
-
-def build_shards(triples: DataFrame, head: Broadcast, hot_from: int) -> DataFrame:
-    """(shard, levels, hot, gain): level 3 of each shard, and its triples of at
-    least ``hot_from`` occurrences. A probability is stored as its gain over the
-    back-off from levels 1 and 2."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = Head(mapped(head.value))
-        for b in batches:
-            rows = []
-            for shard, n, block in zip(*b.columns):
-                keys, c = _unpack(block.as_py(), n.as_py(), np.uint64, np.uint64)
-                keys, c = keys.astype(np.int64), c.astype(np.int64)
-                real = ((keys >> BITS) & (SYMBOLS - 1)) != BEGIN
-                keys, c = keys[real], c[real]
-                pair = keys & (SYMBOLS * SYMBOLS - 1)
-                context, here = h.place(keys >> BITS), h.place(pair)
-                child = here - h.pairs.pointers.get(pair >> BITS)
-                total = h.totals.get(context + 1) - h.totals.get(context)
-                kinds = h.followers.get(context + 1) - h.followers.get(context)
-                below = h.pair_log(here, pair)
-                p = (np.maximum(c - h.discount, 0) + h.discount * kinds * 10 ** below) / total
-                gain = np.log10(p) - h.context_log(context) - below
-                order = np.lexsort((child, context))
-                parents, row = np.unique(context[order], return_inverse=True)
-                levels = (EliasFano.parts(parents, "contexts") | quantised(gain[order], "gain")
-                          | _rows_of_children(row, child[order], len(parents), "triples"))
-                often = c >= hot_from
-                rows.append((shard.as_py(), to_bytes(levels), ((context << BITS) | child)[often], gain[often]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float64()))],
-                ["shard", "levels", "hot", "gain"])
-
-    return triples.select("shard", "n", "block").mapInArrow(
-        run, "shard int, levels binary, hot array<bigint>, gain array<double>")
+        self.counts, self.kinds = arrays["by_symbol"], arrays["kinds"]
+        self.hot = len(self.kinds)
+        self.d2, self.d3, self.every = (float(x) for x in arrays["numbers"])
+        self.ends = int(self.counts[END])
+        self.left = np.log10(self.mass(self.kinds, self.counts[:self.hot]))
+
+    def mass(self, kinds: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """What a word with so many followers leaves to others."""
+        return np.where(kinds > 0, self.d2 * kinds / np.maximum(total, 1), 1.0)
+
+    def alone(self, symbols: np.ndarray, told: np.ndarray) -> np.ndarray:
+        """The share of each symbol of all tokens; ``told`` has the counts of words without a number."""
+        n = np.where(symbols < RARE, self.counts[np.minimum(symbols, len(self.counts) - 1)], told)
+        return (n + ALPHA) / self.every
+
+
+def _hot_pairs(c: np.ndarray, b: np.ndarray, n: np.ndarray, told: np.ndarray, h: Head) -> dict[str, np.ndarray]:
+    """The gains of the pairs of hot words, by their second symbol."""
+    first, left = h.alone(c, told), 10 ** h.left[b]
+    p = np.maximum(n - h.d2, 0) / np.maximum(h.counts[b], 1) + left * first
+    symbols, row = np.unique(c, return_inverse=True)
+    return (EliasFano.parts(symbols, "symbols") | _rows_of_children(row, b.astype(np.int64), len(symbols), "pairs")
+            | quantised(np.log10(p / (left * first)), "pair"))
+
+
+def _levels(b: np.ndarray, a: np.ndarray, c: np.ndarray, n: np.ndarray, answers: dict[int, list[np.ndarray]],
+            shards: int, h: Head) -> dict[str, np.ndarray]:
+    """A shard's trie."""
+    first, second, pair_n, pair = _pairs(b, c, n)
+    told_n = np.zeros(len(first), np.int64)
+    for k, at in _asking(first, second, h.hot, shards):
+        _, total, alone = answers[k]
+        pair_n[at] = np.where(first[at] < h.hot, total, pair_n[at])
+        told_n[at] = alone
+    share = h.alone(second, told_n)
+    symbols = np.unique(np.concatenate([first, second, a]))
+    word, child = np.searchsorted(symbols, first), np.searchsorted(symbols, second)
+    order = np.argsort((word << 32) | child)
+    heads, row = np.unique(word[order], return_inverse=True)
+    pair_n, share = pair_n[order], share[order]
+    total, kinds = np.bincount(row, pair_n, len(heads)), np.bincount(row, minlength=len(heads))
+    hot = np.flatnonzero(symbols[heads] < h.hot)
+    total[hot], kinds[hot] = h.counts[symbols[heads[hot]]], h.kinds[symbols[heads[hot]]]
+    left = h.mass(kinds, total)
+    p2 = np.maximum(pair_n - h.d2, 0) / np.maximum(total[row], 1) + left[row] * share
+    out = (EliasFano.parts(symbols, "symbols") | EliasFano.parts(heads, "heads") | {"left": np.log10(left).astype(np.float32)}
+           | _rows_of_children(row, child[order], len(heads), "pairs") | quantised(np.log10(p2 / (left[row] * share)), "pair"))
+    # From here on pairs are known by their place in the order of the level.
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    among = np.arange(len(order)) - np.searchsorted(row, np.arange(len(heads)))[row]
+    real = b != BEGIN
+    pair, n = place[pair[real]], n[real]
+    contexts, context = np.unique((row[pair] << 32) | np.searchsorted(symbols, a[real]), return_inverse=True)
+    total, kinds = np.bincount(context, n, len(contexts)), np.bincount(context, minlength=len(contexts))
+    weight = h.d3 * kinds / np.maximum(total, 1)
+    below = weight[context] * p2[pair]
+    gain = np.log10((np.maximum(n - h.d3, 0) / total[context] + below) / below)
+    order = np.argsort((context << 32) | among[pair])
+    return (out | _rows_of_children(contexts >> 32, contexts & 0xFFFFFFFF, len(heads), "contexts")
+            | quantised(np.log10(weight), "weight")
+            | _rows_of_children(context[order], among[pair[order]], len(contexts), "triples") | quantised(gain[order], "gain"))
+
+
+def build_shards(triples: DataFrame, answers: DataFrame, head: Broadcast, shards: int) -> DataFrame:
+    """(shard, levels, pairs): the trie of each shard, or the pairs of hot words it has."""
+    def build(table: pa.Table, told: pa.Table) -> pa.Table:
+        h, rows = Head(mapped(head.value)), []
+        got = {}
+        for shard, source, n, block in zip(told["shard"], told["source"], told["n"], told["block"]):
+            if source.as_py() < 0:
+                held = _unpack(block.as_py(), n.as_py(), np.int64, np.uint32, np.int64, np.int64)
+                rows.append((shard.as_py(), None, to_bytes(_hot_pairs(*held, h))))
+            else:
+                got[source.as_py()] = _unpack(block.as_py(), n.as_py(), np.uint8, np.int64, np.int64)
+        for shard, n, block in zip(table["shard"], table["n"], table["block"]):
+            levels = _levels(*_unpack_triples(block.as_py(), n.as_py(), np.int64), got, shards, h)
+            rows.append((shard.as_py(), to_bytes(levels), None))
+        return pa.Table.from_batches([_batch(rows, BUILT)])
+
+    return triples.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
+        build, "shard int, levels binary, pairs binary")
+
+
+BUILT = [("shard", pa.int32()), ("levels", pa.binary()), ("pairs", pa.binary())]
 
 
 @dataclass
@@ -396,7 +496,7 @@ class Model:
 
     tokens: int              # tokens learned from
     shards: int
-    levels: DataFrame        # (shard, levels, n, words): level 3, and the words no task has
+    levels: DataFrame        # (shard, levels, pairs, n, words): tries, pairs of hot words, and the words no task has
     vocabulary: Broadcast
     head: Broadcast
 
@@ -411,27 +511,36 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, distinct = total.n + documents, total.v + (documents > 0)
     word, often = _frequent(counts, KNOWN)
-    symbols = np.where(np.arange(len(word)) < SYMBOLS - FIRST, np.arange(len(word)) + FIRST, RARE).astype(np.int64)
     order = np.argsort(word)
-    vocabulary = {"words": word[order], "counts": often[order], "symbols": symbols[order]}
+    vocabulary = {"words": word[order], "counts": often[order], "symbols": order + FIRST}
     shared = spark.sparkContext.broadcast(to_bytes(vocabulary))
     shards = max(1, -(-n // shard_tokens))
-    triples = saved(triple_counts(texts, shared, shards), "lm-triples")
-    # At most SYMBOLS^2 rows of 16 bytes, whatever the corpus.
-    arrays = build_head(pair_counts(triples).toArrow(), vocabulary, n, distinct, documents)
-    first = spark.sparkContext.broadcast(to_bytes(arrays))
-    levels = saved(build_shards(triples, first, max(2, -(-n // HOT))), "lm-levels")
-    hot = levels.select(F.explode(F.arrays_zip("hot", "gain")).alias("h")).select("h.*").toArrow()
-    key, gain = hot.column("hot").to_numpy(), hot.column("gain").to_numpy()
-    order = np.argsort(key)
-    head = spark.sparkContext.broadcast(to_bytes(arrays | {"hot": key[order], "hot_gain": gain[order],
-                                                           "ends": np.array([documents])}))
+    # Symbols are numbered from the most frequent word on: the hot ones are the first, at most HOT a shard.
+    hot = FIRST + int(np.count_nonzero(often * HOT > shard_tokens))
     rest = counts
     if len(word):
         rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(int(often.min()))) * 64))
+    rest = saved(_word_shards(rest, shards), "lm-rest")
+    triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples")
+    own = F.col("source") < 0
+    answers = saved(told(triples.filter(~own), rest, hot), "lm-told")
+
+    def added(table: DataFrame, column: str, size: int) -> np.ndarray:
+        out = np.zeros(size, np.int64)
+        for r in (table.filter(own).select(F.posexplode(column).alias("at", "x")).groupBy("at")
+                  .agg(F.sum("x").alias("x")).collect()):
+            out[r.at] = r.x
+        return out
+
+    seen, hot_seen = added(triples, "stats", 4).tolist(), added(answers, "stats", 2).tolist()
+    d2, d3 = _discount(seen[2] + hot_seen[0], seen[3] + hot_seen[1]), _discount(seen[0], seen[1])
+    by_symbol = np.concatenate([[0, documents, documents], often]).astype(np.int64)
+    head = spark.sparkContext.broadcast(to_bytes({
+        "by_symbol": by_symbol, "kinds": added(answers, "kinds", hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
+    levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels")
     none = F.lit(None)
-    dealt = levels.select("shard", "levels", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
-        saved(_word_shards(rest, shards), "lm-rest").select("shard", none.cast("binary").alias("levels"), "n", "words"))
+    dealt = levels.select("*", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
+        rest.select("shard", none.cast("binary").alias("levels"), none.cast("binary").alias("pairs"), "n", "words"))
     return Model(n, shards, dealt, shared, head)
 
 
@@ -439,7 +548,7 @@ def _word_shards(counts: DataFrame, shards: int) -> DataFrame:
     """(shard, n, words): the words of each shard in order, with their counts."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            shard = _shard(b.column(0).to_numpy(zero_copy_only=False), shards)
+            shard = _deal(_rare(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)), shards)
             yield pa.RecordBatch.from_arrays([pa.array(shard), *b.columns], ["shard", "word", "n"])
 
     def gather(table: pa.Table) -> pa.Table:
@@ -453,7 +562,8 @@ def _word_shards(counts: DataFrame, shards: int) -> DataFrame:
 
 
 ASKED = [("batch", pa.int64()), ("shard", pa.int32()), ("n", pa.int32()), ("refs", pa.int32()), ("block", pa.binary()),
-         ("places", pa.binary()), ("n_words", pa.int32()), ("words", pa.binary()), ("own", pa.binary())]
+         ("places", pa.binary()), ("n_pairs", pa.int32()), ("pairs", pa.binary()), ("n_words", pa.int32()), ("words", pa.binary()),
+         ("own", pa.binary())]
 ANSWERED = [("batch", pa.int64()), ("n", pa.int32()), ("gains", pa.binary()), ("n_words", pa.int32()), ("logs", pa.binary()),
             ("own", pa.binary())]
 
@@ -468,70 +578,50 @@ def questions(rows: DataFrame, model: Model) -> DataFrame:
         v, h = Vocabulary(mapped(vocabulary.value)), Head(mapped(head.value))
         part = TaskContext.get().partitionId() << 32
         for i, ((keys,), s) in enumerate(_streams(batches, v, 1)):
-            own, query, triple, text = _known(s, v, h)
-            yield _asked(part + i, query, _shard(triple, shards), text, s, own | {"key": keys}, shards)
+            yield _asked(part + i, s, _known(s, v, h) | {"key": keys}, h.hot, shards)
 
-    schema = ("batch bigint, shard int, n int, refs int, block binary, places binary, n_words int, words binary, own binary")
+    schema = ("batch bigint, shard int, n int, refs int, block binary, places binary, n_pairs int, pairs binary, "
+              "n_words int, words binary, own binary")
     return rows.select("key", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
-def _known(s: Stream, v: Vocabulary, h: Head) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Sums by text of what levels 1 and 2 tell, and the triples to be asked:
-    (context and child, triple, text)."""
-    x, n = s.symbols, len(s.sizes)
-    pair = (x[:-1] << BITS) | x[1:]                    # of a token with the one before
-    distinct, back = np.unique(pair, return_inverse=True)
-    place = h.place(distinct)
-    log_pair, place = h.pair_log(place, distinct)[back], place[back]
-    token = np.flatnonzero(x[1:] != BEGIN)             # pairs that end in a token
-    later = token[x[token] != BEGIN]                   # those with a pair before them
-    context = place[later - 1]
-    asked = (context >= 0) & (place[later] >= 0)
-    ask = later[asked]
-    child = place[ask] - h.pairs.pointers.get(np.arange(SYMBOLS))[x[ask]]
-    query = (context[asked] << BITS) | child
-    hot, is_hot = np.searchsorted(h.hot, query), np.zeros(len(query), bool)
-    if len(h.hot):
-        hot = np.minimum(hot, len(h.hot) - 1)
-        is_hot = h.hot[hot] == query
-    text = s.text[1:]
-    score = np.bincount(text[token], log_pair[token], n) + np.bincount(text[later], h.context_log(context), n)
-    if len(h.hot):
-        score += np.bincount(text[ask[is_hot]], h.arrays["hot_gain"][hot[is_hot]], n)
-    known, of = s.places >= 0, s.word_text
+def _known(s: Stream, v: Vocabulary, h: Head) -> dict[str, np.ndarray]:
+    """Sums by text of what every task can tell."""
+    n, known, of = len(s.sizes), s.places >= 0, s.word_text
     log = np.zeros(len(of))
     log[known] = np.log10(v.counts[s.places[known]] + ALPHA)
-    ends = int(h.arrays["ends"][0])
-    base = np.bincount(of, log, n) + np.log10(ends + ALPHA) - (s.sizes + 1) * h.log_all
-    rare = s.symbols[np.arange(len(of)) + 2 * of + 1] == RARE
-    score += np.bincount(of[rare], log[rare] - h.log_rare, n)
-    n_known = np.bincount(of, known, n).astype(np.int64) + (ends > 0)
-    cold = ask[~is_hot]
-    sums = {"n_tokens": s.sizes + 1, "n_known": n_known, "base": base, "score": score}
-    return sums, query[~is_hot], (x[cold - 1] << 2 * BITS) | pair[cold], text[cold]
-
-
-def _asked(batch: int, query: np.ndarray, shard: np.ndarray, text: np.ndarray, s: Stream,
-           own: dict[str, np.ndarray], shards: int) -> pa.RecordBatch:
-    """A row a shard: distinct queries, how many texts ask each and which (their
-    numbers in the batch); words likewise."""
-    order = np.argsort((query << 24) | text)           # a batch has far fewer than 2^24 texts
-    query, shard, text = query[order], shard[order], text[order]
-    triples = dict(_by_shard(shard))
-    new = np.flatnonzero(s.places < 0)
-    new = new[np.argsort(s.hashes[new], kind="stable")]
-    word, asks = s.hashes[new], s.word_text[new]
-    words_of = dict(_by_shard(_shard(word, shards)))
-    home = batch % shards                              # any shard will do for the sums
+    base = np.bincount(of, log, n) + np.log10(h.ends + ALPHA) - (s.sizes + 1) * np.log10(h.every)
+    n_known = np.bincount(of, known, n).astype(np.int64) + (h.ends > 0)
+    b, _, _, text = _triples(s)
+    hot = b < h.hot
+    return {"n_tokens": s.sizes + 1, "n_known": n_known, "base": base, "score": base + np.bincount(text[hot], h.left[b[hot]], n)}
+
+
+def _asked(batch: int, s: Stream, own: dict[str, np.ndarray], hot: int, shards: int) -> pa.RecordBatch:
+    """A row a shard: distinct triples, how many texts ask each and which (their
+    numbers in the batch); pairs of hot words and words likewise."""
+    b, a, c, text = _triples(s)
+    at = np.flatnonzero(b < hot)
+    pair = at[_order(c[at], np.zeros(len(at), np.int64), b[at])]
+    pairs_of = dict(_by_shard(_deal(c[pair], shards)))
+    at = np.flatnonzero(b != BEGIN)
+    triple = at[_order(b[at], a[at], c[at])]
+    new = _starts(b[triple], a[triple], c[triple])
+    home = _home(b[triple[new]], a[triple[new]], c[triple[new]], hot, shards)
+    triples_of = dict(_by_shard(np.repeat(home, _lengths(new, len(triple)))))
+    word = np.flatnonzero(s.places < 0)
+    word = word[np.argsort(s.hashes[word], kind="stable")]
+    words_of = dict(_by_shard(_deal(_rare(s.hashes[word]), shards)))
     rows, none = [], np.empty(0, np.int64)
-    for k in sorted({home, *triples, *words_of}):
-        a, b = triples.get(k, none), words_of.get(k, none)
-        q, w = query[a], word[b]
-        at, times = _groups(q)
-        word_at, word_times = _groups(w)
-        ref = np.concatenate([text[a], asks[b]]).astype(np.uint32)
-        rows.append((batch, k, len(at), len(ref), _pack(q[at].astype(np.uint64), times), _pack(np.zeros(len(ref), np.uint8), ref),
-                     len(word_at), _pack(w[word_at], word_times), to_bytes(own) if k == home else None))
+    for k in sorted({batch % shards, *triples_of, *pairs_of, *words_of}):      # any shard will do for the sums
+        t, p, w = triple[triples_of.get(k, none)], pair[pairs_of.get(k, none)], word[words_of.get(k, none)]
+        t_at, p_at, w_at = _starts(b[t], a[t], c[t]), _starts(c[p], b[p]), _starts(s.hashes[w])
+        ref = np.concatenate([text[t], text[p], s.word_text[w]]).astype(np.uint32)
+        many = [_lengths(x, len(y)).astype(np.uint32) for x, y in ((t_at, t), (p_at, p), (w_at, w))]
+        t, p = t[t_at], p[p_at]
+        rows.append((batch, k, len(t), len(ref), _pack_triples(b[t], a[t], c[t], many[0]), _pack(np.zeros(len(ref), np.uint8), ref),
+                     len(p), _pack(c[p], b[p].astype(np.uint32), many[1]),
+                     len(w_at), _pack(s.hashes[w[w_at]], many[2]), to_bytes(own) if k == batch % shards else None))
     return _batch(rows, ASKED)
 
 
@@ -540,59 +630,75 @@ def _batch(rows: list[tuple], kinds: list) -> pa.RecordBatch:
                                       [name for name, _ in kinds])
 
 
-def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where equal values begin, and how many there are."""
-    if not len(values):
-        return np.empty(0, np.int64), np.empty(0, np.uint32)
-    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    return at, np.diff(np.append(at, len(values))).astype(np.uint32)
-
-
-def _gains(query: np.ndarray, levels: dict[str, np.ndarray] | None) -> np.ndarray:
-    """The gain of each (context, child), 0 for triples that were not seen."""
-    gain = np.zeros(len(query))
-    if levels is None or not len(query):
-        return gain
-    contexts, triples = EliasFano.of(levels, "contexts"), Children(levels, "triples")
-    if not contexts.n:
-        return gain
-    context = query >> BITS
-    here, place = np.unique(context, return_inverse=True)
-    parent = contexts.find(np.zeros(len(here), np.int64), np.full(len(here), contexts.n), here)
-    parent = np.where((parent < contexts.n) & (contexts.get(np.minimum(parent, contexts.n - 1)) == here), parent, -1)[place]
-    there = np.flatnonzero(parent >= 0)
-    found = triples.find(parent[there], query[there] & (SYMBOLS - 1))
-    gain[there[found >= 0]] = read_quantised(levels, "gain", found[found >= 0])
-    return gain
-
-
-def _answers(asked: pa.Table, held: pa.Table) -> pa.Table:
+class Shard:
+    """A shard's trie, decoded once for all that is asked."""
+
+    def __init__(self, levels: dict[str, np.ndarray], hot: int):
+        self.levels, self.hot = levels, hot
+        self.symbols, self.heads = (e.get(np.arange(e.n)) for e in (EliasFano.of(levels, x) for x in ("symbols", "heads")))
+        self.rows, self.pairs = _keys(levels, "pairs")
+        _, self.contexts = _keys(levels, "contexts")
+        _, self.triples = _keys(levels, "triples")
+
+    def gains(self, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """What a shard's n-grams add to each triple; hot words' pairs add it elsewhere."""
+        head = _look(self.heads, _look(self.symbols, b))
+        left, right = _look(self.symbols, a), _look(self.symbols, c)
+        context = _look(self.contexts, np.where((head >= 0) & (left >= 0), (head << 32) | left, -1))
+        pair = _look(self.pairs, np.where((head >= 0) & (right >= 0), (head << 32) | right, -1))
+        triple = _look(self.triples, np.where((context >= 0) & (pair >= 0), (context << 32) | (pair - self.rows[head]), -1))
+        out = np.zeros(len(b))
+        cold = (b >= self.hot) & (head >= 0)
+        out[cold] = self.levels["left"][head[cold]]
+        for place, name in ((np.where(cold, pair, -1), "pair"), (context, "weight"), (triple, "gain")):
+            seen = place >= 0
+            out[seen] += read_quantised(self.levels, name, place[seen])
+        return out
+
+
+class HotPairs:
+    """The pairs of hot words that a shard has."""
+
+    def __init__(self, levels: dict[str, np.ndarray]):
+        e = EliasFano.of(levels, "symbols")
+        self.levels, self.symbols, self.pairs = levels, e.get(np.arange(e.n)), _keys(levels, "pairs")[1]
+
+    def gains(self, c: np.ndarray, b: np.ndarray) -> np.ndarray:
+        row = _look(self.symbols, c)
+        place = _look(self.pairs, np.where(row >= 0, (row << 32) | b, -1))
+        out = np.zeros(len(c))
+        out[place >= 0] = read_quantised(self.levels, "pair", place[place >= 0])
+        return out
+
+
+def _answers(asked: pa.Table, held: pa.Table, hot: int) -> pa.Table:
     """What one shard answers: sums by text, a row for each batch that asks."""
-    levels, known_words, counts = None, np.empty(0, np.uint64), np.empty(0, np.int64)
-    for block, n, packed_words in zip(held["levels"], held["n"], held["words"]):
-        if block.is_valid:
-            levels = mapped(block.as_py())
+    shard, hot_pairs, known_words, counts = None, None, np.empty(0, np.uint64), np.empty(0, np.int64)
+    for levels, pairs, n, packed_words in zip(*(held[x] for x in ("levels", "pairs", "n", "words"))):
+        if levels.is_valid:
+            shard = Shard(mapped(levels.as_py()), hot)
+        elif pairs.is_valid:
+            hot_pairs = HotPairs(mapped(pairs.as_py()))
         elif n.as_py():
             known_words, counts = _unpack(packed_words.as_py(), n.as_py(), np.uint64, np.int64)
-    blocks = [_unpack(b.as_py(), n.as_py(), np.uint64, np.uint32) for b, n in zip(asked["block"], asked["n"])]
-    every = np.concatenate([q for q, _ in blocks]) if blocks else np.empty(0, np.uint64)
-    distinct, back = np.unique(every.astype(np.int64), return_inverse=True)
-    gains, at, rows = _gains(distinct, levels), 0, []       # a triple is looked up once, whoever asks
-    for (q, times), *r in zip(blocks, *(asked[name] for name, _ in ASKED)):
-        batch, _, _, refs, _, places, n_words, word_block, own = (x.as_py() for x in r)
-        gain = np.repeat(gains[back[at:at + len(q)]], times)
-        at += len(q)
+    rows = []
+    for r in zip(*(asked[name] for name, _ in ASKED)):
+        batch, _, n, refs, block, places, n_pairs, pairs, n_words, word_block, own = (x.as_py() for x in r)
+        b, a, c, times = _unpack_triples(block, n, np.uint32)
+        gain = np.repeat(shard.gains(b, a, c) if shard else np.zeros(n), times)
+        c, b, times = _unpack(pairs, n_pairs, np.int64, np.uint32, np.uint32)
+        gain = np.append(gain, np.repeat(hot_pairs.gains(c, b.astype(np.int64)) if hot_pairs else np.zeros(n_pairs), times))
         w, word_times = _unpack(word_block, n_words, np.uint64, np.uint32)
-        spot = np.minimum(np.searchsorted(known_words, w), max(len(known_words) - 1, 0))
-        hit = known_words[spot] == w if len(known_words) else np.zeros(len(w), bool)
-        c = np.where(hit, counts[spot] if len(known_words) else 0, 0)
+        spot = _look(known_words, w)
+        hit = spot >= 0
+        count = np.where(hit, counts[spot] if len(counts) else 0, 0)
         _, ref = _unpack(places, refs, np.uint8, np.uint32)
         by_gain, by_word = ref[:len(gain)], ref[len(gain):]
         texts = np.flatnonzero(np.bincount(by_gain))
         texts_w = np.flatnonzero(np.bincount(by_word))
         rows.append((batch, len(texts), _pack(texts.astype(np.uint32), np.bincount(by_gain, gain)[texts].astype(np.float32)),
                      len(texts_w), _pack(texts_w.astype(np.uint32),
-                                         np.bincount(by_word, np.repeat(np.log10(c + ALPHA), word_times))[texts_w],
+                                         np.bincount(by_word, np.repeat(np.log10(count + ALPHA), word_times))[texts_w],
                                          np.bincount(by_word, np.repeat(hit, word_times))[texts_w].astype(np.uint32)), own))
     return pa.Table.from_batches([_batch(rows, ANSWERED)])
 
@@ -624,8 +730,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     rows = docs.select(doc_key().alias("key"), text_of().alias("text"))
+    head = model.head
+
+    def answers(asked: pa.Table, held: pa.Table) -> pa.Table:
+        return _answers(asked, held, Head(mapped(head.value)).hot)
+
     answered = questions(rows, model).groupBy("shard").cogroup(model.levels.groupBy("shard")).applyInArrow(
-        _answers, "batch bigint, n int, gains binary, n_words int, logs binary, own binary")
+        answers, "batch bigint, n int, gains binary, n_words int, logs binary, own binary")
     return answered.groupBy("batch").applyInArrow(
         _together, "key bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
