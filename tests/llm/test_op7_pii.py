@@ -57,3 +57,24 @@ def test_edges(spark, monkeypatch):
     assert sorted((r.doc_id or 0, r.spans) for r in out) == [(0, "email:0:6"), (1, ""), (1, "email:5:11"), (1, "email:5:11")]
     assert sorted(r.text for r in pii.sanitised(table(spark, rows)).collect()) == [
         "[email]", "mail [email] now", "mail [email] now", "none"]
+
+
+def corpus(extra, n=3000):
+    """Texts of common words, and ``extra`` ones."""
+    rng = random.Random(4)
+    words = [f"word{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    return [(i, " ".join(rng.choice(words) for _ in range(12))) for i in range(n)] + [(10000 + i, t) for i, t in enumerate(extra)]
+
+
+def marked(out, texts, d, word):
+    """Whether every occurrence of a word in a document is a term's span."""
+    spans = [s.split(":") for s in out[d].spans.split(",") if s.startswith("term:")]
+    return all([("term", str(i), str(i + len(word))) in map(tuple, spans)
+                for i in range(len(texts[d])) if texts[d].startswith(word, i)])
+
+
+def test_entity_in_one_text_only(spark, monkeypatch):
+    rows = corpus(["wordaa Trillian answers at t@hq.org wordbb"])
+    out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
+    assert marked(out, texts, 10000, "Trillian") and not any(marked(out, texts, 10000, w) for w in ("wordaa", "wordbb"))
+    assert all(not r.spans for d, r in out.items() if d < 10000)

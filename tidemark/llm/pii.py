@@ -10,9 +10,11 @@ held against the entity's own information content,
 
 A ratio of 1 means that who reads the term knows the entity. Terms at or above
 ``GENERALISE`` are replaced by a general word, at or above ``REMOVE`` they are
-removed. Entities and pairs are counted in distinct texts, so that copies are
-no evidence, and a pair counts from ``SUPPORT`` texts on; terms are counted
-in all documents.
+removed. The counts of the entity and of the term are smoothed by ``SMOOTHING`` in
+the PMI, so that a pair seen once tells less than one seen often, and in a small
+corpus nothing; an entity that stands in one text only has disclosing terms
+too. Entities and pairs are counted in distinct texts, so that copies are no
+evidence; terms are counted in all documents.
 
 Only DataFrame functions are used. Patterns have no repeated groups, which Java
 matches by recursion: the dots or separators such a group would repeat
@@ -30,7 +32,7 @@ from tidemark.llm.common import doc_key, from_key, read_documents, saved, text_o
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 64           # characters on either side of an entity in which terms count
 LEAST_LETTERS = 3    # letters a term has at least
-SUPPORT = 2            # distinct texts in which a term stands near the entity
+SMOOTHING = 1.5        # texts added to the counts of an entity and of a term
 GENERALISE, REMOVE = 0.7, 0.9
 
 MARK = "\ue000"
@@ -133,12 +135,12 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
 
 def revealing(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
-              support: int = SUPPORT) -> DataFrame:
+              smoothing: float = SMOOTHING) -> DataFrame:
     """(entity, term, ratio, action) of the terms that disclose an entity."""
     entities = (found.select("text_hash", F.explode("spans.entity").alias("entity")).distinct()
                 .groupBy("entity").agg(F.count("*").alias("n_e")))
     pairs = (found.select("text_hash", F.explode("near").alias("n")).select("text_hash", "n.entity", "n.term").distinct()
-             .groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support))
+             .groupBy("entity", "term").agg(F.count("*").alias("n_et")))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0)))
     counts = docs.select(F.explode(terms).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
     total = found.agg(F.count("*").alias("n")).first()["n"]
@@ -146,7 +148,8 @@ def revealing(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE,
            .join(counts, F.col("term") == F.col("t")))
     every = F.lit(float(max(total, 1)))
     content = F.log2(every / F.col("n_e"))
-    ratio = F.when(content > 0, F.log2(F.col("n_et") * every / (F.col("n_e") * F.col("n_t"))) / content).otherwise(0.0)
+    chance = (F.col("n_e") + smoothing) * (F.col("n_t") + smoothing)
+    ratio = F.when(content > 0, F.log2(F.col("n_et") * every / chance) / content).otherwise(0.0)
     return (met.select("entity", "term", ratio.alias("ratio")).filter(F.col("ratio") >= generalise)
             .withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise")))
 
