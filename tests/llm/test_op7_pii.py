@@ -78,3 +78,13 @@ def test_entity_in_one_text_only(spark, monkeypatch):
     out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
     assert marked(out, texts, 10000, "Trillian") and not any(marked(out, texts, 10000, w) for w in ("wordaa", "wordbb"))
     assert all(not r.spans for d, r in out.items() if d < 10000)
+
+
+def test_terms_far_from_the_entity_and_in_other_texts(spark, monkeypatch):
+    far = "wordaa " * 40
+    rows = corpus([f"Trillian {far} t@hq.org {far} trillian wordbb", "wordcc knows Trillian", "wordcc knows nobody"])
+    out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
+    assert all(marked(out, texts, 10000, w) for w in ("Trillian", "trillian")) and marked(out, texts, 10001, "Trillian")
+    assert "term" not in out[10002].spans
+    clean = {r.doc_id: r.text for r in pii.sanitised(table(spark, rows)).collect()}
+    assert not any("trillian" in t.lower() for t in clean.values()) and clean[10002] == texts[10002]

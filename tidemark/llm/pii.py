@@ -2,15 +2,15 @@
 
 The base finds e-mail addresses, IP numbers, payment cards and phone numbers;
 their values are the *protected entities*. The method asks which other terms
-give an entity away: over the corpus, the terms written near an entity are
-counted with it, and a term's pointwise mutual information with the entity is
+give an entity away: over the corpus, the terms of a text are counted with the
+entities in it, and a term's pointwise mutual information with the entity is
 held against the entity's own information content,
 
     PMI(e; t) = log2(n(e,t) N / (n(e) n(t)))     IC(e) = log2(N / n(e)).
 
 A ratio of 1 means that who reads the term knows the entity. Terms at or above
 ``GENERALISE`` are replaced by a general word, at or above ``REMOVE`` they are
-removed. The counts of the entity and of the term are smoothed by ``SMOOTHING`` in
+removed, wherever they stand. The counts of the entity and of the term are smoothed by ``SMOOTHING`` in
 the PMI, so that a pair seen once tells less than one seen often, and in a small
 corpus nothing; an entity that stands in one text only has disclosing terms
 too. Entities and pairs are counted in distinct texts, so that copies are no
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import doc_key, from_key, read_documents, saved, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 64           # characters on either side of an entity in which terms count
 LEAST_LETTERS = 3    # letters a term has at least
 SMOOTHING = 1.5        # texts added to the counts of an entity and of a term
 GENERALISE, REMOVE = 0.7, 0.9
@@ -39,6 +38,7 @@ MARK = "\ue000"
 LABEL, LOCAL = "A-Za-z0-9-", "A-Za-z0-9._%+-"
 TERM = rf"(?<!\p{{L}})\p{{L}}{{{LEAST_LETTERS},}}+"
 SPAN = "struct<start:bigint,end:bigint,value:string>"
+MARKED = "struct<start:bigint,end:bigint,action:string>"
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -100,10 +100,15 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def text_terms() -> Column:
+    """The distinct terms of the text, in small letters."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text_of(), F.lit(TERM), F.lit(0)), F.lower))
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
-    """One small row a document: key, text_hash, and ``spans`` with the kind of
-    each base span, in the order of the kinds, then of their starts; ``near``
-    has the terms around every span: (entity, term, start, end)."""
+    """One small row a document: key, text_hash, ``spans`` with the kind of
+    each base span, in the order of the kinds, then of their starts; ``met``
+    has the distinct terms of a text with spans."""
     rows = docs.select(doc_key().alias("key"), F.xxhash64("text").alias("text_hash"), text_of().alias("text"))
     for kind, spans in base_spans(F.col("text")).items():
         rows = rows.withColumn(kind, spans)
@@ -114,38 +119,26 @@ def found_spans(docs: DataFrame) -> DataFrame:
             F.concat(F.lit(f"{kind}:"), s["value"]).alias("entity")))
 
     rows = rows.withColumn("spans", F.concat(*[tagged(kind) for kind in KINDS])).drop(*KINDS)
-
-    def around(s: Column) -> Column:
-        low = F.greatest(F.lit(0).cast("bigint"), s["start"] - CONTEXT - 1)
-        left = F.substring("text", (low + 1).cast("int"), (s["start"] - low).cast("int"))
-        right = F.substring("text", (s["end"] + 1).cast("int"), F.lit(CONTEXT + 1))
-        # A term at the far edge may be cut; it is not counted.
-        before = F.filter(located(left, TERM), lambda t: (t["start"] > 0) | (low == 0))
-        after = F.filter(located(right, TERM), lambda t: t["end"] <= CONTEXT)
-
-        def named(t: Column, shift: Column) -> Column:
-            return F.struct(s["entity"].alias("entity"), F.lower(t["value"]).alias("term"),
-                            (t["start"] + shift).alias("start"), (t["end"] + shift).alias("end"))
-
-        return F.concat(F.transform(before, lambda t: named(t, low)), F.transform(after, lambda t: named(t, s["end"])))
-
-    near = F.filter(F.flatten(F.transform("spans", around)), lambda t: ~F.exists(
-        "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return rows.withColumn("near", near).select("key", "text_hash", "spans", "near")
+    met = F.when(F.size("spans") > 0, text_terms()).otherwise(F.expr("cast(array() as array<string>)"))
+    return rows.select("key", "text_hash", "spans", met.alias("met"))
 
 
 def revealing(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
               smoothing: float = SMOOTHING) -> DataFrame:
-    """(entity, term, ratio, action) of the terms that disclose an entity."""
-    entities = (found.select("text_hash", F.explode("spans.entity").alias("entity")).distinct()
-                .groupBy("entity").agg(F.count("*").alias("n_e")))
-    pairs = (found.select("text_hash", F.explode("near").alias("n")).select("text_hash", "n.entity", "n.term").distinct()
-             .groupBy("entity", "term").agg(F.count("*").alias("n_et")))
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0)))
-    counts = docs.select(F.explode(terms).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
+    """(entity, term, ratio, action) of the terms that disclose an entity; of the
+    entities that stand in the same one text only, the smallest is told."""
+    texts = found.filter(F.size("spans") > 0).select("text_hash", "spans.entity", "met").dropDuplicates(["text_hash"])
+    named = texts.select("text_hash", F.explode(F.array_distinct("entity")).alias("entity"))
+    entities = named.groupBy(F.col("entity").alias("e")).agg(F.count("*").alias("n_e"))
+    counted = named.join(entities, F.col("entity") == F.col("e"))
+    # Entities that stand in no other text have the same terms and ratios: one of a text stands for them.
+    sole = counted.filter(F.col("n_e") == 1).groupBy("text_hash").agg(F.min("entity").alias("entity"), F.max("n_e").alias("n_e"))
+    each = counted.filter(F.col("n_e") > 1).select("text_hash", "entity", "n_e").unionByName(sole)
+    pairs = (each.join(texts.select(F.col("text_hash").alias("h"), F.explode("met").alias("term")), F.col("text_hash") == F.col("h"))
+             .groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")))
+    counts = docs.select(F.explode(text_terms()).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
     total = found.agg(F.count("*").alias("n")).first()["n"]
-    met = (pairs.join(entities.withColumnRenamed("entity", "e"), F.col("entity") == F.col("e"))
-           .join(counts, F.col("term") == F.col("t")))
+    met = pairs.join(counts, F.col("term") == F.col("t"))
     every = F.lit(float(max(total, 1)))
     content = F.log2(every / F.col("n_e"))
     chance = (F.col("n_e") + smoothing) * (F.col("n_t") + smoothing)
@@ -154,6 +147,21 @@ def revealing(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE,
             .withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise")))
 
 
+def marked(text: Column, act: Column) -> Column:
+    """Where the terms of ``act`` (term to action) stand: array of (start, end, action)."""
+    pairs = F.arrays_zip(F.split(text, TERM, -1), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["0"])
+        end = start + F.coalesce(F.length(x["1"]), F.lit(0))
+        action = F.element_at(act, F.lower(F.coalesce(x["1"], F.lit(""))))
+        here = F.array(F.struct(start.alias("start"), end.alias("end"), action.alias("action")))
+        return F.struct(end.alias("at"), F.when(action.isNull(), acc["out"]).otherwise(F.concat(acc["out"], here)).alias("out"))
+
+    none = F.expr(f"cast(array() as array<{MARKED}>)")
+    return F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step)["out"]
+
+
 def personal_data(docs: DataFrame, **options) -> DataFrame:
     """One row a document: key, text_hash, ``spans`` (kind, start, end, entity)
     and ``terms`` (start, end, action) that the method adds.
@@ -164,16 +172,18 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
     columns beside doc_id and text are not read.
     """
     found = saved(found_spans(docs), "pii-spans")
-    flagged = saved(revealing(docs, found, **options), "pii-terms").select(
-        F.col("entity").alias("e"), F.col("term").alias("t"), "action")
-    near = found.select("key", "text_hash", F.explode("near").alias("n")).select("key", "text_hash", "n.*")
-    hits = near.join(flagged, (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
-    terms = (hits.groupBy("key", "text_hash", "start", "end").agg(F.max("action").alias("action"))
-             .groupBy(F.col("key").alias("k"), F.col("text_hash").alias("h"))
-             .agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("terms")))
-    same = (F.col("key") == F.col("k")) & F.col("text_hash").eqNullSafe(F.col("h"))
-    return found.join(terms, same, "left").select("key", "text_hash", "spans", F.coalesce(
-        "terms", F.expr("cast(array() as array<struct<start:bigint,end:bigint,action:string>>)")).alias("terms"))
+    flagged = saved(revealing(docs, found, **options).groupBy(F.col("term").alias("t")).agg(F.max("action").alias("action")),
+                    "pii-terms")
+    # What is marked depends on the text alone; every copy of it gets the same.
+    rows = docs.select(F.xxhash64("text").alias("text_hash"), text_of().alias("text"))
+    hits = saved(rows.select("text_hash", F.explode(text_terms()).alias("term")).join(flagged, F.col("term") == F.col("t"))
+                 .groupBy(F.col("text_hash").alias("h")).agg(F.map_from_entries(F.collect_set(F.struct("t", "action"))).alias("act")),
+                 "pii-hits")
+    terms = saved(rows.join(hits, F.col("text_hash") == F.col("h")).select("h", marked(F.col("text"), F.col("act")).alias("terms"))
+                  .dropDuplicates(["h"]), "pii-marks")
+    outside = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return found.join(terms, F.col("text_hash") == F.col("h"), "left").select("key", "text_hash", "spans", F.coalesce(
+        outside, F.expr(f"cast(array() as array<{MARKED}>)")).alias("terms"))
 
 
 def sanitised(docs: DataFrame, **options) -> DataFrame:
