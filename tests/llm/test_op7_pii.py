@@ -88,3 +88,10 @@ def test_terms_far_from_the_entity_and_in_other_texts(spark, monkeypatch):
     assert "term" not in out[10002].spans
     clean = {r.doc_id: r.text for r in pii.sanitised(table(spark, rows)).collect()}
     assert not any("trillian" in t.lower() for t in clean.values()) and clean[10002] == texts[10002]
+
+
+def test_copies_hide_no_term(spark, monkeypatch):
+    text = "wordaa Trillian answers at t@hq.org"
+    rows = corpus([text, "wordbb Trillian answers at t@hq.org"]) + [(20000 + i, text) for i in range(1000)]
+    out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
+    assert len(out) == len(rows) and all(marked(out, texts, d, "Trillian") for d in (10000, 10001, 20000, 20999))

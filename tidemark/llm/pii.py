@@ -13,8 +13,7 @@ A ratio of 1 means that who reads the term knows the entity. Terms at or above
 removed, wherever they stand. The counts of the entity and of the term are smoothed by ``SMOOTHING`` in
 the PMI, so that a pair seen once tells less than one seen often, and in a small
 corpus nothing; an entity that stands in one text only has disclosing terms
-too. Entities and pairs are counted in distinct texts, so that copies are no
-evidence; terms are counted in all documents.
+too. All four numbers count distinct texts, so that copies are no evidence.
 
 Only DataFrame functions are used. Patterns have no repeated groups, which Java
 matches by recursion: the dots or separators such a group would repeat
@@ -136,8 +135,14 @@ def revealing(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE,
     each = counted.filter(F.col("n_e") > 1).select("text_hash", "entity", "n_e").unionByName(sole)
     pairs = (each.join(texts.select(F.col("text_hash").alias("h"), F.explode("met").alias("term")), F.col("text_hash") == F.col("h"))
              .groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")))
-    counts = docs.select(F.explode(text_terms()).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
-    total = found.agg(F.count("*").alias("n")).first()["n"]
+    # A text's m copies count as one: each has 1/m of it.
+    hashes = found.groupBy(F.col("text_hash").alias("h")).agg(F.count("*").alias("m"))
+    total = hashes.count()
+    copied = saved(hashes.filter(F.col("m") > 1), "pii-copies")
+    rows = docs.select(F.xxhash64("text").alias("text_hash"), text_of().alias("text"))
+    part = rows.join(copied, F.col("text_hash") == F.col("h"), "left").withColumn("part", 1 / F.coalesce("m", F.lit(1)))
+    counts = (part.select("part", F.explode(text_terms()).alias("t"))
+              .groupBy("t").agg(F.round(F.sum("part")).alias("n_t")))
     met = pairs.join(counts, F.col("term") == F.col("t"))
     every = F.lit(float(max(total, 1)))
     content = F.log2(every / F.col("n_e"))
