@@ -194,3 +194,49 @@ def lm_trigram(rows, vocabulary=4093):
         log = math.log10(p2(s[0], s[1])) + sum(math.log10(p3(*x)) for x in zip(s, s[1:], s[2:]))
         out[d] = log + sum(math.log10((words[x] + 0.1) / rare) for x in w if symbol(x) == "<rare>")
     return out
+
+
+def merkle_manifest(rows):
+    """Rows (doc_id, source, lang, n_chars, text): the whole tree in memory."""
+    def h(parts):
+        return sha("".join(parts))
+
+    def leaf(row, text):
+        fields = [*map(lambda v: None if v is None else str(v), row[:4]), text]
+        return h("-" if v is None else f"{len(v.encode())}:{v}" for v in fields)
+
+    def tree(leaves):
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            levels.append([h(levels[-1][i:i + 8]) for i in range(0, len(levels[-1]), 8)])
+        return levels
+
+    def path(levels, at):
+        out = []
+        for nodes in levels[:-1]:
+            out.append((at % 8, [x for j, x in enumerate(nodes[at // 8 * 8:at // 8 * 8 + 8]) if j != at % 8]))
+            at //= 8
+        return out
+
+    def told(row):
+        text = row[4]
+        if text is None or row[0] is None or not held(row[0], 3, 0):
+            return text
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    langs = {}
+    for row in rows:
+        langs.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(row, row[4]), leaf(row, told(row)), row[0]))
+    order = sorted(langs, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {k: tree([x[2] for x in sorted(langs[k])]) for k in order}
+    top = tree([trees[k][-1][0] for k in order])
+    out = []
+    for i, k in enumerate(order):
+        for at, (_, _, own, shown, doc_id) in enumerate(sorted(langs[k])):
+            steps = path(trees[k], at) + path(top, i)
+            folded = shown
+            for place, others in steps:
+                folded = h(others[:place] + [folded] + others[place:])
+            root = top[-1][0]
+            out.append((doc_id, own, trees[k][-1][0], root, h(x for _, o in steps for x in o), folded, folded == root))
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1:]))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, fingerprints, language_id, lm, mixing, near_dedup, pii, quality, substring_dedup
+from tidemark.llm import (bpe, exact_dedup, fingerprints, language_id, lm, merkle, mixing, near_dedup, pii, quality,
+                          substring_dedup)
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_mixing": mixing.op9_mixing,
     "op10_simhash_near_dedup": near_dedup.op10_simhash_near_dedup,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
