@@ -240,3 +240,56 @@ def merkle_manifest(rows):
             root = top[-1][0]
             out.append((doc_id, own, trees[k][-1][0], root, h(x for _, o in steps for x in o), folded, folded == root))
     return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1:]))
+
+
+def alignment(rows):
+    """Rows (doc_id, text): every pair of tokens compared; the tokenizers called plainly."""
+    from public_tokenizers import path
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    p = SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    docs, counts = [], Counter()
+    for d, text in rows:
+        want = b" " + (text or "").encode()
+        a = [(i, bytes(letter[c] for c in t.id_to_token(i))) for i in t.encode(" " + (text or ""), add_special_tokens=False).ids]
+        b = [(i, bytes([int(p.id_to_piece(i)[3:-1], 16)]) if p.is_byte(i) else p.id_to_piece(i).replace("▁", " ").encode())
+             for i in p.encode(text or "")]
+        if not text or b"".join(x for _, x in a) != want or b"".join(x for _, x in b) != want:
+            docs.append((d, [], [], []))
+            continue
+        spans = []
+        for side in (a, b):
+            at, out = 0, []
+            for i, x in side:
+                out.append((i, at, at + len(x)))
+                at += len(x)
+            spans.append(out)
+        links, k = [], 0
+        for i, s, e in spans[0]:
+            while k and spans[1][k][1] > s:
+                k -= 1
+            j = k
+            while j < len(spans[1]) and spans[1][j][1] < e:
+                if spans[1][j][2] > s:
+                    links.append((i, spans[1][j][0]))
+                    k = j
+                j += 1
+        counts.update(links)
+        docs.append((d, *spans, links))
+    best = {}
+    for (_, b), n in counts.items():
+        best[b] = max(best.get(b, 0), n)
+    out = []
+    for d, a, b, links in docs:
+        groups = []
+        for e in sorted({x[2] for x in a} & {x[2] for x in b}):
+            low = groups[-1][0] if groups else 0
+            groups.append((e, *[",".join(str(i) for i, s, f in side if low <= s and f <= e) for side in (a, b)]))
+        told = ";".join(f"{x}|{y}" for _, x, y in groups)
+        out.append((d, len(a), len(b), len(groups), len(links), sum(counts[x] == best[x[1]] for x in links),
+                    sum(counts[x] for x in links), sha(told) if a else ""))
+    return sorted(out)

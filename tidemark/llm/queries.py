@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (bpe, exact_dedup, fingerprints, language_id, lm, merkle, mixing, near_dedup, pii, quality,
-                          substring_dedup)
+from tidemark.llm import (alignment, bpe, exact_dedup, fingerprints, language_id, lm, merkle, mixing, near_dedup, packing, pii,
+                          quality, substring_dedup)
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_simhash_near_dedup": near_dedup.op10_simhash_near_dedup,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
+    "op13_packing": packing.op13_packing,
 }
 
 ORACLES: dict[str, str] = {
