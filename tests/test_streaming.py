@@ -166,7 +166,7 @@ def test_rolling_peak_stream_incremental(spark):
     equal the one-shot batch peaks."""
     from tidemark.functions.text import composite_key
     from tidemark.operators import rolling
-    from tidemark.sinks import snapshot
+    from tidemark.sinks import bucketed
     from tidemark.streaming import rolling as srolling
     d, schema = _split_events(spark, parts=4)
     ev = clickstream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
@@ -176,7 +176,7 @@ def test_rolling_peak_stream_incremental(spark):
     store, peaks = new_dir() + "/panes", new_dir() + "/peaks"
     run_foreach_batch(panes, srolling.peak_sink(store, peaks, keys, "user_id", size, slide,
                                                 composite_key("title", "message_id")), "append")
-    got = rows(snapshot.read_snapshot(spark, peaks), "row_key", "uv")
+    got = rows(bucketed.read_table(spark, peaks), "row_key", "uv")
     ev_b = clickstream(spark.read.parquet(f"{SF}/events.parquet"))
     seg = rolling.rolling_distinct_segments(ev_b, keys, "user_id", "time_us", size, slide)
     want = rows(rolling.peak_distinct(seg, keys).select(

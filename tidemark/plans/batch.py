@@ -9,7 +9,7 @@ from tidemark.functions.json import (json_map, may_contain_value, parse_events,
                                      to_json_object)
 from tidemark.functions.text import composite_key, text_hash
 from tidemark.functions.time import register_utc2local
-from tidemark.operators import daily, guard, hot_items, joins, keyed, rolling, windows, words
+from tidemark.operators import daily, guard, hot_items, joins, keyed, mergeable, rolling, windows, words
 from tidemark.plans.registry import register
 from tidemark.session import shared_dir
 from tidemark.sinks import files as file_sinks
@@ -673,3 +673,30 @@ def q_rolling_uv_5s_segments(spark: SparkSession, sf_dir: str):
     ev = read_clickstream(spark, sf_dir).where(F.col("message_id").isNotNull())
     return rolling.rolling_distinct_segments(ev, ["message_id", "title"], "user_id", "time_us",
                                              86400, 5)
+
+
+# --- user-defined mergeable aggregates (U2 A4) -----------------------------
+
+@register("top_values", covers="U2 A4", oracle="""
+with r as (select event_type as event, event_id as id, value,
+                  row_number() over (partition by event_type order by value desc, event_id) as place
+           from events where value is not null)
+select event, cast(place as integer) as place, id, value from r where place <= 10
+""")
+def q_top_values(spark: SparkSession, sf_dir: str):
+    """The ten rows of the largest value of each event type, by a user's own aggregate."""
+    top = mergeable.mergeable_agg(read_clickstream(spark, sf_dir), ["event"], mergeable.TopK("value", "event_id", 10), "top")
+    rows = top.select("event", F.posexplode("top").alias("at", "r"))
+    return rows.select("event", (F.col("at") + 1).alias("place"), "r.id", F.col("r.weight").alias("value"))
+
+
+@register("value_histogram", covers="U2 A4", oracle="""
+with b as (select user_id, least(19, greatest(0, cast(floor(value / 25) as integer))) as bin
+           from events where value is not null and not isnan(value))
+select user_id, bin, count(*) as n from b group by all
+""")
+def q_value_histogram(spark: SparkSession, sf_dir: str):
+    """A histogram of each user's values: bins of 25 from 0 on, what is beyond the ends in the outer ones."""
+    found = mergeable.mergeable_agg(read_clickstream(spark, sf_dir), ["user_id"], mergeable.Histogram("value", 0.0, 25.0, 20), "bins")
+    rows = found.select("user_id", F.posexplode("bins").alias("bin", "n"))
+    return rows.where("n > 0")

@@ -68,6 +68,24 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/{entry['data']}") if entry else None
 
 
+def read_version(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """The rows of one commit; it is kept for ``KEEP_SECONDS`` after the next one."""
+    entry = next(_entry(spark, st) for n, st in _log(spark, path) if n == number)
+    return spark.read.parquet(f"{path}/{entry['data']}")
+
+
+def replace(rows: DataFrame, path: str) -> int:
+    """Commit ``rows`` as the whole table; returns the commit's number."""
+    spark = rows.sparkSession
+    data = f"data-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{data}")
+    while True:
+        number, entry = _newest(spark, path)
+        if _take(spark, path, number + 1, {"data": data, "writers": entry["writers"] if entry else {}}):
+            _drop_old(spark, path)
+            return number + 1
+
+
 def _take(spark: SparkSession, path: str, number: int, entry: dict) -> bool:
     """Write the log entry ``number``; false if another writer has it."""
     jvm = spark.sparkContext._jvm
@@ -105,6 +123,12 @@ def _writer(spark: SparkSession, writer: str | None) -> str:
     return writer or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
+def drained(batch: DataFrame) -> None:
+    """Compute a batch that is not applied again: Spark wants the state of a repeated micro-batch
+    committed all the same."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
 def _upsert(batch: DataFrame, path: str, batch_id: int, writer: str | None,
             merge: Callable[[DataFrame, DataFrame | None], DataFrame]) -> None:
     spark = batch.sparkSession
@@ -113,7 +137,7 @@ def _upsert(batch: DataFrame, path: str, batch_id: int, writer: str | None,
         number, entry = _newest(spark, path)
         writers = dict(entry["writers"]) if entry else {}
         if writers.get(who) == batch_id:
-            return
+            return drained(batch)
         current = spark.read.parquet(f"{path}/{entry['data']}") if entry else None
         data = f"data-{uuid.uuid4().hex}"
         merge(batch, current).write.parquet(f"{path}/{data}")

@@ -190,8 +190,8 @@ class FutureClampProcessor(StatefulProcessor):
     raise it. Rows are handled in offset order."""
 
     def __init__(self, time_col: str, offset_col: str, id_col: str, max_ahead_ms: int,
-                 now_ms: int | None = None):
-        self.time_col, self.offset_col, self.id_col = time_col, offset_col, id_col
+                 now_ms: int | None = None, carry: Sequence[str] = ()):
+        self.time_col, self.offset_col, self.id_col, self.carry = time_col, offset_col, id_col, list(carry)
         self.max_ahead_ms, self.now_ms = max_ahead_ms, now_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -208,19 +208,24 @@ class FutureClampProcessor(StatefulProcessor):
         out = np.where(ahead, np.where(tops == none, 0, tops), t)
         if tops[-1] != none:
             self.top.update((int(tops[-1]),))
-        yield pd.DataFrame({"id": pdf[self.id_col].to_numpy(dtype=np.int64), "guarded_time": out})
+        yield pd.DataFrame({"id": pdf[self.id_col].to_numpy(dtype=np.int64), "guarded_time": out,
+                            **{c: pdf[c].to_numpy() for c in self.carry}})
 
     def close(self) -> None:
         pass
 
 
 def future_clamp_stream(df: DataFrame, source: str, time_col: str, offset_col: str,
-                        id_col: str, max_ahead_ms: int, now_ms: int | None = None) -> DataFrame:
-    """D2 clamp for streams; output (id, guarded_time). Rows without a time are
-    not given one: they belong in quarantine (D3) and are left out here."""
-    df = df.where(F.col(time_col).isNotNull())
-    schema = StructType([StructField("id", LongType()), StructField("guarded_time", LongType())])
-    proc = FutureClampProcessor(time_col, offset_col, id_col, max_ahead_ms, now_ms)
+                        id_col: str, max_ahead_ms: int, now_ms: int | None = None,
+                        carry: Sequence[str] = ()) -> DataFrame:
+    """D2 clamp for streams; output (id, guarded_time, carried columns). Rows without a time are
+    not given one: they belong in quarantine (D3) and are left out here. A watermark may
+    follow on the guarded time, and stateful operators behind it."""
+    needed = dict.fromkeys([source, time_col, offset_col, id_col, *carry])
+    df = df.where(F.col(time_col).isNotNull()).select(*needed)
+    schema = StructType([StructField("id", LongType()), StructField("guarded_time", LongType()),
+                         *[df.schema[c] for c in carry]])
+    proc = FutureClampProcessor(time_col, offset_col, id_col, max_ahead_ms, now_ms, carry)
     return df.groupBy(source).transformWithStateInPandas(proc, schema, "append", "None")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import rolling
 from tidemark.session import hadoop_path
-from tidemark.sinks import snapshot
+from tidemark.sinks import bucketed, snapshot
 
 DELAY_S = 30                  # the room job's out-of-order bound
 DEFAULT_DELAY = f"{DELAY_S} seconds"
@@ -83,7 +83,7 @@ def peak_sink(store: str, peaks: str, keys: Sequence[str], user: str, size_s: in
                  .select(*keys, user, (F.col("p") * slide_s * 1_000_000).alias("_us")))
         seg = rolling.rolling_distinct_segments(panes, keys, user, "_us", size_s, slide_s)
         best = snapshot.keep_max_rows(rolling.peak_distinct(seg, keys), row_key, value)
-        snapshot.upsert_keep_max(best, peaks, batch_id, value=value)
+        bucketed.upsert_keep_max(best, peaks, batch_id, value=value)
         # No window of a pane that may still come reaches back further than this.
         oldest = (last - late_panes - (k - 1)) // per_day
         for d in stored:

@@ -7,6 +7,7 @@ under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
@@ -17,31 +18,48 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.session import hadoop_path, remove_at_end, shared_dir
 
 
+# Bytes of the input a replayed file holds, and files a trigger takes at most by core.
+FILE_BYTES = 64 << 20
+
+
+def _pieces(df: DataFrame, least: int = 1) -> int:
+    """How many files ``df`` is written as, by the size Spark estimates for it (rows given
+    by the driver have none: Spark says the largest number there is)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 62:
+        size = 0
+    return min(max(least, -(-size // FILE_BYTES)), 1_000_000)
+
+
 def replay(spark: SparkSession, events: DataFrame, after: Sequence[DataFrame] = (), parts: int = 5,
            at: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """``events`` as a stream of ``parts`` files in the order of ``at``, then one
-    file for each of ``after``; every trigger takes one file, so the order of the
-    rows over micro-batches is the same on every run."""
+    """``events`` as a stream of files in the order of ``at``, at least ``parts`` of them and
+    each of about ``FILE_BYTES``, then the files of each of ``after``. A trigger takes a
+    ``parts``-th of the files, at most one a core, so its size is bounded and
+    the order of the rows over micro-batches is the same on every run."""
     path = shared_dir(spark, "replay")
     remove_at_end(spark, path)
     fs, folder = hadoop_path(spark, path)
-    cols = [F.col(c) for c in at]
-    ordered = events.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
-    ordered.select(*[c for c in events.columns if not c.startswith("_")]).write.mode("append").parquet(path)
     names: list[str] = []
 
-    def listed() -> list[str]:
+    def written(rows: DataFrame, pieces: int) -> None:
+        cols = [F.col(c) for c in at if c in rows.columns] or [F.col(rows.columns[0])]
+        ordered = rows.repartitionByRange(pieces, *cols).sortWithinPartitions(*cols)
+        ordered.select(*[c for c in rows.columns if not c.startswith("_")]).write.mode("append").parquet(path)
         every = sorted(st.getPath().getName() for st in fs.listStatus(folder))
-        return [n for n in every if n.startswith("part-") and n not in names]
+        names.extend(n for n in every if n.startswith("part-") and n not in known)
+        known.update(names)
 
-    names += listed()
+    known: set[str] = set()
+    pieces = _pieces(events, parts)
+    written(events, pieces)
     for rows in after:
-        rows.coalesce(1).write.mode("append").parquet(path)
-        names += listed()
+        written(rows, _pieces(rows))
     for i, name in enumerate(names):      # the file source goes by modification time
         fs.setTimes(hadoop_path(spark, f"{path}/{name}")[1], 1_000_000_000_000 + 1000 * i, -1)
     schema = events.select(*[c for c in events.columns if not c.startswith("_")]).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+    at_once = max(1, min(spark.sparkContext.defaultParallelism, pieces // parts))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(at_once)).parquet(path)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -98,6 +116,29 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], m
     return ck
 
 
+def run_processing_time(stream: DataFrame, fn: Callable[[DataFrame, int], None], mode: str,
+                        checkpoint: str | None = None, name: str = "q", timeout_s: int = 600) -> str:
+    """Run ``stream`` under a processing-time trigger until a trigger finds no new input, then stop
+    it: a query with state by the clock has a next trigger for ever, so neither ``availableNow``
+    nor ``processAllAvailable`` ends."""
+    spark = stream.sparkSession
+    ck = checkpoint or shared_dir(spark, f"ckpt-{name}")
+    with state_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).foreachBatch(fn)
+             .option("checkpointLocation", ck).trigger(processingTime="1 second").start())
+    end = time.monotonic() + timeout_s
+    try:
+        while not any(p["numInputRows"] == 0 for p in q.recentProgress):
+            if q.exception() is not None:
+                raise q.exception()
+            if time.monotonic() > end:
+                raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    return ck
+
+
 def run_foreach_batches(jobs: list[tuple[DataFrame, Callable[[DataFrame, int], None], str, str]],
                         timeout_s: int | None = None) -> list[str]:
     """Start several (stream, foreachBatch fn, output mode, name) queries
