@@ -74,3 +74,25 @@ def test_sweep_property(spark, slide, k, events):
            .agg(F.count_distinct("u").alias("uv"))
            .select("k", F.unix_seconds("w.start").alias("s"), "uv"))
     assert got == rows(ref, "k", "s", "uv")
+
+
+def test_sweep_over_stretches(spark, monkeypatch):
+    """Runs of equal counts do not depend on how long a stretch is, over gaps, before 1970 and with NULL keys;
+    no task sums up more than one stretch."""
+    import random
+
+    from tidemark.operators import rolling
+    rng = random.Random(8)
+    recs = [(rng.choice(["a", None]), rng.randint(0, 6), rng.choice([-90, 0, 500]) * 1_000_000 + rng.randint(0, 80) * 1_000_000)
+            for _ in range(300)]
+    df = spark.createDataFrame(recs, "k string, u int, us bigint")
+    got = {}
+    for stretch in (1, 3, 1000):
+        monkeypatch.setattr(rolling, "STRETCH", stretch)
+        seg = rolling.rolling_distinct_segments(df, ["k"], "u", "us", 12, 2)
+        got[stretch] = sorted(map(tuple, rolling.expand_segments(seg, ["k"], 12, 2).select("k", "win_start", "uv").collect()), key=str)
+    want = {}
+    for k, u, us in recs:
+        for i in range(6):
+            want.setdefault((k, (us // 2_000_000 - i) * 2), set()).add(u)
+    assert got[1] == got[3] == got[1000] == sorted(((*key, len(v)) for key, v in want.items()), key=str)

@@ -11,10 +11,13 @@ before any aggregation. The sweep below never expands:
 3. +1 at each piece start, -1 at each piece end, summed per (keys, point) --
    again partial aggregation first;
 4. a running sum over the points of each key gives the distinct count for every
-   run of window starts between two change points.
+   run of window starts between two change points. It has two levels: points are summed up within
+   stretches of ``STRETCH`` windows of time, and a stretch starts from the total of the
+   stretches before it, one row each. So a key with years of points is many
+   tasks, each with the points of one stretch.
 
-Work per group is bounded by the number of panes in the time range, not by the
-number of events: step 2 sees at most one row per (key, user, pane) and step 4
+Work per group is bounded by the panes in a stretch, not by the number of events or
+the length of the history: step 2 sees at most one row per (key, user, pane) and step 4
 one row per (key, point). Output is one row per run of equal counts
 (``seg_start`` inclusive, ``seg_stop`` exclusive, both window starts in epoch
 seconds); :func:`expand_segments` gives one row per window when that is small.
@@ -28,6 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+STRETCH = 4      # window lengths whose points one task sums up
+
+
 def floor_div(c: Column, n: int) -> Column:
     """Integer floor division, exact for |c| < 2**53 (epoch microseconds until
     the year 2255): c - pmod(c, n) is an exact multiple of n."""
@@ -35,8 +41,9 @@ def floor_div(c: Column, n: int) -> Column:
 
 
 def rolling_distinct_segments(df: DataFrame, keys: Sequence[str], user: str, time_us: str,
-                              size_s: int, slide_s: int) -> DataFrame:
-    """(keys..., seg_start, seg_stop, uv) runs of windows with the same distinct count."""
+                              size_s: int, slide_s: int, bounded: bool = False) -> DataFrame:
+    """(keys..., seg_start, seg_stop, uv) runs of windows with the same distinct count. ``bounded``
+    says that the input spans a few windows of time only: it is one stretch then."""
     if size_s % slide_s:
         raise ValueError("window size must be a multiple of the slide")
     k = size_s // slide_s
@@ -53,13 +60,28 @@ def rolling_distinct_segments(df: DataFrame, keys: Sequence[str], user: str, tim
     deltas = (pieces.select(*keys, F.inline(F.array(
                   F.struct(F.col("s").alias("q"), F.lit(1).alias("d")),
                   F.struct(F.col("e").alias("q"), F.lit(-1).alias("d")))))
-              .groupBy(*keys, "q").agg(F.sum("d").alias("d"))
+              .withColumn("c", F.lit(0).cast("bigint") if bounded else floor_div(F.col("q"), k * STRETCH))
+              .groupBy(*keys, "c", "q").agg(F.sum("d").alias("d"))
               .where(F.col("d") != 0))
-    w = Window.partitionBy(*keys).orderBy("q")
-    runs = deltas.select(
-        *keys, "q",
+    w = Window.partitionBy(*keys, "c").orderBy("q")
+    local = deltas.select(
+        *keys, "c", "q",
         F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("uv"),
         F.lead("q").over(w).alias("q_next"))
+    if bounded:
+        return _positive(local, keys, slide_s)
+    over = Window.partitionBy(*keys).orderBy("c")
+    stretches = (deltas.groupBy(*keys, "c").agg(F.sum("d").alias("total"), F.min("q").alias("first"))
+                 .select(*[F.col(x).alias(f"_{x}") for x in (*keys, "c")],
+                         F.sum("total").over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+                         F.lead("first").over(over).alias("first_next")))
+    same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in keys] + [F.col("c") == F.col("_c")]
+    runs = local.join(stretches, same).select(
+        *keys, "q", (F.col("uv") + F.coalesce("before", F.lit(0))).alias("uv"), F.coalesce("q_next", "first_next").alias("q_next"))
+    return _positive(runs, keys, slide_s)
+
+
+def _positive(runs: DataFrame, keys: list[str], slide_s: int) -> DataFrame:
     return runs.where(F.col("uv") > 0).select(
         *keys,
         (F.col("q") * slide_s).alias("seg_start"),

@@ -81,7 +81,7 @@ def peak_sink(store: str, peaks: str, keys: Sequence[str], user: str, size_s: in
         panes = (spark.read.option("basePath", store).parquet(*days)
                  .where(F.col("p").between(lo, hi)).join(new.select(*keys).distinct(), list(keys), "left_semi")
                  .select(*keys, user, (F.col("p") * slide_s * 1_000_000).alias("_us")))
-        seg = rolling.rolling_distinct_segments(panes, keys, user, "_us", size_s, slide_s)
+        seg = rolling.rolling_distinct_segments(panes, keys, user, "_us", size_s, slide_s, bounded=True)
         best = snapshot.keep_max_rows(rolling.peak_distinct(seg, keys), row_key, value)
         bucketed.upsert_keep_max(best, peaks, batch_id, value=value)
         # No window of a pane that may still come reaches back further than this.
