@@ -60,3 +60,22 @@ def test_filter_keeps_columns_and_clean_documents(spark):
         spark.createDataFrame([(5000, "12 34", "en", "x", 5)], "doc_id bigint, text string, lang string, source string, n_chars bigint"))
     kept = lid.identified(df)
     assert kept.columns == df.columns and kept.filter("doc_id = 5000").count() == 0 and kept.count() >= 995
+
+
+def test_junk_goes_and_short_clean_texts_stay(spark):
+    """Random consonants, random characters of two scripts that were not learned; every text that was clean stays."""
+    import random
+    rng = random.Random(11)
+    kinds = ["bcdfghjklmnpqrstvwxz", [chr(0x4E00 + i) for i in range(3000)], [chr(0x430 + i) for i in range(32)]]
+    junk = [(10_000 + 50 * k + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(rng.choice([6, 40, 300]))))
+            for k, letters in enumerate(kinds) for i in range(50)]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    words = {lang: docs.filter(f"lang = '{lang}' and n_chars > 2000").select("text").first()[0].split() for lang in ("en", "de", "fr", "es")}
+    short = [(20_000 + i, " ".join(w[5 * i:5 * i + 8]), lang) for lang, w in words.items() for i in range(10)]
+    more = spark.createDataFrame([(i, t, "en" if i % 2 else None, "x", len(t)) for i, t in junk] + [(i, t, None, "x", len(t)) for i, t, _ in short],
+                                 docs.schema)
+    kept = {r.doc_id for r in lid.identified(docs.unionByName(more)).select("doc_id").collect()}
+    assert not kept & {i for i, _ in junk}
+    assert len(kept & {i for i, *_ in short}) >= 0.95 * len({i for i, *_ in short})
+    clean = {r.doc_id for r in docs.filter("text rlike '[A-Za-z]{3}'").select("doc_id").collect()}
+    assert len(kept & clean) >= 0.99 * len(clean)

@@ -5,7 +5,9 @@ its code point and a seed. A letter trigram binds its letters' vectors: the
 first is permuted (rotated) twice, the second once, and the three are
 multiplied. A text bundles (adds up) the vectors of all its trigrams; a
 language prototype bundles those of all its training texts. The prediction is
-the language whose centred prototype has the largest cosine with the text.
+the language whose centred prototype has the largest cosine with the text. A text
+in another script, or of random letters, is as far from every prototype, before centring, as
+random vectors are: that tells what is like no learned language.
 
 Training sums vectors within each task before anything is shuffled: one row a
 task, language and dimension. Only the prototypes, ``DIM`` numbers a language,
@@ -30,7 +32,11 @@ SEED = 7
 HELD_OUT = 5           # documents whose crc32 leaves 0 by this are not learned from
 MAX_LANGUAGES = 4096   # bound on what the driver holds; a corpus with more is refused
 UNKNOWN = "und"
-LOWEST = 0.0           # at this cosine or below no learned language is like the text
+
+# A text is like a language if its cosine with the language's prototype is so many standard deviations
+# of that of random vectors, 1 / sqrt(dim). Text of few trigrams is less like any language.
+SIGMAS = 4.5
+FEW, FEW_SIGMAS = 20, 2.5
 
 CHARS = 1 << 19        # characters handled at once
 CACHED = 1 << 15       # trigram vectors a worker keeps
@@ -163,20 +169,22 @@ def centred(prototypes: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray, n
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM, seed: int = SEED,
-            keep: list[Column] | None = None) -> DataFrame:
-    """``keep`` columns with lang_pred and score (cosine, 0 to 1). A text
+            keep: list[Column] | None = None, with_like: bool = False) -> DataFrame:
+    """``keep`` columns with lang_pred and score (cosine, 0 to 1) and, if asked for, ``like``:
+    whether the text is like any learned language at all. A text
     that is null or without a letter is ``und`` with score 0, and so is
     every text where no language was learned. Of equal cosines the first
     language by name wins."""
     small_batches(docs.sparkSession)
     names, unit, shared = centred(prototypes)
+    whole = np.stack([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]) if names else unit
     columns = keep or [F.col("doc_id")]
     kept = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(dim, seed)
         for b in batches:
-            langs, scores = [], []
+            langs, scores, like = [], [], []
             for _, texts in _in_pieces(b.column(b.num_columns - 1).to_pylist()):
                 of, grams = trigrams(texts)
                 found, back = np.unique(grams, return_inverse=True)
@@ -187,18 +195,24 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
                     if edges[i] == edges[i + 1] or not names:
                         langs.append(UNKNOWN)
                         scores.append(0.0)
+                        like.append(False)
                         continue
                     v = _bundle(book, found[pairs[mine] - i * len(found)], n[mine])
-                    v = v / max(np.linalg.norm(v), 1e-9) - shared
+                    v = v / max(np.linalg.norm(v), 1e-9)
+                    sigmas = SIGMAS if n[mine].sum() >= FEW else FEW_SIGMAS
+                    like.append(bool((whole @ v).max() > sigmas / np.sqrt(dim)))
+                    v = v - shared
                     cosine = unit @ v / max(np.linalg.norm(v), 1e-9)
                     best = int(np.argmax(cosine))
                     langs.append(names[best])
                     scores.append(float(min(1.0, max(0.0, cosine[best]))))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*b.schema.names[:-1], "lang_pred", "score"])
+            cols = [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(like, pa.bool_())] * with_like,
+                                             [*b.schema.names[:-1], "lang_pred", "score"] + ["like"] * with_like)
 
     schema = T.StructType(kept.schema.fields).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    if with_like:
+        schema = schema.add("like", T.BooleanType())
     return docs.select(*columns, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
@@ -207,12 +221,12 @@ def train(docs: DataFrame) -> dict[str, np.ndarray]:
     return learn(docs.filter(~held_out(HELD_OUT, 0)).select("text", "lang"))
 
 
-def identified(docs: DataFrame, lowest: float = LOWEST) -> DataFrame:
+def identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in a language that was learned, with its columns;
-    rejected are texts without a letter and those like no learned language."""
+    rejected are texts without a letter and those like no learned language: in a script that
+    was not learned, or of random letters."""
     row = F.struct("*").alias("row")
-    found = predict(docs, train(docs), keep=[row])
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > lowest)).select("row.*")
+    return predict(docs, train(docs), keep=[row], with_like=True).filter("like").select("row.*")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
