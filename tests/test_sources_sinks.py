@@ -55,6 +55,17 @@ def test_text_csv_sources(spark):
     assert t.where("valid").count() == 4 and "pt" in t.columns
 
 
+def test_jdbc_split_options():
+    """A query with a column and bounds is a derived table read in ranges; else one task reads it."""
+    assert jdbc.query_options("select * from t") == {"query": "select * from t"}
+    assert jdbc.query_options("select id, v from t;", "id", 0, 100, 4) == {
+        "dbtable": "(select id, v from t) split_query", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100",
+        "numPartitions": "4"}
+    assert jdbc.split_options("id", 1, 9, None)["numPartitions"] == "8"
+    with pytest.raises(ValueError):
+        jdbc.query_options("select * from t", "id")
+
+
 def test_jdbc_roundtrip_derby(spark):
     url = "jdbc:derby:memory:tm_test;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}

@@ -18,21 +18,39 @@ def _opts(url: str, props: dict[str, str] | None) -> dict[str, str]:
     return o
 
 
+def split_options(partition_column: str | None, lower: int | None, upper: int | None,
+                  num_partitions: int | None) -> dict[str, str]:
+    """Options by which Spark reads ranges of a numeric column as tasks of their own; rows beyond the
+    bounds are in the first and last range. None without a column: one task."""
+    if not partition_column:
+        return {}
+    if lower is None or upper is None:
+        raise ValueError("a split read needs the column's bounds")
+    return {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper),
+            "numPartitions": str(num_partitions or 8)}
+
+
+def query_options(query: str, partition_column: str | None = None, lower: int | None = None,
+                  upper: int | None = None, num_partitions: int | None = None) -> dict[str, str]:
+    """What reads a query: as it is in one task, or as a derived table split by a column of its result."""
+    split = split_options(partition_column, lower, upper, num_partitions)
+    return {"dbtable": f"({query.strip().rstrip(';')}) split_query", **split} if split else {"query": query}
+
+
 def read_table(spark: SparkSession, url: str, table: str, props: dict[str, str] | None = None,
                partition_column: str | None = None, lower: int | None = None,
                upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """A table as a DataFrame; add ``.where(...)`` and Spark pushes it down."""
-    r = spark.read.format("jdbc").options(**_opts(url, props)).option("dbtable", table)
-    if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lower))
-             .option("upperBound", str(upper)).option("numPartitions", str(num_partitions or 8)))
-    return r.load()
+    split = split_options(partition_column, lower, upper, num_partitions)
+    return spark.read.format("jdbc").options(**_opts(url, props)).option("dbtable", table).options(**split).load()
 
 
-def read_query(spark: SparkSession, url: str, query: str,
-               props: dict[str, str] | None = None) -> DataFrame:
-    """The rows of a query."""
-    return spark.read.format("jdbc").options(**_opts(url, props)).option("query", query).load()
+def read_query(spark: SparkSession, url: str, query: str, props: dict[str, str] | None = None,
+               partition_column: str | None = None, lower: int | None = None,
+               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """The rows of a query; with a column of its result and bounds, read in ranges."""
+    options = query_options(query, partition_column, lower, upper, num_partitions)
+    return spark.read.format("jdbc").options(**_opts(url, props)).options(**options).load()
 
 
 def query_as_json(spark: SparkSession, url: str, query: str, n: int | None = None,
@@ -70,7 +88,9 @@ def stream_to_table(stream: DataFrame, url: str, table: str, checkpoint: str,
 
 def copy_table(spark: SparkSession, src_url: str, src_query: str, dst_url: str, dst_table: str,
                src_props: dict[str, str] | None = None,
-               dst_props: dict[str, str] | None = None, column_types: str | None = None) -> None:
-    """K8: JDBC source -> JDBC sink copy."""
-    write_table(read_query(spark, src_url, src_query, src_props), dst_url, dst_table, dst_props,
-                column_types=column_types)
+               dst_props: dict[str, str] | None = None, column_types: str | None = None,
+               partition_column: str | None = None, lower: int | None = None,
+               upper: int | None = None, num_partitions: int | None = None) -> None:
+    """K8: JDBC source -> JDBC sink copy, in ranges if a column and bounds are given."""
+    rows = read_query(spark, src_url, src_query, src_props, partition_column, lower, upper, num_partitions)
+    write_table(rows, dst_url, dst_table, dst_props, column_types=column_types)

@@ -168,10 +168,10 @@ def totals_sink(path: str):
                 return
             so_far = Window.partitionBy("day_end").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
             rows = found.select("day_end", "tick", *[F.sum(c).over(so_far).alias(c) for c in ("pv", "uv")])
-            before = _stored(spark, path)
+            # Only the folders of the trigger's own days are listed and read.
+            before = _stored(spark, path, [r[0] for r in found.select("day_end").distinct().collect()])
             if before is not None:
-                days = found.select("day_end").distinct()
-                before = (before.where(F.col("batch") < batch_id).join(days, "day_end", "left_semi")
+                before = (before.where(F.col("batch") < batch_id)
                           .groupBy("day_end").agg(F.max("pv").alias("pv0"), F.max("uv").alias("uv0")))
                 rows = rows.join(before, "day_end", "left").select(
                     "day_end", "tick", *[(F.col(c) + F.coalesce(f"{c}0", F.lit(0))).alias(c) for c in ("pv", "uv")])
@@ -182,15 +182,22 @@ def totals_sink(path: str):
     return write
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str, days: list[int] | None = None) -> DataFrame | None:
+    """What was written, of some days if they are named; None if there is nothing yet."""
     fs, p = hadoop_path(spark, path)
-    if not fs.exists(p) or not fs.listStatus(p):
+    folders = [path] if days is None else [f"{path}/day_end={d}" for d in days]
+    folders = [f for f in folders if fs.exists(hadoop_path(spark, f)[1])]
+    if not folders:
         return None
-    return spark.read.schema("tick bigint, pv bigint, uv bigint, day_end bigint, batch bigint").parquet(path)
+    schema = "tick bigint, pv bigint, uv bigint, day_end bigint, batch bigint"
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def read_ticks(spark: SparkSession, path: str) -> DataFrame:
     """(day, tick ms, pv, uv): the newest totals of every tick that was emitted. Totals
-    never fall, so the newest are the largest."""
-    return _stored(spark, path).groupBy("day_end", "tick").agg(F.max("pv").alias("pv"), F.max("uv").alias("uv")).select(
+    never fall, so the newest are the largest. No rows before the first tick."""
+    stored = _stored(spark, path)
+    if stored is None:
+        return spark.createDataFrame([], "day string, tick bigint, pv bigint, uv bigint")
+    return stored.groupBy("day_end", "tick").agg(F.max("pv").alias("pv"), F.max("uv").alias("uv")).select(
         local_text_from_ms(F.col("day_end") - F.lit(DAY_MS)).alias("day"), "tick", "pv", "uv")

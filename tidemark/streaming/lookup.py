@@ -33,8 +33,12 @@ def publish(dim: DataFrame, path: str) -> int:
 
 
 def pin(spark: SparkSession, dim_path: str, pins: str, batch_id: int) -> int:
-    """The dimension's version of a batch: as pinned before, else the newest one."""
-    version = snapshot.committed_versions(spark, dim_path)[-1]
+    """The dimension's version of a batch: as pinned before, else the newest one. A version is kept for
+    ``snapshot.KEEP_SECONDS`` after the next one: set that to more than an outage lasts."""
+    versions = snapshot.committed_versions(spark, dim_path)
+    if not versions:
+        raise ValueError(f"no version of the dimension has been published at {dim_path}")
+    version = versions[-1]
     if snapshot._take(spark, pins, batch_id, {"version": version}):
         return version
     return next(snapshot._entry(spark, st)["version"] for n, st in snapshot._log(spark, pins) if n == batch_id)
