@@ -95,3 +95,69 @@ def test_copies_hide_no_term(spark, monkeypatch):
     rows = corpus([text, "wordbb Trillian answers at t@hq.org"]) + [(20000 + i, text) for i in range(1000)]
     out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
     assert len(out) == len(rows) and all(marked(out, texts, d, "Trillian") for d in (10000, 10001, 20000, 20999))
+
+
+def rare_words(n, entities, seed=5):
+    """``n`` texts with words that hardly ever repeat; ``entities`` of them hold an address of their own."""
+    rng = random.Random(seed)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(3))
+
+    texts = [" ".join(word() for _ in range(25)) for _ in range(n)]
+    return [(i, f"{t} mail u{i}@host{i}.org" if i < entities else t) for i, t in enumerate(texts)]
+
+
+def test_planted_terms_are_found_and_others_left_alone(spark, monkeypatch):
+    rows = rare_words(4000, 200)
+    planted = []
+    for k in (1, 2, 3, 8):
+        for j in range(5):
+            name = "planted" + "abcdefgh"[k - 1] + "vwxyz"[j]
+            own = [(10000 + 100 * k + 10 * j + i, f"{rows[3000 + 100 * k + 10 * j + i][1]} {name} n{k}{j}@firm.org") for i in range(k)]
+            rows += own + ([(20000 + 10 * k + j, f"{rows[2000 + 10 * k + j][1]} {name}")] if k > 1 else [])
+            planted += [(d, name) for d, _ in own] + ([(20000 + 10 * k + j, name)] if k > 1 else [])
+    out, texts = {r.doc_id: r for r in got(spark, table(spark, rows), monkeypatch)}, dict(rows)
+    assert sum(marked(out, texts, d, name) for d, name in planted) >= 0.9 * len(planted)
+    named = {d for d, _ in planted}
+    unrelated = [d for d in texts if "@" not in texts[d] and d not in named]
+    assert sum(bool(out[d].spans) for d in unrelated) <= 0.01 * len(unrelated)
+
+
+def test_pairs_match_brute_force(spark):
+    import math
+    rows = rare_words(400, 30) + [(1000 + i, f"zaphod abc z@hq.org y@hq.org {i}") for i in range(3)] + [(2000, "zaphod again")]
+    rows += [(3000 + i, "zaphod abc z@hq.org y@hq.org 0") for i in range(9)]      # copies are no evidence
+    df = table(spark, rows)
+    found = pii.found_spans(df)
+    got_rows = {(r.entity, r.term): (r.ratio, r.established) for r in pii.revealing(df, found, generalise=-99.0).collect()}
+    texts = {t for _, t in rows}
+    terms = {t: {w.lower() for w in pii_terms(t)} for t in texts}
+    entities = {t: {f"{k}:{t[a:b]}" for k, a, b in personal(t)} for t in texts}
+    where = {}
+    for t in texts:
+        for e in entities[t]:
+            where.setdefault(e, set()).add(t)
+    told = {min(e for e in where if where[e] == s) for s in where.values()}
+    pairs = {(e, w) for e in told for t in where[e] for w in terms[t]}
+    n = len(texts)
+    assert set(got_rows) == pairs
+    for e, w in pairs:
+        n_e, n_t, n_et = len(where[e]), sum(w in terms[t] for t in texts), sum(w in terms[t] for t in where[e])
+        ratio = math.log2(n_et * n / ((n_e + 1.5) * (n_t + 1.5))) / math.log2(n / n_e)
+        q, p = n_et / n_e, n_t / n
+        far = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0)
+        assert abs(got_rows[e, w][0] - ratio) < 1e-9
+        assert got_rows[e, w][1] == (n_et >= 0.5 * n_t and len(pairs) * math.exp(-n_e * far) <= 0.01)
+    assert got_rows["email:y@hq.org", "zaphod"][1]
+
+
+def pii_terms(text):
+    import regex
+    return regex.findall(r"(?<!\p{L})\p{L}{3,}+", text)
+
+
+def test_many_matches_in_one_text(spark, monkeypatch):
+    text = "a@b.cc " * 5000
+    [row] = got(spark, table(spark, [(1, text)]), monkeypatch)
+    assert row.n_email == 5000 and row.spans.startswith("email:0:6,email:7:13,")
