@@ -25,6 +25,11 @@ def test_elias_fano(n, most):
     if n:
         t = rng.integers(0, most, 100)
         assert (e.find(np.zeros(100, int), np.full(100, n), t) == np.searchsorted(v, t)).all()
+        t = np.append(t, rng.choice(v, 100))
+        low, high = np.sort(rng.integers(0, n + 1, (2, 200)), axis=0)
+        want = [lo + np.searchsorted(v[lo:hi], x) for lo, hi, x in zip(low, high, t)]
+        assert (e.find(low, high, t) == want).all()
+        assert (e.place(low, high, t) == [w if w < hi and v[w] == x else -1 for w, hi, x in zip(want, high, t)]).all()
 
 
 def run(df, **options):

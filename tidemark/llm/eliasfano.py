@@ -2,7 +2,9 @@
 
 A non-decreasing sequence of n numbers below U takes about 2 + log2(U / n) bits
 a number: the low bits are packed, the high bits are a bit vector with a one
-for each number. Single members are read without decoding the rest.
+for each number and a zero for each step of the high part. A directory holds the
+ones before each 64 bits, about a bit a number. Members and successors are read
+from these arrays as they are, nothing is decoded beforehand.
 """
 
 from __future__ import annotations
@@ -10,27 +12,37 @@ from __future__ import annotations
 import json
 import os
 import tempfile
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 
 ONE = np.uint64(1)
+BYTES = np.uint64(0x0101010101010101)
+TOPS = np.uint64(0x8080808080808080)
 
 
-class EliasFano:
-    """A read-only non-decreasing sequence; ``get`` reads any members."""
+@cache
+def _places() -> np.ndarray:
+    """Where the r-th one of a byte is, by byte * 8 + r."""
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+    return np.argsort(1 - bits, axis=1, kind="stable").astype(np.uint8).ravel()
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
 
-    @cached_property
-    def ones(self) -> np.ndarray:
-        """Directory: where the ones of the high bits are, made when first asked."""
-        parts = []
-        for at in range(0, len(self.high), 1 << 14):
-            bits = np.unpackbits(self.high[at:at + (1 << 14)].view(np.uint8), bitorder="little")
-            parts.append((np.flatnonzero(bits) + (at << 6)).astype(np.uint32))
-        return np.concatenate(parts)
+def _nth(bits: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) of each 64-bit number."""
+    s = bits - ((bits >> ONE) & np.uint64(0x5555555555555555))
+    s = (s & np.uint64(0x3333333333333333)) + ((s >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    s = ((s + (s >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * BYTES        # ones up to each byte
+    byte = np.bitwise_count(((r * BYTES | TOPS) - s) & TOPS).astype(np.uint64) << np.uint64(3)
+    r = r - (((s << np.uint64(8)) >> byte) & np.uint64(255))
+    return byte.astype(np.int64) + _places()[((((bits >> byte) & np.uint64(255)) << np.uint64(3)) + r).astype(np.int64)]
+
+
+class EliasFano:
+    """A read-only non-decreasing sequence: ``get`` reads any members, ``find`` successors."""
+
+    def __init__(self, n: int, low_bits: int, last: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray):
+        self.n, self.low_bits, self.last, self.low, self.high, self.ranks = n, low_bits, last, low, high, ranks
 
     @staticmethod
     def parts(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -51,37 +63,70 @@ class EliasFano:
             np.bitwise_or.at(low, bit >> 6, part << shift)
             over = (bit & 63) + low_bits > 64
             np.bitwise_or.at(low, (bit[over] >> 6) + 1, part[over] >> (np.uint64(64) - shift[over]))
-        return {f"{name}.shape": np.array([n, low_bits], np.int64), f"{name}.low": low, f"{name}.high": high}
+        ones = np.bitwise_count(high).astype(np.int64)
+        last = int(values[-1] >> b) if n else -1
+        return {f"{name}.shape": np.array([n, low_bits, last], np.int64), f"{name}.low": low, f"{name}.high": high,
+                f"{name}.ranks": (np.cumsum(ones) - ones).astype(np.uint32)}
 
     @classmethod
     def of(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
-        n, low_bits = (int(x) for x in arrays[f"{name}.shape"])
-        return cls(n, low_bits, arrays[f"{name}.low"], arrays[f"{name}.high"])
+        n, low_bits, last = (int(x) for x in arrays[f"{name}.shape"])
+        return cls(n, low_bits, last, *(arrays[f"{name}.{part}"] for part in ("low", "high", "ranks")))
+
+    @cached_property
+    def zero_ranks(self) -> np.ndarray:
+        """The zeros before each 64 high bits."""
+        return (np.arange(len(self.ranks), dtype=np.uint32) << np.uint32(6)) - self.ranks
 
     def get(self, i: np.ndarray) -> np.ndarray:
+        """The members at ``i``."""
         i = np.asarray(i, np.int64)
-        if not len(i):
-            return np.empty(0, np.int64)
-        out = (self.ones[i].astype(np.int64) - i) << self.low_bits
-        if self.low_bits:
-            bit = i * self.low_bits
-            shift = (bit & 63).astype(np.uint64)
-            got = self.low[bit >> 6] >> shift
-            spill = np.where(shift > 0, self.low[(bit >> 6) + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
-            out |= ((got | spill) & ((ONE << np.uint64(self.low_bits)) - ONE)).astype(np.int64)
+        word = np.searchsorted(self.ranks, i.astype(np.uint32), side="right") - 1
+        place = (word << 6) + _nth(self.high[word], (i - self.ranks[word]).astype(np.uint64))
+        return (place - i) << self.low_bits | self._low(i)
+
+    def _low(self, i: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(i), np.int64)
+        bit = i * self.low_bits
+        shift = (bit & 63).astype(np.uint64)
+        got = self.low[bit >> 6] >> shift
+        spill = np.where(shift > 0, self.low[(bit >> 6) + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
+        return ((got | spill) & ((ONE << np.uint64(self.low_bits)) - ONE)).astype(np.int64)
+
+    def _below(self, high: np.ndarray) -> np.ndarray:
+        """How many members have a high part below each of ``high``: the ones before its zero."""
+        out = np.where(high > self.last, self.n, 0)
+        inside = np.flatnonzero((high > 0) & (high <= self.last))
+        zero = high[inside] - 1
+        word = np.searchsorted(self.zero_ranks, zero.astype(np.uint32), side="right") - 1
+        out[inside] = (word << 6) + _nth(~self.high[word], (zero - self.zero_ranks[word]).astype(np.uint64)) - zero
         return out
 
     def find(self, low: np.ndarray, high: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Place of the first member >= ``target`` in [low, high), by halving; ``high`` if none."""
-        low, high = low.astype(np.int64).copy(), high.astype(np.int64).copy()
-        open_ = np.flatnonzero(low < high)
+        """Place of the first member >= ``target`` in [low, high), ``high`` if none. The
+        high part of ``target`` gives the members that share it; these are halved."""
+        target = np.asarray(target, np.int64)
+        part, rest = target >> self.low_bits, target & ((1 << self.low_bits) - 1)
+        first = np.minimum(np.maximum(low, self._below(part)), high)
+        last = np.maximum(np.minimum(high, self._below(part + 1)), first)
+        open_ = np.flatnonzero(first < last)
         while len(open_):
-            mid = (low[open_] + high[open_]) >> 1
-            less = self.get(mid) < target[open_]
-            low[open_[less]] = mid[less] + 1
-            high[open_[~less]] = mid[~less]
-            open_ = open_[low[open_] < high[open_]]
-        return low
+            mid = (first[open_] + last[open_]) >> 1
+            less = self._low(mid) < rest[open_]
+            first[open_[less]] = mid[less] + 1
+            last[open_[~less]] = mid[~less]
+            open_ = open_[first[open_] < last[open_]]
+        return first
+
+    def place(self, low: np.ndarray, high: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Place of ``target`` in [low, high), or -1."""
+        at = self.find(low, high, target)
+        out = np.full(len(at), -1, np.int64)
+        inside = np.flatnonzero(at < high)
+        hit = inside[self.get(at[inside]) == target[inside]]
+        out[hit] = at[hit]
+        return out
 
 
 def to_bytes(arrays: dict[str, np.ndarray]) -> bytes:

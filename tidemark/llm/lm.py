@@ -23,7 +23,8 @@ followers c and their contexts a as children of b; the triples as children of a
 context, each as its place among the followers of b. Children are stored relative
 to their parent and carried on from row to row, so that a level is one monotone
 sequence, with monotone pointers. Gains and weights have eight bits. The
-distinct triples of the documents are sent to the shards to be answered.
+distinct triples of the documents are sent to the shards, which search for them
+in the mapped levels: a child's successor between the pointers of its context.
 """
 
 from __future__ import annotations
@@ -381,15 +382,6 @@ def _rows_of_children(parent: np.ndarray, child: np.ndarray, parents: int, name:
     return EliasFano.parts(pointers, f"{name}.pointers") | EliasFano.parts(base[parent] + child, f"{name}.children")
 
 
-def _keys(levels: dict[str, np.ndarray], name: str) -> tuple[np.ndarray, np.ndarray]:
-    """The pointers of a level, and parent and child of each member as one rising key."""
-    pointers, children = EliasFano.of(levels, f"{name}.pointers"), EliasFano.of(levels, f"{name}.children")
-    at, value = pointers.get(np.arange(pointers.n)), children.get(np.arange(children.n))
-    before = np.where(at > 0, value[at - 1] + 1 if len(value) else 0, 0)
-    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    return at, (row << 32) | (value - before[row])
-
-
 def _look(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Place of each number among rising keys, or -1."""
     if not len(keys):
@@ -630,24 +622,64 @@ def _batch(rows: list[tuple], kinds: list) -> pa.RecordBatch:
                                       [name for name, _ in kinds])
 
 
+def _spread(starts: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    """One value a run for all its rows."""
+    return np.repeat(values, _lengths(starts, n))
+
+
+class Level:
+    """The children of a level, searched relative to their parent."""
+
+    def __init__(self, levels: dict[str, np.ndarray], name: str):
+        self.pointers, self.children = EliasFano.of(levels, f"{name}.pointers"), EliasFano.of(levels, f"{name}.children")
+
+    def rows(self, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From, to and base of the children of each parent; of -1, none."""
+        low, high, base = np.zeros((3, len(parent)), np.int64)
+        at = np.flatnonzero(parent >= 0)
+        low[at], high[at] = self.pointers.get(parent[at]), self.pointers.get(parent[at] + 1)
+        later = np.flatnonzero(low > 0)
+        base[later] = self.children.get(low[later] - 1) + 1
+        return low, high, base
+
+    def place(self, low: np.ndarray, high: np.ndarray, base: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Place of each child in its row, or -1; a child below 0 is in none."""
+        out = np.full(len(child), -1, np.int64)
+        at = np.flatnonzero((child >= 0) & (low < high))
+        out[at] = self.children.place(low[at], high[at], base[at] + child[at])
+        return out
+
+
+def _place(e: EliasFano, asked: np.ndarray) -> np.ndarray:
+    """Place of each number in a whole sequence, or -1."""
+    return e.place(np.zeros(len(asked), np.int64), np.full(len(asked), e.n), asked)
+
+
 class Shard:
-    """A shard's trie, decoded once for all that is asked."""
+    """A shard's trie, searched in its mapped levels."""
 
     def __init__(self, levels: dict[str, np.ndarray], hot: int):
         self.levels, self.hot = levels, hot
-        self.symbols, self.heads = (e.get(np.arange(e.n)) for e in (EliasFano.of(levels, x) for x in ("symbols", "heads")))
-        self.rows, self.pairs = _keys(levels, "pairs")
-        _, self.contexts = _keys(levels, "contexts")
-        _, self.triples = _keys(levels, "triples")
+        self.symbols, self.heads = (EliasFano.of(levels, x) for x in ("symbols", "heads"))
+        self.pairs, self.contexts, self.triples = (Level(levels, x) for x in ("pairs", "contexts", "triples"))
 
     def gains(self, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """What a shard's n-grams add to each triple; hot words' pairs add it elsewhere."""
-        head = _look(self.heads, _look(self.symbols, b))
-        left, right = _look(self.symbols, a), _look(self.symbols, c)
-        context = _look(self.contexts, np.where((head >= 0) & (left >= 0), (head << 32) | left, -1))
-        pair = _look(self.pairs, np.where((head >= 0) & (right >= 0), (head << 32) | right, -1))
-        triple = _look(self.triples, np.where((context >= 0) & (pair >= 0), (context << 32) | (pair - self.rows[head]), -1))
-        out = np.zeros(len(b))
+        """What a shard's n-grams add to each triple; hot words' pairs add it
+        elsewhere. Triples come in order: words and contexts are searched once a run."""
+        n = len(b)
+        at, at_a = _starts(b), _starts(b, a)
+        word = _place(self.symbols, b[at])
+        head = np.full(len(at), -1, np.int64)
+        head[word >= 0] = _place(self.heads, word[word >= 0])
+        of = np.repeat(np.arange(len(at)), _lengths(at, n))             # the run of each triple's b
+        rows = [x[of[at_a]] for x in self.contexts.rows(head)]
+        context = self.contexts.place(*rows, _place(self.symbols, a[at_a]))
+        low, high, base = self.pairs.rows(head)
+        pair = self.pairs.place(low[of], high[of], base[of], _place(self.symbols, c))
+        among = np.where(pair >= 0, pair - low[of], -1)
+        triple = self.triples.place(*(_spread(at_a, n, x) for x in self.triples.rows(context)), among)
+        context, head = _spread(at_a, n, context), head[of]
+        out = np.zeros(n)
         cold = (b >= self.hot) & (head >= 0)
         out[cold] = self.levels["left"][head[cold]]
         for place, name in ((np.where(cold, pair, -1), "pair"), (context, "weight"), (triple, "gain")):
@@ -660,12 +692,12 @@ class HotPairs:
     """The pairs of hot words that a shard has."""
 
     def __init__(self, levels: dict[str, np.ndarray]):
-        e = EliasFano.of(levels, "symbols")
-        self.levels, self.symbols, self.pairs = levels, e.get(np.arange(e.n)), _keys(levels, "pairs")[1]
+        self.levels, self.symbols, self.pairs = levels, EliasFano.of(levels, "symbols"), Level(levels, "pairs")
 
     def gains(self, c: np.ndarray, b: np.ndarray) -> np.ndarray:
-        row = _look(self.symbols, c)
-        place = _look(self.pairs, np.where(row >= 0, (row << 32) | b, -1))
+        at = _starts(c)
+        rows = self.pairs.rows(_place(self.symbols, c[at]))
+        place = self.pairs.place(*(_spread(at, len(c), x) for x in rows), b)
         out = np.zeros(len(c))
         out[place >= 0] = read_quantised(self.levels, "pair", place[place >= 0])
         return out
