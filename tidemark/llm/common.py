@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir, pin_utc, remove_at_end
+from tidemark.session import ensure_checkpoint_dir, hadoop_path, pin_utc, remove_at_end
 
 # The white space and word classes of the query contracts.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -55,15 +55,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts
-    the lineage, and what follows reads the same rows whatever executor is lost."""
+    the lineage, and what follows reads the same rows whatever executor is lost.
+    A table that is read only for a while has a ``path`` of :func:`scratch`, to be :func:`removed`."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables that nothing will read again, before the application ends."""
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        fs.delete(p, True)
+
+
 def apart(col: str) -> Column:
     """A join key that tells as much as ``col`` (a long) but not the planner that
     it does. A side that was just aggregated by ``col`` is then shuffled for the

@@ -38,7 +38,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, from_key, held_out, read_documents, saved, small_batches, text_of
+from tidemark.llm.common import doc_key, from_key, held_out, read_documents, removed, saved, scratch, small_batches, text_of
 from tidemark.llm.eliasfano import EliasFano, mapped, quantised, read_quantised, to_bytes
 from tidemark.llm.words import joined, mixed, words
 
@@ -499,7 +499,8 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     small_batches(spark)
     texts = docs.select(text_of().alias("text"))
     documents = docs.count()
-    counts = saved(word_counts(texts), "lm-words")
+    passing = [scratch(spark, f"lm-{name}") for name in ("words", "triples", "told")]     # read until the levels are written
+    counts = saved(word_counts(texts), "lm-words", passing[0])
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, distinct = total.n + documents, total.v + (documents > 0)
     word, often = _frequent(counts, KNOWN)
@@ -513,9 +514,9 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     if len(word):
         rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(int(often.min()))) * 64))
     rest = saved(_word_shards(rest, shards), "lm-rest")
-    triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples")
+    triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples", passing[1])
     own = F.col("source") < 0
-    answers = saved(told(triples.filter(~own), rest, hot), "lm-told")
+    answers = saved(told(triples.filter(~own), rest, hot), "lm-told", passing[2])
 
     def added(table: DataFrame, column: str, size: int) -> np.ndarray:
         out = np.zeros(size, np.int64)
@@ -530,6 +531,7 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     head = spark.sparkContext.broadcast(to_bytes({
         "by_symbol": by_symbol, "kinds": added(answers, "kinds", hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
     levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels")
+    removed(spark, *passing)
     none = F.lit(None)
     dealt = levels.select("*", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
         rest.select("shard", none.cast("binary").alias("levels"), none.cast("binary").alias("pairs"), "n", "words"))
