@@ -48,7 +48,7 @@ BEGIN, END, FIRST = 1, 2, 3      # 0 stands before BEGIN
 RARE = 1 << 62              # a word without a number is this bit and its hash
 KNOWN = SYMBOLS - FIRST     # most frequent words, which are numbered
 HOT = 4
-SHARD_TOKENS = 2_000_000    # corpus tokens a shard
+SHARD_TOKENS = 1_250_000    # corpus tokens a shard
 BATCH = 3 << 20             # bytes of text whose triples are sorted together
 HELD = 400_000              # distinct triples a task sums up at once
 ALPHA = 0.1                 # added to a word's count
