@@ -285,8 +285,8 @@ def _asking(b: np.ndarray, c: np.ndarray, hot: int, shards: int) -> Iterator[tup
 
 
 TRIPLES = [("shard", pa.int32()), ("source", pa.int32()), ("n", pa.int32()), ("block", pa.binary()),
-           ("stats", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int64()))]
-TRIPLES_DDL = "shard int, source int, n int, block binary, stats array<bigint>, kinds array<bigint>"
+           ("stats", pa.list_(pa.int64())), ("kinds", pa.map_(pa.int32(), pa.int64()))]
+TRIPLES_DDL = "shard int, source int, n int, block binary, stats array<bigint>, kinds map<int,bigint>"
 
 
 def triple_counts(texts: DataFrame, vocabulary: Broadcast, hot: int, shards: int) -> DataFrame:
@@ -334,11 +334,11 @@ def triple_counts(texts: DataFrame, vocabulary: Broadcast, hot: int, shards: int
 PARTS = [("shard", pa.int32()), ("n", pa.int32()), ("block", pa.binary())]
 
 
-def told(asked: DataFrame, rest: DataFrame, hot: int) -> DataFrame:
+def told(asked: DataFrame, rest: DataFrame) -> DataFrame:
     """(shard, source, n, block, stats, kinds): the answers of the shard ``source``
     to what this one asked, in its order: counts of pairs and of second words. With
     source -1 the pairs of hot words that this shard has summed up, how many of
-    them occur once and twice, and how many each hot word has."""
+    them occur once and twice, and how many each hot word among them has."""
     def answer(asks: pa.Table, words: pa.Table) -> pa.Table:
         word, count = np.empty(0, np.uint64), np.empty(0, np.int64)
         for n, block in zip(words["n"], words["words"]):
@@ -360,8 +360,9 @@ def told(asked: DataFrame, rest: DataFrame, hot: int) -> DataFrame:
             low += len(x)
             rows.append((source.as_py(), me, len(x), _pack(np.zeros(len(x), np.uint8), total[mine], alone[mine]), None, None))
         real = b > 0
+        kinds = zip(*(x.tolist() for x in np.unique(b[real], return_counts=True)))
         rows.append((me, -1, int(real.sum()), _pack(c[real], b[real], total[real], alone[real]),
-                     [int((total[real] == k).sum()) for k in (1, 2)], np.bincount(b[real], minlength=hot).tolist()))
+                     [int((total[real] == k).sum()) for k in (1, 2)], list(kinds)))
         return pa.Table.from_batches([_batch(rows, TRIPLES)])
 
     return asked.groupBy("shard").cogroup(rest.groupBy("shard")).applyInArrow(answer, TRIPLES_DDL)
@@ -516,20 +517,20 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     rest = saved(_word_shards(rest, shards), "lm-rest")
     triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples", passing[1])
     own = F.col("source") < 0
-    answers = saved(told(triples.filter(~own), rest, hot), "lm-told", passing[2])
+    answers = saved(told(triples.filter(~own), rest), "lm-told", passing[2])
 
-    def added(table: DataFrame, column: str, size: int) -> np.ndarray:
+    def added(table: DataFrame, cells, size: int) -> np.ndarray:
         out = np.zeros(size, np.int64)
-        for r in (table.filter(own).select(F.posexplode(column).alias("at", "x")).groupBy("at")
-                  .agg(F.sum("x").alias("x")).collect()):
+        for r in table.filter(own).select(cells.alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect():
             out[r.at] = r.x
         return out
 
-    seen, hot_seen = added(triples, "stats", 4).tolist(), added(answers, "stats", 2).tolist()
+    stats = F.posexplode("stats")
+    seen, hot_seen = added(triples, stats, 4).tolist(), added(answers, stats, 2).tolist()
     d2, d3 = _discount(seen[2] + hot_seen[0], seen[3] + hot_seen[1]), _discount(seen[0], seen[1])
     by_symbol = np.concatenate([[0, documents, documents], often]).astype(np.int64)
     head = spark.sparkContext.broadcast(to_bytes({
-        "by_symbol": by_symbol, "kinds": added(answers, "kinds", hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
+        "by_symbol": by_symbol, "kinds": added(answers, F.explode("kinds"), hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
     levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels")
     removed(spark, *passing)
     none = F.lit(None)
