@@ -19,6 +19,9 @@ WHITE = " \t\n\x0b\x0c\r"
 # A null id sorts before every other id.
 NULL_ID = -(2 ** 63)
 
+# Spark's setting that removes shuffle files at the end of an execution.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Rows per Arrow batch handed to Python: whole texts can be long.
 ARROW_ROWS = 500
 
@@ -55,13 +58,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def saved(df: DataFrame, name: str, path: str | None = None, clean: bool = False) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts
     the lineage, and what follows reads the same rows whatever executor is lost.
-    A table that is read only for a while has a ``path`` of :func:`scratch`, to be :func:`removed`."""
+    A table that is read only for a while has a ``path`` of :func:`scratch`, to be :func:`removed`.
+    With ``clean`` the shuffle files of the write go when it ends: its plan is its own, nothing else reads them."""
     spark = df.sparkSession
     path = path or scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLES_GO)
+    spark.conf.set(SHUFFLES_GO, str(clean or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

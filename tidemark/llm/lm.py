@@ -501,7 +501,7 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     texts = docs.select(text_of().alias("text"))
     documents = docs.count()
     passing = [scratch(spark, f"lm-{name}") for name in ("words", "triples", "told")]     # read until the levels are written
-    counts = saved(word_counts(texts), "lm-words", passing[0])
+    counts = saved(word_counts(texts), "lm-words", passing[0], clean=True)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, distinct = total.n + documents, total.v + (documents > 0)
     word, often = _frequent(counts, KNOWN)
@@ -514,10 +514,10 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     rest = counts
     if len(word):
         rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(int(often.min()))) * 64))
-    rest = saved(_word_shards(rest, shards), "lm-rest")
-    triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples", passing[1])
+    rest = saved(_word_shards(rest, shards), "lm-rest", clean=True)
+    triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples", passing[1], clean=True)
     own = F.col("source") < 0
-    answers = saved(told(triples.filter(~own), rest), "lm-told", passing[2])
+    answers = saved(told(triples.filter(~own), rest), "lm-told", passing[2], clean=True)
 
     def added(table: DataFrame, cells, size: int) -> np.ndarray:
         out = np.zeros(size, np.int64)
@@ -531,7 +531,7 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     by_symbol = np.concatenate([[0, documents, documents], often]).astype(np.int64)
     head = spark.sparkContext.broadcast(to_bytes({
         "by_symbol": by_symbol, "kinds": added(answers, F.explode("kinds"), hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
-    levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels")
+    levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels", clean=True)
     removed(spark, *passing)
     none = F.lit(None)
     dealt = levels.select("*", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
