@@ -2,9 +2,9 @@
 
 A non-decreasing sequence of n numbers below U takes about 2 + log2(U / n) bits
 a number: the low bits are packed, the high bits are a bit vector with a one
-for each number and a zero for each step of the high part. A directory holds the
-ones before each 64 bits, about a bit a number. Members and successors are read
-from these arrays as they are, nothing is decoded beforehand.
+for each number and a zero for each step of the high part. A directory, made when
+first asked, holds the ones before each 64 bits, about a bit a number. Members and
+successors are read from these arrays as they are, no member is decoded beforehand.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ def _nth(bits: np.ndarray, r: np.ndarray) -> np.ndarray:
 class EliasFano:
     """A read-only non-decreasing sequence: ``get`` reads any members, ``find`` successors."""
 
-    def __init__(self, n: int, low_bits: int, last: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray):
-        self.n, self.low_bits, self.last, self.low, self.high, self.ranks = n, low_bits, last, low, high, ranks
+    def __init__(self, n: int, low_bits: int, last: int, low: np.ndarray, high: np.ndarray):
+        self.n, self.low_bits, self.last, self.low, self.high = n, low_bits, last, low, high
 
     @staticmethod
     def parts(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -63,15 +63,19 @@ class EliasFano:
             np.bitwise_or.at(low, bit >> 6, part << shift)
             over = (bit & 63) + low_bits > 64
             np.bitwise_or.at(low, (bit[over] >> 6) + 1, part[over] >> (np.uint64(64) - shift[over]))
-        ones = np.bitwise_count(high).astype(np.int64)
         last = int(values[-1] >> b) if n else -1
-        return {f"{name}.shape": np.array([n, low_bits, last], np.int64), f"{name}.low": low, f"{name}.high": high,
-                f"{name}.ranks": (np.cumsum(ones) - ones).astype(np.uint32)}
+        return {f"{name}.shape": np.array([n, low_bits, last], np.int64), f"{name}.low": low, f"{name}.high": high}
 
     @classmethod
     def of(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         n, low_bits, last = (int(x) for x in arrays[f"{name}.shape"])
-        return cls(n, low_bits, last, *(arrays[f"{name}.{part}"] for part in ("low", "high", "ranks")))
+        return cls(n, low_bits, last, arrays[f"{name}.low"], arrays[f"{name}.high"])
+
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        """The ones before each 64 high bits."""
+        ones = np.bitwise_count(self.high)
+        return np.cumsum(ones, dtype=np.uint32) - ones
 
     @cached_property
     def zero_ranks(self) -> np.ndarray:

@@ -461,19 +461,21 @@ def _levels(b: np.ndarray, a: np.ndarray, c: np.ndarray, n: np.ndarray, answers:
 
 
 def build_shards(triples: DataFrame, answers: DataFrame, head: Broadcast, shards: int) -> DataFrame:
-    """(shard, levels, pairs): the trie of each shard, or the pairs of hot words it has."""
+    """(shard, levels, pairs): the trie of each shard, or the pairs of hot words it has, compressed."""
     def build(table: pa.Table, told: pa.Table) -> pa.Table:
+        from zstandard import ZstdCompressor
+        pack = ZstdCompressor(level=1).compress
         h, rows = Head(mapped(head.value)), []
         got = {}
         for shard, source, n, block in zip(told["shard"], told["source"], told["n"], told["block"]):
             if source.as_py() < 0:
                 held = _unpack(block.as_py(), n.as_py(), np.int64, np.uint32, np.int64, np.int64)
-                rows.append((shard.as_py(), None, to_bytes(_hot_pairs(*held, h))))
+                rows.append((shard.as_py(), None, pack(to_bytes(_hot_pairs(*held, h)))))
             else:
                 got[source.as_py()] = _unpack(block.as_py(), n.as_py(), np.uint8, np.int64, np.int64)
         for shard, n, block in zip(table["shard"], table["n"], table["block"]):
             levels = _levels(*_unpack_triples(block.as_py(), n.as_py(), np.int64), got, shards, h)
-            rows.append((shard.as_py(), to_bytes(levels), None))
+            rows.append((shard.as_py(), pack(to_bytes(levels)), None))
         return pa.Table.from_batches([_batch(rows, BUILT)])
 
     return triples.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
@@ -708,12 +710,14 @@ class HotPairs:
 
 def _answers(asked: pa.Table, held: pa.Table, hot: int) -> pa.Table:
     """What one shard answers: sums by text, a row for each batch that asks."""
+    from zstandard import ZstdDecompressor
+    unpack = ZstdDecompressor().decompress
     shard, hot_pairs, known_words, counts = None, None, np.empty(0, np.uint64), np.empty(0, np.int64)
     for levels, pairs, n, packed_words in zip(*(held[x] for x in ("levels", "pairs", "n", "words"))):
         if levels.is_valid:
-            shard = Shard(mapped(levels.as_py()), hot)
+            shard = Shard(mapped(unpack(levels.as_py())), hot)
         elif pairs.is_valid:
-            hot_pairs = HotPairs(mapped(pairs.as_py()))
+            hot_pairs = HotPairs(mapped(unpack(pairs.as_py())))
         elif n.as_py():
             known_words, counts = _unpack(packed_words.as_py(), n.as_py(), np.uint64, np.int64)
     rows = []
