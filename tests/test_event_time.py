@@ -12,7 +12,7 @@ from tests.conftest import SF, new_dir, rows
 from tidemark.operators import keyed
 from tidemark.sources.tables import clickstream
 from tidemark.streaming import early, expiring, ordered, processors
-from tidemark.streaming.runner import replay, run_foreach_batch, run_processing_time, run_to_parquet
+from tidemark.streaming.runner import replay, run_foreach_batch, run_processing_time, run_to_parquet, state_partitions
 
 DAY_END = 1614528000000          # local midnight (16:00 UTC)
 
@@ -133,6 +133,24 @@ def test_keyed_functions_in_event_order(spark):
           keyed.retract_changelog(df, ["k"], ["us", "event_id"]).select("k", "is_add", "cnt"))
 
 
+def test_calls_to_the_state_do_not_grow_with_keys(spark, tmp_path):
+    """Keys share a bucket's state, null and negative whole numbers too: its rows are bounded by the buckets."""
+    df = spark.range(8_000).select(F.col("id").alias("event_id"), F.when(F.col("id") % 4_000 != 7, (F.col("id") % 4_000) - 2 ** 60).alias("k"),
+                                   (F.lit(1_600_000_000_000_000) + F.pmod(F.col("id") * 7919, F.lit(8_000)) * 1_000).alias("us")).withColumn(
+        "ts", F.timestamp_micros("us"))
+    end = spark.sql("select -1L event_id, -1L k, 1600000100000000L us").withColumn("ts", F.timestamp_micros("us"))
+    stream = replay(spark, df, [end], parts=2, at=["event_id"]).withWatermark("ts", "10 seconds")
+    out = ordered.in_event_order(stream, ordered.SumFold(), "k", "us", ["event_id"], F.col("event_id"))
+    with state_partitions(spark, 2):
+        q = (out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    # A bucket's values, head and timer, which is indexed twice.
+    assert 0 < max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]) <= 4 * ordered.BUCKETS + 4
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+    _same(got, keyed.running_totals(df, ["k"], ["us", "event_id"], "event_id").select("k", "running_event_id", "seq"))
+
+
 def test_hot_key_in_many_files(spark):
     """One key with most of the rows: its rows wait in slots, each trigger is a share of the files."""
     df = spark.range(20_000).select(F.col("id").alias("event_id"), F.when(F.col("id") % 10 != 0, "hot").otherwise("cold").alias("k"),
