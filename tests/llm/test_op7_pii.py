@@ -1,6 +1,7 @@
 import random
 
 from brute import personal, sha, table
+from pyspark.sql import functions as F
 
 from tidemark.llm import pii
 
@@ -161,3 +162,22 @@ def test_many_matches_in_one_text(spark, monkeypatch):
     text = "a@b.cc " * 5000
     [row] = got(spark, table(spark, [(1, text)]), monkeypatch)
     assert row.n_email == 5000 and row.spans.startswith("email:0:6,email:7:13,")
+
+
+def test_joins_by_hash_shuffle_few_other_texts(spark, monkeypatch):
+    """Before a text is shuffled to the tables of its hash, those without an entry there are left out."""
+    rows = spark.range(2_000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("text_hash"), F.col("id").cast("string").alias("text"))
+    hashes = rows.where("text % 400 = 3").select(F.col("text_hash").alias("h"), F.lit("a").alias("term"), F.lit("remove").alias("action"))
+    met = {r.text for r in pii.named(rows, hashes).collect()}
+    assert {"3", "403", "803", "1203", "1603"} <= met and len(met) < 20
+    assert {r.text for r in pii.named(rows, hashes, others=True).collect()} == {str(i) for i in range(2_000)} - met
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pii._marks(rows, hashes)._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in plan and plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+        assert plan[plan.index("SortMergeJoin"):plan.index("BroadcastHashJoin")].count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    monkeypatch.setattr(pii, "CODES", 1)                       # all are met: the joins decide
+    assert pii.named(rows, hashes).count() == 2_000 and pii.named(rows, hashes, others=True).count() == 0

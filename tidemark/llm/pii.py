@@ -45,6 +45,7 @@ GENERALISE, REMOVE = 0.7, 0.9
 SURE = 0.5             # share of a term's texts that hold the entity, to mark it in other texts
 LEVEL = 0.01           # expected pairs established by chance, in the whole corpus
 STRETCH = 1024         # matches put together at once
+CODES = 1 << 21        # different codes of texts, at most broadcast together
 
 MARK = "\ue000"
 LABEL, LOCAL = "A-Za-z0-9-", "A-Za-z0-9._%+-"
@@ -142,6 +143,20 @@ def text_id() -> Column:
     return F.unhex(F.md5(text_of()))
 
 
+def _code(col: str) -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(CODES))
+
+
+def named(rows: DataFrame, hashes: DataFrame, others: bool = False) -> DataFrame:
+    """The ``rows`` that may have a text_hash of ``hashes`` (h), so that a join shuffles few other
+    texts: all that have one, and those of the same code. With ``others`` the rest of the rows.
+
+    Codes are few, so they are broadcast whatever the number of hashes.
+    """
+    codes = hashes.select(_code("h").alias("code")).distinct()
+    return rows.join(F.broadcast(codes), _code("text_hash") == F.col("code"), "left_anti" if others else "left_semi")
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
     """One row a document: key, text_hash, ``spans`` with the kind of each base
     span, in the order of the kinds, then of their starts; ``held`` is the text
@@ -165,7 +180,9 @@ def term_counts(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
     hashes = found.groupBy(F.col("text_hash").alias("h")).agg(F.count("*").alias("m"))
     copied = saved(hashes.filter(F.col("m") > 1), "pii-copies")
     rows = docs.select(text_id().alias("text_hash"), text_of().alias("text"))
-    part = rows.join(copied, F.col("text_hash") == F.col("h"), "left").withColumn("part", 1 / F.coalesce("m", F.lit(1)))
+    once = named(rows, copied, others=True).select("text", F.lit(1.0).alias("part"))
+    part = once.unionByName(named(rows, copied).join(copied, F.col("text_hash") == F.col("h"), "left").select(
+        "text", (1 / F.coalesce("m", F.lit(1))).alias("part")))
     counts = (part.select("part", F.explode(text_terms()).alias("t"))
               .groupBy("t").agg(F.round(F.sum("part")).alias("n_t")))
     return counts, hashes.count()
@@ -213,7 +230,7 @@ def _marks(texts: DataFrame, acts: DataFrame) -> DataFrame:
     """(text_hash, mark) of every place in ``texts`` (text_hash, text) that ``acts`` (h, term, action) name."""
     maps = acts.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("act"))
     maps = saved(maps, "pii-hits")
-    return (texts.join(maps, F.col("text_hash") == F.col("h")).select("text_hash", marked(F.col("text"), F.col("act")).alias("marks"))
+    return (named(texts, maps).join(maps, F.col("text_hash") == F.col("h")).select("text_hash", marked(F.col("text"), F.col("act")).alias("marks"))
             .dropDuplicates(["text_hash"]).select("text_hash", F.explode("marks").alias("mark")))
 
 
