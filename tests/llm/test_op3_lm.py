@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from brute import held, lm_base, lm_trigram, table
 
@@ -95,3 +97,49 @@ def test_every_word_has_its_own_n_grams(spark, monkeypatch, known, shard_tokens)
     for d, want in full.items():
         assert out[d].score == pytest.approx(want, abs=0.02 * out[d].n_tokens)
     assert sum(abs(capped[d] - full[d]) > 0.02 * out[d].n_tokens for d in full) > 500
+
+
+@pytest.mark.parametrize("n,most", [(1, 1), (1000, 2000), (200_000, 2 ** 40), (300_000, 2 ** 20)])
+def test_members_are_read_in_runs(n, most):
+    rng = np.random.default_rng(n)
+    v = np.unique(np.append(rng.integers(0, most, n), 2 ** 62 if most > 2 ** 30 else 0))
+    n = len(v)
+    e = EliasFano.of(mapped(to_bytes(EliasFano.parts(v, "x"))), "x")
+    for lo, hi in [(0, n), (n // 3, n // 2), (n - 1, n), (n, n)]:
+        assert (e.members(lo, hi) == v[lo:hi]).all()
+    i = np.sort(rng.integers(0, n, 100_000))
+    assert (e.get_near(i) == v[i]).all() and (e.get_near(i[::-1]) == v[i[::-1]]).all()
+    t = np.sort(np.concatenate([rng.choice(v, 70_000), rng.integers(0, most + 5, 70_000)]))
+    low, high = np.sort(rng.integers(0, n + 1, (2, len(t))), axis=0)
+    at = np.searchsorted(v, t)
+    want = np.where((at < n) & (v[np.minimum(at, n - 1)] == t) & (at >= low) & (at < high), at, -1)
+    assert (e.place_near(low, high, t) == want).all() and (e.place(low, high, t) == want).all()
+    few = t[::5000]
+    assert (e.place_near(np.zeros(len(few), int), np.full(len(few), n), few) >= 0).tolist() == np.isin(few, v).tolist()
+
+
+def test_batches_are_searched_together(spark, monkeypatch):
+    """The questions of many batches are one search in a shard's trie, and it is read where it was written."""
+    rows = corpus(6)
+    df = table(spark, rows)
+    model = lm.train(df, shard_tokens=500)
+    plan = lm.score(df, model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(shard") == 1
+    held = model.levels.toArrow()
+    vocabulary, head = lm.Vocabulary(mapped(model.vocabulary.value)), lm.Head(mapped(model.head.value))
+    batches = []
+    for i in range(3):
+        texts = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[i::3]]), pa.array([(r[1] or "").encode() for r in rows[i::3]])],
+                                           ["key", "text"])
+        for (keys,), s in lm._streams(iter([texts]), vocabulary, 1):
+            batches.append(lm._asked(i, s, lm._known(s, vocabulary, head) | {"key": keys}, head.hot, model.shards))
+    asked, calls = pa.Table.from_batches(batches), []
+    gains = lm.Shard.gains
+    monkeypatch.setattr(lm.Shard, "gains", lambda self, b, a, c: calls.append(len(b)) or gains(self, b, a, c))
+    for k in range(model.shards):
+        of = lm._answers(asked.filter(pc.equal(asked["shard"], k)), held.filter(pc.equal(held["shard"], k)), head.hot)
+        alone = [lm._answers(asked.filter(pc.and_(pc.equal(asked["shard"], k), pc.equal(asked["batch"], i))),
+                             held.filter(pc.equal(held["shard"], k)), head.hot) for i in range(3)]
+        assert of.to_pylist() == [r for t in alone for r in t.to_pylist()]
+        assert calls.pop(0) == sum(calls) and len(calls) <= 3
+        calls.clear()

@@ -4,7 +4,9 @@ A non-decreasing sequence of n numbers below U takes about 2 + log2(U / n) bits
 a number: the low bits are packed, the high bits are a bit vector with a one
 for each number and a zero for each step of the high part. A directory, made when
 first asked, holds the ones before each 64 bits, about a bit a number. Members and
-successors are read from these arrays as they are, no member is decoded beforehand.
+successors are read from these arrays as they are, no member is decoded beforehand. Questions
+that nearly ascend are answered run by run: the members that a run spans are read
+in one go, a bounded number, and none that no run spans.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import numpy as np
 ONE = np.uint64(1)
 BYTES = np.uint64(0x0101010101010101)
 TOPS = np.uint64(0x8080808080808080)
+RUN = 1 << 16               # questions answered together
+SPAN = 8                    # members read at once, at most, for each question of a run
 
 
 @cache
@@ -132,6 +136,42 @@ class EliasFano:
         out[hit] = at[hit]
         return out
 
+    def members(self, start: int, stop: int) -> np.ndarray:
+        """The members from ``start`` to ``stop``, read in one go."""
+        if start >= stop:
+            return np.empty(0, np.int64)
+        first, last = np.searchsorted(self.ranks, np.array([start, stop - 1], np.uint32), side="right") - 1
+        ones = np.flatnonzero(np.unpackbits(self.high[first:last + 1].view(np.uint8), bitorder="little").view(bool))
+        skip = start - int(self.ranks[first])
+        i = np.arange(start, stop)
+        return (ones[skip:skip + stop - start] + (int(first) << 6) - i) << self.low_bits | self._low(i)
+
+    def get_near(self, i: np.ndarray) -> np.ndarray:
+        """``get`` for places that nearly ascend."""
+        out = np.empty(len(i), np.int64)
+        for at in range(0, len(i), RUN):
+            run = i[at:at + RUN]
+            start, stop = int(run.min()), int(run.max()) + 1
+            out[at:at + RUN] = self.members(start, stop)[run - start] if stop - start <= SPAN * len(run) else self.get(run)
+        return out
+
+    def place_near(self, low: np.ndarray, high: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """``place`` for targets that nearly ascend, in a sequence without repeated numbers."""
+        out = np.empty(len(target), np.int64)
+        for at in range(0, len(target), RUN):
+            lows, highs, run = (x[at:at + RUN] for x in (low, high, target))
+            start, last = self.find(np.zeros(2, np.int64), np.full(2, self.n), np.array([run.min(), run.max()])).tolist()
+            stop = min(last + 1, self.n)
+            if stop - start > SPAN * len(run):
+                out[at:at + RUN] = self.place(lows, highs, run)
+                continue
+            members = self.members(start, stop)
+            spot = np.searchsorted(members, run)
+            hit = np.append(members, -1)[spot] == run
+            spot += start
+            out[at:at + RUN] = np.where(hit & (spot >= lows) & (spot < highs), spot, -1)
+        return out
+
 
 def to_bytes(arrays: dict[str, np.ndarray]) -> bytes:
     """Named arrays in one block, each at a multiple of eight bytes."""
@@ -154,7 +194,7 @@ def mapped(block: bytes) -> dict[str, np.ndarray]:
     try:
         with os.fdopen(handle, "wb") as f:
             f.write(block)
-        data = np.memmap(path, np.uint8, "r")
+        data = np.memmap(path, np.uint8, "r").view(np.ndarray)      # slices of a plain array cost less
     finally:
         os.unlink(path)
     n = int.from_bytes(bytes(data[:8]), "little")

@@ -23,8 +23,9 @@ followers c and their contexts a as children of b; the triples as children of a
 context, each as its place among the followers of b. Children are stored relative
 to their parent and carried on from row to row, so that a level is one monotone
 sequence, with monotone pointers. Gains and weights have eight bits. The
-distinct triples of the documents are sent to the shards, which search for them
-in the mapped levels: a child's successor between the pointers of its context.
+distinct triples of the documents are sent to the shards, which search for those of
+many batches together, in order, in the mapped levels: a child's successor between
+the pointers of its context.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_key, from_key, held_out, read_documents, removed, saved, scratch, small_batches, text_of
+from tidemark.llm.common import doc_key, from_key, held_out, read_documents, removed, saved, saved_dealt, scratch, small_batches, text_of
 from tidemark.llm.eliasfano import EliasFano, mapped, quantised, read_quantised, to_bytes
 from tidemark.llm.words import joined, mixed, words
 
@@ -52,6 +53,7 @@ SHARD_TOKENS = 1_250_000    # corpus tokens a shard
 BATCH = 3 << 20             # bytes of text whose triples are sorted together
 HELD = 400_000              # distinct triples a task sums up at once
 ALPHA = 0.1                 # added to a word's count
+PIECES = 2_000              # buckets the shards are dealt into, at most
 HELD_OUT = 10               # documents whose crc32 leaves 0 by this are not learned from
 
 
@@ -491,7 +493,7 @@ class Model:
 
     tokens: int              # tokens learned from
     shards: int
-    levels: DataFrame        # (shard, levels, pairs, n, words): tries, pairs of hot words, and the words no task has
+    levels: DataFrame        # (shard, levels, pairs, n, words) in buckets by shard: tries, pairs of hot words, and the words no task has
     vocabulary: Broadcast
     head: Broadcast
 
@@ -502,7 +504,7 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     small_batches(spark)
     texts = docs.select(text_of().alias("text"))
     documents = docs.count()
-    passing = [scratch(spark, f"lm-{name}") for name in ("words", "triples", "told")]     # read until the levels are written
+    passing = [scratch(spark, f"lm-{name}") for name in ("words", "triples", "told", "rest")]     # read until the levels are written
     counts = saved(word_counts(texts), "lm-words", passing[0], clean=True)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, distinct = total.n + documents, total.v + (documents > 0)
@@ -516,7 +518,7 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     rest = counts
     if len(word):
         rest = counts.filter(F.floor(F.log2("n") * 64) < F.floor(F.log2(F.lit(int(often.min()))) * 64))
-    rest = saved(_word_shards(rest, shards), "lm-rest", clean=True)
+    rest = saved(_word_shards(rest, shards), "lm-rest", passing[3], clean=True)
     triples = saved(triple_counts(texts, shared, hot, shards), "lm-triples", passing[1], clean=True)
     own = F.col("source") < 0
     answers = saved(told(triples.filter(~own), rest), "lm-told", passing[2], clean=True)
@@ -533,11 +535,12 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     by_symbol = np.concatenate([[0, documents, documents], often]).astype(np.int64)
     head = spark.sparkContext.broadcast(to_bytes({
         "by_symbol": by_symbol, "kinds": added(answers, F.explode("kinds"), hot), "numbers": np.array([d2, d3, n + ALPHA * (distinct + 1)])}))
-    levels = saved(build_shards(triples.filter(own), answers, head, shards), "lm-levels", clean=True)
-    removed(spark, *passing)
     none = F.lit(None)
+    levels = build_shards(triples.filter(own), answers, head, shards)
     dealt = levels.select("*", none.cast("int").alias("n"), none.cast("binary").alias("words")).unionByName(
         rest.select("shard", none.cast("binary").alias("levels"), none.cast("binary").alias("pairs"), "n", "words"))
+    dealt = saved_dealt(dealt, "lm-levels", "shard", min(shards, PIECES))
+    removed(spark, *passing)
     return Model(n, shards, dealt, shared, head)
 
 
@@ -599,29 +602,41 @@ def _asked(batch: int, s: Stream, own: dict[str, np.ndarray], hot: int, shards:
     numbers in the batch); pairs of hot words and words likewise."""
     b, a, c, text = _triples(s)
     at = np.flatnonzero(b < hot)
-    pair = at[_order(c[at], np.zeros(len(at), np.int64), b[at])]
-    pairs_of = dict(_by_shard(_deal(c[pair], shards)))
+    at = at[_order(c[at], np.zeros(len(at), np.int64), b[at])]
+    pair, pair_ref = (c[at], b[at].astype(np.uint32)), text[at]
+    pairs_of = _dealt(pair, _deal, shards)
     at = np.flatnonzero(b != BEGIN)
-    triple = at[_order(b[at], a[at], c[at])]
-    new = _starts(b[triple], a[triple], c[triple])
-    home = _home(b[triple[new]], a[triple[new]], c[triple[new]], hot, shards)
-    triples_of = dict(_by_shard(np.repeat(home, _lengths(new, len(triple)))))
-    word = np.flatnonzero(s.places < 0)
-    word = word[np.argsort(s.hashes[word], kind="stable")]
-    words_of = dict(_by_shard(_deal(_rare(s.hashes[word]), shards)))
-    rows, none = [], np.empty(0, np.int64)
+    at = at[_order(b[at], a[at], c[at])]
+    triple, triple_ref = (b[at], a[at], c[at]), text[at]
+    triples_of = _dealt(triple, _home, hot, shards)
+    at = np.flatnonzero(s.places < 0)
+    at = at[np.argsort(s.hashes[at], kind="stable")]
+    word, word_ref = (s.hashes[at],), s.word_text[at]
+    words_of = _dealt(word, lambda hashes: _deal(_rare(hashes), shards))
+    rows = []
     for k in sorted({batch % shards, *triples_of, *pairs_of, *words_of}):      # any shard will do for the sums
-        t, p, w = triple[triples_of.get(k, none)], pair[pairs_of.get(k, none)], word[words_of.get(k, none)]
-        t_at, p_at, w_at = _starts(b[t], a[t], c[t]), _starts(c[p], b[p]), _starts(s.hashes[w])
-        ref = np.concatenate([text[t], text[p], s.word_text[w]]).astype(np.uint32)
-        many = [_lengths(x, len(y)).astype(np.uint32) for x, y in ((t_at, t), (p_at, p), (w_at, w))]
-        t, p = t[t_at], p[p_at]
-        rows.append((batch, k, len(t), len(ref), _pack_triples(b[t], a[t], c[t], many[0]), _pack(np.zeros(len(ref), np.uint8), ref),
-                     len(p), _pack(c[p], b[p].astype(np.uint32), many[1]),
-                     len(w_at), _pack(s.hashes[w[w_at]], many[2]), to_bytes(own) if k == batch % shards else None))
+        (t, t_at), (p, p_at), (w, w_at) = (x.get(k, ([y[:0] for y in (*z, z[0].astype(np.uint32))], NONE)) for x, z in (
+            (triples_of, triple), (pairs_of, pair), (words_of, word)))
+        ref = np.concatenate([triple_ref[t_at], pair_ref[p_at], word_ref[w_at]]).astype(np.uint32)
+        rows.append((batch, k, len(t[0]), len(ref), _pack_triples(*t), _pack(np.zeros(len(ref), np.uint8), ref),
+                     len(p[0]), _pack(*p), len(w[0]), _pack(*w), to_bytes(own) if k == batch % shards else None))
     return _batch(rows, ASKED)
 
 
+NONE = np.empty(0, np.int64)
+
+
+def _dealt(columns: tuple[np.ndarray, ...], deal, *args) -> dict[int, tuple[list[np.ndarray], np.ndarray]]:
+    """Sorted rows by shard: the distinct ones and how often each occurs, and the places of all. ``deal``
+    takes the first column, or three."""
+    new = _starts(*columns)
+    many = _lengths(new, len(columns[0])).astype(np.uint32)
+    found = [*(x[new] for x in columns), many]
+    home = deal(*found[:3 if len(columns) == 3 else 1], *args)
+    places = dict(_by_shard(np.repeat(home, many)))
+    return {k: ([x[at] for x in found], places[k]) for k, at in _by_shard(home)}
+
+
 def _batch(rows: list[tuple], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)],
                                       [name for name, _ in kinds])
@@ -639,25 +654,34 @@ class Level:
         self.pointers, self.children = EliasFano.of(levels, f"{name}.pointers"), EliasFano.of(levels, f"{name}.children")
 
     def rows(self, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """From, to and base of the children of each parent; of -1, none."""
+        """From, to and base of the children of each parent, which ascend; of -1, none."""
         low, high, base = np.zeros((3, len(parent)), np.int64)
         at = np.flatnonzero(parent >= 0)
-        low[at], high[at] = self.pointers.get(parent[at]), self.pointers.get(parent[at] + 1)
+        low[at], high[at] = self.pointers.get_near(parent[at]), self.pointers.get_near(parent[at] + 1)
         later = np.flatnonzero(low > 0)
-        base[later] = self.children.get(low[later] - 1) + 1
+        base[later] = self.children.get_near(low[later] - 1) + 1
         return low, high, base
 
-    def place(self, low: np.ndarray, high: np.ndarray, base: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Place of each child in its row, or -1; a child below 0 is in none."""
-        out = np.full(len(child), -1, np.int64)
-        at = np.flatnonzero((child >= 0) & (low < high))
-        out[at] = self.children.place(low[at], high[at], base[at] + child[at])
-        return out
+    def places(self, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each child in the level and in its parent's row, or -1; in any order. A
+        parent or a child of -1 has none. Each distinct question is searched for once, in order."""
+        key = np.where((parent >= 0) & (child >= 0), (parent << 32) | child, -1)
+        key, back = np.unique(key, return_inverse=True)
+        at = _starts(key >> 32)
+        low, high, base = (_spread(at, len(key), x) for x in self.rows(key[at] >> 32))
+        out = np.full(len(key), -1, np.int64)
+        asked = np.flatnonzero((key >= 0) & (low < high))
+        out[asked] = self.children.place_near(low[asked], high[asked], base[asked] + (key[asked] & 0xFFFFFFFF))
+        return out[back], np.where(out >= 0, out - low, -1)[back]
 
 
 def _place(e: EliasFano, asked: np.ndarray) -> np.ndarray:
-    """Place of each number in a whole sequence, or -1."""
-    return e.place(np.zeros(len(asked), np.int64), np.full(len(asked), e.n), asked)
+    """Place of each number in a whole sequence, or -1; in any order."""
+    asked, back = np.unique(asked, return_inverse=True)
+    out = np.full(len(asked), -1, np.int64)
+    real = np.flatnonzero(asked >= 0)
+    out[real] = e.place_near(np.zeros(len(real), np.int64), np.full(len(real), e.n), asked[real])
+    return out[back]
 
 
 class Shard:
@@ -670,20 +694,13 @@ class Shard:
 
     def gains(self, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
         """What a shard's n-grams add to each triple; hot words' pairs add it
-        elsewhere. Triples come in order: words and contexts are searched once a run."""
+        elsewhere. Words and contexts are searched once a run of equal ones."""
         n = len(b)
         at, at_a = _starts(b), _starts(b, a)
-        word = _place(self.symbols, b[at])
-        head = np.full(len(at), -1, np.int64)
-        head[word >= 0] = _place(self.heads, word[word >= 0])
-        of = np.repeat(np.arange(len(at)), _lengths(at, n))             # the run of each triple's b
-        rows = [x[of[at_a]] for x in self.contexts.rows(head)]
-        context = self.contexts.place(*rows, _place(self.symbols, a[at_a]))
-        low, high, base = self.pairs.rows(head)
-        pair = self.pairs.place(low[of], high[of], base[of], _place(self.symbols, c))
-        among = np.where(pair >= 0, pair - low[of], -1)
-        triple = self.triples.place(*(_spread(at_a, n, x) for x in self.triples.rows(context)), among)
-        context, head = _spread(at_a, n, context), head[of]
+        head = _spread(at, n, _place(self.heads, _place(self.symbols, b[at])))
+        context = _spread(at_a, n, self.contexts.places(head[at_a], _place(self.symbols, a[at_a]))[0])
+        pair, among = self.pairs.places(head, _place(self.symbols, c))
+        triple, _ = self.triples.places(context, among)
         out = np.zeros(n)
         cold = (b >= self.hot) & (head >= 0)
         out[cold] = self.levels["left"][head[cold]]
@@ -700,9 +717,7 @@ class HotPairs:
         self.levels, self.symbols, self.pairs = levels, EliasFano.of(levels, "symbols"), Level(levels, "pairs")
 
     def gains(self, c: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = _starts(c)
-        rows = self.pairs.rows(_place(self.symbols, c[at]))
-        place = self.pairs.place(*(_spread(at, len(c), x) for x in rows), b)
+        place, _ = self.pairs.places(_place(self.symbols, c), b)
         out = np.zeros(len(c))
         out[place >= 0] = read_quantised(self.levels, "pair", place[place >= 0])
         return out
@@ -721,27 +736,44 @@ def _answers(asked: pa.Table, held: pa.Table, hot: int) -> pa.Table:
         elif n.as_py():
             known_words, counts = _unpack(packed_words.as_py(), n.as_py(), np.uint64, np.int64)
     rows = []
-    for r in zip(*(asked[name] for name, _ in ASKED)):
-        batch, _, n, refs, block, places, n_pairs, pairs, n_words, word_block, own = (x.as_py() for x in r)
-        b, a, c, times = _unpack_triples(block, n, np.uint32)
-        gain = np.repeat(shard.gains(b, a, c) if shard else np.zeros(n), times)
-        c, b, times = _unpack(pairs, n_pairs, np.int64, np.uint32, np.uint32)
-        gain = np.append(gain, np.repeat(hot_pairs.gains(c, b.astype(np.int64)) if hot_pairs else np.zeros(n_pairs), times))
-        w, word_times = _unpack(word_block, n_words, np.uint64, np.uint32)
-        spot = _look(known_words, w)
-        hit = spot >= 0
-        count = np.where(hit, counts[spot] if len(counts) else 0, 0)
-        _, ref = _unpack(places, refs, np.uint8, np.uint32)
-        by_gain, by_word = ref[:len(gain)], ref[len(gain):]
-        texts = np.flatnonzero(np.bincount(by_gain))
-        texts_w = np.flatnonzero(np.bincount(by_word))
-        rows.append((batch, len(texts), _pack(texts.astype(np.uint32), np.bincount(by_gain, gain)[texts].astype(np.float32)),
-                     len(texts_w), _pack(texts_w.astype(np.uint32),
-                                         np.bincount(by_word, np.repeat(np.log10(count + ALPHA), word_times))[texts_w],
-                                         np.bincount(by_word, np.repeat(hit, word_times))[texts_w].astype(np.uint32)), own))
+    for some in _several(asked):
+        triples = [_unpack_triples(r["block"], r["n"], np.uint32) for r in some]
+        gains = shard.gains(*(np.concatenate(x) for x in list(zip(*triples))[:3])) if shard else np.zeros(sum(r["n"] for r in some))
+        pairs = [_unpack(r["pairs"], r["n_pairs"], np.int64, np.uint32, np.uint32) for r in some]
+        c, b = (np.concatenate(x) for x in list(zip(*pairs))[:2])
+        pair_gains = hot_pairs.gains(c, b.astype(np.int64)) if hot_pairs else np.zeros(len(c))
+        low = low_p = 0
+        for r, (*_, times), (*_, pair_times) in zip(some, triples, pairs):
+            gain = np.append(np.repeat(gains[low:low + r["n"]], times), np.repeat(pair_gains[low_p:low_p + r["n_pairs"]], pair_times))
+            low, low_p = low + r["n"], low_p + r["n_pairs"]
+            w, word_times = _unpack(r["words"], r["n_words"], np.uint64, np.uint32)
+            spot = _look(known_words, w)
+            hit = spot >= 0
+            count = np.where(hit, counts[spot] if len(counts) else 0, 0)
+            _, ref = _unpack(r["places"], r["refs"], np.uint8, np.uint32)
+            by_gain, by_word = ref[:len(gain)], ref[len(gain):]
+            texts = np.flatnonzero(np.bincount(by_gain))
+            texts_w = np.flatnonzero(np.bincount(by_word))
+            rows.append((r["batch"], len(texts), _pack(texts.astype(np.uint32), np.bincount(by_gain, gain)[texts].astype(np.float32)),
+                         len(texts_w), _pack(texts_w.astype(np.uint32),
+                                             np.bincount(by_word, np.repeat(np.log10(count + ALPHA), word_times))[texts_w],
+                                             np.bincount(by_word, np.repeat(hit, word_times))[texts_w].astype(np.uint32)), r["own"]))
     return pa.Table.from_batches([_batch(rows, ANSWERED)])
 
 
+def _several(asked: pa.Table) -> Iterator[list[dict]]:
+    """The rows of ``asked``, as many together as hold HELD triples."""
+    held, size = [], 0
+    for r in zip(*(asked[name] for name, _ in ASKED)):
+        held.append({name: x.as_py() for (name, _), x in zip(ASKED, r)})
+        size += held[-1]["n"]
+        if size >= HELD:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _together(table: pa.Table) -> pa.Table:
     """The texts of one batch with all their sums."""
     own = next(mapped(o.as_py()) for o in table["own"] if o.is_valid)
