@@ -51,7 +51,8 @@ KNOWN = SYMBOLS - FIRST     # most frequent words, which are numbered
 HOT = 4
 SHARD_TOKENS = 1_250_000    # corpus tokens a shard
 BATCH = 3 << 20             # bytes of text whose triples are sorted together
-HELD = 400_000              # distinct triples a task sums up at once
+HELD = 500_000              # triples a task sums up at once
+ASKS = 800_000              # triples a shard searches for at once
 ALPHA = 0.1                 # added to a word's count
 PIECES = 2_000              # buckets the shards are dealt into, at most
 HELD_OUT = 10               # documents whose crc32 leaves 0 by this are not learned from
@@ -300,14 +301,15 @@ def triple_counts(texts: DataFrame, vocabulary: Broadcast, hot: int, shards: int
 
         def out(held: list) -> pa.RecordBatch:
             found = _summed_triples(*(np.concatenate(x) for x in zip(*held)))
+            found[3] = found[3].astype(np.uint32)
             return _batch([(k, len(at), _pack_triples(*(x[at] for x in found)))
                            for k, at in _by_shard(_home(*found[:3], hot, shards))], PARTS)
 
         held, size = [], 0
         for _, s in _streams(batches, v, 0):
             b, a, c, _ = _triples(s)
-            held.append(_summed_triples(b, a, c, np.ones(len(b), np.int64)))
-            size += len(held[-1][0])
+            held.append((b, a, c, np.ones(len(b), np.uint32)))
+            size += len(b)
             if size > HELD:
                 yield out(held)
                 held, size = [], 0
@@ -315,8 +317,9 @@ def triple_counts(texts: DataFrame, vocabulary: Broadcast, hot: int, shards: int
             yield out(held)
 
     def merge(table: pa.Table) -> pa.Table:
-        got = [_unpack_triples(b.as_py(), n.as_py(), np.int64) for n, b in zip(table["n"], table["block"])]
-        found = b, _, c, n = _summed_triples(*(np.concatenate(x) for x in zip(*got)))
+        got = [_unpack_triples(b.as_py(), n.as_py(), np.uint32) for n, b in zip(table["n"], table["block"])]
+        b, a, c, n = (np.concatenate(x) for x in zip(*got))
+        found = b, _, c, n = _summed_triples(b, a, c, n.astype(np.int64))
         del got
         first, second, times, _ = _pairs(b, c, n)
         own = times[first >= hot]
@@ -433,7 +436,8 @@ def _levels(b: np.ndarray, a: np.ndarray, c: np.ndarray, n: np.ndarray, answers:
         pair_n[at] = np.where(first[at] < h.hot, total, pair_n[at])
         told_n[at] = alone
     share = h.alone(second, told_n)
-    symbols = np.unique(np.concatenate([first, second, a]))
+    symbols = np.sort(np.concatenate([first, second, a]))
+    symbols = symbols[_starts(symbols)]
     word, child = np.searchsorted(symbols, first), np.searchsorted(symbols, second)
     order = np.argsort((word << 32) | child)
     heads, row = np.unique(word[order], return_inverse=True)
@@ -762,12 +766,12 @@ def _answers(asked: pa.Table, held: pa.Table, hot: int) -> pa.Table:
 
 
 def _several(asked: pa.Table) -> Iterator[list[dict]]:
-    """The rows of ``asked``, as many together as hold HELD triples."""
+    """The rows of ``asked``, as many together as hold ASKS triples."""
     held, size = [], 0
     for r in zip(*(asked[name] for name, _ in ASKED)):
         held.append({name: x.as_py() for (name, _), x in zip(ASKED, r)})
         size += held[-1]["n"]
-        if size >= HELD:
+        if size >= ASKS:
             yield held
             held, size = [], 0
     if held:
