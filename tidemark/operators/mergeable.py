@@ -85,6 +85,8 @@ class TopK:
         weight, ident = columns[:2]
         good = pc.and_(weight.is_valid(), ident.is_valid())
         table = pa.table({"w": pc.negate(weight.filter(good).cast(pa.float64())), "i": ident.filter(good).cast(pa.int64())})
+        if not table.num_rows:      # Arrow selects nothing from no rows but with an error
+            return acc
         first = pc.select_k_unstable(table, self.k, [("w", "ascending"), ("i", "ascending")])
         table = table.take(first)
         return self._best(acc + [(-w, i) for w, i in zip(table["w"].to_pylist(), table["i"].to_pylist())])
