@@ -52,7 +52,7 @@ HOT = 4
 SHARD_TOKENS = 1_250_000    # corpus tokens a shard
 BATCH = 3 << 20             # bytes of text whose triples are sorted together
 HELD = 500_000              # triples a task sums up at once
-ASKS = 800_000              # triples a shard searches for at once
+ASKS = 400_000              # triples a shard searches for at once
 ALPHA = 0.1                 # added to a word's count
 PIECES = 2_000              # buckets the shards are dealt into, at most
 HELD_OUT = 10               # documents whose crc32 leaves 0 by this are not learned from
